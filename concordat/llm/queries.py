@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import near_dedup, packing, sharding
+from concordat.llm import near_dedup, near_vectors, nearest, packing, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_onebit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law `bytes`: forty leaves of a k-d tree over the documents' metadata."""
     placed = sharding.kd_shards(table(spark, sf_dir, "documents"), shards=40)
@@ -29,10 +33,53 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op9_crosspolytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_onebit": op1_onebit,
     "op2_kdtree": op2_kdtree,
     "op7_bottomk": op7_bottomk,
     "op8_pack": op8_pack,
+    "op9_crosspolytope": op9_crosspolytope,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_onebit": """
+        WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e) AS score
+              FROM v AS q JOIN v ON q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id AND len(q.e) = len(v.e))
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+    """,
+    "op7_bottomk": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        s AS MATERIALIZED (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
+        n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        l AS MATERIALIZED (SELECT x, y FROM p JOIN n AS a ON a.doc_id = x JOIN n AS b ON b.doc_id = y WHERE 100 * m >= 75 * (a.n + b.n - m)),
+        e AS MATERIALIZED (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+        r AS (SELECT DISTINCT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.c, d.doc_id) AS component_id, d.doc_id = coalesce(c.c, d.doc_id) AS kept
+        FROM documents AS d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT node, min(seen) AS c FROM r GROUP BY 1) AS c ON c.node = d.doc_id
+    """,
+    "op9_crosspolytope": """
+        WITH RECURSIVE v AS MATERIALIZED (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        e AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+              WHERE list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.98),
+        r AS (SELECT DISTINCT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen)
+        SELECT m.vec_id, coalesce(k.n, 0) AS n_links, coalesce(c.c, m.vec_id) AS component_id, m.vec_id = coalesce(c.c, m.vec_id) AS kept
+        FROM embeddings AS m LEFT JOIN (SELECT a, count(*) AS n FROM e GROUP BY 1) AS k ON k.a = m.vec_id
+        LEFT JOIN (SELECT node, min(seen) AS c FROM r GROUP BY 1) AS c ON c.node = m.vec_id
+    """,
+}
