@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import near_dedup, near_vectors, nearest, packing, sharding
+from concordat.llm import lines, mixing, near_dedup, near_vectors, nearest, packing, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,16 @@ def op2_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three quarters of the corpus's tokens, no document more than twice."""
+    levels, weights = mixing.document_tree()
+    return mixing.mix(table(spark, sf_dir, "documents"), levels, weights, share=0.75, max_epochs=2)
+
+
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def op7_bottomk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
@@ -40,6 +50,8 @@ def op9_crosspolytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_onebit": op1_onebit,
     "op2_kdtree": op2_kdtree,
+    "op4_mix": op4_mix,
+    "op5_lines": op5_lines,
     "op7_bottomk": op7_bottomk,
     "op8_pack": op8_pack,
     "op9_crosspolytope": op9_crosspolytope,
@@ -55,6 +67,54 @@ SQL: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
     """,
+    "op4_mix": """
+        WITH d AS MATERIALIZED (
+            SELECT doc_id, regexp_extract(coalesce(source, ''), '^([^0-9]*[0-9]?)', 1) AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   CAST(ceil(coalesce(strlen(text), 0) / 4.0) AS BIGINT) AS tokens FROM documents),
+        leaf AS (SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS tokens FROM d GROUP BY ALL),
+        -- a level: children by cap / weight; the level is that of the first child whose cap is above its fair part
+        a AS (SELECT domain, CAST(1 AS BIGINT) AS weight, CAST(sum(tokens) * 2 AS BIGINT) AS cap FROM leaf GROUP BY ALL),
+        a1 AS (SELECT *, (SELECT sum(tokens) FROM leaf) * CAST(0.75 AS DOUBLE) AS b, coalesce(sum(cap) OVER (ORDER BY cap / weight, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c,
+                      sum(weight) OVER (ORDER BY cap / weight, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w FROM a),
+        a2 AS (SELECT *, CASE WHEN cap <= weight * ((b - c) / w) THEN NULL ELSE (b - c) / w END AS v FROM a1),
+        a3 AS (SELECT *, first_value(v IGNORE NULLS) OVER (ORDER BY cap / weight, domain ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lv FROM a2),
+        a4 AS (SELECT domain, CASE WHEN lv IS NULL THEN CAST(cap AS DOUBLE) ELSE least(CAST(cap AS DOUBLE), weight * lv) END AS b FROM a3),
+        e AS (SELECT domain, lang, CAST(CASE WHEN lang = 'en' THEN 4 WHEN lang IN ('de', 'fr', 'es') THEN 2 ELSE 1 END AS BIGINT) AS weight, CAST(sum(tokens) * 2 AS BIGINT) AS cap FROM leaf GROUP BY domain, lang),
+        e1 AS (SELECT e.*, b, coalesce(sum(cap) OVER (PARTITION BY domain ORDER BY cap / weight, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c,
+                      sum(weight) OVER (PARTITION BY domain ORDER BY cap / weight, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w FROM e JOIN a4 USING (domain)),
+        e2 AS (SELECT *, CASE WHEN cap <= weight * ((b - c) / w) THEN NULL ELSE (b - c) / w END AS v FROM e1),
+        e3 AS (SELECT *, first_value(v IGNORE NULLS) OVER (PARTITION BY domain ORDER BY cap / weight, lang ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lv FROM e2),
+        e4 AS (SELECT domain, lang, CASE WHEN lv IS NULL THEN CAST(cap AS DOUBLE) ELSE least(CAST(cap AS DOUBLE), weight * lv) END AS b FROM e3),
+        f AS (SELECT domain, lang, source, CAST(1 AS BIGINT) AS weight, CAST(sum(tokens) * 2 AS BIGINT) AS cap FROM leaf GROUP BY ALL),
+        f1 AS (SELECT f.*, b, coalesce(sum(cap) OVER (PARTITION BY domain, lang ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c,
+                      sum(weight) OVER (PARTITION BY domain, lang ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w FROM f JOIN e4 USING (domain, lang)),
+        f2 AS (SELECT *, CASE WHEN cap <= weight * ((b - c) / w) THEN NULL ELSE (b - c) / w END AS v FROM f1),
+        f3 AS (SELECT *, first_value(v IGNORE NULLS) OVER (PARTITION BY domain, lang ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lv FROM f2),
+        f4 AS (SELECT domain, lang, source, CASE WHEN lv IS NULL THEN CAST(cap AS DOUBLE) ELSE least(CAST(cap AS DOUBLE), weight * lv) END AS target, cap / 2 AS held FROM f3),
+        g AS (SELECT *, CASE WHEN held > 0 THEN CAST(floor(target / held) AS INTEGER) ELSE 0 END AS whole FROM f4),
+        k AS (SELECT d.*, target, whole, target - whole * held AS rest, md5(concat_ws('|', '17', CAST(whole AS VARCHAR), coalesce(CAST(doc_id AS VARCHAR), ''))) AS key FROM d JOIN g USING (domain, lang, source)),
+        r AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM k),
+        x AS (SELECT *, unnest(range(0, CASE WHEN upto <= rest THEN whole + 1 ELSE whole END)) AS epoch FROM r)
+        SELECT doc_id, domain, lang, source, tokens, CAST(epoch AS INTEGER) AS epoch, target AS leaf_target FROM x WHERE epoch < 2
+    """,
+    "op5_lines": r"""
+        WITH l AS MATERIALIZED (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents WHERE text IS NOT NULL),
+        t AS MATERIALIZED (SELECT doc_id, line_no, trim(raw) AS line FROM l WHERE length(trim(raw)) >= 20 AND doc_id IS NOT NULL),
+        f AS MATERIALIZED (SELECT line, min((doc_id, line_no)) AS first FROM t GROUP BY 1),
+        w AS MATERIALIZED (SELECT line, first, string_split(line, ' ') AS w FROM f WHERE len(string_split(line, ' ')) >= 8),
+        v AS MATERIALIZED (SELECT line, first, unnest(list_transform(range(0, len(w)), lambda i: {'i': i, 'v': array_to_string(w[1:i] || w[i + 2:], ' ')})) AS x FROM w),
+        p AS (SELECT x.v AS v, x.i AS i, min(first) AS m FROM v GROUP BY 1, 2),
+        near AS (
+            SELECT line FROM v JOIN p ON p.v = x.v AND p.i = x.i WHERE m < first
+            UNION SELECT v.line FROM v JOIN w ON w.line = v.x.v WHERE w.first < v.first
+            UNION SELECT w.line FROM w JOIN v ON w.line = v.x.v WHERE v.first < w.first),
+        gone AS (SELECT DISTINCT doc_id, line_no FROM t JOIN f USING (line) WHERE (doc_id, line_no) <> first OR line IN (SELECT line FROM near)),
+        kept AS (SELECT l.doc_id AS doc_id, string_agg(raw, chr(10) ORDER BY l.line_no) FILTER (WHERE g.line_no IS NULL) AS text, count(*) AS n, count(g.line_no) AS dropped
+                 FROM l LEFT JOIN gone AS g ON g.doc_id = l.doc_id AND g.line_no = l.line_no GROUP BY 1)
+        SELECT d.doc_id, CASE WHEN coalesce(dropped, 0) = 0 THEN d.text ELSE coalesce(kept.text, '') END AS text, coalesce(n, 0) AS n_lines, coalesce(dropped, 0) AS n_dropped
+        FROM documents AS d LEFT JOIN kept ON kept.doc_id = d.doc_id
+    """,
     "op7_bottomk": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w

@@ -33,12 +33,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words(data: np.ndarray, bounds: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of texts that lie end to end in data; bounds: the texts' ends after a leading 0.
 
-    Returns the hashes and, for each text, the number of words before it (and in all, last).
+    space says which bytes part words. Returns the hashes and, for each text, the number of words before it (and in all, last).
     """
-    solid = ~_SPACE[data]
+    solid = ~space[data]
     starts = solid.copy()
     starts[1:] &= ~solid[:-1]
     inner = bounds[1:-1][bounds[1:-1] < len(data)]
@@ -74,8 +74,8 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     return np.unique((_mix(total) >> np.uint64(1)).astype(np.int64))
 
 
-def text_sets(texts: pa.Array, size: int = 5):
-    """For each text its shingle set; null and blank texts have an empty one."""
+def buffers(texts: pa.Array):
+    """Runs of at most WINDOW bytes of whole texts: (bytes, bounds). Null texts are empty; a longer text is a run of its own."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -84,8 +84,13 @@ def text_sets(texts: pa.Array, size: int = 5):
     at = 0
     while at < len(texts):
         upto = min(len(texts), max(at + 1, int(np.searchsorted(ends, ends[at] + WINDOW, side="right")) - 1))
-        bounds = ends[at : upto + 1] - ends[at]
-        hashes, before = words(data[ends[at] : ends[upto]], bounds)
-        for i in range(upto - at):
-            yield shingles(hashes[before[i] : before[i + 1]], size)
+        yield data[ends[at] : ends[upto]], ends[at : upto + 1] - ends[at]
         at = upto
+
+
+def text_sets(texts: pa.Array, size: int = 5):
+    """For each text its shingle set; null and blank texts have an empty one."""
+    for data, bounds in buffers(texts):
+        hashes, before = words(data, bounds)
+        for lo, hi in zip(before[:-1], before[1:], strict=True):
+            yield shingles(hashes[lo:hi], size)
