@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import lines, mixing, near_dedup, near_vectors, nearest, packing, sharding
+from concordat.llm import lines, mixing, near_dedup, near_vectors, nearest, packing, sharding, warc
+from concordat.llm.common import new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +36,12 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = new_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), place)
+    return warc.page_digests(warc.read_archives(spark, place))
+
+
 def op7_bottomk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
@@ -52,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_kdtree": op2_kdtree,
     "op4_mix": op4_mix,
     "op5_lines": op5_lines,
+    "op6_warc": op6_warc,
     "op7_bottomk": op7_bottomk,
     "op8_pack": op8_pack,
     "op9_crosspolytope": op9_crosspolytope,
@@ -115,6 +123,13 @@ SQL: dict[str, str] = {
         SELECT d.doc_id, CASE WHEN coalesce(dropped, 0) = 0 THEN d.text ELSE coalesce(kept.text, '') END AS text, coalesce(n, 0) AS n_lines, coalesce(dropped, 0) AS n_dropped
         FROM documents AS d LEFT JOIN kept ON kept.doc_id = d.doc_id
     """,
+    "op6_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+        m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to FROM m
+    """,
     "op7_bottomk": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
