@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import lines, mixing, near_dedup, near_vectors, nearest, packing, sharding, warc
+from concordat.llm import html_text, lines, mixing, near_dedup, near_vectors, nearest, packing, sharding, warc
 from concordat.llm.common import new_path
 
 
@@ -26,6 +26,10 @@ def op2_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three quarters of the corpus's tokens, no document more than twice."""
     levels, weights = mixing.document_tree()
@@ -57,6 +61,7 @@ def op9_crosspolytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_onebit": op1_onebit,
     "op2_kdtree": op2_kdtree,
+    "op3_html": op3_html,
     "op4_mix": op4_mix,
     "op5_lines": op5_lines,
     "op6_warc": op6_warc,
