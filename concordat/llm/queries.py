@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import html_text, lines, mixing, near_dedup, near_vectors, nearest, packing, sharding, warc
+from concordat.llm import html_text, lines, mixing, near_dedup, near_vectors, nearest, packing, quality, sharding, warc
 from concordat.llm.common import new_path
 
 
@@ -58,6 +58,11 @@ def op9_crosspolytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source as host, language as path."""
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_onebit": op1_onebit,
     "op2_kdtree": op2_kdtree,
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bottomk": op7_bottomk,
     "op8_pack": op8_pack,
     "op9_crosspolytope": op9_crosspolytope,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {

@@ -33,10 +33,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words(data: np.ndarray, bounds: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+def words(data: np.ndarray, bounds: np.ndarray, space: np.ndarray = _SPACE, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of texts that lie end to end in data; bounds: the texts' ends after a leading 0.
 
     space says which bytes part words. Returns the hashes and, for each text, the number of words before it (and in all, last).
+    With prefixes, the hashes are rows: of the words, and of their first so many bytes (0 for a word that has fewer).
     """
     solid = ~space[data]
     starts = solid.copy()
@@ -48,7 +49,7 @@ def words(data: np.ndarray, bounds: np.ndarray, space: np.ndarray = _SPACE) -> t
     if len(data):
         ends[-1] = solid[-1]
     first, last = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    out = np.empty(len(first), np.uint64)
+    out = np.empty((1 + len(prefixes), len(first)), np.uint64)
     at = 0
     while at < len(first):
         upto = max(at + 1, int(np.searchsorted(last, first[at] + WINDOW, side="right")))
@@ -57,9 +58,12 @@ def words(data: np.ndarray, bounds: np.ndarray, space: np.ndarray = _SPACE) -> t
         total = np.zeros(hi - lo + 1, np.uint64)
         np.cumsum(_BYTE[data[lo:hi]] * up[: hi - lo], out=total[1:])
         s, e = first[at:upto] - lo, last[at:upto] - lo
-        out[at:upto] = _mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        out[0, at:upto] = _mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        for row, k in enumerate(prefixes, 1):
+            part = _mix((total[np.minimum(e, s + k)] - total[s]) * down[s] + np.uint64((k << 32) + 1))
+            out[row, at:upto] = np.where(e - s >= k, part, np.uint64(0))
         at = upto
-    return out, np.searchsorted(first, bounds)
+    return (out if prefixes else out[0]), np.searchsorted(first, bounds)
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
