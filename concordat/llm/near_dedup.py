@@ -6,13 +6,14 @@ smallest doc_id. Inverted lists of the retained values give the candidates. Two
 to be looked up, and values that very many documents share hardly ever are. The union sketch estimates each candidate's
 similarity, and full sets decide.
 
-Components need links, not all pairs: first each list's documents are held against a few pivots of that list; then only
-pairs from different components are held against each other, so a group of near copies costs work in proportion to its size.
+Components need links, not all pairs: first each list's documents are held against a few pivots of that list. Then only
+documents from different components are: as pairs in short lists, block by block in long ones.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,9 +23,12 @@ from pyspark.sql import functions as F
 
 from concordat.llm.common import components, cut
 from concordat.llm.shingles import text_sets
+from concordat.llm.vectors import group_changes, whole_groups
 
 K = 64
 PIVOTS = 3
+LONG = 64  # lists up to this length are open to pairs; longer ones go by blocks
+DENSE_BLOCK = 1024
 SLACK = 0.30  # the estimate from 64 values has a standard deviation of 0.054 at similarity 0.75
 
 
@@ -97,6 +101,89 @@ def estimated(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
     return both.select(*pairs.columns, est.alias("est")).where(F.col("est") >= percent / 100 - SLACK)
 
 
+def dense_links(long: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
+    """Links (a, b) that join different components among the documents of long lists: enough of them, not all.
+
+    Documents that long lists connect form a bundle. Its documents fall into classes by the size of their sets. In a class,
+    large components are cut into blocks of their own and the other documents into mixed ones, by a hash, and each pair of blocks that can hold a new link goes to a task with the
+    documents' texts. There the intersections of all full sets are products of 0-1 matrices, and the links found are reduced
+    to a forest over components. So no pair is ever a row, and two blocks of one component never meet.
+
+    long: v, first (a document of the list), doc_id, n, c (component so far).
+    """
+    edges = long.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).distinct()
+    bundle = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("g"))
+    docs = cut(long.select("doc_id", "n", "c").distinct().join(bundle, "doc_id"), "dense-documents")
+    # sizes of linked sets differ by the bound at most, so by one size class at most
+    docs = docs.withColumn("class", F.floor(F.log("n") / math.log(100 / percent)))
+    large = docs.groupBy("g", "c", "class").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= DENSE_BLOCK)
+    own = docs.join(large, ["g", "c", "class"], "left").withColumn("part", F.when(F.col("size").isNotNull(), F.col("c")))
+    counts = own.groupBy(F.col("g").alias("h"), F.col("part").alias("p"), F.col("class").alias("q")).agg(F.ceil(F.count(F.lit(1)) / DENSE_BLOCK).alias("blocks"))
+    salted = own.join(counts, (F.col("g") == F.col("h")) & F.col("part").eqNullSafe(F.col("p")) & (F.col("class") == F.col("q"))).withColumn("k", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    placed = cut(salted.select("g", "part", "class", "doc_id", "n", "c", F.xxhash64("part", "class", "k").alias("block")), "dense-blocks")
+    blocks = placed.groupBy("g", "class", "block").agg(F.first("part").alias("part"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    x, y = (blocks.select(F.col("g").alias(f"g{k}"), F.col("class").alias(f"class{k}"), *(F.col(c).alias(f"{c}{k}") for c in ("block", "part", "lo", "hi"))) for k in "xy")
+    y = y.withColumn("near", F.explode(F.array(F.col("classy") - 1, F.col("classy"), F.col("classy") + 1)))
+    sizes = (F.col("hix") * 100 >= F.col("loy") * percent) & (F.col("hiy") * 100 >= F.col("lox") * percent)
+    new = (F.col("blockx") < F.col("blocky")) & F.coalesce(F.col("partx") != F.col("party"), F.lit(True)) | (F.col("blockx") == F.col("blocky")) & F.col("partx").isNull()
+    meets = x.join(y, (F.col("gx") == F.col("gy")) & (F.col("classx") == F.col("near")) & new & sizes).select(F.col("gx").alias("g"), "blockx", "blocky")
+    sides = meets.select("g", "blockx", "blocky", F.explode(F.array_distinct(F.array("blockx", "blocky"))).alias("block"))
+    filled = sides.join(placed, ["g", "block"]).join(texts, "doc_id").select("g", "blockx", "blocky", "block", "doc_id", "c", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, 3):
+            starts = np.flatnonzero(np.r_[True, group_changes(table, 3)])
+            for lo, hi in zip(starts, np.r_[starts[1:], len(table)], strict=True):
+                part = table.slice(lo, hi - lo).combine_chunks()
+                left = np.flatnonzero(part.column(3).to_numpy() == part.column(1)[0].as_py())
+                right = np.flatnonzero(part.column(3).to_numpy() == part.column(2)[0].as_py())
+                ids, groups, sets = part.column(4).to_numpy(), part.column(5).to_numpy(), list(text_sets(part.column(6), words))
+                a, b = forest(ids, groups, sets, left, right, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    together = filled.repartition("g", "blockx", "blocky").sortWithinPartitions("g", "blockx", "blocky", "block")
+    return together.mapInArrow(run, "a long, b long")
+
+
+def forest(ids: np.ndarray, groups: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> tuple[list[int], list[int]]:
+    """Links between rows of left and right that join different groups, as a forest over the groups."""
+    sizes = np.array([len(s) for s in sets])
+    flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    values, at, often = np.unique(flat, return_inverse=True, return_counts=True)
+    common = np.flatnonzero(often > 1)
+    place = np.full(len(values), -1)
+    place[common] = np.arange(len(common))
+    at = place[at]
+    row, at = row[at >= 0], at[at >= 0]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    one = np.zeros((len(sets), 2048), np.float32)
+    for lo in range(0, len(common), 2048):
+        p, q = np.searchsorted(at, (lo, lo + 2048))
+        one[:] = 0
+        one[row[p:q], at[p:q] - lo] = 1
+        both += one[left] @ one[right].T
+    near = (100 * both >= percent * (sizes[left][:, None] + sizes[right][None, :] - both)) & (groups[left][:, None] != groups[right][None, :]) & (both > 0)
+    root = {g: g for g in set(groups.tolist())}
+
+    def find(g):
+        while root[g] != g:
+            root[g] = root[root[g]]
+            g = root[g]
+        return g
+
+    a, b = [], []
+    for i, j in zip(*np.nonzero(near), strict=True):
+        x, y = left[i], right[j]
+        gx, gy = find(groups[x].item()), find(groups[y].item())
+        if gx != gy:
+            root[gx] = gy
+            a.append(int(ids[x]))
+            b.append(int(ids[y]))
+    return a, b
+
+
 def near_groups(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept (doc_id = component_id).
 
@@ -131,12 +218,14 @@ def near_groups(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame
     group = components(links)
 
     known = lists.join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id"))
-    mixed = known.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("v")
-    open_ = cut(known.join(mixed, "v").select("v", "doc_id", "n", "c"), "open-lists")
-    other = open_.select("v", F.col("doc_id").alias("q"), F.col("n").alias("m"), F.col("c").alias("d"))
-    rest = open_.join(other, (open_["v"] == other["v"]) & (F.col("doc_id") < F.col("q")) & (F.col("c") != F.col("d")) & fits).select(F.col("doc_id").alias("a"), F.col("q").alias("b")).distinct()
+    mixed = known.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("f"), F.min("doc_id").alias("first")).where("lo < hi").select("v", "f", "first")
+    open_ = cut(known.join(mixed, "v").select("v", "f", "first", "doc_id", "n", "c"), "open-lists")
+    few = open_.where(F.col("f") <= LONG)
+    other = few.select(F.col("v").alias("w"), F.col("doc_id").alias("q"), F.col("n").alias("m"), F.col("c").alias("d"))
+    rest = few.join(other, (F.col("v") == F.col("w")) & (F.col("doc_id") < F.col("q")) & (F.col("c") != F.col("d")) & fits).select(F.col("doc_id").alias("a"), F.col("q").alias("b")).distinct()
     more = cut(verified(cut(estimated(rest, sketch, percent).select("a", "b"), "more-pairs"), texts, percent, words), "links")
-    final = components(links.unionByName(more))
+    dense = cut(dense_links(open_.where(F.col("f") > LONG), texts, percent, words), "dense-links")
+    final = components(links.unionByName(more).unionByName(dense))
 
     by_class = reps.select("key1", "key2", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select("key1", "key2", F.coalesce("component", "rep").alias("component_id"))
     linked = some.select("doc_id", "n_shingles", "key1", "key2").join(by_class, ["key1", "key2"]).select("doc_id", "n_shingles", "component_id")

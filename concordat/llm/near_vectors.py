@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.common import components, cut
-from concordat.llm.vectors import inner, matrix, rotate, usable
+from concordat.llm.vectors import group_changes, inner, matrix, rotate, usable, whole_groups
 
 TABLES, LETTERS, PROBES, BLOCK = 4, 3, 16, 1024
 _RUNNERS = 6
@@ -132,31 +132,6 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, tables: int = TABLES,
 SMALL = 48
 
 
-def group_changes(table: pa.Table, keys: int) -> np.ndarray:
-    """For each row but the first, whether it begins a new group."""
-    new = np.zeros(max(0, len(table) - 1), bool)
-    for k in range(keys):
-        v = table.column(k).to_numpy()
-        new |= v[1:] != v[:-1]
-    return new
-
-
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Tables that end at the end of a group, from sorted batches. A group is bounded, so is what is held."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([*held, batch]).combine_chunks()
-        cuts = np.flatnonzero(group_changes(table, keys))
-        if len(cuts):
-            yield table.slice(0, int(cuts[-1]) + 1).combine_chunks()
-            table = table.slice(int(cuts[-1]) + 1).combine_chunks()
-        held = table.to_batches()
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
 def pairs_within(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs p < q inside each group of at most SMALL rows, a few groups at a time."""
     fit = (ends - starts > 1) & (ends - starts <= SMALL)

@@ -20,8 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordat.llm.common import cut
-from concordat.llm.near_vectors import group_changes, whole_groups
-from concordat.llm.vectors import inner, matrix, rotate, usable
+from concordat.llm.vectors import group_changes, inner, matrix, rotate, usable, whole_groups
 
 QUERY_BLOCK, VECTOR_BLOCK, SEED = 256, 4096, 41
 WIDTH = 3.0  # of the error bound in standard deviations of the estimate

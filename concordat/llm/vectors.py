@@ -1,7 +1,9 @@
-"""What the vector operators share: usable vectors, fast Hadamard rotations, exact scores."""
+"""What the block-wise operators share: streamed groups, usable vectors, fast Hadamard rotations, exact scores."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -47,3 +49,28 @@ def rotate(x: np.ndarray, seed: int) -> np.ndarray:
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row-wise inner products in double precision, summed from the first component to the last."""
     return np.cumsum(a * b, axis=1)[:, -1] if a.shape[1] else np.zeros(len(a))
+
+
+def group_changes(table: pa.Table, keys: int) -> np.ndarray:
+    """For each row but the first, whether it begins a new group."""
+    new = np.zeros(max(0, len(table) - 1), bool)
+    for k in range(keys):
+        v = table.column(k).to_numpy()
+        new |= v[1:] != v[:-1]
+    return new
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Tables that end at the end of a group, from sorted batches. A group is bounded, so is what is held."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([*held, batch]).combine_chunks()
+        cuts = np.flatnonzero(group_changes(table, keys))
+        if len(cuts):
+            yield table.slice(0, int(cuts[-1]) + 1).combine_chunks()
+            table = table.slice(int(cuts[-1]) + 1).combine_chunks()
+        held = table.to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
