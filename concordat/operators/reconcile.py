@@ -73,9 +73,10 @@ def checksum(source: DataFrame, target: DataFrame, columns: list[str], chunk: Co
     Target columns are cast to the source's types first. strict compares exact sorted rows and is for bounded chunks.
     """
     aligned = target.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in target.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in source.schema))
-    group = (F.lit("table") if chunk is None else chunk.cast("string")).alias("chunk_key")
     digest = strict_digest if strict else table_digest
-    a, b = (digest(df, columns, group).select("chunk_key", F.col("rows").alias(f"row_count_{side}"), F.col("digest").alias(f"{side}_hash")) for df, side in ((source, "source"), (aligned, "target")))
+    # without groups an empty table has a digest too
+    one = lambda df: digest(df, columns).withColumn("chunk_key", F.lit("table")) if chunk is None else digest(df, columns, chunk.cast("string").alias("chunk_key"))
+    a, b = (one(df).select("chunk_key", F.col("rows").alias(f"row_count_{side}"), F.col("digest").alias(f"{side}_hash")) for df, side in ((source, "source"), (aligned, "target")))
     both = a.join(b, "chunk_key", "full_outer")
     zero = {f"row_count_{s}": F.coalesce(f"row_count_{s}", F.lit(0)) for s in ("source", "target")}
     same = F.coalesce(F.col("source_hash") == F.col("target_hash"), F.lit(False))
