@@ -29,11 +29,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: lineage ends there, and lost executors cost no recomputation."""
+def cut(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """Write df as Parquet to the shared folder and read it back: lineage ends there, and lost executors cost no recomputation.
+
+    free: let go of the step's shuffle files now. Spark removes them once the driver's garbage is collected, which a small
+    driver heap may put off until the whole job is over.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    if free:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -60,6 +66,27 @@ def release() -> None:
             return
 
 
+SIEVE_BITS = 24
+
+
+def sieve(hashes: DataFrame) -> DataFrame:
+    """A bitmap of the hashes in the one column (long) of a table: at most 512 rows of 4 KB, whatever the table holds."""
+    at = F.pmod(F.col(hashes.columns[0]), F.lit(1 << SIEVE_BITS)) + 1
+    return hashes.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_bitmap"))
+
+
+def sifted(df: DataFrame, hash_: Column, sieve_: DataFrame, name: str = "_likely") -> DataFrame:
+    """Add whether a row's hash may be in the sieve: never false for one that is. Spares a join the rows that cannot match.
+
+    The sieve is broadcast: its size is fixed. Once it is full, every row passes, and the join does all the work.
+    """
+    at = F.pmod(hash_, F.lit(1 << SIEVE_BITS)) + 1
+    bit = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("_bitmap", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    joined = df.join(F.broadcast(sieve_), F.bitmap_bucket_number(at) == F.col("_bucket"), "left")
+    return joined.withColumn(name, F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))).drop("_bucket", "_bitmap")
+
+
 def gapless_rank(df: DataFrame, group: str, order: list[Column], rows: int, salt: Column, name: str = "rank", groups: int = 1) -> DataFrame:
     """Number the rows of each group from 0 without bringing a whole group into one task.
 

@@ -13,24 +13,24 @@ has a neighbour is left out by that.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.llm.common import cut
+from concordat.llm.common import cut, sieve, sifted
 
 MIN_CHARS, NEAR_WORDS = 20, 8
 
 
-def _halves(words: Column) -> Column:
-    """Hashes of both halves of the words, for the shorter line of a pair having as many words or one fewer."""
-    n = F.size(words)
+def _halves() -> list[Column]:
+    """Hashes of the first and the last words of a line of n words, as if the shorter line of a pair had as many (less = 0) or one fewer (1)."""
     out = []
     for less in (0, 1):
-        m = n - less
+        m = F.col("n") - less
         half = F.floor(m / 2).cast("int")
-        out.append(F.struct(F.xxhash64(m, F.lit("first"), F.array_join(F.slice(words, F.lit(1), half), " ")).alias("half"), F.lit(less).alias("less")))
-        out.append(F.struct(F.xxhash64(m, F.lit("last"), F.array_join(F.slice(words, n - (m - half) + 1, m - half), " ")).alias("half"), F.lit(less).alias("less")))
-    return F.explode(F.array(*out))
+        for name, k in (("first", half), ("last", half - m)):
+            part = F.call_function("substring_index", "line", F.lit(" "), k)
+            out.append(F.when(F.col("n") >= NEAR_WORDS, F.xxhash64(m, F.lit(name), part)).alias(f"{name}{less}"))
+    return out
 
 
 def line_table(docs: DataFrame) -> DataFrame:
@@ -47,35 +47,44 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     """
     lines = line_table(docs).where("doc_id IS NOT NULL")
     key = [F.xxhash64("line").alias("h1"), F.hash("line").alias("h2")]
-    seen = cut(lines.select(*key, "doc_id", "line_no"), "lines")
-    firsts = cut(seen.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("n")), "line-firsts")
-
-    worded = lines.withColumn("words", F.split("line", " ", -1)).where(F.size("words") >= NEAR_WORDS)
-    halves = worded.select(*key, _halves(F.col("words")).alias("x")).select("h1", "h2", "x.half", "x.less").distinct()
-    met = halves.groupBy("half").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.min("less").alias("less")).where("lo < hi AND less = 0").select("half")
-    likely = halves.join(met, "half").select("h1", "h2").distinct()
-    own = firsts.join(likely, ["h1", "h2"]).select("h1", "h2", "first")
-    # the text of a likely line comes from its first place only
-    texts = cut(
-        worded.join(own.select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), "first").distinct(), ["doc_id", "line_no"]).select(*key, "first", "words"),
-        "likely-lines",
-    )
-    without = lambda i: F.array_join(F.concat(F.slice("words", F.lit(1), i), F.slice("words", i + 2, F.size("words"))), " ")
-    places = F.sequence(F.lit(-1), F.size("words") - 1)
-    variants = F.transform(places, lambda i: F.struct(F.xxhash64(F.when(i < 0, F.array_join("words", " ")).otherwise(without(i))).alias("v"), i.alias("i")))
-    entries = cut(texts.select("h1", "h2", "first", F.explode(variants).alias("x")).select("h1", "h2", "first", "x.v", "x.i"), "variants")
+    parts = [f"{name}{less}" for less in (0, 1) for name in ("first", "last")]
+    n_words = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    seen = cut(lines.withColumn("n", n_words).select(*key, "doc_id", "line_no", *_halves()), "lines", free=True)
+    firsts = cut(seen.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("n"), *(F.min(p).alias(p) for p in parts)), "line-firsts", free=True)
+
+    # a line is known by h1 here: two lines with one hash would only be looked at more closely
+    halves = firsts.where("first0 IS NOT NULL").select("h1", F.explode(F.array(*parts)).alias("half"))
+    met = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
+    likely = halves.join(met, "half").select("h1").distinct()
+    own = cut(firsts.select("h1", "first").join(likely, "h1").select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")).distinct(), "likely", free=True)
+    # the text of a likely line comes from its first place only; few lines are, so most stay out of the join
+    place = F.xxhash64("doc_id", "line_no")
+    some = sifted(lines, place, sieve(own.select(place.alias("at")))).where("_likely").drop("_likely")
+    texts = cut(some.join(own, ["doc_id", "line_no"]).select(*key, F.col("doc_id").alias("d"), F.col("line_no").alias("l"), F.split("line", " ", -1).alias("words")), "likely-lines", free=True)
+    # a sequence's hash is the xor of its words' hashes with their places, so a running xor gives every variant in one pass
+    by_line = texts.select("d", "l", "words").repartition("d", "l")
+    words = by_line.select("d", "l", F.size("words").alias("n"), F.posexplode("words").alias("i", "word")).select("d", "l", "n", "i", F.xxhash64("word", "i").alias("a"), F.xxhash64("word", F.col("i") - 1).alias("b"))
+    line = Window.partitionBy("d", "l")
+    upto = line.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    left, right = F.bit_xor("a").over(upto).bitwiseXOR(F.col("a")), F.bit_xor("b").over(line).bitwiseXOR(F.bit_xor("b").over(upto))
+    hashed = words.select("d", "l", "n", "i", F.bit_xor("a").over(line).alias("whole"), left.bitwiseXOR(right).alias("cut"))
+    variants = F.array(F.struct(F.xxhash64("cut", F.col("n") - 1).alias("v"), F.col("i")), F.when(F.col("i") == 0, F.struct(F.xxhash64("whole", "n").alias("v"), F.lit(-1).alias("i"))))
+    entries = cut(hashed.select("d", "l", F.explode(F.filter(variants, lambda x: x.isNotNull())).alias("x")).select("d", "l", "x.v", "x.i"), "variants", free=True)
+    often = entries.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("v")
+    shared = cut(entries.join(often, "v").select("v", "i", F.struct("d", "l").alias("first")), "shared-variants", free=True)
     is_self = F.col("i") < 0
-    by_place = entries.groupBy("v", "i").agg(F.min("first").alias("place_first"))
-    by_variant = by_place.groupBy("v").agg(F.min(F.when(is_self, F.col("place_first"))).alias("self_first"), F.min(F.when(~is_self, F.col("place_first"))).alias("cut_first"), F.count(F.lit(1)).alias("places"))
-    whole = entries.join(by_place, ["v", "i"]).join(by_variant, "v")
+    by_place = shared.groupBy("v", "i").agg(F.min("first").alias("place_first"))
+    by_variant = by_place.groupBy("v").agg(F.min(F.when(is_self, F.col("place_first"))).alias("self_first"), F.min(F.when(~is_self, F.col("place_first"))).alias("cut_first"))
+    whole = shared.join(by_place, ["v", "i"]).join(by_variant, "v")
     witness = F.explode(F.when(is_self, F.array("cut_first")).otherwise(F.array("place_first", "self_first")))
-    claims = whole.select("h1", "h2", "first", witness.alias("witness")).where("witness < first").distinct()
-    other = texts.select(F.col("first").alias("witness"), F.col("words").alias("w"))
-    checked = claims.join(texts.select("h1", "h2", "words"), ["h1", "h2"]).join(other, "witness").where(within_one(F.col("words"), F.col("w")))
+    claims = whole.select(F.col("first.d").alias("d"), F.col("first.l").alias("l"), "first", witness.alias("witness")).where("witness < first").select("d", "l", F.col("witness.d").alias("wd"), F.col("witness.l").alias("wl")).distinct()
+    other = texts.select(F.col("d").alias("wd"), F.col("l").alias("wl"), F.col("words").alias("w"))
+    checked = claims.join(texts, ["d", "l"]).join(other, ["wd", "wl"]).where(within_one(F.col("words"), F.col("w")))
     near = checked.select("h1", "h2").distinct().withColumn("near", F.lit(True))
 
-    fate = firsts.join(near, ["h1", "h2"], "left").where("n > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    return seen.join(fate, ["h1", "h2"]).where(F.col("near") | (F.struct("doc_id", "line_no") != F.col("first"))).select("doc_id", "line_no").distinct()
+    fate = firsts.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left").where("n > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    gone = seen.select("h1", "h2", "doc_id", "line_no").join(fate, ["h1", "h2"]).where(F.col("near") | (F.struct("doc_id", "line_no") != F.col("first")))
+    return cut(gone.select("doc_id", "line_no").distinct(), "dropped-lines", free=True)
 
 
 def within_one(a: Column, b: Column) -> Column:
@@ -96,11 +105,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     lines are known by doc_id and place; a row without doc_id keeps all its lines. An n_chars column is brought up to date.
     Other columns pass through; columns of docs named n_lines, n_dropped are replaced. An empty table gives no rows.
     """
-    gone = dropped_lines(docs).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
-    base = docs.drop("n_lines", "n_dropped", "_doc", "_gone")
+    dropped = dropped_lines(docs)
+    gone = dropped.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
+    base = docs.drop("n_lines", "n_dropped", "_doc", "_gone", "_likely")
     split = F.split("text", "\n", -1)
     cleaned = F.array_join(F.filter(split, lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    out = base.join(gone, base["doc_id"].cast("long") == gone["_doc"], "left")
+    # only documents that may have lost a line go through the join
+    parted = sifted(base, F.xxhash64(F.col("doc_id").cast("long")), sieve(dropped.select(F.xxhash64("doc_id").alias("at"))))
+    touched = parted.where("_likely").drop("_likely")
+    out = touched.join(gone, touched["doc_id"].cast("long") == gone["_doc"], "left").unionByName(parted.where("NOT _likely").drop("_likely"), allowMissingColumns=True)
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(cleaned)
     n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(split))
     n_dropped = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone"))
