@@ -45,7 +45,7 @@ def measure(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """For each text its numbers, the hashes of its distinct words and of its words' beginnings (these with repeats), and the least
     hash of its shingles (-1: none)."""
     for data, bounds in buffers(texts):
-        sums = [np.concatenate([[0], np.cumsum(row[data], dtype=np.int64)]) for row in _CLASSES]
+        sums = (np.concatenate([[0], np.cumsum(row[data], dtype=np.int64)]) for row in _CLASSES)  # one at a time
         counts = np.stack([s[bounds[1:]] - s[bounds[:-1]] for s in sums], axis=1)
         sizes = np.maximum(1, np.diff(bounds))
         hashes, before = words(data, bounds, _APART, PREFIXES)
@@ -138,9 +138,16 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Stumps, Stumps] | None:
     chosen = per_word.orderBy(F.greatest(far("q"), far("t")).desc(), "word").limit(VOCABULARY)
     vocabulary = np.array(sorted(r["word"] for r in chosen.select("word").collect()), dtype=np.int64)  # at most VOCABULARY numbers
 
+    if not len(vocabulary):
+        vocabulary = np.array([-1], np.int64)
+
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [np.flatnonzero(np.isin(vocabulary, np.asarray(w, np.int64))).astype(np.int32) for w in batch.column(4).to_pylist()]
+            lists = batch.column(4)
+            flat, ends = lists.flatten().to_numpy(), np.cumsum([0, *lists.value_lengths().to_numpy()])
+            at = np.searchsorted(vocabulary, flat)
+            at[(at == len(vocabulary)) | (vocabulary[np.minimum(at, len(vocabulary) - 1)] != flat)] = -1
+            kept = [(own := at[lo:hi])[own >= 0].astype(np.int32) for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(kept, pa.list_(pa.int32()))], names=["doc_id", "quality", "toxic", "numbers", "words"])
 
     # at most MAX_LABELLED rows of a few numbers and of indexes into the vocabulary come to the driver

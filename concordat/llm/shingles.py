@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-WINDOW = 1 << 22  # bytes hashed at once
+WINDOW = 1 << 20  # bytes hashed at once
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE[65:91] = _BYTE[97:123]  # A-Z hash as a-z
