@@ -263,7 +263,7 @@ def render(e: Element, out: Lines, pre: bool = False) -> None:
             out.gap(1)
         elif child.name == "input":
             if child.attributes.get("type", "text").lower() in ("submit", "button", "reset", "text", "search", "email", "url", "tel", "number"):
-                out.text(child.attributes.get("value", ""))
+                out.text(f" {child.attributes.get('value', '')} ")
         elif child.name == "select":
             options = [o for o in _inside(child, "option") if "selected" in o.attributes] or list(_inside(child, "option"))[: 1 if "multiple" not in child.attributes else None]
             for o in options:
@@ -298,8 +298,12 @@ def render(e: Element, out: Lines, pre: bool = False) -> None:
                 child.children[0] = re.sub(r"^\r?\n", "", child.children[0], count=1)
             render(child, out, inner_pre)
             out.gap(BLOCKS[child.name])
-        else:
+        elif child.name in ("textarea", "button"):
+            out.space = True
             render(child, out, pre or child.name == "textarea")
+            out.space = True
+        else:
+            render(child, out, pre)
 
 
 def block(e: Element, pre: bool = False) -> list[str]:
