@@ -103,7 +103,7 @@ def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> dict[int
     return out
 
 
-def configurations(histogram: dict[int, int], capacity: int, rounds: int = 400, step: float = 0.5) -> list[tuple[int, dict[int, int]]]:
+def configurations(histogram: dict[int, int], capacity: int, rounds: int = 1500, step: float = 0.25) -> list[tuple[int, dict[int, int]]]:
     """How often to use which filling: [(copies, {length: times})], covering each length's count exactly.
 
     Covering program: least number of fillings so that every length is covered as often as it occurs. Multiplicative weights:
@@ -120,11 +120,9 @@ def configurations(histogram: dict[int, int], capacity: int, rounds: int = 400,
     cover, uses = np.zeros(len(lengths)), {}
     for _ in range(rounds):
         share = cover / need
-        if share.min() >= 8:
-            break
-        price = np.exp(-3.0 * (share - share.min()))
-        # a length's own size is its fair price; weights tilt it towards what is less covered
-        found = knapsack(lengths, lengths / capacity * (0.25 + price), capacity)
+        # a length's own size is its fair price; weights tilt it towards what is less covered, and what is left keeps gaps filled
+        price = np.exp(-20.0 * (share - share.min())) + 0.01
+        found = knapsack(lengths, lengths / capacity * price, capacity)
         amount = step * min(need[i] / k for i, k in found.items())
         for i, k in found.items():
             cover[i] += amount * k
