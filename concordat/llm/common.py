@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,6 +25,28 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once for an application: their machines need not have it."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    _shipped.add(spark.sparkContext.applicationId)
+    root = Path(__file__).resolve().parent.parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(f.relative_to(root.parent)))
+    path = f"{shared_dir(spark)}/concordat-{uuid.uuid4().hex[:12]}.zip"
+    _written.append((spark, path))
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where)
+    stream.write(packed.getvalue())
+    stream.close()
+    spark.sparkContext.addPyFile(path)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the driver's Python ends or release() is called."""
     path = f"{shared_dir(spark)}/concordat-{uuid.uuid4().hex[:12]}-{name}"

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from concordat.llm.common import ship
+
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
@@ -461,6 +463,8 @@ def extract(pages: DataFrame) -> DataFrame:
     of pages do not matter. Pages are rendered one by one, whole.
     """
 
+    ship(pages.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.llm.common import components, cut
+from concordat.llm.common import components, cut, ship
 from concordat.llm.shingles import text_sets
 from concordat.llm.vectors import group_changes, whole_groups
 
@@ -47,6 +47,8 @@ def overlap_needed(size: int, percent: int) -> int:
 def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
     """doc_id, n_shingles, set_key (two longs that stand for the whole set) and sketch (its K smallest hashes, ascending)."""
 
+    ship(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, one, two, kept = [], [], [], []

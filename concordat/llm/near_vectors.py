@@ -21,7 +21,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.common import components, cut
+from concordat.llm.common import components, cut, ship
 from concordat.llm.vectors import group_changes, inner, matrix, rotate, usable, whole_groups
 
 TABLES, LETTERS, PROBES, BLOCK = 4, 3, 16, 1024
@@ -59,6 +59,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, tables: int = TABLES,
     components link with nothing, nor do rows without vec_id. Vectors of another length than a partner's do not link with it.
     Repeated vectors are all linked to each other and to each one's partners. An empty table gives no rows.
     """
+    ship(vectors.sparkSession)
     base = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("string").alias("label"))
     good = usable(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     # -0.0 and 0.0 are one number but two bit patterns

@@ -19,7 +19,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.llm.common import cut
+from concordat.llm.common import cut, ship
 from concordat.llm.vectors import group_changes, inner, matrix, rotate, usable, whole_groups
 
 QUERY_BLOCK, VECTOR_BLOCK, SEED = 256, 4096, 41
@@ -51,6 +51,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, width: float = WID
     vectors of different lengths do not meet; rows with the query's own vec_id are not its neighbours. Repeated vectors are
     each a candidate. An empty table, or one without queries, gives no rows.
     """
+    ship(vectors.sparkSession)
     base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.coalesce(is_query, F.lit(False)).alias("asks"))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from concordat.llm.common import cut, gapless_rank
+from concordat.llm.common import cut, gapless_rank, ship
 
 _encoders: dict = {}
 
@@ -54,6 +54,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, capa
     first, which takes the remainder. Returns doc_id, piece, start, length, ids_crc32 (little-endian 32-bit ids) and, if asked
     for, ids.
     """
+    ship(docs.sparkSession)
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     if with_ids:
         fields.append(("ids", pa.list_(pa.int32())))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.common import cut
+from concordat.llm.common import cut, ship
 from concordat.llm.shingles import buffers, shingles, words
 
 MAX_LABELLED = 8000  # labelled documents that the classifier is fitted on: those whose doc_id has the smallest hashes
@@ -84,7 +84,7 @@ def fit(numbers: np.ndarray, rows: np.ndarray, cols: np.ndarray, vocabulary: np.
     if y.min() == y.max():
         return model
     cuts = [(k, t) for k in range(numbers.shape[1]) for t in np.unique(np.quantile(numbers[:, k], np.linspace(0, 1, STEPS + 1)[:-1]))]
-    above = np.stack([numbers[:, k] > t for k, t in cuts], axis=1).astype(np.float64)
+    above = np.stack([numbers[:, k] > t for k, t in cuts], axis=1).astype(np.float32)
     score, steps, weights = np.full(len(y), model.start), np.zeros(len(cuts)), np.zeros(len(vocabulary))
     for _ in range(ROUNDS):
         p = 1 / (1 + np.exp(-score))
@@ -93,8 +93,8 @@ def fit(numbers: np.ndarray, rows: np.ndarray, cols: np.ndarray, vocabulary: np.
         score += shift
         p = 1 / (1 + np.exp(-score))
         g, h = y - p, p * (1 - p)
-        gs = np.concatenate([above.T @ g, np.bincount(cols, g[rows], len(vocabulary))])
-        hs = np.concatenate([above.T @ h, np.bincount(cols, h[rows], len(vocabulary))])
+        gs = np.concatenate([above.T @ g.astype(np.float32), np.bincount(cols, g[rows], len(vocabulary))])
+        hs = np.concatenate([above.T @ h.astype(np.float32), np.bincount(cols, h[rows], len(vocabulary))])
         gain = gs**2 / (hs + 1)
         best = int(gain.argmax())
         if gain[best] < 6:
@@ -117,6 +117,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Stumps, Stumps] | None:
 
     Of the sample, documents that share their least shingle hash count once, so that copies do not outvote the rest.
     """
+    ship(docs.sparkSession)
     some = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL").select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic"))
     some = some.dropDuplicates(["label_id"]).orderBy(F.xxhash64("label_id"), "label_id").limit(MAX_LABELLED)
 
@@ -155,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Stumps, Stumps] | None:
     numbers = np.array(table.column("numbers").to_pylist())
     lists = table.column("words").combine_chunks()
     lengths = np.diff(lists.offsets.to_numpy())
-    rows, cols = np.repeat(np.arange(len(lists)), lengths), lists.flatten().to_numpy()
+    rows, cols = np.repeat(np.arange(len(lists), dtype=np.int32), lengths), lists.flatten().to_numpy()
     return tuple(fit(numbers, rows, cols, vocabulary, table.column(c).to_numpy().astype(np.float64)) for c in ("quality", "toxic"))
 
 
@@ -197,6 +198,7 @@ def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Dat
     paths are the group ''. Rows that repeat a doc_id each count. Without labels every text with words has evidence 0.5 and is
     kept. An empty table gives no rows.
     """
+    ship(docs.sparkSession)
     own = cut(evidence(docs, train(docs, labels), host, path), "evidence")
     some = own.where("n_words > 0")
     sums = [F.count(F.lit(1)).alias("n"), *(f(c if k == 1 else F.col(c) * F.col(c)).alias(f"{c}{k}") for c in ("quality", "toxic") for k, f in ((1, F.sum), (2, F.sum)))]

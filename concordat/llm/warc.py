@@ -42,6 +42,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from concordat.llm.common import ship
+
 SCHEMA = "record_id string, record_type string, target_uri string, date string, content_type string, payload_digest string, refers_to string, block_bytes long, payload_bytes long, headers map<string,string>, payload binary"
 SMALL_PAYLOAD = 1000
 _LIMIT = 64 << 20
@@ -333,6 +335,7 @@ class WarcDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
 
