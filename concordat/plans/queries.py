@@ -5,6 +5,7 @@ Source and target are derived from one table by fixed rules, the same in both en
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ from concordat.functions.types import assessed, source_label, suggested_type, ta
 from concordat.model import Incremental, TableSpec
 from concordat.operators import chunks, incremental, long_columns, mapping, objects, profile, reconcile, schema_diff, sequences, upsert
 from concordat.plans import load, queryperf, reports
-from concordat.sources import catalog, files
+from concordat.sources import catalog, files, versions
+from concordat.streaming import ledger, upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -714,3 +716,62 @@ def failed_row_sample(spark, sf):
 @query("SELECT table_name, column_name, ordinal, data_type, udt_name FROM (VALUES ('nation','n_nationkey',1,'integer','int4'),('nation','n_name',2,'text','text'),('nation','n_regionkey',3,'integer','int4'),('supplier','s_suppkey',1,'bigint','int8'),('supplier','s_name',2,'text','text'),('supplier','s_nationkey',3,'integer','int4'),('supplier','s_acctbal',4,'double precision','float8')) AS t(table_name,column_name,ordinal,data_type,udt_name)")
 def catalog_columns(spark, sf):
     return catalog.columns_of({t: table(spark, sf, t) for t in ("nation", "supplier")}, spark).select("table_name", "column_name", "ordinal", "data_type", "udt_name")
+
+
+# ---- ledger, retention, edges, streams
+
+_BREAKERS = "('daily',3,'2026-01-02T00:00:00'),('hourly',2,'2026-01-02T00:00:00'),('weekly',5,'2025-12-31T00:00:00')) AS t(job,failures,cooldown_until)"
+
+
+@query("SELECT * FROM (VALUES ('daily',3,true),('hourly',2,false),('weekly',5,false)) AS t(job,failures,blocked)")
+def breaker_blocked(spark, sf):
+    return ledger.blocked_jobs(values(spark, _BREAKERS), "2026-01-01T12:00:00")
+
+
+_MARKS = "('a','5'),('b','7')) AS t(table_name,value)"
+
+
+@query("SELECT * FROM (VALUES ('good','a','9'),('good','b','7'),('bad','a','5'),('bad','b','7')) AS t(run,table_name,value)")
+def watermark_publish(spark, sf):
+    good = ledger.watermark_moves(values(spark, _MARKS), values(spark, "('a','SUCCESS','9')) AS t(table_name,status,watermark)"))
+    bad = ledger.watermark_moves(values(spark, _MARKS), values(spark, "('a','SUCCESS','9'),('c','FAILED',CAST(NULL AS STRING))) AS t(table_name,status,watermark)"))
+    return good.select(F.lit("good").alias("run"), "*").unionByName(bad.select(F.lit("bad").alias("run"), "*"))
+
+
+@query("SELECT * FROM (VALUES ('t','b1'),('t','b2')) AS t(table_name,backup)")
+def retention_drop_list(spark, sf):
+    return versions.expired(values(spark, "('t','b0',1),('t','b1',0),('t','b2',0),('t','b3',0),('t','b4',0),('t','b5',0),('u','b1',0)) AS t(table_name,backup,dependents)"))
+
+
+@query("SELECT * FROM (VALUES ('pre','source','v1',NULL),('pre','target','i1','btree'),('post','target','i1',NULL)) AS t(phase,source_db,object_name,details)")
+def dependency_union(spark, sf):
+    one = values(spark, "('source','v1')) AS t(source_db,object_name)")
+    two = values(spark, "('target','i1','btree')) AS t(source_db,object_name,details)")
+    three = values(spark, "('target','i1')) AS t(source_db,object_name)")
+    return files.union_all([df.withColumn("phase", F.lit(p)) for p, df in (("pre", one), ("pre", two), ("post", three))])
+
+
+@query("SELECT r_name, string_agg(n_name, ',' ORDER BY n_name) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
+def ordered_text_aggregate(spark, sf):
+    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
+    return n.join(r, n["n_regionkey"] == r["r_regionkey"]).groupBy("r_name").agg(F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("nations"))
+
+
+@query("SELECT r_name, count(n_nationkey) AS nations, EXISTS (SELECT 1 FROM customer WHERE c_nationkey = min(n_nationkey)) AS has_customers FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name")
+def catalog_style_joins(spark, sf):
+    _views(spark, sf, "nation", "region", "customer")
+    first = spark.sql("SELECT r_name, count(n_nationkey) AS nations, min(n_nationkey) AS k FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name")
+    used = table(spark, sf, "customer").select(F.col("c_nationkey").alias("k")).distinct().withColumn("u", F.lit(True))
+    return first.join(used, "k", "left").select("r_name", "nations", F.coalesce("u", F.lit(False)).alias("has_customers"))
+
+
+@query("SELECT event_id, user_id, event_type, CAST(value AS DECIMAL(18,6)) AS value FROM events WHERE event_id % 10 < 3")
+def stream_upsert_available_now(spark, sf):
+    """Two folders of files arrive one after the other; the table ends with all of their rows, once each."""
+    place = tempfile.mkdtemp(prefix="concordat-stream-")
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.col("value").cast("decimal(18,6)").alias("value"))
+    target = versions.VersionedTable(spark, f"{place}/table")
+    for part in (F.col("event_id") % 10 < 2, F.col("event_id") % 10 < 3):
+        e.where(part).write.mode("append").parquet(f"{place}/in")
+        upsert_stream.upsert_available(spark, f"{place}/in", e.schema, target, ["event_id"], [F.col("user_id")], f"{place}/checkpoint")
+    return target.read()

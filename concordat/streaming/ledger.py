@@ -11,6 +11,7 @@ import threading
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = {
     "runs": "run_id TEXT PRIMARY KEY, direction TEXT, job TEXT, mode TEXT, status TEXT, started TEXT, finished TEXT, error TEXT",
@@ -121,3 +122,18 @@ class Ledger:
         """True while a job has failed so often and its time of rest is not over."""
         found = self.rows("breakers", "job=?", job)
         return bool(found) and found[0]["failures"] >= max_failures and found[0]["cooldown_until"] > self._now()
+
+
+def blocked_jobs(breakers: DataFrame, now: str, max_failures: int = 3) -> DataFrame:
+    """Jobs that must not start: job, failures, blocked. breakers: job, failures, cooldown_until (ISO texts sort as times)."""
+    return breakers.select("job", "failures", ((F.col("failures") >= max_failures) & (F.col("cooldown_until") > F.lit(now))).alias("blocked"))
+
+
+def watermark_moves(watermarks: DataFrame, results: DataFrame) -> DataFrame:
+    """What watermarks become after a run: the new values if every table succeeded, else the old ones.
+
+    watermarks: table_name, value; results: table_name, status, watermark.
+    """
+    all_good = results.agg(F.coalesce(F.bool_and(F.col("status") == "SUCCESS"), F.lit(True)).alias("_good"))
+    both = watermarks.join(results.select("table_name", "watermark"), "table_name", "full_outer").crossJoin(all_good)
+    return both.select("table_name", F.when(F.col("_good"), F.coalesce("watermark", "value")).otherwise(F.col("value")).alias("value")).where("value IS NOT NULL")
