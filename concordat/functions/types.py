@@ -73,7 +73,14 @@ def suggested_type(c: Column) -> Column:
 
 
 def assessed(s: Column, t: Column) -> Column:
-    """struct(status, severity, reason, action) for a source and a target column."""
+    """struct(status, severity, reason, action) for a source and a target column.
+
+    In a lambda the rules are interpreted: forty of them are too long to be compiled into one loop.
+    """
+    return F.element_at(F.transform(F.array(F.struct(s.alias("s"), t.alias("t"))), lambda p: _verdict(p["s"], p["t"])), 1)
+
+
+def _verdict(s: Column, t: Column) -> Column:
     kind, label = F.upper(_field(s, "data_type")), F.upper(target_label(t))
     has = lambda *words: label.rlike("|".join(words))
     inner = F.regexp_extract(label, r"\((\d+)(?:,(\d+))?\)", 1)
