@@ -71,7 +71,9 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, Column],
     upto = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*names, "_bucket", F.coalesce(F.sum("_sum").over(upto), F.lit(0)).alias("_before"))
     inside = Window.partitionBy(*names, "_bucket").orderBy("_key", "doc_id", "tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = bucketed.withColumn("_in", F.sum("tokens").over(inside)).join(offsets, [*names, "_bucket"])
+    # both sides are dealt by leaf and bucket: by leaf alone a hot leaf would be one task's
+    part = [*names, "_bucket"]
+    running = bucketed.repartition(*part).withColumn("_in", F.sum("tokens").over(inside)).join(offsets.repartition(*part), part)
     last = F.when(F.col("_in") + F.col("_before") <= F.col("_rest"), F.col("_whole")).otherwise(F.col("_whole") - 1)
     epochs = F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda e: (e <= last) & (e < max_epochs))
     return running.select("doc_id", *names, "tokens", F.explode(epochs).alias("epoch"), F.col("target").alias("leaf_target"))
