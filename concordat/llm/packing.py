@@ -110,7 +110,7 @@ def configurations(histogram: dict[int, int], capacity: int, rounds: int = 1500,
     Covering program: least number of fillings so that every length is covered as often as it occurs. Multiplicative weights:
     a length's price falls exponentially with the share of it already covered; the knapsack finds the filling of the best
     price; it is used as far as a fixed share of the scarcest length in it. The averaged solution is scaled, rounded down and
-    limited to what is left; the rest, at most a few items for each filling, is packed by best fit.
+    limited to what is left; the rest is packed by best fit. Of a short length the rest may be most of what there was.
     """
     left = {length: n for length, n in histogram.items() if 0 < length < capacity and n > 0}
     plan: list[tuple[int, dict[int, int]]] = [(histogram[capacity], {capacity: 1})] if histogram.get(capacity) else []
@@ -147,18 +147,22 @@ def best_fit(left: dict[int, int], capacity: int) -> list[tuple[int, dict[int, i
     while lengths:
         first = lengths[0]
         filling, gap = {first: 1}, capacity - first
-        reach: dict[int, tuple[int, int, int] | None] = {0: None}  # sum -> (length, times, sum before)
+        reach, before = 1, []  # bit s of reach: the sum s can be had; (length, reach without it) in order
         for x in lengths:
-            if gap in reach:
+            if reach >> gap & 1:
                 break
-            free = left[x] - (x == first)
-            for at in sorted(reach, reverse=True) if x <= gap else ():
-                for k in range(1, min(free, (gap - at) // x, 8) + 1):
-                    reach.setdefault(at + k * x, (x, k, at))
-        at = max(reach)
-        while reach[at]:
-            x, k, at = reach[at]
-            filling[x] = filling.get(x, 0) + k
+            before.append((x, reach))
+            free, step = min(left[x] - (x == first), gap // x), 1
+            while free:  # any number up to free is a sum of such steps
+                step = min(step, free)
+                reach |= reach << step * x & (2 << gap) - 1
+                free, step = free - step, 2 * step
+        at = reach.bit_length() - 1
+        for x, known in reversed(before):
+            k = next(k for k in range(at // x + 1) if known >> at - k * x & 1)
+            if k:
+                filling[x] = filling.get(x, 0) + k
+                at -= k * x
         copies = min(left[x] // k for x, k in filling.items())
         plan.append((copies, filling))
         for x, k in filling.items():

@@ -469,6 +469,23 @@ def test_configurations_cover_exactly():
     assert packing.knapsack(np.array([3, 5]), np.array([3.0, 5.1]), 10) == {1: 2}
 
 
+def test_many_pieces_of_one_short_length():
+    assert packing.configurations({1: 1000}, 1024) == [(1, {1: 1000})]  # empty texts only
+    rng = np.random.default_rng(1)
+    sizes = np.clip(rng.lognormal(5, 1, 10_000).astype(int), 1, 1024)
+    for short in (1, 3):
+        histogram = {int(x): int(c) for x, c in zip(*np.unique(sizes, return_counts=True), strict=True)}
+        histogram[short] = histogram.get(short, 0) + 5000
+        plan = packing.configurations(histogram, 1024)
+        used = {}
+        for copies, filling in plan:
+            assert copies > 0 and sum(x * k for x, k in filling.items()) <= 1024
+            for x, k in filling.items():
+                used[x] = used.get(x, 0) + copies * k
+        assert used == histogram
+        assert sum(c for c, _ in plan) <= math.ceil(sum(x * n for x, n in histogram.items()) / 1024) * 1.002 + 1
+
+
 # ---- 9
 
 
