@@ -180,39 +180,63 @@ def _payload(row: dict, block: bytes) -> tuple[dict, bytes | None, int]:
     return http, body, len(body)
 
 
+class _Member:
+    """The content of a gzip member, read in order from its first bytes `raw` and then from f."""
+
+    def __init__(self, f, raw: bytes):
+        self.f, self.raw, self.unzip, self.text = f, raw, zlib.decompressobj(31), b""
+
+    def more(self) -> bool:
+        """Add to text; False at the member's end."""
+        raw = b"" if self.unzip.eof else self.raw or self.unzip.unconsumed_tail or self.f.read(1 << 16)
+        self.raw = b""
+        if raw:
+            self.text += self.unzip.decompress(raw, 1 << 18)
+        return bool(raw)
+
+    def head(self) -> bytes:
+        """The next record's header; empty if the member is used up."""
+        while b"\r\n\r\n" not in (text := self.text.lstrip(b"\r\n")) and self.more():
+            pass
+        head, _, self.text = text.partition(b"\r\n\r\n")
+        return head
+
+    def take(self, n: int, keep: bool) -> bytes:
+        parts = []
+        while n > 0 and (self.text or self.more()):
+            piece, self.text = self.text[:n], self.text[n:]
+            n -= len(piece)
+            if keep:
+                parts.append(piece)
+        return b"".join(parts)
+
+
 def _gz_records(f, part: Range, wanted) -> Iterator[tuple[dict, dict, bytes]]:
+    """The records of the members that start in the range; a member may hold any number of them."""
     at = _first_member(f, part) if part.start else 0
     while at is not None and at < part.end:
         f.seek(at)
         raw = f.read(1 << 14)
-        if len(raw) < 18 or raw[:2] != b"\x1f\x8b":
+        if not raw:
             return
-        skip = 0
-        if raw[3] & 4 and raw[12:14] == b"sl":
-            skip = struct.unpack_from("<I", raw, 16)[0]
-        unzip = zlib.decompressobj(31)
-        text = unzip.decompress(raw)
-        while b"\r\n\r\n" not in text and not unzip.eof and raw:
-            raw = f.read(1 << 16)
-            text += unzip.decompress(raw)
-        head, _, rest = text.partition(b"\r\n\r\n")
-        headers = _headers(head)
-        row = _fields(headers)
-        keep = head.startswith(b"WARC/") and wanted(row)
-        if not keep and skip:
-            at += skip
-            continue
-        blocks = [rest] if keep else []
-        while not unzip.eof:
-            raw = f.read(1 << 16)
-            if not raw:
+        if len(raw) < 18 or raw[:2] != b"\x1f\x8b":
+            raise ValueError(f"no gzip member at byte {at} of the archive")
+        stated = struct.unpack_from("<II", raw, 16) if raw[3] & 4 and raw[12:14] == b"sl" else (0, 0)
+        member, passed = _Member(f, raw), 0
+        while head := member.head():
+            headers = _headers(head)
+            row = _fields(headers)
+            keep = head.startswith(b"WARC/") and wanted(row)
+            passed += len(head) + row["block_bytes"] + 8
+            if not keep and stated[0] and passed >= stated[1]:  # nothing follows in this member
                 break
-            more = unzip.decompress(raw)
+            block = member.take(row["block_bytes"], keep)
             if keep:
-                blocks.append(more)
-        at = f.tell() - len(unzip.unused_data)
-        if keep:
-            yield headers, row, b"".join(blocks)[: row["block_bytes"]]
+                yield headers, row, block
+        if head:
+            at += stated[0]
+        else:
+            at = f.tell() - len(member.unzip.unused_data)
 
 
 def _first_member(f, part: Range) -> int | None:

@@ -342,6 +342,21 @@ def test_foreign_archives(tmp_path, spark):
     assert len(got) == 6 and {(r.payload_digest, bytes(r.payload), r.headers["x-long"], r.headers["http-server"]) for r in got} == {(hashlib.sha1(b"hello").hexdigest(), b"hello", "a b", "x")}
 
 
+def test_many_records_in_a_member(tmp_path, spark):
+    import gzip
+
+    blocks = [random.Random(i).randbytes(i * 40_000) for i in range(6)]
+    raw = [warc.record("resource", f"urn:x:{i}", b, {"Content-Type": "text/plain"}) for i, b in enumerate(blocks)]
+    for name, press in (("a", gzip.compress), ("b", warc.member)):
+        (tmp_path / f"{name}.warc.gz").write_bytes(press(b"".join(raw[:4])) + press(b"".join(raw[4:])))
+    got = warc.read_archives(spark, str(tmp_path))
+    assert sorted(bytes(r.payload) for r in got.collect()) == sorted(2 * blocks)
+    assert got.where("block_bytes = 120000").count() == 2
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(raw[0]) + b"what is not a member" + gzip.compress(raw[1]))
+    with pytest.raises(Exception, match="no gzip member"):
+        got.collect()
+
+
 # ---- 7
 
 
