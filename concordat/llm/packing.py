@@ -23,11 +23,16 @@ _encoders: dict = {}
 
 
 def _encode(tokenizer: str, ranks: str | None):
-    """Function from texts to lists of ids.
+    """Function from texts to lists of ids, those of the JSON tokenizer as it is, with add_special_tokens=False.
 
-    The same vocabulary as merge ranks, where given, is several times as fast; tests hold its ids against the tokenizer's own.
+    The same vocabulary as merge ranks, where given, is several times as fast. It knows no special tokens, so texts that hold the string
+    of one go through the JSON tokenizer, which gives it its own id.
     """
     if (tokenizer, ranks) not in _encoders:
+        from tokenizers import Tokenizer
+
+        full = Tokenizer.from_file(tokenizer)
+        whole = lambda texts: [e.ids for e in full.encode_batch(texts, add_special_tokens=False)]
         if ranks:
             import base64
 
@@ -37,13 +42,10 @@ def _encode(tokenizer: str, ranks: str | None):
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-            _encoders[tokenizer, ranks] = lambda texts: [plain.encode_ordinary(t) for t in texts]
+            special = [t.content for t in full.get_added_tokens_decoder().values()]
+            _encoders[tokenizer, ranks] = lambda texts: [whole([t])[0] if any(s in t for s in special) else plain.encode_ordinary(t) for t in texts]
         else:
-            from tokenizers import Tokenizer
-
-            full = Tokenizer.from_file(tokenizer)
-            full.encode_special_tokens = True
-            _encoders[tokenizer, ranks] = lambda texts: [e.ids for e in full.encode_batch(texts, add_special_tokens=False)]
+            _encoders[tokenizer, ranks] = whole
     return _encoders[tokenizer, ranks]
 
 
@@ -52,31 +54,33 @@ def token_pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, capa
 
     A document is its ids and then end_id; a null text is empty. The cut-off pieces have exactly `capacity` ids except the
     first, which takes the remainder. Returns doc_id, piece, start, length, ids_crc32 (little-endian 32-bit ids) and, if asked
-    for, ids.
+    for, ids. Every row is a document, so rows that repeat a doc_id each give pieces; an empty table gives none.
     """
     ship(docs.sparkSession)
-    fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
-    if with_ids:
-        fields.append(("ids", pa.list_(pa.int32())))
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encode(tokenizer, ranks)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                out: list[list] = [[] for _ in fields]
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc, ids in zip(part.column(0).to_pylist(), encode(texts), strict=True):
+                docs_, pieces, starts, lengths, sums, flat = [], [], [], [], [], []
+                for doc, ids in zip(part.column(0).to_pylist(), encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
                     whole = np.array([*ids, end_id], dtype="<u4")
-                    start, n = 0, len(whole)
-                    ends = range(n % capacity or capacity, n + 1, capacity)
-                    for k, end in enumerate(ends):
-                        piece = whole[start:end]
-                        row = (doc, k, start, len(piece), zlib.crc32(piece.tobytes()), piece.astype("i4").tolist() if with_ids else None)
-                        for column, value in zip(out, row, strict=False):
-                            column.append(value)
+                    n, start = len(whole), 0
+                    for k, end in enumerate(range(n % capacity or capacity, n + 1, capacity)):
+                        docs_.append(doc)
+                        pieces.append(k)
+                        starts.append(start)
+                        lengths.append(end - start)
+                        sums.append(zlib.crc32(whole[start:end].tobytes()))
                         start = end
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(out, fields, strict=True)], names=[n for n, _ in fields])
+                    if with_ids:
+                        flat.append(whole.astype(np.int32))
+                columns = [pa.array(docs_, pa.int64()), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(sums, pa.int64())]
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lengths]).astype(np.int32)), pa.array(np.concatenate([np.empty(0, np.int32), *flat]))))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
@@ -212,11 +216,14 @@ def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """The packed sequences themselves, from pieces that carry ids: sequence_id, ids. A sequence holds at most `capacity` ids."""
-    parts = packed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
-    return parts.select("sequence_id", F.flatten("parts.ids").alias("ids"))
+    """The packed sequences themselves, from pieces that carry ids: sequence_id, ids, and for each piece in it doc_ids, pieces, offsets.
+
+    A sequence holds at most `capacity` ids, so its group is bounded. No pieces, no sequences.
+    """
+    parts = packed.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "doc_id", "piece", "ids"))).alias("parts"))
+    return parts.select("sequence_id", F.flatten("parts.ids").alias("ids"), F.col("parts.doc_id").alias("doc_ids"), F.col("parts.piece").alias("pieces"), F.col("parts.offset").alias("offsets"))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: int = 1024, end_id: int = 2) -> DataFrame:
-    """Tokenise and pack documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(cut(token_pieces(docs, tokenizer, ranks, capacity, end_id), "pieces"), capacity)
+def pack_documents(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
+    """Tokenise and pack documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset and, if asked for, ids."""
+    return pack(cut(token_pieces(docs, tokenizer, ranks, capacity, end_id, with_ids), "pieces"), capacity)

@@ -3,8 +3,11 @@
 import duckdb
 import pytest
 
+from concordat.llm import packing
 from concordat.llm.queries import QUERIES, SQL
 
+RANKS = [pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")]
+
 TABLES = ("documents", "embeddings", "pages", "labels")
 
 
@@ -36,8 +39,11 @@ def test_pipeline_stage_by_stage(spark, tiny):
         after = docs.count()
         assert 0 < after <= before and docs.select("doc_id").distinct().count() == after
         before = after
-    packed = P.STAGES[-1][1](spark, docs, tiny)
-    assert {r[0] for r in packed.select("doc_id").distinct().collect()} == {r[0] for r in docs.select("doc_id").collect()}
+    packed = P.STAGES[-1][1](spark, docs, tiny).collect()
+    assert {d for r in packed for d in r.doc_ids} == {r[0] for r in docs.select("doc_id").collect()}
+    encode = packing._encode(RANKS[0], None)
+    want = sorted(i for r in docs.collect() for i in [*encode([r.text or ""])[0], 2])
+    assert sorted(i for r in packed for i in r.ids) == want and all(0 < len(r.ids) <= 1024 for r in packed)
     empty = first.limit(0)
     for name, stage in P.STAGES:
         empty = cut(stage(spark, empty, tiny), name)
