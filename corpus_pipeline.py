@@ -39,8 +39,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    """Sequences of at most 1024 tokens: sequence_id, ids, and doc_ids, pieces, offsets of the pieces in it."""
+    return packing.sequences(packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), with_ids=True))
 
 
 STAGES = [("quality", good_documents), ("lines", without_repeated_lines), ("near", without_near_copies), ("mix", mixed), ("pack", packed)]
