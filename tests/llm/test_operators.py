@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from concordat.llm import html_text, lines, mixing, near_dedup, near_vectors, nearest, packing, quality, sharding, shingles, vectors, warc
-from concordat.llm.common import components, cut, gapless_rank, sieve, sifted
+from concordat.llm.common import components, cut, gapless_rank, sieve, sifted, spread_join
 from tests.conftest import DATA, rows
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -47,9 +47,15 @@ def test_gapless_rank_of_a_hot_group(spark):
 
 def test_sieve_loses_nothing(spark):
     keys = spark.range(0, 1000, 3).select(F.xxhash64("id").alias("h"))
-    got = sifted(spark.range(1000), F.xxhash64("id"), sieve(keys))
+    got = sifted(spark.range(1000), F.xxhash64("id"), sieve(keys, 334))
     assert got.where("id % 3 = 0 AND NOT _likely").count() == 0 and got.where("_likely").count() < 400
-    assert sifted(spark.range(5), F.xxhash64("id"), sieve(keys.limit(0))).where("_likely").count() == 0
+    assert sifted(spark.range(5), F.xxhash64("id"), sieve(keys.limit(0), 0)).where("_likely").count() == 0
+    assert sifted(spark.range(5), F.xxhash64("id"), sieve(keys, 10**9)).where("_likely").count() == 5
+
+
+def test_spread_join(spark):
+    left, right = spark.range(200).select((F.col("id") % 3).alias("k"), "id"), spark.range(2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("x"))
+    assert rows(spread_join(left, right, ["k"], F.col("id"), 4), "id", "x") == [(i, i % 3 * 10) for i in range(200) if i % 3 < 2]
 
 
 # ---- 1
@@ -78,12 +84,26 @@ def test_nearest_against_all_scores(spark):
     assert len(rows(nearest.search(df.where("vec_id < 4"), F.col("vec_id") == 0))) == 3
 
 
+def test_nearest_of_repeated_ids(spark):
+    """A row that repeats a vec_id is a query and a candidate of its own."""
+    data = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 1.0]), (2, [2.0, 0.5])]
+    got = rows(nearest.search(spark.createDataFrame(data, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=2), "query_id", "rank", "vec_id", "score")
+    assert got == [(0, 1, 1, 1.0), (0, 1, 2, 2.0), (0, 2, 1, 1.0), (0, 2, 2, 0.5)]
+
+
 def test_one_bit_bounds_hold():
     rng = np.random.default_rng(5)
     x, q = rng.normal(size=(2000, 64)), rng.normal(size=(20, 64))
-    estimate, half = nearest.bounds(*nearest.one_bit(x), q)
-    assert (np.abs(estimate - q @ x.T) <= half).mean() > 0.99
-    assert nearest.one_bit(x)[0].nbytes == 2000 * 8
+    bits, norm, fit = nearest.one_bit(x)
+    assert bits.nbytes == 2000 * 8 * nearest.SPREAD
+    both = [e for e in nearest._each(q, nearest.Codes(bits, norm, fit), 3.0)]
+    estimate, half = (np.array([b[i] for b in both]) for i in (0, 1))
+    apart = np.abs(estimate - q @ x.T)
+    assert (apart <= half).mean() > 0.99 and (apart <= half / 3).mean() < 0.8
+    # the estimate by population counts is that of the sign vectors themselves, up to the rounding of the queries
+    signs = np.unpackbits(bits.view(np.uint8), axis=1, bitorder="little").astype(float) * 2 - 1
+    plain = nearest._wide(q, nearest.SEED) @ signs.T * (norm / (fit * np.sqrt(signs.shape[1])))
+    assert np.abs(estimate - plain).max() < 0.5 * half.max()
 
 
 # ---- 2
@@ -231,10 +251,10 @@ def drop_plainly(texts):
     seen, gone = [], set()
     for d, t in sorted(texts.items()):
         for i, raw in enumerate((t or "").split("\n") if t is not None else []):
-            line = raw.strip(" ")
-            if len(line) < lines.MIN_CHARS:
+            w = raw.split()
+            line = " ".join(w)
+            if not w:
                 continue
-            w = line.split(" ")
             for other in seen:
                 if other == line or (len(w) >= 8 and len(other.split(" ")) >= 8 and near(w, other.split(" "))):
                     gone.add((d, i))
@@ -252,7 +272,7 @@ def near(a, b):
     return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
 
 
-def test_lines_against_all_pairs(spark):
+def test_lines_against_all_pairs(spark, monkeypatch):
     rng = random.Random(7)
     base = [prose(rng, rng.randint(3, 14)) for _ in range(30)]
     texts = {}
@@ -272,9 +292,11 @@ def test_lines_against_all_pairs(spark):
             out.append(" " * rng.randint(0, 2) + " ".join(w))
         texts[d] = "\n".join(out)
     texts |= {100: None, 101: "", 102: "\n\n", 103: "short", 104: "x " * 300, 105: "x " * 299, 106: "same long line of words that stands here\n" * 3}
+    texts |= {107: "short\nnot so short", 108: "\tshort\r\n  not  so\xa0short ", 109: "日本語\n日本語", 110: "\n".join(f"row {i % 700}" for i in range(3000))}
+    monkeypatch.setattr(lines, "HOT", 2)
     df = docs(spark, *texts.values(), ids=list(texts)).withColumn("n_lines", F.lit("clash"))
     gone = drop_plainly(texts)
-    assert set(rows(lines.dropped_lines(df))) == gone and len(gone) > 40
+    assert set(rows(lines.dropped_lines(df), "doc_id", "line_no")) == gone and len(gone) > 40
     for r in lines.dedup_lines(df).collect():
         t = texts[r.doc_id]
         if t is None:
@@ -293,6 +315,21 @@ def test_lines_of_odd_rows(spark):
     assert len(got) == 4 and {r.doc_id: r.n_dropped for r in got} == {None: 0, 1: 0, 2: 1}
 
 
+CLASHES = ["_text", "_likely", "_doc", "_gone", "_bucket", "_bitmap", "_d", "_t", "_row", "row", "p", "node", "line", "component", "_way", "n", "first", "key"]
+
+
+def test_lines_of_repeated_ids_and_clashing_columns(spark):
+    x, y = "one line of words that is as long as need be", "and quite another line with nothing of the first in it"
+    for data in ([(1, x), (2, x), (2, y)], [(2, y), (2, x), (1, x)]):
+        df = docs(spark, *(t for _, t in data), ids=[i for i, _ in data]).repartition(2)
+        assert sorted((r.doc_id, r.text) for r in lines.dedup_lines(df).collect()) == [(1, x), (2, ""), (2, y)]
+    df = docs(spark, x, x, None).select("*", *(F.lit(c).alias(c) for c in CLASHES))
+    got = lines.dedup_lines(df).orderBy("doc_id").collect()
+    assert [r.text for r in got] == [x, "", None] and all(r[c] == c for r in got for c in CLASHES)
+    near = near_dedup.drop_near(df)
+    assert near.columns == df.columns and all(r[c] == c for r in near.collect() for c in CLASHES) and near.count() == 2
+
+
 # ---- 6
 
 
@@ -411,6 +448,19 @@ def test_near_groups_of_odd_rows(spark):
     df = spark.createDataFrame([(None, "a b c d e f", "", "", 1), (1, "a b c d e f", "", "", 1), (1, "a b c d e f", "", "", 1), (2, "a b c d e f", "", "", 1)], DOCS)
     assert rows(near_dedup.near_groups(df)) == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (None, 2, None, False)]
     assert rows(near_dedup.near_groups(df.limit(0))) == []
+    assert sorted(str(r.doc_id) for r in near_dedup.drop_near(df.unionByName(docs(spark, None, "", ids=[None, None]))).collect()) == ["1", "None", "None", "None"]
+
+
+def test_near_groups_of_repeated_ids(spark):
+    """Rows are linked by their texts: none is lost because another text has its doc_id."""
+    rng = random.Random(3)
+    one, two = prose(rng, 60), prose(rng, 60)
+    texts = [(5, one), (5, two), (1, one + " more"), (2, two + " more"), (7, one + " again"), (9, "alone here")]
+    want = [(1, 1, True), (2, 2, True), (5, 1, False), (5, 2, False), (7, 1, False), (9, 9, True)]
+    for data in (texts, texts[::-1], texts[2:] + texts[:2]):
+        df = docs(spark, *(t for _, t in data), ids=[i for i, _ in data]).repartition(3)
+        assert rows(near_dedup.near_groups(df), "doc_id", "component_id", "kept") == want
+        assert sorted((r.doc_id, r.text) for r in near_dedup.drop_near(df).collect()) == [(1, one + " more"), (2, two + " more"), (9, "alone here")]
 
 
 def test_hashes_do_not_depend_on_what_lies_around(monkeypatch):
