@@ -7,6 +7,7 @@ import io
 import tempfile
 import uuid
 import zipfile
+from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -91,25 +92,44 @@ def release() -> None:
             return
 
 
-SIEVE_BITS = 24
+@dataclass
+class Sieve:
+    """A bitmap of hashes, to be broadcast: at most 4096 rows of 4 KB. Without a table, every row may be in it."""
 
+    table: DataFrame | None
+    bits: int
 
-def sieve(hashes: DataFrame) -> DataFrame:
-    """A bitmap of the hashes in the one column (long) of a table: at most 512 rows of 4 KB, whatever the table holds."""
-    at = F.pmod(F.col(hashes.columns[0]), F.lit(1 << SIEVE_BITS)) + 1
-    return hashes.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_bitmap"))
 
+def sieve(hashes: DataFrame, count: int) -> Sieve:
+    """A bitmap of the hashes in the one column (long) of a table of `count` rows, 16 to 32 bits for each hash.
 
-def sifted(df: DataFrame, hash_: Column, sieve_: DataFrame, name: str = "_likely") -> DataFrame:
-    """Add whether a row's hash may be in the sieve: never false for one that is. Spares a join the rows that cannot match.
-
-    The sieve is broadcast: its size is fixed. Once it is full, every row passes, and the join does all the work.
+    Its size is bounded at 16 MB, which serves 30 million hashes well. Beyond four times as many, most rows would pass: then there is
+    none, and the join that it would have spared does all the work.
     """
-    at = F.pmod(hash_, F.lit(1 << SIEVE_BITS)) + 1
+    bits = max(16, (16 * count).bit_length())
+    if bits > 29:
+        return Sieve(None, 0)
+    bits = min(27, bits)
+    at = F.pmod(F.col(hashes.columns[0]), F.lit(1 << bits)) + 1
+    return Sieve(hashes.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("_sieve_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_sieve_map")), bits)
+
+
+def sifted(df: DataFrame, hash_: Column, sieve_: Sieve, name: str = "_likely") -> DataFrame:
+    """Add whether a row's hash may be in the sieve: never false for one that is. Spares a join the rows that cannot match."""
+    if sieve_.table is None:
+        return df.withColumn(name, F.lit(True))
+    at = F.pmod(hash_, F.lit(1 << sieve_.bits)) + 1
     bit = F.bitmap_bit_position(at)
-    byte = F.conv(F.hex(F.substring("_bitmap", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
-    joined = df.join(F.broadcast(sieve_), F.bitmap_bucket_number(at) == F.col("_bucket"), "left")
-    return joined.withColumn(name, F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))).drop("_bucket", "_bitmap")
+    byte = F.conv(F.hex(F.substring("_sieve_map", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    joined = df.join(F.broadcast(sieve_.table), F.bitmap_bucket_number(at) == F.col("_sieve_bucket"), "left")
+    return joined.withColumn(name, F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))).drop("_sieve_bucket", "_sieve_map")
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], by: Column, ways: int = 16) -> DataFrame:
+    """Inner join where one key may hold much of left: left's rows of a key are dealt to `ways` tasks by a hash, right's rows go to
+    each of them. right must be narrow, with few rows beside left's."""
+    dealt = left.withColumn("_way", F.pmod(F.xxhash64(by), F.lit(ways)).cast("int"))
+    return dealt.join(right.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))), [*on, "_way"]).drop("_way")
 
 
 def gapless_rank(df: DataFrame, group: str, order: list[Column], rows: int, salt: Column, name: str = "rank", groups: int = 1) -> DataFrame:

@@ -1,7 +1,9 @@
 """Removal of repeated and nearly repeated lines by a deletion-neighbourhood join, with DataFrame functions only.
 
-A line is the sequence of its words; the edit distance counts words put in, taken out or replaced, and the bound is one. A
-line's neighbourhood is the line itself and the line without each one of its words. Two lines are within the bound exactly when
+A line is the sequence of its words, runs of other than white space; the edit distance counts words put in, taken out or replaced.
+The bound is one edit in NEAR_WORDS words, one at most: shorter lines have only equal ones as neighbours, as a word more or less
+makes another line of them. Blank lines are not compared. A line's neighbourhood is the line itself and the line without each one
+of its words. Two lines are within the bound exactly when
 one is the other without a word, or both are equal once the word at the same place is taken out. So lines that share a
 hashed variant need no pairs: the earliest line of a variant is the witness against the others, found by grouped minima, and
 the words of each line and its witness are compared before anything goes.
@@ -16,9 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.llm.common import cut, sieve, sifted
+from concordat.llm.common import cut, sieve, sifted, spread_join
 
-MIN_CHARS, NEAR_WORDS = 20, 8
+NEAR_WORDS = 8
+SPACES = "\t\x0b\x0c\r\xa0\u3000"  # white space besides the blank
+HOT = 1000  # a line that occurs more often is spread over tasks
 
 
 def _halves() -> list[Column]:
@@ -34,57 +38,66 @@ def _halves() -> list[Column]:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no and line (without spaces at both ends) of every line that is not too short to be compared."""
-    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    return every.withColumn("line", F.trim("line")).where(F.char_length("line") >= MIN_CHARS)
+    """doc_id, text_hash, line_no and line (words parted by one space) of every line that is not blank."""
+    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    plain = every.withColumn("line", F.trim(F.translate("line", SPACES, " " * len(SPACES)))).where("line <> ''")
+    return plain.withColumn("line", F.when(F.contains("line", F.lit("  ")), F.regexp_replace("line", " {2,}", " ")).otherwise(F.col("line")))
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no of each line that has an equal line, or one within a word's edit, earlier in order of doc_id and line_no.
+    """doc_id, text_hash, line_no of each line that has an equal line, or one within the bound, earlier in that order.
 
-    The rule looks at original lines: a line goes when an earlier neighbour exists, even if that neighbour goes itself. Lines
-    under MIN_CHARS characters always stay; those under NEAR_WORDS words go for equal lines only.
+    The rule looks at original lines: a line goes when an earlier neighbour exists, even if that neighbour goes itself. Rows
+    that repeat a doc_id with another text are documents of their own; rows that repeat both are one.
     """
     lines = line_table(docs).where("doc_id IS NOT NULL")
+    where = ["doc_id", "text_hash", "line_no"]
     key = [F.xxhash64("line").alias("h1"), F.hash("line").alias("h2")]
     parts = [f"{name}{less}" for less in (0, 1) for name in ("first", "last")]
     n_words = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
-    seen = cut(lines.withColumn("n", n_words).select(*key, "doc_id", "line_no", *_halves()), "lines", free=True)
-    firsts = cut(seen.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("n"), *(F.min(p).alias(p) for p in parts)), "line-firsts", free=True)
+    seen = cut(lines.withColumn("n", n_words).select(*key, *where, *_halves()), "lines", free=True)
+    firsts = cut(seen.groupBy("h1", "h2").agg(F.min(F.struct(*where)).alias("first"), F.count(F.lit(1)).alias("n"), *(F.min(p).alias(p) for p in parts)), "line-firsts", free=True)
 
     # a line is known by h1 here: two lines with one hash would only be looked at more closely
     halves = firsts.where("first0 IS NOT NULL").select("h1", F.explode(F.array(*parts)).alias("half"))
     met = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
     likely = halves.join(met, "half").select("h1").distinct()
-    own = cut(firsts.select("h1", "first").join(likely, "h1").select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")).distinct(), "likely", free=True)
+    own = cut(firsts.select("h1", "first").join(likely, "h1").select("first.*").distinct(), "likely", free=True)
     # the text of a likely line comes from its first place only; few lines are, so most stay out of the join
-    place = F.xxhash64("doc_id", "line_no")
-    some = sifted(lines, place, sieve(own.select(place.alias("at")))).where("_likely").drop("_likely")
-    texts = cut(some.join(own, ["doc_id", "line_no"]).select(*key, F.col("doc_id").alias("d"), F.col("line_no").alias("l"), F.split("line", " ", -1).alias("words")), "likely-lines", free=True)
+    place = F.xxhash64(*where)
+    some = sifted(lines, place, sieve(own.select(place.alias("at")), own.count())).where("_likely").drop("_likely")
+    # repeated rows give a line twice
+    texts = cut(some.dropDuplicates(where).join(own, where).select(*key, F.struct(*where).alias("p"), F.split("line", " ", -1).alias("words")), "likely-lines", free=True)
     # a sequence's hash is the xor of its words' hashes with their places, so a running xor gives every variant in one pass
-    by_line = texts.select("d", "l", "words").repartition("d", "l")
-    words = by_line.select("d", "l", F.size("words").alias("n"), F.posexplode("words").alias("i", "word")).select("d", "l", "n", "i", F.xxhash64("word", "i").alias("a"), F.xxhash64("word", F.col("i") - 1).alias("b"))
-    line = Window.partitionBy("d", "l")
+    by_line = texts.select("p", "words").repartition("p")
+    words = by_line.select("p", F.size("words").alias("n"), F.posexplode("words").alias("i", "word")).select("p", "n", "i", F.xxhash64("word", "i").alias("a"), F.xxhash64("word", F.col("i") - 1).alias("b"))
+    line = Window.partitionBy("p")
     upto = line.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     left, right = F.bit_xor("a").over(upto).bitwiseXOR(F.col("a")), F.bit_xor("b").over(line).bitwiseXOR(F.bit_xor("b").over(upto))
-    hashed = words.select("d", "l", "n", "i", F.bit_xor("a").over(line).alias("whole"), left.bitwiseXOR(right).alias("cut"))
+    hashed = words.select("p", "n", "i", F.bit_xor("a").over(line).alias("whole"), left.bitwiseXOR(right).alias("cut"))
     variants = F.array(F.struct(F.xxhash64("cut", F.col("n") - 1).alias("v"), F.col("i")), F.when(F.col("i") == 0, F.struct(F.xxhash64("whole", "n").alias("v"), F.lit(-1).alias("i"))))
-    entries = cut(hashed.select("d", "l", F.explode(F.filter(variants, lambda x: x.isNotNull())).alias("x")).select("d", "l", "x.v", "x.i"), "variants", free=True)
+    entries = cut(hashed.select(F.col("p").alias("first"), F.explode(F.filter(variants, lambda x: x.isNotNull())).alias("x")).select("first", "x.v", "x.i"), "variants", free=True)
     often = entries.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("v")
-    shared = cut(entries.join(often, "v").select("v", "i", F.struct("d", "l").alias("first")), "shared-variants", free=True)
+    shared = cut(entries.join(often, "v").select("v", "i", "first"), "shared-variants", free=True)
     is_self = F.col("i") < 0
     by_place = shared.groupBy("v", "i").agg(F.min("first").alias("place_first"))
     by_variant = by_place.groupBy("v").agg(F.min(F.when(is_self, F.col("place_first"))).alias("self_first"), F.min(F.when(~is_self, F.col("place_first"))).alias("cut_first"))
-    whole = shared.join(by_place, ["v", "i"]).join(by_variant, "v")
+    whole = spread_join(spread_join(shared, by_place, ["v", "i"], F.col("first")), by_variant, ["v"], F.col("first"), 4)
     witness = F.explode(F.when(is_self, F.array("cut_first")).otherwise(F.array("place_first", "self_first")))
-    claims = whole.select(F.col("first.d").alias("d"), F.col("first.l").alias("l"), "first", witness.alias("witness")).where("witness < first").select("d", "l", F.col("witness.d").alias("wd"), F.col("witness.l").alias("wl")).distinct()
-    other = texts.select(F.col("d").alias("wd"), F.col("l").alias("wl"), F.col("words").alias("w"))
-    checked = claims.join(texts, ["d", "l"]).join(other, ["wd", "wl"]).where(within_one(F.col("words"), F.col("w")))
+    claims = whole.select(F.col("first").alias("p"), witness.alias("witness")).where("witness < p").distinct()
+    checked = claims.join(texts, "p").join(texts.select(F.col("p").alias("witness"), F.col("words").alias("w")), "witness").where(within_one(F.col("words"), F.col("w")))
     near = checked.select("h1", "h2").distinct().withColumn("near", F.lit(True))
 
-    fate = firsts.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left").where("n > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    gone = seen.select("h1", "h2", "doc_id", "line_no").join(fate, ["h1", "h2"]).where(F.col("near") | (F.struct("doc_id", "line_no") != F.col("first")))
-    return cut(gone.select("doc_id", "line_no").distinct(), "dropped-lines", free=True)
+    fate = firsts.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left").where("n > 1 OR near").select("h1", "h2", "first", "n", F.coalesce("near", F.lit(False)).alias("near"))
+    fate = cut(fate, "line-fates", free=True)
+    # a line that stands in very many places is not one task's: its places and its fate are dealt to several
+    hot = fate.where(F.col("n") > HOT).select("h1")
+    here, there = (sifted(df, F.col("h1"), sieve(hot, hot.count()), "_hot") for df in (seen.select("h1", "h2", *where), fate))
+    ways = F.lit(64)
+    here = here.withColumn("_way", F.when(F.col("_hot"), F.pmod(F.xxhash64(*where), ways)).otherwise(0)).drop("_hot")
+    there = there.withColumn("_way", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), ways - 1)).otherwise(F.array(F.lit(0).cast("long"))))).drop("_hot", "n")
+    gone = here.join(there, ["h1", "h2", "_way"]).where(F.col("near") | (F.struct(*where) != F.col("first")))
+    return cut(gone.select(*where).distinct(), "dropped-lines", free=True)
 
 
 def within_one(a: Column, b: Column) -> Column:
@@ -101,23 +114,28 @@ def within_one(a: Column, b: Column) -> Column:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with the dropped lines taken out of text, and n_lines and n_dropped (long) added; every row stays.
 
-    A null text stays null with no lines; an empty text has one empty line. Rows that repeat a doc_id share what is dropped, as
-    lines are known by doc_id and place; a row without doc_id keeps all its lines. An n_chars column is brought up to date.
-    Other columns pass through; columns of docs named n_lines, n_dropped are replaced. An empty table gives no rows.
+    A null text stays null with no lines; an empty text has one empty line. Rows that repeat a doc_id with another text are each
+    compared; rows that repeat both lose the same lines, and are not copies of each other. A row without doc_id keeps all its lines. An
+    n_chars column is brought up to date. All other columns pass through, whatever their names; columns of docs named n_lines,
+    n_dropped are replaced. An empty table gives no rows.
     """
     dropped = dropped_lines(docs)
-    gone = dropped.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line_no").alias("_gone"))
-    base = docs.drop("n_lines", "n_dropped", "_doc", "_gone", "_likely")
-    split = F.split("text", "\n", -1)
-    cleaned = F.array_join(F.filter(split, lambda _, i: ~F.array_contains("_gone", i)), "\n")
+    gone = dropped.groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).agg(F.collect_set("line_no").alias("_gone"))
+    docs = docs.drop("n_lines", "n_dropped")
+    place = F.xxhash64("_d", "_t")
+    base = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_d"), F.xxhash64("text").alias("_t"))
     # only documents that may have lost a line go through the join
-    parted = sifted(base, F.xxhash64(F.col("doc_id").cast("long")), sieve(dropped.select(F.xxhash64("doc_id").alias("at"))))
-    touched = parted.where("_likely").drop("_likely")
-    out = touched.join(gone, touched["doc_id"].cast("long") == gone["_doc"], "left").unionByName(parted.where("NOT _likely").drop("_likely"), allowMissingColumns=True)
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(cleaned)
-    n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(split))
-    n_dropped = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone"))
-    out = out.withColumns({"n_lines": n_lines.cast("long"), "n_dropped": n_dropped.cast("long"), "_text": text})
+    losers = dropped.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).distinct()
+    parted = sifted(base, place, sieve(losers.select(place.alias("at")), losers.count()))
+    out = parted.where("_likely").join(gone, ["_d", "_t"], "left").unionByName(parted.where("NOT _likely"), allowMissingColumns=True)
+    split = F.split("_row.text", "\n", -1)
+    # the split text is bound once, as the one element of a list; array_except hashes, so a text takes time in proportion to its lines
+    kept = F.transform(F.array(split), lambda s: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(s) - 1), F.col("_gone")), lambda i: F.get(s, i)), "\n"))[0]
+    untouched = F.col("_gone").isNull()
+    out = out.select("_row", "_gone", F.when(untouched, F.col("_row.text")).otherwise(kept).alias("_text"))
+    n_lines = F.when(F.col("_row.text").isNull(), F.lit(0)).otherwise(F.size(split))
+    new = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.char_length("_text")).cast(docs.schema["n_chars"].dataType))
-    return out.withColumn("text", F.col("_text")).select(*base.columns, "n_lines", "n_dropped")
+        new["n_chars"] = F.when(untouched, F.col("_row.n_chars")).otherwise(F.char_length("_text")).cast(docs.schema["n_chars"].dataType)
+    same = {c: F.col(f"_row.`{c}`") for c in docs.columns}
+    return out.select(*(c.alias(n) for n, c in (same | new).items()), n_lines.cast("long").alias("n_lines"), F.coalesce(F.when(untouched, 0).otherwise(F.size("_gone")), F.lit(0)).cast("long").alias("n_dropped"))

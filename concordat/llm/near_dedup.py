@@ -1,7 +1,7 @@
 """Near-duplicate documents by bottom-k sketches of one hash function.
 
-Every document keeps the k smallest hashes of its shingle set. Documents with equal sets are one class and go on as its
-smallest doc_id. Inverted lists of the retained values give the candidates. Two sets at the similarity bound share at least
+Every document keeps the k smallest hashes of its shingle set. Documents with equal sets are one class and go on as one of
+its rows; rows are told apart by their own number, so a doc_id may stand for several texts. Inverted lists of the retained values give the candidates. Two sets at the similarity bound share at least
 `overlap(size)` retained values but for a chance below 1e-7, so only the rarest `size - overlap + 1` values of a sketch need
 to be looked up, and values that very many documents share hardly ever are. The union sketch estimates each candidate's
 similarity, and full sets decide.
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.llm.common import components, cut, ship
+from concordat.llm.common import components, cut, ship, sieve, sifted, spread_join
 from concordat.llm.shingles import text_sets
 from concordat.llm.vectors import group_changes, whole_groups
 
@@ -45,14 +45,14 @@ def overlap_needed(size: int, percent: int) -> int:
 
 
 def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
-    """doc_id, n_shingles, set_key (two longs that stand for the whole set) and sketch (its K smallest hashes, ascending)."""
+    """doc_id, text_hash, n_shingles, key1 and key2 (they stand for the whole set) and sketch (its K smallest hashes, ascending)."""
 
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, one, two, kept = [], [], [], []
-            for s in text_sets(batch.column(1), words):
+            for s in text_sets(batch.column(2), words):
                 key = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
                 sizes.append(len(s))
                 one.append(key[0])
@@ -60,9 +60,9 @@ def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
                 kept.append(s[:K])
             ends = np.cumsum([0, *map(len, kept)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *kept])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), lists], names=["doc_id", "n_shingles", "key1", "key2", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), lists], names=["doc_id", "text_hash", "n_shingles", "key1", "key2", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, key1 long, key2 long, sketch array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text").mapInArrow(run, "doc_id long, text_hash long, n_shingles long, key1 long, key2 long, sketch array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
@@ -72,7 +72,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
     holds one set and one batch.
     """
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-    dealt = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / 256)).alias("salt"))
+    dealt = spread_join(pairs, counts, ["a"], F.col("b")).select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / 256)).alias("salt"))
     member = dealt.join(texts, dealt["b"] == texts["doc_id"]).select("a", "salt", F.lit(1).alias("role"), "b", "text")
     pivot = dealt.select("a", "salt").distinct().join(texts, F.col("a") == texts["doc_id"]).select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("b"), "text")
 
@@ -186,17 +186,13 @@ def forest(ids: np.ndarray, groups: np.ndarray, sets: list[np.ndarray], left: np
     return a, b
 
 
-def near_groups(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept (doc_id = component_id).
-
-    Words are runs of bytes other than space, tab, line feed, vertical tab, form feed and return, A-Z in lower case. Texts
-    that are null or blank have an empty set and link with nothing. Rows that repeat a doc_id are one node, of
-    which one text is compared; a row without doc_id links with nothing and is not kept. An empty table gives no rows.
-    """
+def grouped(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
+    """near_groups() with text_hash, and first: whether the row's doc_id and text are the least of its group."""
     found = cut(sketches(docs, words).withColumn("row", F.monotonically_increasing_id()), "sketches")
     some = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    reps = cut(some.groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "row")).alias("x")).select("key1", "key2", F.col("x.doc_id").alias("rep"), "x.row"), "classes")
-    single = some.join(reps.select("row"), "row", "left_semi").select("doc_id", F.col("n_shingles").alias("n"), "sketch")
+    reps = cut(some.groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "text_hash", "row")).alias("x")).select("key1", "key2", F.col("x.doc_id").alias("rep"), F.col("x.text_hash").alias("rep_hash"), F.col("x.row").alias("node")), "classes")
+    # from here on doc_id is the row number of a class's representative
+    single = some.join(reps.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("doc_id"), F.col("n_shingles").alias("n"), "sketch")
 
     needed = F.create_map(*(F.lit(x) for s in range(1, K + 1) for x in (s, s - overlap_needed(s, percent) + 1)))
     posts = single.select("doc_id", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("v"))
@@ -208,7 +204,10 @@ def near_groups(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame
     lists = cut(shared.withColumn("place", place).where(F.col("place") <= needed[F.col("size")]).select("v", "doc_id", "n"), "lists")
     ids = lists.select("doc_id").distinct()
     sketch = cut(single.join(ids, "doc_id", "left_semi"), "near-sketches")
-    texts = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "near-texts")
+    wanted = cut(reps.join(ids, reps["node"] == ids["doc_id"]).select("rep", "rep_hash", "node"), "near-wanted")
+    of_text = F.xxhash64("rep", "rep_hash")
+    likely = sifted(docs.select(F.col("doc_id").cast("long").alias("rep"), F.xxhash64("text").alias("rep_hash"), "text"), of_text, sieve(wanted.select(of_text.alias("at")), wanted.count())).where("_likely")
+    texts = cut(likely.join(wanted, ["rep", "rep_hash"]).select(F.col("node").alias("doc_id"), "text").dropDuplicates(["doc_id"]), "near-texts")
 
     fits = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
     ends = [F.min_by(F.struct(F.col("doc_id").alias("p"), F.col("n").alias("m")), F.xxhash64("doc_id", F.lit(seed)) if seed else F.col("doc_id")).alias(f"p{seed}") for seed in range(PIVOTS)]
@@ -229,12 +228,39 @@ def near_groups(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame
     dense = cut(dense_links(open_.where(F.col("f") > LONG), texts, percent, words), "dense-links")
     final = components(links.unionByName(more).unionByName(dense))
 
-    by_class = reps.select("key1", "key2", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select("key1", "key2", F.coalesce("component", "rep").alias("component_id"))
-    linked = some.select("doc_id", "n_shingles", "key1", "key2").join(by_class, ["key1", "key2"]).select("doc_id", "n_shingles", "component_id")
-    alone = found.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    # a component takes the least doc_id, and of its texts the least hash, of its classes
+    joined = reps.join(final, "node")
+    least = joined.groupBy("component").agg(F.min(F.struct("rep", "rep_hash")).alias("low"))
+    labels = spread_join(final, least, ["component"], F.col("node")).select("node", "low")
+    by_class = reps.join(labels, "node", "left").select("key1", "key2", F.coalesce("low", F.struct("rep", "rep_hash")).alias("low"))
+    linked = some.select("doc_id", "text_hash", "n_shingles", "key1", "key2").join(by_class, ["key1", "key2"]).select("doc_id", "text_hash", "n_shingles", F.col("low.rep").alias("component_id"), (F.struct("doc_id", "text_hash") == F.col("low")).alias("first"))
+    alone = found.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def near_groups(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept (doc_id = component_id), for every row of docs.
+
+    Words are runs of bytes other than space, tab, line feed, vertical tab, form feed and return, A-Z in lower case. Texts
+    that are null or blank have an empty set and link with nothing. Rows are linked by their texts alone: rows that repeat a doc_id with
+    another text are documents of their own. A row without doc_id links with nothing and is not kept. An empty table gives no rows.
+    """
+    return grouped(docs, percent, words).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def drop_near(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id; documents with an empty set all stay."""
-    return docs.join(near_groups(docs, percent, words).where("kept").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    """Of each group of near copies one row: that of the smallest doc_id, and of its texts the one of the smallest hash.
+
+    Rows without words or without doc_id are in no group and all stay. Of rows that repeat both doc_id and text one stays, any of
+    them. All columns of docs pass through, whatever their names.
+    """
+    groups = cut(grouped(docs, percent, words).where("n_shingles > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), "first"), "near-groups")
+    lost = cut(groups.where("NOT first").select("_d", "_t").distinct(), "near-lost")
+    again = groups.where("first").groupBy("_d", "_t").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_d", "_t")
+    place = F.xxhash64("_d", "_t")
+    base = sifted(docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_d"), F.xxhash64("text").alias("_t")), place, sieve(lost.select(place.alias("at")), lost.count()))
+    left = base.where("NOT _likely").unionByName(base.where("_likely").join(lost, ["_d", "_t"], "left_anti").select(*base.columns)).drop("_likely")
+    if not again.isEmpty():
+        again = cut(again, "near-again")
+        left = left.join(again, ["_d", "_t"], "left_anti").unionByName(left.join(again, ["_d", "_t"], "left_semi").dropDuplicates(["_d", "_t"]))
+    return left.select("_row.*")

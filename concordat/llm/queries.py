@@ -119,7 +119,8 @@ SQL: dict[str, str] = {
     "op5_lines": r"""
         WITH l AS MATERIALIZED (
             SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents WHERE text IS NOT NULL),
-        t AS MATERIALIZED (SELECT doc_id, line_no, trim(raw) AS line FROM l WHERE length(trim(raw)) >= 20 AND doc_id IS NOT NULL),
+        t AS MATERIALIZED (SELECT doc_id, line_no, trim(regexp_replace(translate(raw, chr(9) || chr(11) || chr(12) || chr(13) || chr(160) || chr(12288), '      '), ' +', ' ', 'g')) AS line
+                           FROM l WHERE doc_id IS NOT NULL AND line <> ''),
         f AS MATERIALIZED (SELECT line, min((doc_id, line_no)) AS first FROM t GROUP BY 1),
         w AS MATERIALIZED (SELECT line, first, string_split(line, ' ') AS w FROM f WHERE len(string_split(line, ' ')) >= 8),
         v AS MATERIALIZED (SELECT line, first, unnest(list_transform(range(0, len(w)), lambda i: {'i': i, 'v': array_to_string(w[1:i] || w[i + 2:], ' ')})) AS x FROM w),
