@@ -1,10 +1,13 @@
 """WARC archives as a Spark data source, written and read in parallel.
 
-Reading plans partitions over files and, for archives of one gzip member a record, over ranges of a file. Headers are parsed
+Reading plans partitions over ranges of files: a range has the gzip members, or in plain archives the records, that start in it. Headers are parsed
 first; predicates on the record type and on header fields are pushed down to them, and the block of a record that they reject is
 neither decoded nor kept. Our own members carry their compressed length in the gzip header (subfield `sl`), so such a
 block is skipped without being decompressed; other archives' blocks are decompressed and thrown away.
 
+A record whose Content-Length is missing or no number has a null block_bytes and ends where the next record or its member does.
+Bytes that are neither a record nor a member are an error, never skipped.
+
 Files are reached through pyarrow's file systems, so a path may be any URI that both driver and executors can open.
 """
 
@@ -42,7 +45,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from concordat.llm.common import ship
+from concordat.llm.common import cut, ship, sieve, sifted, spread_join
 
 SCHEMA = "record_id string, record_type string, target_uri string, date string, content_type string, payload_digest string, refers_to string, block_bytes long, payload_bytes long, headers map<string,string>, payload binary"
 SMALL_PAYLOAD = 1000
@@ -87,7 +90,8 @@ def _fields(headers: dict[str, str]) -> dict:
     for k in ("record_id", "refers_to"):
         row[k] = row[k].strip("<>") if row[k] else row[k]
     row["payload_digest"] = hex_digest(headers.get("warc-payload-digest"))
-    row["block_bytes"] = int(headers.get("content-length") or 0)
+    length = headers.get("content-length") or ""
+    row["block_bytes"] = int(length) if re.fullmatch(r"\d{1,18}", length, re.ASCII) else None
     return row
 
 
@@ -134,8 +138,7 @@ class WarcReader(DataSourceReader):
         for f in sorted(found, key=lambda f: f.path):
             if f.type != pa.fs.FileType.File or "/_" in f.path[len(path) :] or not re.search(r"\.warc(\.gz)?$", f.path):
                 continue
-            step = self.step if f.path.endswith(".gz") else max(1, f.size)
-            out += [Range(f.path, lo, min(f.size, lo + step)) for lo in range(0, f.size, step)]
+            out += [Range(f.path, lo, min(f.size, lo + self.step)) for lo in range(0, f.size, self.step)]
         return out
 
     def read(self, part: Range) -> Iterator[pa.RecordBatch]:
@@ -176,10 +179,14 @@ def _payload(row: dict, block: bytes) -> tuple[dict, bytes | None, int]:
     head, _, body = block.partition(b"\r\n\r\n")
     http = {f"http-{k}": v for k, v in _headers(head).items()}
     if row["record_type"] == "revisit":
-        return http, None, int(http.get("http-content-length") or 0)
+        length = http.get("http-content-length") or ""
+        return http, None, int(length) if re.fullmatch(r"\d{1,18}", length, re.ASCII) else 0
     return http, body, len(body)
 
 
+_NEXT = b"\r\n\r\nWARC/1."
+
+
 class _Member:
     """The content of a gzip member, read in order from its first bytes `raw` and then from f."""
 
@@ -201,7 +208,12 @@ class _Member:
         head, _, self.text = text.partition(b"\r\n\r\n")
         return head
 
-    def take(self, n: int, keep: bool) -> bytes:
+    def take(self, n: int | None, keep: bool) -> bytes:
+        """The next n bytes of content; without n, all before the next record or the end."""
+        if n is None:
+            while (at := self.text.find(_NEXT)) < 0 and self.more():
+                pass
+            n = at if at >= 0 else len(self.text)
         parts = []
         while n > 0 and (self.text or self.more()):
             piece, self.text = self.text[:n], self.text[n:]
@@ -227,8 +239,8 @@ def _gz_records(f, part: Range, wanted) -> Iterator[tuple[dict, dict, bytes]]:
             headers = _headers(head)
             row = _fields(headers)
             keep = head.startswith(b"WARC/") and wanted(row)
-            passed += len(head) + row["block_bytes"] + 8
-            if not keep and stated[0] and passed >= stated[1]:  # nothing follows in this member
+            passed += len(head) + (row["block_bytes"] or 0) + 8
+            if not keep and row["block_bytes"] is not None and stated[0] and passed >= stated[1]:  # nothing follows in this member
                 break
             block = member.take(row["block_bytes"], keep)
             if keep:
@@ -257,25 +269,49 @@ def _first_member(f, part: Range) -> int | None:
     return None
 
 
+def _head(f, at: int) -> tuple[int, bytes, int]:
+    """Where the record at or after line ends at `at` starts, its header, and where its block starts; an empty header at the file's end."""
+    f.seek(at)
+    raw = b""
+    while b"\r\n\r\n" not in raw.lstrip(b"\r\n"):
+        more = f.read(1 << 11)
+        if not more:
+            return at + len(raw) - len(raw.lstrip(b"\r\n")), raw.lstrip(b"\r\n"), at + len(raw)
+        raw += more
+    lead = len(raw) - len(raw.lstrip(b"\r\n"))
+    head = raw[lead:].partition(b"\r\n\r\n")[0]
+    return at + lead, head, at + lead + len(head) + 4
+
+
+def _block_end(f, start: int, length: int | None) -> int:
+    if length is not None:
+        return start + length
+    at, tail = start, b""
+    f.seek(start)
+    while more := f.read(1 << 20):
+        if (k := (tail + more).find(_NEXT)) >= 0:
+            return at - len(tail) + k
+        at, tail = at + len(more), (tail + more)[-len(_NEXT) :]
+    return at
+
+
 def _plain_records(f, part: Range, wanted) -> Iterator[tuple[dict, dict, bytes]]:
+    """The records of a plain archive that start in the range. Headers are followed from the file's beginning, without reading blocks: a
+    record's text may stand inside another's block, so nothing else tells for certain where a record starts."""
     at = 0
     while at < part.end:
-        f.seek(at)
-        head = b""
-        while b"\r\n\r\n" not in head:
-            more = f.read(1 << 14)
-            if not more:
-                return
-            head += more
-        lead = len(head) - len(head.lstrip(b"\r\n"))
-        head = head[lead:].partition(b"\r\n\r\n")[0]
+        at, head, start = _head(f, at)
+        if not head or at >= part.end:
+            return
+        if not head.startswith(b"WARC/"):
+            raise ValueError(f"no record at byte {at} of the archive")
         headers = _headers(head)
         row = _fields(headers)
-        start = at + lead + len(head) + 4
-        if head.startswith(b"WARC/") and wanted(row):
+        end = _block_end(f, start, row["block_bytes"])
+        if at >= part.start and wanted(row):
             f.seek(start)
-            yield headers, row, f.read(row["block_bytes"])
-        at = start + row["block_bytes"] + 4
+            yield headers, row, f.read(end - start)
+        at = end
 
 
 @dataclass
@@ -330,14 +366,16 @@ def member(data: bytes) -> bytes:
 
 
 def page_record(row: dict) -> bytes:
-    """A response, or a revisit without payload, from record_type, record_id, target_uri, date, payload, payload_digest (hex), refers_to."""
+    """A response, or a revisit without payload, from record_type, record_id, target_uri, date, payload, payload_digest (hex), payload_bytes
+    and refers_to."""
     payload = bytes(row.get("payload") or b"")
     clean = re.sub(r"[\x00-\x20\x7f]", "%20", row["target_uri"]) if row.get("target_uri") else None
     headers = {"WARC-Target-URI": clean, "WARC-Date": row["date"], "WARC-Payload-Digest": "sha1:" + base64.b32encode(bytes.fromhex(row["payload_digest"])).decode()}
     if row["record_type"] == "revisit":
         headers |= {"WARC-Refers-To": f"<{row['refers_to']}>", "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"}
     headers["Content-Type"] = "application/http; msgtype=response"
-    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    length = row["payload_bytes"] if row["record_type"] == "revisit" else len(payload)
+    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n\r\n".encode()
     return record(row["record_type"], row["record_id"], block if row["record_type"] == "revisit" else block + payload, {k: v for k, v in headers.items() if v})
 
 
@@ -369,32 +407,43 @@ def page_records(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFr
     page_id is a response, the others revisit it; smaller payloads are all responses.
 
     A null html is an empty payload. Rows that share the largest page_id are all responses. A page without page_id is a
-    response of its own when no page with one has its payload. An empty table gives no records.
+    response of its own when no page with one has its payload. An empty table gives no records. Other columns do not matter.
+
+    Which pages are revisits is found on page_id and digest alone, a hot digest spread over tasks. Only pages that a sieve takes for
+    revisits go through a join with their payload, by page_id and digest, so no payload follows its digest into one task.
     """
-    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("target_uri"), payload.alias("payload")).withColumn("payload_digest", F.sha1("payload"))
-    large = F.octet_length("payload") >= SMALL_PAYLOAD
-    last = base.where(large).groupBy("payload_digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    joined = base.join(last, "payload_digest", "left")
-    again = large & F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
+    html = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
+    base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("target_uri"), html.alias("payload")).withColumns({"payload_digest": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("long")})
+    large = base.where(F.col("payload_bytes") >= SMALL_PAYLOAD).select("page_id", "payload_digest")
+    last = large.groupBy("payload_digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1 AND last IS NOT NULL").drop("n")
+    again = cut(spread_join(large, last, ["payload_digest"], F.col("page_id")).where(~F.col("page_id").eqNullSafe(F.col("last"))).select(F.col("page_id").alias("again_id"), F.col("payload_digest").alias("again_digest"), "last").distinct(), "warc-revisits")
+    parted = sifted(base, F.xxhash64("page_id", "payload_digest"), sieve(again.select(F.xxhash64("again_id", "again_digest").alias("at")), again.count()))
+    joined = parted.where("_likely").join(again, F.col("page_id").eqNullSafe(F.col("again_id")) & (F.col("payload_digest") == F.col("again_digest")), "left").drop("again_id", "again_digest")
+    both = joined.unionByName(parted.where("NOT _likely").withColumn("last", F.lit(None).cast("long")))
+    revisit = F.col("last").isNotNull()
     name = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(c.cast("string"), F.lit("")))
-    return joined.select(
-        F.when(again, "revisit").otherwise("response").alias("record_type"),
+    return both.select(
+        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         name(F.col("page_id")).alias("record_id"),
         "target_uri",
         F.lit(date).alias("date"),
         "payload_digest",
-        "payload",
-        F.when(again, name(F.col("last"))).alias("refers_to"),
+        "payload_bytes",
+        F.when(~revisit, F.col("payload")).alias("payload"),
+        F.when(revisit, name(F.col("last"))).alias("refers_to"),
     )
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
+    """Write the records of page_records() to archives below path, one for each task, beside what is there. A page that cannot be
+    written fails the job, and no file of it stays. No pages leave archives without page records."""
     register(pages.sparkSession)
     page_records(pages).write.format("warc").mode("append").save(path)
 
 
 def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+    """All records of the archives (.warc, .warc.gz) below path, warcinfo and others too, see SCHEMA; header fields that a record lacks are
+    null. Without payload, its column is null and payload_bytes stands. A folder without archives gives no rows."""
     register(spark)
     return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
 
@@ -404,7 +453,8 @@ def page_digests(records: DataFrame) -> DataFrame:
     from the payloads themselves, revisits' from their headers."""
     number = lambda c: F.nullif(F.regexp_extract(c, "^urn:page:(-?[0-9]*)$", 1), F.lit("")).cast("long")
     response = F.col("record_type") == "response"
-    return records.where(F.col("record_type").isin("response", "revisit")).select(
+    # both predicates reach the reader: type and id are known from the headers, and other records' blocks are not decoded
+    return records.where(F.col("record_type").isin("response", "revisit") & F.col("record_id").startswith("urn:page:")).select(
         number(F.col("record_id")).alias("page_id"),
         F.when(response, F.octet_length("payload")).otherwise(F.col("payload_bytes")).cast("long").alias("payload_bytes"),
         F.when(response, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),

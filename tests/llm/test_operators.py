@@ -379,6 +379,39 @@ def test_foreign_archives(tmp_path, spark):
     assert len(got) == 6 and {(r.payload_digest, bytes(r.payload), r.headers["x-long"], r.headers["http-server"]) for r in got} == {(hashlib.sha1(b"hello").hexdigest(), b"hello", "a b", "x")}
 
 
+def test_plain_archives_in_ranges(tmp_path, spark):
+    """Every record is read once, whatever the ranges; a record's text inside a block is no record."""
+    blocks = [random.Random(i).randbytes(i * 700) + b"\r\n\r\n" * (i % 2) for i in range(12)]
+    nested = b"".join(warc.record("resource", f"urn:in:{i}", b"inner", {}) for i in range(40))
+    blocks[3], blocks[8] = b"\r\n\r\n" + nested, nested[:-1500]
+    (tmp_path / "a.warc").write_bytes(b"".join(warc.record("resource", f"urn:x:{i}", b, {}) for i, b in enumerate(blocks)))
+    for step in (100, 777, 5000, 1 << 20):
+        got = spark.read.format("warc").option("rangebytes", str(step)).load(str(tmp_path)).select("record_id", "payload") if step == 5000 else None
+        reader = warc.WarcReader({"path": str(tmp_path), "rangebytes": step})
+        rows_ = [r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+        assert [(r["record_id"], r["payload"]) for r in rows_] == [(f"urn:x:{i}", b) for i, b in enumerate(blocks)]
+        assert got is None or got.count() == 12
+
+
+def test_bad_headers(tmp_path):
+    import gzip
+
+    good = [warc.record("resource", f"urn:x:{i}", b"block %d" % i, {}) for i in range(3)]
+    bad = [good[0], good[1].replace(b"Content-Length: 7", b"Content-Length: seven"), good[2]]
+    lost = [good[0], good[1].replace(b"Content-Length: 7\r\n", b""), good[2]]
+    wrong = [good[0].replace(b"Content-Length: 7", b"Content-Length: 3"), good[1]]
+    for name, parts in (("bad", bad), ("lost", lost)):
+        (tmp_path / f"{name}.warc").write_bytes(b"".join(parts))
+        (tmp_path / f"{name}.warc.gz").write_bytes(gzip.compress(b"".join(parts[:2])) + gzip.compress(parts[2]))
+    reader = warc.WarcReader({"path": str(tmp_path)})
+    got = [(r["record_id"], r["block_bytes"], r["payload"].rstrip(b"\r\n")) for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+    assert got == 4 * [("urn:x:0", 7, b"block 0"), ("urn:x:1", None, b"block 1"), ("urn:x:2", 7, b"block 2")]
+    (tmp_path / "wrong.warc").write_bytes(b"".join(wrong))
+    reader = warc.WarcReader({"path": str(tmp_path / "wrong.warc")})
+    with pytest.raises(ValueError, match="no record at byte"):
+        [b for p in reader.partitions() for b in reader.read(p)]
+
+
 def test_many_records_in_a_member(tmp_path, spark):
     import gzip
 
