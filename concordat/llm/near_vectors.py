@@ -21,7 +21,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.common import components, cut, ship
+from concordat.llm.common import components, cut, ship, sieve, sifted
 from concordat.llm.vectors import group_changes, inner, matrix, rotate, usable, whole_groups
 
 TABLES, LETTERS, PROBES, BLOCK = 4, 3, 16, 1024
@@ -29,7 +29,7 @@ _RUNNERS = 6
 
 
 def codes(x: np.ndarray, tables: int = TABLES, probes: int = PROBES) -> np.ndarray:
-    """For each row its bucket numbers, tables x probes of them; a table's own bucket comes first."""
+    """For each row its bucket numbers, tables x probes of them, all different but for -1 where there are no more; a table's own bucket comes first."""
     n, out = len(x), []
     mixes = np.array(list(product(range(_RUNNERS), repeat=LETTERS)))
     for t in range(tables):
@@ -47,7 +47,7 @@ def codes(x: np.ndarray, tables: int = TABLES, probes: int = PROBES) -> np.ndarr
         for k in range(LETTERS):
             code = code * (2 * y.shape[1]) + letters[k][np.arange(n)[:, None], pick[:, :, k]]
         if code.shape[1] < probes:  # short vectors have fewer letters
-            code = np.hstack([code, np.repeat(code[:, :1], probes - code.shape[1], axis=1)])
+            code = np.hstack([code, np.full((n, probes - code.shape[1]), -1)])
         out.append(code)
     return np.hstack(out)
 
@@ -78,11 +78,14 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, tables: int = TABLES,
                     yield pa.RecordBatch.from_arrays([*some.columns, lists], names=["rep", "label", "copies", "embedding", "codes"])
 
     index = cut(counts.select("rep", "label", "copies", "embedding").mapInArrow(hashed, "rep long, label string, copies long, embedding array<double>, codes array<long>"), "vector-codes")
-    posts = index.select("rep", "label", F.size("embedding").alias("dims"), F.posexplode(F.col("codes")).alias("at", "code")).groupBy("rep", "label", "dims", "code").agg(F.min(F.pmod("at", F.lit(probes))).alias("probe"))
     bucket = ["label", "dims", "code"]
+    posts = index.select("rep", "label", F.size("embedding").alias("dims"), F.posexplode("codes").alias("at", "code")).where("code >= 0").withColumn("own", F.pmod("at", F.lit(probes)) == 0).drop("at")
+    # most probes meet a bucket that is no vector's own: a sieve of the own buckets keeps them out of the shuffle
+    own = posts.where("own").select(F.xxhash64(*bucket).alias("at")).distinct()
+    posts = sifted(posts, F.xxhash64(*bucket), sieve(own, index.count() * tables)).where("_likely").drop("_likely")
     # a bucket of more than BLOCK vectors is cut into blocks by a hash; each pair of blocks is a task's worth
-    sizes = posts.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n"), F.min("probe").alias("least")).where("n > 1 AND least = 0").select(*bucket, F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    mine = posts.join(sizes, bucket).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    sizes = posts.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n"), F.bool_or("own").alias("own")).where("n > 1 AND own").select(*bucket, F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    mine = posts.drop("own").join(sizes, bucket).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     pairs = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*bucket, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep")
     bundle = F.xxhash64(*bucket, "i", "j").alias("bundle")
     together = pairs.join(index.select("rep", "copies", "embedding", "codes"), "rep").select(bundle, "code", "i", "j", "block", "rep", "copies", "embedding", "codes").repartition("bundle").sortWithinPartitions("bundle", "code", "i", "j")
