@@ -34,12 +34,12 @@ def shared_out(nodes: DataFrame, parent: list[str], budget: Column) -> DataFrame
 
 def leaf_targets(stats: DataFrame, weights: dict[str, Column], total: float, max_epochs: int) -> DataFrame:
     """Targets of the leaves. stats: one column for each level (the keys of weights), tokens (long); weights are expressions over a
-    level's columns and those above it, with positive whole values."""
+    level's columns and those above it, with whole values; a weight that is null or below one counts as one."""
     levels = list(weights)
     nodes = None
     for k, name in enumerate(levels):
         path = levels[: k + 1]
-        here = stats.groupBy(*path).agg((F.sum("tokens") * max_epochs).alias("cap")).withColumns({"weight": weights[name].cast("long"), "node": F.col(name)})
+        here = stats.groupBy(*path).agg((F.sum("tokens") * max_epochs).alias("cap")).withColumns({"weight": F.greatest(F.coalesce(weights[name].cast("long"), F.lit(1)), F.lit(1)), "node": F.col(name)})
         if nodes is None:
             got = shared_out(here.withColumn("_root", F.lit(0)), ["_root"], F.lit(float(total)))
         else:
@@ -48,8 +48,8 @@ def leaf_targets(stats: DataFrame, weights: dict[str, Column], total: float, max
     return nodes.withColumnRenamed("budget", "target")
 
 
-def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, Column], share: float, max_epochs: int, seed: int = 17) -> DataFrame:
-    """Choose documents so that the leaves' tokens meet their targets: doc_id, the levels, tokens, epoch, leaf_target.
+def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, Column], share: float, max_epochs: int, seed: int = 17, carry: dict[str, Column] | None = None) -> DataFrame:
+    """Choose documents so that the leaves' tokens meet their targets: doc_id, the levels, tokens, epoch, leaf_target, and what to carry.
 
     levels: name -> expression, from the root's children to the leaves; nulls count as ''. tokens are a quarter of the text's
     bytes, rounded up (null: 0). The total budget is share x all tokens. A row of the result is a document in an epoch. A leaf's
@@ -57,8 +57,8 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, Column],
     is taken. Ties go by doc_id and tokens. Rows that repeat a doc_id are each a document. Documents without tokens cost
     nothing and are taken with the prefix they stand in. An empty table gives no rows.
     """
-    names = list(levels)
-    narrow = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.coalesce(e.cast("string"), F.lit("")).alias(n) for n, e in levels.items()), F.ceil(F.coalesce(F.octet_length("text"), F.lit(0)) / 4).cast("long").alias("tokens")), "mix-documents")
+    names, more = list(levels), carry or {}
+    narrow = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(e.alias(n) for n, e in more.items()), *(F.coalesce(e.cast("string"), F.lit("")).alias(n) for n, e in levels.items()), F.ceil(F.coalesce(F.octet_length("text"), F.lit(0)) / 4).cast("long").alias("tokens")), "mix-documents")
     stats = cut(narrow.groupBy(*names).agg(F.sum("tokens").alias("tokens")), "mix-leaves")
     total = stats.agg(F.sum("tokens")).first()[0] or 0  # one row
     targets = leaf_targets(stats, weights, total * share, max_epochs).join(stats.withColumnRenamed("tokens", "_leaf"), names)
@@ -76,7 +76,7 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[str, Column],
     running = bucketed.repartition(*part).withColumn("_in", F.sum("tokens").over(inside)).join(offsets.repartition(*part), part)
     last = F.when(F.col("_in") + F.col("_before") <= F.col("_rest"), F.col("_whole")).otherwise(F.col("_whole") - 1)
     epochs = F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda e: (e <= last) & (e < max_epochs))
-    return running.select("doc_id", *names, "tokens", F.explode(epochs).alias("epoch"), F.col("target").alias("leaf_target"))
+    return running.select("doc_id", *names, "tokens", F.explode(epochs).alias("epoch"), F.col("target").alias("leaf_target"), *more)
 
 
 def domain_of(source: Column) -> Column:

@@ -119,7 +119,8 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Stumps, Stumps] | None:
     """
     ship(docs.sparkSession)
     some = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL").select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic"))
-    some = some.dropDuplicates(["label_id"]).orderBy(F.xxhash64("label_id"), "label_id").limit(MAX_LABELLED)
+    # of labels that contradict each other the worse holds
+    some = some.groupBy("label_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")).orderBy(F.xxhash64("label_id"), "label_id").limit(MAX_LABELLED)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,19 +162,19 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Stumps, Stumps] | None:
 
 
 def evidence(docs: DataFrame, models: tuple[Stumps, Stumps] | None, host: Column, path: Column) -> DataFrame:
-    """doc_id, host, path, quality and toxic (chances from the text alone) and n_words (0 or 1: whether there are any)."""
+    """doc_id, text_hash, host, path, quality and toxic (chances from the text alone) and n_words (0 or 1: whether there are any)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good, bad, n = [], [], []
-            for numbers, distinct, _ in measure(batch.column(3)):
+            for numbers, distinct, _ in measure(batch.column(4)):
                 good.append(models[0].chance(numbers, distinct) if models else 0.5)
                 bad.append(models[1].chance(numbers, distinct) if models else 0.0)
                 n.append(int(numbers[7] > 0))
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(good, pa.float64()), pa.array(bad, pa.float64()), pa.array(n, pa.int64())], names=["doc_id", "host", "path", "quality", "toxic", "n_words"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(good, pa.float64()), pa.array(bad, pa.float64()), pa.array(n, pa.int64())], names=["doc_id", "text_hash", "host", "path", "quality", "toxic", "n_words"])
 
     keys = [F.coalesce(c.cast("string"), F.lit("")).alias(n) for c, n in ((host, "host"), (path, "path"))]
-    raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keys, "text").mapInArrow(run, "doc_id long, host string, path string, quality double, toxic double, n_words long")
+    raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), *keys, "text").mapInArrow(run, "doc_id long, text_hash long, host string, path string, quality double, toxic double, n_words long")
     inside = lambda c: F.least(F.greatest(F.col(c), F.lit(EDGE)), F.lit(1 - EDGE))
     return raw.withColumns({c: inside(c) for c in ("quality", "toxic")})
 
@@ -192,7 +193,7 @@ def strength(n: float, groups: int, squares: float, between: float, within: floa
 
 
 def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
-    """doc_id, host, path, quality, toxic (posterior chances), host_quality, path_quality (rates without the document) and kept.
+    """doc_id, text_hash, host, path, quality, toxic (posterior chances), host_quality, path_quality (rates without the document) and kept.
 
     kept: quality at least one half and toxicity below it. A text that is null or has no words is not kept. Null hosts and
     paths are the group ''. Rows that repeat a doc_id each count. Without labels every text with words has evidence 0.5 and is
@@ -232,10 +233,16 @@ def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Dat
         joined = joined.withColumn(name, column)
     # with no labels the posterior is a half up to rounding
     kept = (F.col("n_words") > 0) & (F.col("post_quality") >= 0.5 - 1e-9) & (F.col("post_toxic") < 0.5)
-    return joined.select("doc_id", "host", "path", F.col("post_quality").alias("quality"), F.col("post_toxic").alias("toxic"), "host_quality", "path_quality", kept.alias("kept"))
+    return joined.select("doc_id", "text_hash", "host", "path", F.col("post_quality").alias("quality"), F.col("post_toxic").alias("toxic"), "host_quality", "path_quality", kept.alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that score() keeps, by source as host and language as path. Rows without doc_id go."""
+    """The documents that score() keeps, by source as host and language as path. Rows without doc_id go.
+
+    Rows that repeat a doc_id with another text are each judged; of rows that repeat both, which may have different sources, all
+    stay if one does. All columns of docs pass through, whatever their names.
+    """
     found = score(docs, labels, F.col("source"), F.col("lang"))
-    return docs.join(found.where("kept").select(F.col("doc_id").alias("_kept")).distinct(), F.col("doc_id").cast("long") == F.col("_kept"), "left_semi").select(*docs.columns)
+    good = found.where("kept").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).distinct()
+    base = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_d"), F.xxhash64("text").alias("_t"))
+    return base.join(good, ["_d", "_t"], "left_semi").select("_row.*")

@@ -655,6 +655,60 @@ def test_quality_of_odd_rows(spark):
     assert len(rows(quality.score(d.withColumn("source", F.lit(None).cast("string")), odd, F.col("source"), F.col("lang")))) == 5
     assert rows(quality.score(d.limit(0), none, F.col("source"), F.col("lang"))) == []
     assert [r.doc_id for r in quality.keep_good(d, none).orderBy("doc_id").collect()] == [0, 4]
+    twice = docs(spark, "some plain words", "***", ids=[3, 3]).select("*", *(F.lit(c).alias(c) for c in CLASHES))
+    assert [(r.text, r["_d"], r["_row"]) for r in quality.keep_good(twice, none).collect()] == [("some plain words", "_d", "_row")]
+
+
+def plain_posteriors(evidence):
+    """Hierarchical empirical Bayes row by row, from (host, path, chance) of rows with words: {row: (host rate, path rate, posterior)}."""
+    n = len(evidence)
+    mean = sum(x for _, _, x in evidence) / n
+    groups = {}
+    for h, p, x in evidence:
+        groups.setdefault(h, {}).setdefault(p, []).append(x)
+    by_host = {h: [x for xs in ps.values() for x in xs] for h, ps in groups.items()}
+
+    def worth(total, parts, between, within, squares):
+        if parts < 2 or total <= parts:
+            return 1e6
+        variance = (between / (parts - 1) - within / (total - parts)) / ((total - squares) / (parts - 1))
+        return min(1e6, max(1.0, mean * (1 - mean) / variance - 1)) if variance > 0 else 1e6
+
+    host_mean = {h: sum(xs) / len(xs) for h, xs in by_host.items()}
+    between = sum(len(xs) * (host_mean[h] - mean) ** 2 for h, xs in by_host.items())
+    within = sum((x - host_mean[h]) ** 2 for h, xs in by_host.items() for x in xs)
+    a = worth(n, len(by_host), between, within, sum(len(xs) ** 2 for xs in by_host.values()) / n)
+    paths = [(h, xs) for h, ps in groups.items() for xs in ps.values()]
+    between = sum(len(xs) * (sum(xs) / len(xs) - host_mean[h]) ** 2 for h, xs in paths)
+    within = sum((x - sum(xs) / len(xs)) ** 2 for _, xs in paths for x in xs)
+    lost = len(by_host) - 1
+    b = worth(n - lost, len(paths) - lost, between, within, sum(len(xs) ** 2 / len(by_host[h]) for h, xs in paths) - lost)
+    odds = lambda p: math.log(p / (1 - p))
+    inside = lambda p: min(1 - quality.EDGE, max(quality.EDGE, p))
+    out = []
+    for h, p, x in evidence:
+        mine, here = by_host[h], groups[h][p]
+        host = inside((sum(mine) - x + a * mean) / (len(mine) - 1 + a))
+        path = inside((sum(here) - x + b * host) / (len(here) - 1 + b))
+        out.append((host, path, 1 / (1 + math.exp(-(odds(x) + odds(path) - odds(mean))))))
+    return out
+
+
+def test_quality_against_plain_shrinkage(spark, tiny, monkeypatch):
+    d = spark.read.parquet(f"{tiny}/documents.parquet")
+    rng = random.Random(9)
+    chances = {r.doc_id: (rng.choice("abcd"), rng.choice("xyz"), rng.betavariate(3, 1), rng.betavariate(1, 9)) for r in d.collect()}
+    table = [(i, 0, h, p, min(1 - 1e-4, max(1e-4, q + 0.1 * (h == "a") - 0.1)), max(1e-4, t), 1) for i, (h, p, q, t) in chances.items()]
+    fake = spark.createDataFrame(table, "doc_id long, text_hash long, host string, path string, quality double, toxic double, n_words long")
+    monkeypatch.setattr(quality, "evidence", lambda *_: fake)
+    monkeypatch.setattr(quality, "train", lambda *_: None)
+    got = {r.doc_id: r for r in quality.score(d, None, F.col("source"), F.col("lang")).collect()}
+    good, bad = plain_posteriors([(r[2], r[3], r[4]) for r in table]), plain_posteriors([(r[2], r[3], r[5]) for r in table])
+    for row, (host, path, post), (_, _, toxic) in zip(table, good, bad, strict=True):
+        r = got[row[0]]
+        assert (r.host_quality, r.path_quality, r.quality, r.toxic) == pytest.approx((host, path, post, toxic), rel=1e-6)
+        assert r.kept == (post >= 0.5 and toxic < 0.5)
+    assert len({round(g[0], 3) for g in good}) > 3
 
 
 def test_shrinkage():
