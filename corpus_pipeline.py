@@ -15,31 +15,40 @@ from concordat.llm.common import cut
 MIX_SHARE = 0.9  # of the tokens that reach the mixing stage
 
 
+# Every stage: rows that repeat a doc_id with another text are documents of their own, other columns pass through whatever their
+# names, texts are taken whole, and an empty table stays empty.
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go; so do those without words."""
+    """Documents that the quality classifier rejects go; so do those without words or without doc_id, and null texts."""
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated and nearly repeated lines go from all but their first document; a document of which nothing is left goes whole."""
+    """Repeated and nearly repeated lines go from all but their first document; a document of which nothing is left goes whole. Null texts
+    and rows without doc_id stay as they are."""
     cleaned = lines.dedup_lines(docs)
     return cleaned.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S")).select(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
+    """Of each group of near copies the document with the smallest doc_id stays. Null and blank texts and rows without doc_id are no copies."""
     return near_dedup.drop_near(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources meet their weights within MIX_SHARE of the tokens; no document is taken twice."""
+    """Sources meet their weights within MIX_SHARE of the tokens; no document is taken twice. A null source or language is the group ''; null
+    texts cost no tokens; rows without doc_id go."""
     levels, weights = mixing.document_tree()
-    chosen = mixing.mix(docs, levels, weights, share=MIX_SHARE, max_epochs=1)
-    return docs.join(chosen.select(F.col("doc_id").alias("_chosen")).distinct(), F.col("doc_id").cast("long") == F.col("_chosen"), "left_semi").select(*docs.columns)
+    chosen = mixing.mix(docs, levels, weights, share=MIX_SHARE, max_epochs=1, carry={"text_hash": F.xxhash64("text")})
+    taken = chosen.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).distinct()
+    base = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_d"), F.xxhash64("text").alias("_t"))
+    return base.join(taken, ["_d", "_t"], "left_semi").select("_row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 tokens: sequence_id, ids, and doc_ids, pieces, offsets of the pieces in it."""
+    """Sequences of at most 1024 tokens: sequence_id, ids, and doc_ids, pieces, offsets of the pieces in it. A null text is
+    empty."""
     return packing.sequences(packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), with_ids=True))
 
 
