@@ -10,7 +10,9 @@ import html
 import re
 import sys
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,7 +44,8 @@ IMPLIED = {
     "rp": ({"rt", "rp"}, {"ruby"}),
 }
 SCOPE = frozenset("table td th caption html template object button".split())
-HIDDEN = frozenset("head script style template noscript noembed noframes iframe object audio video canvas svg math datalist title meta link param map area rp".split())
+HIDDEN = frozenset("head script style template noscript noembed noframes iframe object audio video canvas datalist title meta link param area rp".split())
+HIDDEN_IN_DRAWINGS = frozenset("desc defs metadata symbol clippath mask pattern annotation annotation-xml".split())  # within svg and math
 # blocks with the number of blank lines around them
 BLOCKS = dict.fromkeys("address article aside body center div details dialog dd dt fieldset figcaption footer form header hgroup html legend li main nav optgroup option search section summary tr caption thead tbody tfoot".split(), 0)
 BLOCKS |= dict.fromkeys("blockquote dl dir figure h1 h2 h3 h4 h5 h6 hr menu ol p pre listing xmp plaintext table ul".split(), 1)
@@ -158,14 +161,110 @@ def parse(text: str) -> Element:
     return root
 
 
-def visible(e: Element) -> bool:
-    a = e.attributes
-    if e.name in HIDDEN or ("hidden" in a and a["hidden"].lower() != "until-found") or (e.name == "dialog" and "open" not in a):
-        return False
-    if e.name == "input":
-        return a.get("type", "text").lower() != "hidden"
-    style = re.sub(r"\s|/\*.*?\*/", "", a.get("style", "").lower()) if "style" in a else ""
-    return not re.search(r"(^|;)(display:none|visibility:(hidden|collapse)|content-visibility:hidden)(!important)?(;|$)", style)
+_RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
+_SIMPLE = re.compile(r"([a-z][\w-]*|\*)?((?:[.#][\w-]+)*)")
+_STYLE = re.compile(r"(?:^|;)(display|visibility|content-visibility):([a-z-]+)(!important)?(?=;|$)")
+
+
+def declared(text: str) -> list[tuple[str, str, bool]]:
+    """What a list of declarations says of visibility: [(property, value, whether it is important)]."""
+    return [(m[1], m[2], bool(m[3])) for m in _STYLE.finditer(re.sub(r"/\*.*?\*/|\s", "", text.lower(), flags=re.S))]
+
+
+class Sheet:
+    """The rules of a page's style elements that hide or show, for selectors of one element: a name, classes and an id, in lists.
+
+    Rules for other selectors, and those in @-blocks other than @media all and screen, do not count.
+    """
+
+    def __init__(self, sheets: list[str]):
+        self.rules: dict[str, list[tuple]] = {}  # by id, class or name, the most telling part of the selector
+        for order, (selectors, body) in enumerate(r for t in sheets for r in _rules(t)):
+            if found := declared(body):
+                for selector in selectors.split(","):
+                    m = _SIMPLE.fullmatch(selector.strip())
+                    if m and m[0]:
+                        name, parts = (m[1] or "*").lower(), re.findall(r"[.#][\w-]+", m[2])
+                        ids, classes = (frozenset(p[1:] for p in parts if p[0] == c) for c in "#.")
+                        key = f"#{min(ids)}" if ids else f".{min(classes)}" if classes else name
+                        weight = (len(ids), len(classes), name != "*", order)
+                        self.rules.setdefault(key, []).append((name, ids, classes, weight, found))
+
+    def of(self, e: Element) -> dict[str, str]:
+        """The values that hold for an element, its own style attribute included."""
+        best: dict[str, tuple] = {}
+        a = e.attributes
+        if self.rules:
+            own, classes = a.get("id", ""), a.get("class", "").split()
+            for key in ("*", e.name, *([f"#{own}"] if own else []), *(f".{c}" for c in classes)):
+                for name, ids, wanted, weight, found in self.rules.get(key, ()):
+                    if name in ("*", e.name) and ids <= {own} and wanted <= set(classes):
+                        for prop, value, important in found:
+                            best[prop] = max(best.get(prop, ((),)), ((important, 0, *weight), value))
+        if "style" in a:
+            for prop, value, important in declared(a["style"]):
+                best[prop] = max(best.get(prop, ((),)), ((important, 1), value), key=lambda x: x[0])
+        return {p: v[1] for p, v in best.items()}
+
+
+def _rules(text: str) -> Iterator[tuple[str, str]]:
+    text, at = re.sub(r"/\*.*?(?:\*/|\Z)|<!--|-->", "", text, flags=re.S), 0
+    while at < len(text):
+        m = re.compile(r"[^{};]*[{;}]").match(text, at)
+        if not m:
+            return
+        lead = m[0][:-1].strip()
+        if m[0][-1] != "{":  # @import and the like, or the end of a block that was entered
+            at = m.end()
+        elif lead.startswith("@"):
+            if re.fullmatch(r"@media\s+(only\s+)?(all|screen)", lead, re.I):
+                at = m.end()
+            else:
+                depth, at = 1, m.end()
+                while depth and (k := re.compile("[{}]").search(text, at)):
+                    depth, at = depth + (1 if k[0] == "{" else -1), k.end()
+                if depth:
+                    return
+        else:
+            end = text.find("}", m.end())
+            yield lead, text[m.end() : end if end >= 0 else len(text)]
+            at = end + 1 if end >= 0 else len(text)
+
+
+def strip_hidden(root: Element, sheet: Sheet) -> None:
+    """Take out what is not shown: elements that are never, are not displayed, or are hidden and hold nothing that is shown again.
+
+    Visibility is inherited: a hidden element's texts go, and descendants that say `visible` stay.
+    """
+
+    def keep(e: Element, hidden: bool, drawing: bool) -> bool:
+        a = e.attributes
+        if e.name in HIDDEN or (drawing and e.name in HIDDEN_IN_DRAWINGS) or (e.name == "dialog" and "open" not in a) or (e.name == "input" and a.get("type", "text").lower() == "hidden"):
+            return False
+        said = sheet.of(e)
+        shown = said.get("display", "none" if "hidden" in a and a["hidden"].lower() != "until-found" else "")
+        if shown == "none" or said.get("content-visibility") == "hidden":
+            return False
+        hidden = {"visible": False, "hidden": True, "collapse": True}.get(said.get("visibility", ""), hidden)
+        drawing = drawing or e.name in ("svg", "math")
+        e.children = [c for c in e.children if (not hidden if isinstance(c, str) else keep(c, hidden, drawing))]
+        return not hidden or bool(e.children)
+
+    keep(root, False, False)
+
+
+def page_sheet(e: Element) -> Sheet:
+    found: list[str] = []
+
+    def look(node: Element) -> None:
+        for c in node.children:
+            if isinstance(c, Element):
+                if c.name == "style" and c.attributes.get("media", "all").strip().lower() in ("", "all", "screen") and c.attributes.get("type", "text/css").strip().lower() in ("", "text/css"):
+                    found.append("".join(t for t in c.children if isinstance(t, str)))
+                look(c)
+
+    look(e)
+    return Sheet(found)
 
 
 def width(text: str) -> int:
@@ -255,8 +354,6 @@ def render(e: Element, out: Lines, pre: bool = False) -> None:
     for child in e.children:
         if isinstance(child, str):
             out.text(child, pre)
-        elif not visible(child):
-            continue
         elif child.name == "br":
             out.line(keep=True)
         elif child.name == "hr":
@@ -279,7 +376,7 @@ def render(e: Element, out: Lines, pre: bool = False) -> None:
             listing(child, out, pre)
         elif child.name == "details" and "open" not in child.attributes:
             for inner in child.children:
-                if isinstance(inner, Element) and inner.name == "summary" and visible(inner):
+                if isinstance(inner, Element) and inner.name == "summary":
                     out.gap(0)
                     render(inner, out, pre)
                     out.gap(0)
@@ -323,7 +420,7 @@ def block(e: Element, pre: bool = False) -> list[str]:
 
 def _inside(e: Element, name: str) -> Iterator[Element]:
     for c in e.children:
-        if isinstance(c, Element) and visible(c):
+        if isinstance(c, Element):
             if c.name == name:
                 yield c
             else:
@@ -331,14 +428,12 @@ def _inside(e: Element, name: str) -> Iterator[Element]:
 
 
 def listing(e: Element, out: Lines, pre: bool) -> None:
-    items = [c for c in e.children if isinstance(c, Element) and c.name == "li" and visible(c)]
+    items = [c for c in e.children if isinstance(c, Element) and c.name == "li"]
     down = "reversed" in e.attributes
     k = _int(e.attributes.get("start"), len(items) if down else 1)
     out.gap(1)
     for child in e.children:
         if isinstance(child, Element) and child.name == "li":
-            if not visible(child):
-                continue
             if e.name == "ol":
                 k = _int(child.attributes.get("value"), k)
                 mark = f"{_number(k, child.attributes.get('type', e.attributes.get('type', '1')))}. "
@@ -373,15 +468,12 @@ def table(e: Element, out: Lines, pre: bool) -> None:
                 if c.strip():
                     out.text(c)
                     out.line()
-            elif not visible(c):
-                continue
             elif c.name == "tr":
                 cells = []
                 for d in c.children:
                     if isinstance(d, Element) and d.name in ("td", "th"):
-                        if visible(d):
-                            cells.append(d)
-                    elif isinstance(d, Element) and visible(d) or isinstance(d, str) and d.strip():
+                        cells.append(d)
+                    elif isinstance(d, Element) or d.strip():
                         own = Element("td", {})
                         own.children = [d]
                         cells.append(own)
@@ -396,56 +488,73 @@ def table(e: Element, out: Lines, pre: bool) -> None:
                 out.add(block(wrap, pre))
 
     gather(e, rows)
-    taken: dict[int, int] = {}  # column -> rows that a cell above still covers
-    grid: list[list[tuple[int, int, list[str]]]] = []
+    above: list[list[int]] = []  # [start, end, rows to come] of cells that reach down into the next row, in order, apart from each other
+    grid: list[list[tuple[int, int, list[str]]]] = []  # (first column, column after the last, lines)
     for row in heads + rows + feet:
-        at, line = 0, []
+        at, line, held, reach = 0, [], 0, []
         for cell in row:
-            while taken.get(at, 0) > 0:
-                at += 1
+            while held < len(above) and above[held][0] <= at:
+                at = max(at, above[held][1])
+                held += 1
             wide = min(1000, max(1, _int(cell.attributes.get("colspan"), 1)))
             deep = min(65534, max(1, _int(cell.attributes.get("rowspan"), 1)))
-            line.append((at, wide, block(cell, pre)))
-            for k in range(at, at + wide):
-                taken[k] = max(taken.get(k, 0), deep)
+            line.append((at, at + wide, block(cell, pre)))
+            if deep > 1:
+                reach.append([at, at + wide, deep - 1])
             at += wide
-        taken = {k: n - 1 for k, n in taken.items() if n > 1}
+        # where a wide cell runs over one that reaches down, both keep their columns and the longer reach holds
+        above = _apart(sorted([s, t, n - 1] for s, t, n in above if n > 1) + reach)
         grid.append(line)
-    size = max((at + wide for line in grid for at, wide, _ in line), default=0)
-    if size > 2000:  # a page of nonsense spans: cells one below the other
-        for line in grid:
-            for _, _, text in line:
-                out.add(text)
-        return
+    # columns between two neighbouring edges of cells are as one; they are numbered by their place among all edges
+    edges = {x: i for i, x in enumerate(sorted({x for line in grid for s, t, _ in line for x in (s, t)}))}
+    grid = [[(edges[s], edges[t], text) for s, t, text in line] for line in grid]
+    size = max(len(edges) - 1, 0)
+    gaps = [b - a for a, b in zip(edges, list(edges)[1:], strict=False)]  # plain columns in each
     widths = [0] * size
     for spans in (False, True):
         for line in grid:
-            for at, wide, text in line:
-                if (wide > 1) == spans and text:
-                    need = max(map(width, text)) - sum(widths[at : at + wide]) - 3 * (wide - 1)
-                    if need > 0:
-                        widths[at + wide - 1] += need
+            for s, t, text in line:
+                if (sum(gaps[s:t]) > 1) == spans and any(text):
+                    filled = [k for k in range(s, t) if widths[k]]
+                    need = max(map(width, text)) - sum(widths[k] for k in filled) - 3 * (len(filled) - 1)
+                    if not filled:
+                        widths[s] = need - 3
+                    elif need > 0:
+                        widths[filled[-1]] += need
     used = [k for k in range(size) if widths[k]]
+    sums = [0]
+    for k in used:
+        sums.append(sums[-1] + widths[k])
     for line in grid:
-        for i in range(max((len(text) for _, _, text in line), default=0)):
-            parts, covered = [], {}
-            for at, wide, text in line:
-                covered.update(dict.fromkeys(range(at, at + wide), None))
-                covered[at] = (wide, text[i] if i < len(text) else "")
-            for k in used:
-                if k not in covered:
-                    parts.append(" " * widths[k])
-                elif covered[k]:
-                    wide, text = covered[k]
-                    room = sum(widths[j] for j in used if k <= j < k + wide) + 3 * (sum(k <= j < k + wide for j in used) - 1)
-                    parts.append(text + " " * (room - width(text)))
-                elif not any(covered.get(j) and j + covered[j][0] > k and j in used for j in range(k)):
-                    owner = next(j for j in range(k, -1, -1) if covered.get(j))
-                    if k == min(x for x in used if x >= owner):
-                        wide, text = covered[owner]
-                        room = sum(widths[j] for j in used if owner <= j < owner + wide) + 3 * (sum(owner <= j < owner + wide for j in used) - 1)
-                        parts.append(text + " " * (room - width(text)))
-            out.add([" | ".join(parts)])
+        cells, at = [], 0  # (room, lines) from left to right; columns without a cell are blank
+        for s, t, text in sorted(line, key=lambda c: c[0]):
+            lo, hi = bisect_left(used, s), bisect_left(used, t)
+            cells += [(widths[k], []) for k in used[at:lo]]
+            if max(lo, at) < hi:
+                cells.append((sums[hi] - sums[max(lo, at)] + 3 * (hi - max(lo, at) - 1), text))
+            at = max(at, hi)
+        cells += [(widths[k], []) for k in used[at:]]
+        for i in range(max((len(text) for _, text in cells), default=0)):
+            out.add([" | ".join((text[i] if i < len(text) else "") + " " * (room - (width(text[i]) if i < len(text) else 0)) for room, text in cells)])
+
+
+def _apart(spans: list[list[int]]) -> list[list[int]]:
+    """Spans [start, end, rows] as spans in order that do not overlap; where some do, the most rows count."""
+    spans.sort()
+    if all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False)):
+        return spans
+    out: list[list[int]] = []
+    points = sorted({x for s in spans for x in s[:2]})
+    waiting, k = [], 0  # (-rows, end) of the spans that have begun
+    for lo, hi in zip(points, points[1:], strict=False):
+        while k < len(spans) and spans[k][0] <= lo:
+            heappush(waiting, (-spans[k][2], spans[k][1]))
+            k += 1
+        while waiting and waiting[0][1] <= lo:
+            heappop(waiting)
+        if waiting:
+            out.append([lo, hi, -waiting[0][0]])
+    return out
 
 
 def page_text(page: str | None) -> str:
@@ -453,7 +562,9 @@ def page_text(page: str | None) -> str:
     if not page:
         return ""
     sys.setrecursionlimit(max(sys.getrecursionlimit(), 20 * MAX_DEPTH))
-    return "\n".join(block(parse(page.replace("\0", ""))))
+    root = parse(page.replace("\0", ""))
+    strip_hidden(root, page_sheet(root))
+    return "\n".join(block(root))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -158,12 +158,81 @@ def test_shards_of_little(spark):
         ("<div>" * 3000 + "deep", "deep"),
         ("<b>x</i></b></p>y", "x\n\ny"),
         ("日本<table><tr><td>日本<td>1<tr><td>a<td>2</table>", "日本\n\n日本 | 1\na    | 2"),
+        ("<style>.x, p#y {display : none} @media print{.z{display:none}}</style><p class='w x'>hid<p id=y>hid<p class=z>shown", "shown"),
+        ("<style>p{display:none}.k{display:block}div p{display:none}</style><p>hid<p class=k>shown", "shown"),
+        ("<style>.a{visibility:hidden!important}</style><div class=a style='visibility:visible'>a<b style='visibility:visible'>b</b><i>c</i></div>", "b"),
+        ("<div style='visibility:hidden'><p>x</p></div>y<div hidden style='display:block'>z</div>", "y\nz"),
+        ("<svg><title>t</title><desc>d</desc><text>label</text></svg> <math><mi>x</mi><annotation>n</annotation></math><map name=m>m<area></map>", "label xm"),
+        ("<table><tr>" + "<td colspan=1000>a" * 3 + "<tr><td>b</table>", "a | a | a\nb |   |"),
+        ("<table><tr><td rowspan=3>a<td>b<tr><td rowspan=2 colspan=2>c<tr><td>d</table>", "a | b |\n  | c |\n  |   | d"),
+        ("<table><tr><td colspan=4>only</table>", "only"),
     ],
 )
 def test_rendering(page, text):
     assert html_text.page_text(page) == text
 
 
+def plain_words(page):
+    """Visible words in order by the standard library's parser: names of elements that are never shown, the hidden attribute and inline
+    display:none, over a stack that ends with the outermost element closed."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.open, self.found = [], []
+
+        def handle_starttag(self, tag, attrs):
+            a = dict(attrs)
+            if tag not in html_text.VOID:
+                gone = tag in html_text.HIDDEN or "hidden" in a or "display:none" in (a.get("style") or "").replace(" ", "").lower()
+                self.open.append((tag, gone))
+
+        def handle_endtag(self, tag):
+            names = [t for t, _ in self.open]
+            if tag in names:
+                del self.open[len(names) - 1 - names[::-1].index(tag) :]
+
+        def handle_data(self, data):
+            if not any(g for _, g in self.open):
+                self.found += data.split()
+
+    reader = Reader()
+    reader.feed(page)
+    reader.close()
+    return reader.found
+
+
+def test_rendering_against_a_plain_reader(tiny):
+    """Built pages of every block: all visible words come out, in order, and no hidden one. Pages of the table: the same words."""
+    rng = random.Random(12)
+    at = iter(range(10**6))
+
+    def part(depth):
+        kind = rng.choice(["text", "p", "div", "ul", "table", "hidden", "style", "span", "pre", "dl"]) if depth else "text"
+        word = lambda: f"w{next(at)}"
+        inner = lambda n=3: "".join(part(depth - 1) for _ in range(rng.randint(1, n)))
+        return {
+            "text": lambda: f" {word()} {word()} ",
+            "ul": lambda: "<ul>" + "".join(f"<li>{inner(2)}</li>" for _ in range(3)) + "</ul>",
+            "table": lambda: "<table>" + "".join("<tr>" + "".join(f"<td>{word()}</td>" for _ in range(3)) + "</tr>" for _ in range(2)) + "</table>",
+            "hidden": lambda: f"<div {rng.choice(['hidden', 'style=display:none'])}>{inner()}</div>",
+            "style": lambda: f"<style>.q{next(at)}{{color:red}}</style>",
+            "dl": lambda: f"<dl><dt>{word()}</dt><dd>{inner(2)}</dd></dl>",
+        }.get(kind, lambda: f"<{kind}>{inner() if kind != 'p' else word()}</{kind}>")()
+
+    for _ in range(150):
+        page = "".join(part(3) for _ in range(6))
+        got = [w for w in html_text.page_text(page).split() if w.startswith("w")]
+        assert got == plain_words(page)
+    import pyarrow.parquet as pq
+
+    for page in pq.read_table(f"{tiny}/pages.parquet").column("html").to_pylist():
+        got = re.findall(r"\w{4,}", html_text.page_text(page))
+        want = re.findall(r"\w{4,}", " ".join(plain_words(page)))
+        assert sorted(got) == sorted(want)
+
+
 def test_rendering_keeps_every_visible_word(spark, tiny):
     pages = spark.read.parquet(f"{tiny}/pages.parquet").withColumn("text", F.lit("clash"))
     got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
