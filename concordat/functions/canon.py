@@ -9,16 +9,39 @@ from pyspark.sql import types as T
 NULL = "\\N"
 
 
+def float_text(c: Column) -> Column:
+    """The digits that name a floating-point number and no other: positional from 1e-4 up to 1e16, else as 1.5e+16; nan, inf, -inf, -0.0."""
+    raw = c.cast("string")  # as 1.5E16 from 1e7 on and below 1e-3
+    mantissa, power = F.regexp_replace(F.regexp_extract(raw, "^(.*)E", 1), r"\.0$", ""), F.regexp_extract(raw, "E(-?[0-9]+)$", 1).try_cast("int")
+    sign, digits = F.when(raw.startswith("-"), "-").otherwise(""), F.regexp_replace(mantissa, "[-.]", "")
+    whole = F.concat(sign, F.when(F.length(digits) <= power + 1, F.concat(F.rpad(digits, power + 1, "0"), F.lit(".0"))).otherwise(F.concat(F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, F.length(digits)))))
+    small = F.concat(sign, F.lit("0.000"), digits)
+    wide = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), F.lit("0")))
+    named = F.when(raw == "NaN", "nan").when(raw == "Infinity", "inf").when(raw == "-Infinity", "-inf")
+    return F.when(c.isNull(), None).otherwise(F.coalesce(named, F.when(~raw.contains("E"), raw).when((power >= 0) & (power < 16), whole).when(power == -4, small).otherwise(wide)))
+
+
+def plain_decimal(c: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(c.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+
+
+def utc_text(c: Column, dtype: T.DataType) -> Column:
+    """A time to the microsecond; one with a zone is in UTC, whatever the session's zone."""
+    moved = F.to_utc_timestamp(c, F.current_timezone()) if isinstance(dtype, T.TimestampType) else c
+    return F.date_format(moved, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
 def canonical(c: Column, dtype: T.DataType) -> Column:
-    """Text of a value. Both sides are cast to one type first, so 1 and 1.00 agree; null differs from the empty text."""
+    """Text of a value. Both sides are cast to one type first, so 1 and 1.00 agree; null differs from the empty text.
+
+    Floating-point numbers count by all their digits: no two that differ have one text, NaN equals NaN, and -0.0 is 0.0.
+    """
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        text = c.cast("decimal(38,6)").cast("string")
+        text = float_text(c + F.lit(0).cast(dtype))
     elif isinstance(dtype, T.DecimalType):
-        text = F.regexp_replace(F.regexp_replace(c.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
-    elif isinstance(dtype, T.TimestampType):
-        text = F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    elif isinstance(dtype, T.TimestampNTZType):
-        text = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        text = plain_decimal(c)
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        text = utc_text(c, dtype)
     elif isinstance(dtype, T.BinaryType):
         text = F.sha2(c, 256)
     elif isinstance(dtype, T.StringType):
@@ -51,29 +74,36 @@ def table_digest(df: DataFrame, columns: list[str], *groups: Column) -> DataFram
 
 
 def tagged(c: Column, dtype: T.DataType) -> Column:
-    """A value as tagged JSON, the strict form: {"null":true}, {"bytes":..}, {"decimal":..}, {"datetime":..} or {"value":..}."""
+    """A value as tagged JSON, the strict form: null, bytes_sha256, decimal, datetime (UTC), date, float (all digits), str, and value for
+    whole numbers and booleans."""
     pair = lambda name, v: F.to_json(F.named_struct(F.lit(name), v))
     if isinstance(dtype, T.BinaryType):
-        some = pair("bytes", F.sha2(c, 256))
+        some = pair("bytes_sha256", F.sha2(c, 256))
     elif isinstance(dtype, T.DecimalType):
-        some = pair("decimal", F.regexp_replace(F.regexp_replace(c.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", ""))
+        some = pair("decimal", plain_decimal(c))
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        some = pair("datetime", F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+        some = pair("datetime", utc_text(c, dtype))
     elif isinstance(dtype, T.DateType):
         some = pair("date", c.cast("string"))
+    elif isinstance(dtype, (T.FloatType, T.DoubleType)):
+        some = pair("float", float_text(c))
     elif isinstance(dtype, T.StringType):
-        some = pair("value", F.translate(c, "\0", ""))
+        some = pair("str", F.translate(c, "\0", ""))
+    elif isinstance(dtype, T.BooleanType):
+        some = pair("value", F.initcap(c.cast("string")))
     else:
         some = pair("value", c.cast("string"))
     return F.when(c.isNull(), F.lit('{"null":true}')).otherwise(some)
 
 
 def strict_digest(df: DataFrame, columns: list[str], *groups: Column) -> DataFrame:
-    """rows and an exact digest of sorted tagged rows under a header of column names. Its state is every row of a group: for chunks of
-    bounded size only."""
+    """rows and an exact digest of sorted tagged rows under a header of column names, for each group. Its state is every row of a group, so
+    groups are asked for: chunks of bounded size."""
+    if not groups:
+        raise ValueError("a strict digest holds all rows of a group at once: give it chunks")
     row = F.concat(F.lit("["), F.concat_ws(",", *(tagged(F.col(c), df.schema[c].dataType) for c in columns)), F.lit("]"))
     lines = df.select(*groups, row.alias("_row"))
     names = lines.columns[: len(groups)]
     header = "[" + ",".join(f'"{c.lower()}"' for c in columns) + "]"
-    out = (lines.groupBy(*names) if names else lines).agg(F.count(F.lit(1)).alias("rows"), F.array_sort(F.collect_list("_row")).alias("_rows"))
+    out = lines.groupBy(*names).agg(F.count(F.lit(1)).alias("rows"), F.array_sort(F.collect_list("_row")).alias("_rows"))
     return out.select(*names, "rows", F.sha2(F.concat_ws("\n", F.lit(header), F.array_join("_rows", "\n")), 256).alias("digest"))

@@ -70,14 +70,15 @@ def key_sample(source: DataFrame, target: DataFrame, keys: list[str], side: str,
 def checksum(source: DataFrame, target: DataFrame, columns: list[str], chunk: Column | None = None, strict: bool = False) -> DataFrame:
     """Digests of both sides, for the table or for each chunk, with a status; a chunk of one side only is a MISMATCH.
 
-    Target columns are cast to the source's types first. strict compares exact sorted rows and is for bounded chunks.
+    Target columns are cast to the source's types first; rows without a chunk key are a chunk of their own. strict compares exact sorted
+    rows and needs chunks, of bounded size.
     """
     aligned = target.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in target.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in source.schema))
     digest = strict_digest if strict else table_digest
     # without groups an empty table has a digest too
     one = lambda df: digest(df, columns).withColumn("chunk_key", F.lit("table")) if chunk is None else digest(df, columns, chunk.cast("string").alias("chunk_key"))
     a, b = (one(df).select("chunk_key", F.col("rows").alias(f"row_count_{side}"), F.col("digest").alias(f"{side}_hash")) for df, side in ((source, "source"), (aligned, "target")))
-    both = a.join(b, "chunk_key", "full_outer")
+    both = a.join(b.withColumnRenamed("chunk_key", "_chunk"), F.col("chunk_key").eqNullSafe(F.col("_chunk")), "full_outer").withColumn("chunk_key", F.coalesce("chunk_key", "_chunk"))
     zero = {f"row_count_{s}": F.coalesce(f"row_count_{s}", F.lit(0)) for s in ("source", "target")}
     same = F.coalesce(F.col("source_hash") == F.col("target_hash"), F.lit(False))
     return both.withColumns(zero).select("chunk_key", "source_hash", "target_hash", "row_count_source", "row_count_target", F.when(same, "MATCH").otherwise("MISMATCH").alias("status"))
@@ -110,12 +111,25 @@ def sample_rows(df: DataFrame, keys: list[str], percent: float) -> DataFrame:
     return df.where(F.pmod(h, F.lit(10_000)) < F.lit(int(percent * 100)))
 
 
+REPEATED = "(rows with the key)"
+
+
 def value_diff(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """A row for each common key and column whose values differ: keys, column_name, source_value, target_value (canonical texts)."""
-    texts = lambda df, p: df.select(*keys, *(canonical(F.col(c), df.schema[c].dataType).alias(f"{p}_{c}") for c in columns))
-    both = texts(source, "s").join(texts(target, "t"), keys)
-    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"s_{c}").alias("source_value"), F.col(f"t_{c}").alias("target_value")) for c in columns)))
-    return both.select(*keys, cells.alias("x")).select(*keys, "x.*").where("source_value <> target_value")
+    """A row for each common key and column whose values differ: keys, column_name, source_value, target_value (canonical texts).
+
+    Target columns are cast to the source's types first, and null keys equal null keys. Rows of a key that a side has more than once cannot be paired: such a
+    key gives one row, with column_name REPEATED and the numbers of rows. One aggregation by key, combined before the shuffle.
+    """
+    types = source.schema
+    cells = lambda df: F.array(*(canonical(F.col(c).cast(types[c].dataType), types[c].dataType) for c in columns))
+    texts = lambda df, side: df.select(*(F.col(k).cast(types[k].dataType).alias(k) for k in keys), F.lit(side).alias("_side"), cells(df).alias("_cells"))
+    of = lambda side, c: F.when(F.col("_side") == side, c)
+    both = texts(source, 0).unionByName(texts(target, 1)).groupBy(*keys).agg(*(f.alias(f"_{n}{side}") for side in (0, 1) for n, f in (("n", F.count(of(side, F.lit(1)))), ("c", F.max(of(side, F.col("_cells")))))))
+    once = (F.col("_n0") == 1) & (F.col("_n1") == 1)
+    row = lambda name, a, b: F.struct(F.lit(name).alias("column_name"), a.alias("source_value"), b.alias("target_value"))
+    apart = F.filter(F.array(*(row(c, F.col("_c0")[i], F.col("_c1")[i]) for i, c in enumerate(columns))), lambda x: x["source_value"] != x["target_value"])
+    rows = F.when(once, apart).otherwise(F.array(row(REPEATED, F.col("_n0").cast("string"), F.col("_n1").cast("string"))))
+    return both.where("_n0 > 0 AND _n1 > 0").select(*keys, F.explode(rows).alias("_x")).select(*keys, "_x.*")
 
 
 def value_diff_by_column(diff: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from concordat.functions import canon, text
 from concordat.functions.types import assessed, source_label, suggested_type, target_label
 from concordat.model import Incremental, TableSpec
 from concordat.operators import chunks, incremental, long_columns, mapping, objects, profile, reconcile, schema_diff, sequences, upsert
-from concordat.plans import load, queryperf, reports
+from concordat.plans import audit, load, queryperf, reports
 from concordat.sources import catalog, files, versions
 from concordat.streaming import ledger, upsert_stream
 
@@ -114,7 +114,7 @@ def rowcount_fast_footer(spark, sf):
 # ---- digests
 
 _TS = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f')"
-_MONEY = "coalesce(CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR), '\\N')"
+_MONEY = "coalesce(CAST({c} AS VARCHAR), '\\N')"
 _TXT = "coalesce(replace({c}, '\\', '\\\\'), '\\N')"
 _NUM = "coalesce(CAST({c} AS VARCHAR), '\\N')"
 _ROW = "sha256(concat_ws(chr(31), " + ", ".join([_NUM.format(c="o_orderkey"), _NUM.format(c="o_custkey"), _TXT.format(c="o_orderstatus"), _MONEY.format(c="o_totalprice"), f"coalesce({_TS.format(c='o_orderdate')}, '\\N')", _TXT.format(c="o_orderpriority")]) + "))"
@@ -148,12 +148,13 @@ def checksum_summary(spark, sf):
     return reconcile.checksum_summary(reconcile.checksum(*pair(spark, sf), _COLS, chunks.chunk_of("o_orderkey", 1000, 0)))
 
 
-_STRICT = "'[' || concat_ws(',', '{\"value\":\"' || o_orderkey || '\"}', '{\"value\":\"' || o_orderstatus || '\"}', '{\"datetime\":\"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || '\"}') || ']'"
+_STRICT = "'[' || concat_ws(',', '{\"value\":\"' || o_orderkey || '\"}', '{\"value\":\"' || o_custkey || '\"}', '{\"str\":\"' || o_orderstatus || '\"}', '{\"float\":\"' || o_totalprice || '\"}', '{\"datetime\":\"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || '\"}', '{\"str\":\"' || o_orderpriority || '\"}', CASE WHEN o_orderkey % 3 = 0 THEN '{\"null\":true}' ELSE '{\"decimal\":\"' || rtrim(rtrim(CAST(CAST(o_totalprice AS DECIMAL(18,4)) AS VARCHAR), '0'), '.') || '\"}' END, '{\"value\":\"' || CASE WHEN o_orderkey % 2 = 0 THEN 'True' ELSE 'False' END || '\"}', '{\"bytes_sha256\":\"' || sha256(o_orderpriority) || '\"}') || ']'"
 
 
-@query(f"SELECT o_orderkey // 500 AS chunk_id, count(*) AS rows, sha256('[\"o_orderkey\",\"o_orderstatus\",\"o_orderdate\"]' || chr(10) || string_agg(r, chr(10) ORDER BY r COLLATE C)) AS digest FROM (SELECT o_orderkey, {_STRICT} AS r FROM orders) GROUP BY 1".replace(" COLLATE C", ""))
+@query(f"SELECT o_orderkey // 500 AS chunk_id, count(*) AS rows, sha256('[\"o_orderkey\",\"o_custkey\",\"o_orderstatus\",\"o_totalprice\",\"o_orderdate\",\"o_orderpriority\",\"maybe\",\"even\",\"raw\"]' || chr(10) || string_agg(r, chr(10) ORDER BY r COLLATE C)) AS digest FROM (SELECT o_orderkey, {_STRICT} AS r FROM orders) GROUP BY 1".replace(" COLLATE C", ""))
 def checksum_strict_stream_chunk(spark, sf):
-    return canon.strict_digest(table(spark, sf, "orders"), ["o_orderkey", "o_orderstatus", "o_orderdate"], chunks.chunk_of("o_orderkey", 500, 0).alias("chunk_id"))
+    o = table(spark, sf, "orders").withColumns({"maybe": F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice").cast("decimal(18,4)")), "even": F.col("o_orderkey") % 2 == 0, "raw": F.col("o_orderpriority").cast("binary")})
+    return canon.strict_digest(o, [*_COLS, "maybe", "even", "raw"], chunks.chunk_of("o_orderkey", 500, 0).alias("chunk_id"))
 
 
 @query("SELECT count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS keys FROM lineitem WHERE CAST(('0x' || substr(md5(concat_ws(chr(31), CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))), 1, 8)) AS BIGINT) % 10000 < 500")
@@ -174,6 +175,57 @@ def value_diff_by_column(spark, sf):
     return reconcile.value_diff_by_column(reconcile.value_diff(*pair(spark, sf), ["o_orderkey"], _COLS[1:]))
 
 
+_FLOATS = "(1,'nan','nan'),(2,'nan',NULL),(3,'-0.0','0.0'),(4,'1e-7','0.0'),(5,'1.0000001','1.0000002'),(6,'1e40','1e40'),(7,'1e40','1.0000000000000002e40'),(8,'inf','inf'),(9,'inf','-inf'),(10,'5e-324','0.0'),(11,NULL,NULL),(12,'123456789.5','123456789.5'),(13,'0.1','0.10000000000000002'),(14,'1.7976931348623157e308','1.7976931348623157e308'),(15,'nan','inf')) AS t(id,a,b)"
+
+
+@query(f"SELECT CAST(id AS VARCHAR) AS chunk_key, CASE WHEN CAST(a AS DOUBLE) IS NOT DISTINCT FROM CAST(b AS DOUBLE) THEN 'MATCH' ELSE 'MISMATCH' END AS status FROM (VALUES {_FLOATS}")
+def checksum_float_edges(spark, sf):
+    """NaN, signed zeros, tiny and huge numbers: a digest tells apart whatever differs, and nothing else."""
+    v = values(spark, _FLOATS)
+    one, two = (v.select("id", F.col(c).cast("double").alias("v")) for c in "ab")
+    return reconcile.checksum(one, two, ["id", "v"], F.col("id")).select("chunk_key", "status")
+
+
+@query(f"SELECT id, 'v' AS column_name FROM (VALUES {_FLOATS} WHERE CAST(a AS DOUBLE) IS DISTINCT FROM CAST(b AS DOUBLE)")
+def value_diff_float_edges(spark, sf):
+    v = values(spark, _FLOATS)
+    one, two = (v.select("id", F.col(c).cast("double").alias("v")) for c in "ab")
+    return reconcile.value_diff(one, two, ["id"], ["v"]).select("id", "column_name")
+
+
+@query("SELECT p_partkey, CAST(p_retailprice AS VARCHAR) AS price, CAST(p_retailprice * 1e12 AS VARCHAR) AS large, CAST(p_retailprice / 1e9 AS VARCHAR) AS small, CAST(p_retailprice / 7 AS VARCHAR) AS odd FROM part")
+def float_digits(spark, sf):
+    """All digits of a number, in whole, large, small and periodic values."""
+    c = F.col("p_retailprice")
+    return table(spark, sf, "part").select("p_partkey", canon.float_text(c).alias("price"), canon.float_text(c * 1e12).alias("large"), canon.float_text(c / 1e9).alias("small"), canon.float_text(c / 7).alias("odd"))
+
+
+_NULL_KEY = "CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 5 AS VARCHAR) END"
+
+
+@query(f"{_digests(_NULL_KEY)} {_BOTH.replace('s.k = t.k', 's.k IS NOT DISTINCT FROM t.k')}")
+def checksum_null_chunk(spark, sf):
+    k = F.col("o_orderkey") % 5
+    return reconcile.checksum(*pair(spark, sf), _COLS, F.when(k != 0, k))
+
+
+_REPEAT_S = "s AS (SELECT CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id // 2 * (event_id % 3) END AS k, event_type AS v FROM events)"
+_REPEAT_T = "t AS (SELECT k, CASE WHEN k % 7 = 0 THEN 'other' ELSE v END AS v FROM s)"
+
+
+@query(f"WITH {_REPEAT_S}, {_REPEAT_T}, a AS (SELECT k, count(*) AS n, min(v) AS v FROM s GROUP BY 1), b AS (SELECT k, count(*) AS n, min(v) AS v FROM t GROUP BY 1) SELECT a.k, CASE WHEN a.n > 1 OR b.n > 1 THEN '{reconcile.REPEATED}' ELSE 'v' END AS column_name, CASE WHEN a.n > 1 OR b.n > 1 THEN CAST(a.n AS VARCHAR) ELSE a.v END AS source_value, CASE WHEN a.n > 1 OR b.n > 1 THEN CAST(b.n AS VARCHAR) ELSE b.v END AS target_value FROM a JOIN b ON a.k IS NOT DISTINCT FROM b.k WHERE a.n > 1 OR b.n > 1 OR a.v <> b.v")
+def value_diff_repeated_keys(spark, sf):
+    s = table(spark, sf, "events").selectExpr("CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id DIV 2 * (event_id % 3) END AS k", "event_type AS v")
+    return reconcile.value_diff(s, s.withColumn("v", F.when(F.col("k") % 7 == 0, "other").otherwise(F.col("v"))), ["k"], ["v"])
+
+
+@query("SELECT table_name, count(*) AS source_column_count, count(*) AS target_column_count, CAST(0 AS BIGINT) AS error_count, 'MATCH' AS status FROM duckdb_columns() WHERE table_name IN ('nation','orders','lineitem','events','documents','embeddings') GROUP BY 1")
+def audit_identical(spark, sf):
+    """Tables against themselves agree, of whatever types."""
+    frames = audit.audit(spark, {t: (table(spark, sf, t), table(spark, sf, t)) for t in ("nation", "orders", "lineitem", "events", "documents", "embeddings")})
+    return frames["inventory"].select("table_name", "source_column_count", "target_column_count", "error_count", "status")
+
+
 # ---- loads
 
 _OUT = "o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, o_orderpriority"
@@ -766,13 +818,8 @@ def catalog_style_joins(spark, sf):
     return first.join(used, "k", "left").select("r_name", "nations", F.coalesce("u", F.lit(False)).alias("has_customers"))
 
 
-@query("SELECT event_id, user_id, event_type, CAST(value AS DECIMAL(18,6)) AS value FROM events WHERE event_id % 10 < 3")
+@query("SELECT event_id, user_id, event_type, CAST(value AS DECIMAL(18,6)) AS value FROM events")
 def stream_upsert_available_now(spark, sf):
-    """All events go through the stream; of the table that it leaves, the rows that the SQL asks for."""
-    return streamed_events(spark, sf).where("event_id % 10 < 3")
-
-
-def streamed_events(spark, sf):
     """Two folders of files arrive one after the other, with a fifth of the events in both; the table ends with all rows, once each."""
     shared = spark.conf.get("spark.checkpoint.dir", None)  # what executors write must lie where the driver sees it
     place = f"{shared.rstrip('/')}/concordat-stream-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="concordat-stream-")

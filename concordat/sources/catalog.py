@@ -15,10 +15,17 @@ TYPE_NAMES = {
 }
 
 
-def columns_of(tables: dict[str, DataFrame], spark: SparkSession) -> DataFrame:
-    """A row for each column of each table, from their schemas alone."""
+# The same types in the source's dialect, which has them with a precision and a scale where they are numbers.
+SOURCE_NAMES = {
+    "tinyint": ("NUMBER", 3, 0), "smallint": ("NUMBER", 4, 0), "int": ("NUMBER", 9, 0), "bigint": ("NUMBER", 18, 0), "float": ("BINARY_FLOAT", None, None), "double": ("BINARY_DOUBLE", None, None),
+    "boolean": ("BOOLEAN", None, None), "string": ("CLOB", None, None), "binary": ("BLOB", None, None), "date": ("DATE", None, None), "timestamp": ("TIMESTAMP", None, None), "timestamp_ntz": ("TIMESTAMP", None, None),
+}
+
+
+def columns_of(tables: dict[str, DataFrame], spark: SparkSession, dialect: str = "target") -> DataFrame:
+    """A row for each column of each table, from their schemas alone, with type names of the target's or the source's dialect."""
     rows = []
-    for name, df in tables.items():
+    for name_, df in tables.items():
         for i, f in enumerate(df.schema, 1):
             declared = str(f.metadata.get("__CHAR_VARCHAR_TYPE_STRING", ""))
             size = int(declared.partition("(")[2].rstrip(")")) if "(" in declared else None
@@ -26,7 +33,14 @@ def columns_of(tables: dict[str, DataFrame], spark: SparkSession) -> DataFrame:
             if declared:
                 kind, short = ("character varying", "varchar") if declared.startswith("varchar") else ("character", "bpchar")
             decimal = isinstance(f.dataType, T.DecimalType)
-            rows.append((name, f.name, i, "numeric" if decimal else kind, size, None, f.dataType.precision if decimal else None, f.dataType.scale if decimal else None, f.nullable, "numeric" if decimal else short))
+            if dialect == "source":
+                known = SOURCE_NAMES.get(f.dataType.simpleString(), (f.dataType.simpleString().upper(), None, None))
+                name, precision, scale = ("NUMBER", f.dataType.precision, f.dataType.scale) if decimal else known
+                if declared:
+                    name = "VARCHAR2" if declared.startswith("varchar") else "CHAR"
+                rows.append((name_, f.name, i, name, size, None, precision, scale, f.nullable, None))
+                continue
+            rows.append((name_, f.name, i, "numeric" if decimal else kind, size, None, f.dataType.precision if decimal else None, f.dataType.scale if decimal else None, f.nullable, "numeric" if decimal else short))
     return spark.createDataFrame(rows, COLUMNS_SCHEMA)
 
 
