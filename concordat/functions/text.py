@@ -51,17 +51,24 @@ def sanitized(name: str, dtype: str, trim: bool = False) -> Column:
     return strip(c) if trim else c
 
 
+_WORD = r'"[^"]+"|[A-Za-z0-9_$#]+'
+
+
+def _bare(token: Column) -> Column:
+    return F.upper(F.replace(token, F.lit('"'), F.lit("")))
+
+
 def sequence_names(c: Column) -> Column:
-    """Upper-case names of the sequences that a routine's text draws from, each once."""
-    found = F.regexp_extract_all(c, F.lit(r'(?i)(?:"?[\w$#]+"?\.)?"?([\w$#]+)"?\.NEXTVAL'), 1)
-    return F.array_distinct(F.transform(found, lambda x: F.upper(x)))
+    """Upper-case names of the sequences that a routine's text draws from, each once: the name, a dot and NEXTVAL, as three tokens."""
+    tokens = F.regexp_extract_all(c, F.lit(rf"{_WORD}|\."), 0)
+    drawn = lambda t: F.transform(t, lambda x, i: F.when((F.get(t, i + 1) == ".") & (_bare(F.get(t, i + 2)) == "NEXTVAL") & (x != "."), _bare(x)))
+    # the tokens are bound once, as the one element of a list
+    return F.array_distinct(F.filter(F.transform(F.array(tokens), drawn)[0], lambda x: x.isNotNull()))
 
 
-def mentions_table(c: Column, schema: str, table: str) -> Column:
-    """Whether a text names the table as a whole word, bare or quoted, with or without its schema."""
-    s, t = re.escape(schema), re.escape(table)
-    word = lambda x: rf"(?<![A-Za-z0-9_]){x}(?![A-Za-z0-9_])"
-    return c.rlike("(?i)" + "|".join([word(rf"{s}\s*\.\s*{t}"), rf'(?<![A-Za-z0-9_])"{s}"\s*\.\s*"{t}"', word(t), f'"{t}"']))
+def mentions_table(c: Column, table: str) -> Column:
+    """Whether a text names the table, as a whole word, bare or quoted, in any case and with any schema."""
+    return F.exists(F.regexp_extract_all(c, F.lit(_WORD), 0), lambda x: _bare(x) == table.upper())
 
 
 SECRET_NAMES = frozenset(["password", "passwd", "pwd", "secret", "token", "api_key", "access_key", "private_key"])
