@@ -65,6 +65,8 @@ class TableSpec:
     exclude: tuple[str, ...] = ()
     chunk_size: int = 50_000
     on_duplicate: str = "error"
+    order_by: tuple[str, ...] = ()  # says which of the rows of a key is the last
+    skip_failed: bool = False  # leave out rows that cannot be cast, instead of refusing the load
 
 
 @dataclass(frozen=True)
@@ -80,3 +82,4 @@ class LoadResult:
     backup: str | None = None
     message: str = ""
     watermark: str | None = None
+    verdict: str = ""

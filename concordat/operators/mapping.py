@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concordat.functions.text import sanitized
+from concordat.functions.text import blank_to_space, decimal_text, sanitized
 
 STRATEGIES = ("error", "null", "skip", "stream", "include")
 
@@ -62,15 +62,28 @@ def with_long_policy(pairs: list[Pair], table: str, long: set[str], rules: dict[
     return out
 
 
-def projected(source: DataFrame, pairs: list[Pair], trim: set[str] = frozenset()) -> DataFrame:
-    """The source in the target's shape: renamed, cast and cleaned. Only the columns needed are read."""
+def _cleaned(p: Pair, types: dict[str, str], trim: set[str], reverse: bool) -> Column:
+    """A pair's source value before its cast. The reverse direction writes blank texts as a space and numbers in text without stray digits."""
+    c = sanitized(p.source, types[p.source], p.target.lower() in trim)
+    if reverse and types[p.source] == "string":
+        return decimal_text(c) if p.dtype.startswith("decimal") else blank_to_space(c)
+    return c
 
-    def column(p: Pair) -> Column:
-        if p.source is None:
-            return F.lit(None).cast(p.dtype).alias(p.target)
-        return sanitized(p.source, dict(source.dtypes)[p.source], p.target.lower() in trim).cast(p.dtype).alias(p.target)
 
-    return source.select(*(column(p) for p in pairs))
+def projected(source: DataFrame, pairs: list[Pair], trim: set[str] = frozenset(), reverse: bool = False) -> DataFrame:
+    """The source in the target's shape: renamed, cast and cleaned. Only the columns needed are read. A value that cannot be cast is an error."""
+    types = dict(source.dtypes)
+    return source.select(*((F.lit(None) if p.source is None else _cleaned(p, types, trim, reverse)).cast(p.dtype).alias(p.target) for p in pairs))
+
+
+def attempted(source: DataFrame, pairs: list[Pair], trim: set[str] = frozenset(), reverse: bool = False) -> DataFrame:
+    """projected(), with null for values that cannot be cast, and _failed: the first such column and value (200 characters), or null."""
+    types = dict(source.dtypes)
+    clean = [(p, _cleaned(p, types, trim, reverse)) for p in pairs if p.source is not None]
+    bad = [F.when(c.isNotNull() & c.try_cast(p.dtype).isNull(), F.struct(F.lit(p.target).alias("column_name"), F.substring(c.cast("string"), 1, 200).alias("value"))) for p, c in clean if types[p.source] != p.dtype and not is_long(types[p.source])]
+    none = F.lit(None).cast("struct<column_name:string,value:string>")
+    values = [(F.lit(None).cast(p.dtype) if p.source is None else _cleaned(p, types, trim, reverse).try_cast(p.dtype) if not is_long(types[p.source]) else F.col(p.source).cast(p.dtype)).alias(p.target) for p in pairs]
+    return source.select(*values, (F.coalesce(*bad, none) if bad else none).alias("_failed"))
 
 
 def fixed_length(df: DataFrame) -> set[str]:

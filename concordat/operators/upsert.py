@@ -43,9 +43,11 @@ def merged(target: DataFrame, changes: DataFrame, keys: list[str], columns: list
 
 
 def upserted(target: DataFrame, changes: DataFrame, keys: list[str], columns: list[str] | None = None, on_duplicate: str = "error", order: list[Column] | None = None) -> DataFrame:
-    """merged() after the rule for repeated keys: `error`, or `last` in the given order."""
+    """merged() after the rule for repeated keys: `error`, or `last` in the given order, without which no row is the last."""
     if on_duplicate == "last":
-        changes = last_wins(changes, keys, order or [F.col(k) for k in keys])
+        if not order:
+            raise ValueError("the last of repeated keys needs an order")
+        changes = last_wins(changes, keys, order)
     elif not duplicate_keys(changes, keys).isEmpty():
         raise DuplicateKeyError(f"changes repeat a key of {', '.join(keys)}")
     return merged(target, changes, keys, columns)

@@ -10,14 +10,16 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from concordat.functions.canon import table_digest
 from concordat.model import LoadResult, TableSpec
 from concordat.operators import incremental, mapping, upsert
+from concordat.operators.chunks import counts as chunk_counts
 from concordat.operators.chunks import plan as plan_chunks
 from concordat.operators.reconcile import checksum_columns
+from concordat.sources import files
 from concordat.sources.versions import VersionedTable
 from concordat.streaming.ledger import Ledger
 
@@ -49,16 +51,29 @@ def verdicts(results: DataFrame) -> DataFrame:
     return results.withColumn("verdict", out)
 
 
-def incoming(spec: TableSpec, source: DataFrame, target: DataFrame, watermark: str | None = None) -> DataFrame:
-    """The rows to load in the target's shape."""
+def _pairs(spec: TableSpec, source: DataFrame, target: DataFrame, reverse: bool) -> list[mapping.Pair]:
+    pairs = mapping.column_map(source, target, spec.rename, "source" if reverse else "target")
+    long = {c.lower() for c, d in target.dtypes if mapping.is_long(d)}
+    return mapping.with_long_policy(pairs, spec.name, long, spec.lob, spec.lob_default)
+
+
+def _wanted(spec: TableSpec, source: DataFrame, watermark: str | None) -> DataFrame:
     rows = source.where(spec.where) if spec.where else source
     if spec.incremental:
         i = spec.incremental
         incremental.parse_column(i.column, source.columns)
         rows = rows.where(incremental.newer(i.column, i.strategy, watermark or i.initial, i.overlap_minutes))
-    pairs = mapping.column_map(source, target, spec.rename)
-    long = {c.lower() for c, d in target.dtypes if mapping.is_long(d)}
-    return mapping.projected(rows, mapping.with_long_policy(pairs, spec.name, long, spec.lob, spec.lob_default), mapping.fixed_length(source))
+    return rows
+
+
+def incoming(spec: TableSpec, source: DataFrame, target: DataFrame, watermark: str | None = None, reverse: bool = False) -> DataFrame:
+    """The rows to load in the target's shape."""
+    return mapping.projected(_wanted(spec, source, watermark), _pairs(spec, source, target, reverse), mapping.fixed_length(source), reverse)
+
+
+def attempted(spec: TableSpec, source: DataFrame, target: DataFrame, watermark: str | None = None, reverse: bool = False) -> DataFrame:
+    """incoming() with a _failed column, for rows that cannot be cast."""
+    return mapping.attempted(_wanted(spec, source, watermark), _pairs(spec, source, target, reverse), mapping.fixed_length(source), reverse)
 
 
 def check(spec: TableSpec, allow_swap: bool = False, require_filter: bool = False) -> None:
@@ -69,6 +84,8 @@ def check(spec: TableSpec, allow_swap: bool = False, require_filter: bool = Fals
         raise LoadError(f"{spec.mode} with a filter would keep the filtered rows only")
     if spec.mode in KEYED and not spec.keys:
         raise LoadError(f"{spec.mode} needs keys")
+    if spec.mode in KEYED and spec.on_duplicate == "last" and not spec.order_by:
+        raise LoadError("the last of repeated keys needs order_by")
     if spec.mode.startswith("swap") and not allow_swap:
         raise LoadError("swap has to be allowed")
     if require_filter and not (spec.where or spec.incremental):
@@ -83,110 +100,197 @@ def next_version(spec: TableSpec, now: DataFrame, rows: DataFrame) -> DataFrame:
         return now.unionByName(rows, allowMissingColumns=True)
     if spec.mode == "delete_insert":
         return upsert.deleted_then_inserted(now, rows, list(spec.keys))
-    return upsert.upserted(now, rows, list(spec.keys), on_duplicate=spec.on_duplicate)
+    return upsert.upserted(now, rows, list(spec.keys), on_duplicate=spec.on_duplicate, order=[F.col(c) for c in spec.order_by])
 
 
-def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: VersionedTable, ledger: Ledger, run_id: str | None = None, execute: bool = True, validate: bool = True, **guards: bool) -> LoadResult:
+def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: VersionedTable, ledger: Ledger, run_id: str | None = None, execute: bool = True, validate: bool = True, direction: str = "forward", skip_matching: bool = False, **guards: bool) -> LoadResult:
     """Load one table. A dry run plans and counts only.
 
-    The increment is staged first, so its watermark, its digest and the merge all see the same rows. A watermark is returned, and is
-    for the caller to publish once all tables of the run have succeeded.
+    The increment is staged first, so its watermark, its digest and the merge all see the same rows; rows that cannot be cast are counted
+    on the way, sampled into the ledger, and fail the load unless the table's skip_failed is set. skip_matching: a full load of a table whose row
+    counts agree already is skipped. What was written is counted in the staged version. A watermark is returned, and is for the
+    caller to publish once all tables of the run have succeeded.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
+    reverse = direction == "reverse"
     result = LoadResult(spec.name, spec.mode, "PENDING")
     now = table.read()
     if now is None:
         raise LoadError(f"{spec.name}: the target does not exist")
     check(spec, **guards)
-    mark = ledger.watermark("forward", spec.name, spec.incremental.strategy, spec.incremental.column) if spec.incremental else None
-    rows = incoming(spec, source, now, mark)
+    mark = ledger.watermark(direction, spec.name, spec.incremental.strategy, spec.incremental.column) if spec.incremental else None
     if not execute:
-        return replace(result, status="DRY_RUN", rows_read=rows.count(), message=f"{spec.mode} from {len(source.columns)} columns")
+        return replace(result, status="DRY_RUN", rows_read=_wanted(spec, source, mark).count(), message=f"{spec.mode} from {len(source.columns)} columns")
+    if skip_matching and spec.mode in FULL and not spec.where and not spec.incremental:
+        n = source.count()
+        if n == now.count():
+            ledger.event(run_id, "load", "skipped", spec.name, "row counts agree")
+            return replace(result, status="SKIPPED", rows_read=n, message="row counts agree")
     ledger.event(run_id, "load", "started", spec.name)
+    staged = [f"{run_id}-delta", run_id]
     try:
-        delta = table.stage(rows, f"{run_id}-delta")
-        read = delta.count()
-        new = table.stage(next_version(spec, now, delta), run_id)
-        written = new.count()
+        seen = Observation(f"{run_id}-{uuid.uuid4().hex[:6]}")
+        tried = attempted(spec, source, now, mark, reverse)
+        counted = tried.observe(seen, F.count(F.lit(1)).alias("read"), F.count("_failed").alias("failed"))
+        # an append's rows are a folder of the table, so they have all its columns
+        shape = lambda df: now.limit(0).unionByName(df, allowMissingColumns=True) if spec.mode == "append" else df
+        delta = table.stage(shape(counted.where("_failed IS NULL").drop("_failed")), staged[0])
+        read, failed = seen.get["read"], seen.get["failed"]
+        if failed:
+            keys = F.concat_ws(";", *(F.substring(F.col(k).cast("string"), 1, 200) for k in spec.keys if k in tried.columns)) if spec.keys else F.lit("")
+            sample = [r.asDict() for r in tried.where("_failed IS NOT NULL").select(keys.alias("key_values"), "_failed.*").orderBy("key_values").limit(20).collect()]
+            ledger.event(run_id, "load", "rejected", spec.name, f"{failed} rows cannot be cast", {"sample": sample})
+            if not spec.skip_failed:
+                raise LoadError(f"{failed} of {read} rows cannot be cast, as {sample[0]['column_name']} = {sample[0]['value']!r}")
+        got = delta.count()
+        if spec.mode == "append":
+            new, folders, written = None, [*table.folders(), staged[0]], got
+        else:
+            new, folders = table.stage(next_version(spec, now, delta), run_id), [run_id]
+            written = new.count() if spec.mode in FULL else arrived(spec, delta, new).count()
+        superseded = got - delta.select(*spec.keys).distinct().count() if spec.mode in KEYED and spec.on_duplicate == "last" and spec.mode != "delete_insert" else 0
         status = ""
         if validate:
-            status = "MATCH" if agrees(spec, delta, new) else "MISMATCH"
-            if status == "MISMATCH":
+            # an append is checked against its source, the others' versions against the rows that were staged for them
+            good = same_rows(incoming(spec, source, now, mark, reverse), delta.select(*(c for c in delta.columns if c in tried.columns)), spec) if spec.mode == "append" and not failed else agrees(spec, delta, new)
+            status = "MATCH" if good else "MISMATCH"
+            if not good:
                 raise LoadError("the staged rows differ from the source's")
-        expected = {**dict.fromkeys(FULL, read), "append": read + now.count() if spec.mode == "append" else None}.get(spec.mode)
-        if expected is not None and written != expected:
-            raise LoadError(f"{written} rows were written, {expected} expected")
+        whole = spec.mode in FULL and not spec.where
+        outcome = verdict(read, written + superseded + failed, 0 if spec.skip_failed else failed, status, (new.count() == read - failed) if whole else None, reverse, bool(spec.incremental) and spec.mode in KEYED)
+        if outcome == "FAIL":
+            raise LoadError(f"{read} rows were read, {written} written")
         value = delta.agg(F.max(incremental.source_expression(spec.incremental.column)).cast("string")).first()[0] if spec.incremental else None
-        backup = table.publish(run_id)
-        ledger.add_rollback(run_id, spec.name, spec.mode, table.path, backup, f"{run_id}-delta")
+        version = run_id
+        backup = table.publish(version, folders)
+        ledger.add_rollback(run_id, spec.name, spec.mode, table.path, backup, staged[0])
+        if spec.mode != "append":
+            table.discard(staged[0])
         table.retain()
     except Exception as e:
+        for folder in staged:
+            table.discard(folder)
         ledger.event(run_id, "load", "failed", spec.name, str(e)[:500])
         if isinstance(e, (LoadError, upsert.DuplicateKeyError)):
             return replace(result, status="FAILED", message=str(e))
         raise
-    ledger.event(run_id, "load", "success", spec.name, details={"rows": written})
-    return replace(result, status="SUCCESS", rows_read=read, rows_written=read, checksum_status=status, version=run_id, backup=backup, watermark=value)
+    ledger.event(run_id, "load", "success", spec.name, details={"rows": written, "verdict": outcome})
+    return replace(result, status="SUCCESS", rows_read=read, rows_written=written + superseded, rows_failed=failed, checksum_status=status, version=version, backup=backup, watermark=value, verdict=outcome)
 
 
-def agrees(spec: TableSpec, delta: DataFrame, new: DataFrame) -> bool:
-    """Whether the incoming rows stand in the staged version unchanged: by digests, for keyed loads of the rows with the incoming keys."""
-    columns = checksum_columns(delta, spec.exclude)
-    there = new
+def write_out(spark: SparkSession, spec: TableSpec, source: DataFrame, target: str, ledger: Ledger, run_id: str | None = None, direction: str = "reverse", **options) -> LoadResult:
+    """Load into a store that is not ours to version, by files.write(): `append` adds, full modes replace. Rows that cannot be cast fail the load before anything
+    is written unless skip_failed is set; the store's counts before and after say whether all arrived."""
+    run_id, reverse = run_id or uuid.uuid4().hex[:12], direction == "reverse"
+    check(spec)
     if spec.mode in KEYED:
-        if spec.on_duplicate == "last":
-            return True
-        there = new.join(delta.select(*spec.keys).distinct(), list(spec.keys), "left_semi")
-    elif spec.mode == "append":
-        return True
-    one, two = (table_digest(df, columns).first() for df in (delta, there.select(*columns)))
+        raise LoadError(f"{spec.mode} cannot be done in {target.split(':')[0]}: use append or a full mode")
+    there = lambda: files.read(spark, target, **options)
+    shape = there()
+    tried = attempted(spec, source, shape, None, reverse)
+    failed = tried.where("_failed IS NOT NULL").count()
+    if failed and not spec.skip_failed:
+        return LoadResult(spec.name, spec.mode, "FAILED", rows_failed=failed, message=f"{failed} rows cannot be cast")
+    before = shape.count() if spec.mode == "append" else 0
+    ledger.event(run_id, "load", "started", spec.name)
+    rows = files.write(tried.where("_failed IS NULL").drop("_failed"), target, "append" if spec.mode == "append" else "overwrite", **options)["rows"]
+    written = there().count() - before
+    outcome = verdict(rows, written, 0, "", True if spec.mode != "append" else None, reverse)
+    state = "FAILED" if outcome == "FAIL" else "SUCCESS"
+    ledger.event(run_id, "load", state.lower(), spec.name, details={"rows": written, "verdict": outcome})
+    return LoadResult(spec.name, spec.mode, state, rows + failed, written, failed, verdict=outcome, message="" if state == "SUCCESS" else f"{rows} rows were sent, {written} arrived")
+
+
+def arrived(spec: TableSpec, delta: DataFrame, new: DataFrame) -> DataFrame:
+    """The rows of a keyed load's version that have one of the incoming keys; a null key is no key, and its row is one of its own."""
+    keyed = new.join(delta.select(*spec.keys).distinct(), list(spec.keys), "left_semi")
+    null = F.lit(False)
+    for k in spec.keys:
+        null = null | F.col(k).isNull()
+    loose = delta.where(null)
+    return keyed.unionByName(loose, allowMissingColumns=True) if not loose.isEmpty() else keyed
+
+
+def same_rows(a: DataFrame, b: DataFrame, spec: TableSpec) -> bool:
+    """Whether two frames hold the same rows, by their digests over the columns that can be digested."""
+    columns = checksum_columns(a, spec.exclude)
+    one, two = (table_digest(df.select(*columns), columns).first() for df in (a, b))
     return (one["rows"], one["digest"]) == (two["rows"], two["digest"])
 
 
+def agrees(spec: TableSpec, delta: DataFrame, new: DataFrame | None) -> bool:
+    """Whether the incoming rows stand in the staged version unchanged: by digests, for keyed loads of the rows with the incoming keys."""
+    if new is None:
+        return True  # an append with rows left out: what was staged is what is published
+    if spec.mode not in KEYED:
+        return same_rows(delta, new, spec)
+    rows = upsert.last_wins(delta, list(spec.keys), [F.col(c) for c in spec.order_by]) if spec.on_duplicate == "last" and spec.mode != "delete_insert" else delta
+    return same_rows(rows, arrived(spec, delta, new).select(*delta.columns), spec)
+
+
+WAVE = 64  # ranges that are staged by one job
+
+
 def append_chunks(spark: SparkSession, spec: TableSpec, source: DataFrame, table: VersionedTable, ledger: Ledger, run_id: str, key: str) -> int:
-    """Append key range by key range; a second call with the same run id goes on after the ranges that succeeded. Ranges are staged one by
-    one and published together, so a range counts as done only while its staged rows are there."""
+    """Append key range by key range; a second call with the same run id goes on after the ranges that succeeded.
+
+    Ranges are staged in waves, a job and a folder for each, that read the wave's keys only; the ledger has each range's rows. A range
+    counts as done only while the folder that holds it is there. All folders are published together, and nothing is copied again.
+    """
     now = table.read()
     rows = incoming(spec, source, now)
-    ranges = plan_chunks(rows, key, spec.chunk_size).collect()  # one row for each range
+    shape = now.limit(0)
+    ranges = plan_chunks(rows, key, spec.chunk_size).orderBy("chunk_start").collect()  # one row for each range
     ledger.release(run_id)
-    there = set(table.versions())
-    for i, c in enumerate(ranges):
-        ledger.add_chunk(run_id, spec.name, c["chunk_key"], c["chunk_start"], c["chunk_end"])
-        staged = f"{run_id}-part{i:06d}"
-        if c["chunk_key"] in ledger.successful(run_id, spec.name) and staged in there:
+    there, done = set(table.versions()), ledger.successful(run_id, spec.name)
+    folders = []
+    for w in range(0, len(ranges), WAVE):
+        wave, staged = ranges[w : w + WAVE], f"{run_id}-part{w:06d}"
+        folders.append(staged)
+        for c in wave:
+            ledger.add_chunk(run_id, spec.name, c["chunk_key"], c["chunk_start"], c["chunk_end"])
+        if staged in there and all(c["chunk_key"] in done for c in wave):
             continue
-        if c["chunk_key"] in ledger.successful(run_id, spec.name):
-            ledger.finish(run_id, spec.name, c["chunk_key"], "failed", error="its staged rows are gone")
-        if ledger.claim(run_id, spec.name, c["chunk_key"]):
-            n = table.stage(rows.where(F.col(key).between(c["chunk_start"], c["chunk_end"])), staged).count()
-            ledger.finish(run_id, spec.name, c["chunk_key"], "success", n)
-    parts = [f"{table.path}/v={run_id}-part{i:06d}" for i in range(len(ranges))]
-    new = now.unionByName(spark.read.schema(rows.schema).parquet(*parts), allowMissingColumns=True) if parts else now
-    written = table.stage(new, run_id).count()
-    ledger.add_rollback(run_id, spec.name, "append", table.path, table.publish(run_id))
+        for c in wave:
+            if c["chunk_key"] in done:
+                ledger.finish(run_id, spec.name, c["chunk_key"], "failed", error="its staged rows are not whole")
+        mine = [c for c in wave if ledger.claim(run_id, spec.name, c["chunk_key"])]
+        if len(mine) < len(wave):
+            raise LoadError(f"{spec.name}: another run holds ranges of {staged}")
+        part = table.stage(shape.unionByName(rows.where(F.col(key).between(wave[0]["chunk_start"], wave[-1]["chunk_end"])), allowMissingColumns=True), staged)
+        low = wave[0]["chunk_start"]
+        n = {r["chunk_id"]: r["rows"] for r in chunk_counts(part, key, spec.chunk_size, low).collect()}  # at most WAVE rows
+        for i, c in enumerate(wave):
+            ledger.finish(run_id, spec.name, c["chunk_key"], "success", n.get(i, 0))
+    before = now.count()
+    ledger.add_rollback(run_id, spec.name, "append", table.path, table.publish(run_id, [*table.folders(), *folders]))
+    written = table.read().count()
+    expected = before + sum(r["rows"] or 0 for r in ledger.rows("chunks", "run_id=? AND table_name=?", run_id, spec.name))
+    if written != expected:
+        table.rollback()
+        raise LoadError(f"{spec.name}: {written} rows stand where {expected} are expected")
     table.retain()
     return written
 
 
-def run_all(spark: SparkSession, loads: list[tuple[TableSpec, DataFrame, VersionedTable]], ledger: Ledger, run_id: str, workers: int = 4, **options) -> list[LoadResult]:
+def run_all(spark: SparkSession, loads: list[tuple[TableSpec, DataFrame, VersionedTable]], ledger: Ledger, run_id: str, workers: int = 4, direction: str = "forward", **options) -> list[LoadResult]:
     """Load several tables at once, results in the order asked for. Watermarks move only if every table succeeded."""
-    ledger.start_run(run_id, "forward")
+    ledger.start_run(run_id, direction)
 
     def one(item: tuple[TableSpec, DataFrame, VersionedTable]) -> LoadResult:
         spec, source, table = item
         try:
-            return run(spark, spec, source, table, ledger, run_id, **options)
+            return run(spark, spec, source, table, ledger, run_id, direction=direction, **options)
         except Exception as e:
             return LoadResult(spec.name, spec.mode, "FAILED", message=str(e)[:500])
 
     with ThreadPoolExecutor(workers) as pool:
         results = list(pool.map(one, loads))
-    good = all(r.status in ("SUCCESS", "DRY_RUN") for r in results)
+    good = all(r.status in ("SUCCESS", "DRY_RUN", "SKIPPED") for r in results)
     if good:
         for (spec, _, _), r in zip(loads, results, strict=True):
             if r.watermark is not None:
-                ledger.set_watermark("forward", spec.name, spec.incremental.strategy, spec.incremental.column, r.watermark)
+                ledger.set_watermark(direction, spec.name, spec.incremental.strategy, spec.incremental.column, r.watermark)
     ledger.finish_run(run_id, "SUCCESS" if good else "FAILED", next((r.message for r in results if r.status == "FAILED"), ""))
     return results
 

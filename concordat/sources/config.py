@@ -66,7 +66,7 @@ def table_specs(tree: dict[str, Any]) -> dict[str, TableSpec]:
         out[name] = TableSpec(
             name, tuple(given.get("keys", ())), {k.lower(): v.lower() for k, v in given.get("rename", {}).items()}, given.get("where"), given.get("mode", "truncate"),
             Incremental(inc["column"], inc.get("strategy", "updated_at"), int(inc.get("overlap_minutes", 5)), inc.get("initial")) if inc else None,
-            given.get("lob", {}), given.get("lob_default", "error"), tuple(given.get("exclude", ())), int(given.get("chunk_size", 50_000)), given.get("on_duplicate", "error"),
+            given.get("lob", {}), given.get("lob_default", "error"), tuple(given.get("exclude", ())), int(given.get("chunk_size", 50_000)), given.get("on_duplicate", "error"), tuple(given.get("order_by", ())), bool(given.get("skip_failed", False)),
         )
     return out
 

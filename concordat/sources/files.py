@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import time
+import uuid
 from collections.abc import Callable
 from functools import reduce
 from typing import Any, TypeVar
@@ -60,6 +61,22 @@ def counted(df: DataFrame, name: str, long: list[str] = ()) -> tuple[DataFrame,
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size(plain)), F.lit(0)).alias("bytes"), F.coalesce(F.sum(size(list(long))), F.lit(0)).alias("long_bytes")), seen
 
 
+def write(df: DataFrame, target: str, mode: str = "append", **options: Any) -> dict[str, int]:
+    """Write rows to a table by name, a Parquet path, or a JDBC url with dbtable in the options; returns rows, bytes and long_bytes, counted on the way.
+
+    JDBC writes go in batches from every task, numPartitions of them at once at most. `overwrite` empties a JDBC table and keeps its definition. A
+    task that is run again after its batches were committed would write them twice, so compare counts before relying on a JDBC append.
+    """
+    passed, seen = counted(df, f"write-{uuid.uuid4().hex[:8]}")
+    if target.startswith("jdbc:"):
+        passed.write.format("jdbc").options(url=target, **({"batchsize": 10_000, "truncate": True} | options)).mode(mode).save()
+    elif "/" in target:
+        passed.write.options(**options).mode(mode).parquet(target)
+    else:
+        passed.write.options(**options).mode(mode).saveAsTable(target)
+    return seen.get
+
+
 def rejected(df: DataFrame, types: dict[str, str], keys: list[str], limit: int = 20) -> tuple[DataFrame, DataFrame]:
     """Rows that can be cast as asked, cast; and of the others a sample: keys (200 characters of each), column, value."""
     bad = {c: F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in types.items()}

@@ -48,6 +48,16 @@ class Ledger:
         columns = [(r["name"], "long" if r["type"].startswith("INTEGER") else "string") for r in self._do(f"PRAGMA table_info({table})")]
         return spark.createDataFrame([tuple(r[c] for c, _ in columns) for r in self.rows(table)], ", ".join(f"`{c}` {t}" for c, t in columns))
 
+    def history(self, spark: SparkSession) -> DataFrame:
+        """What ended of loads, a row for each run and table: source_run, started, table_name, status, rows_loaded, elapsed_seconds."""
+        began = {(e["run_id"], e["table_name"]): e["at"] for e in self.rows("events", "phase='load' AND status='started'")}
+        out = []
+        for e in self.rows("events", "phase='load' AND status IN ('success','failed')"):
+            start = began.get((e["run_id"], e["table_name"]), e["at"])
+            seconds = (datetime.fromisoformat(e["at"]) - datetime.fromisoformat(start)).total_seconds()
+            out.append((e["run_id"], start, e["table_name"], e["status"].upper(), json.loads(e["details"] or "{}").get("rows", 0), seconds))
+        return spark.createDataFrame(out, "source_run string, started string, table_name string, status string, rows_loaded long, elapsed_seconds double")
+
     # runs and events
     def start_run(self, run: str, direction: str = "", job: str = "", mode: str = "") -> None:
         self._do("INSERT OR IGNORE INTO runs (run_id, direction, job, mode, status, started) VALUES (?,?,?,?,'running',?)", run, direction, job, mode, self._now())

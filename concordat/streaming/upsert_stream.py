@@ -24,6 +24,7 @@ def upsert_available(spark: SparkSession, folder: str, schema: T.StructType, tab
         now = table.read()
         table.stage(merged(now, changes, keys) if now is not None else changes, run)
         table.publish(run)
+        table.retain()
         done.append(epoch)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
