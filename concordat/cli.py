@@ -1,13 +1,16 @@
-"""Commands: audit, validate, missing-keys, sync, rollback, watermarks, reset-watermark, circuit, query-perf, lob, simulate.
+"""Commands: audit, validate, checksum, missing-keys, audit-objects, dependencies, sequences, sync, resume, rollback, watermarks, reset-watermark,
+circuit, query-perf, lob, simulate, doctor, history, report.
 
-Settings name a schema and tables, each with `source` and `target` (a Parquet path, a catalog name or a JDBC url; the target of a sync is
-a versioned folder). The exit code is 1 when something differs or fails.
+Settings name a schema and tables, each with `source` and `target` (a Parquet path, a catalog name or a JDBC url, with source_options and target_options
+such as dbtable). The target of a sync is a versioned folder, or a JDBC url for appends and full loads. `constraints`, `objects` and `sequences` have the
+Parquet paths of both sides' catalogs, {"source": .., "target": ..}. The exit code is 1 when something differs or fails.
 """
 
 from __future__ import annotations
 
 import argparse
 import fcntl
+import json
 import sys
 import uuid
 from pathlib import Path
@@ -15,8 +18,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.operators import long_columns, profile
-from concordat.plans import audit, load, queryperf, reports
+from concordat.model import LoadResult
+from concordat.operators import long_columns, objects, profile, sequences
+from concordat.plans import audit, doctor, load, queryperf, reports
 from concordat.sources import catalog, config, files
 from concordat.sources.versions import VersionedTable
 from concordat.streaming.ledger import Ledger
@@ -24,10 +28,17 @@ from concordat.streaming.ledger import Ledger
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser("concordat", description=__doc__)
-    p.add_argument("command", choices=["audit", "validate", "missing-keys", "sync", "rollback", "watermarks", "reset-watermark", "circuit", "query-perf", "lob", "simulate"])
+    p.add_argument("command", choices="audit validate checksum missing-keys audit-objects dependencies sequences sync resume rollback watermarks reset-watermark circuit query-perf lob simulate doctor history report".split())
     p.add_argument("--config")
     p.add_argument("--env-file")
     p.add_argument("--tables", nargs="*")
+    p.add_argument("--tables-file", help="a name on each line; # begins a comment")
+    p.add_argument("--direction", choices=["forward", "reverse"], default="forward")
+    p.add_argument("--profile", choices=["daily", "every_5min"], help="daily: full loads; every_5min: keyed tables with a watermark only")
+    p.add_argument("--chunk-key", help="whole-number column whose ranges are digested one by one")
+    p.add_argument("--chunk-size", type=int, default=50_000)
+    p.add_argument("--skip-matching", action="store_true", help="leave out full loads whose row counts agree")
+    p.add_argument("--keep-runs", type=int, default=30)
     p.add_argument("--limit", type=int)
     p.add_argument("--execute", action="store_true", help="without it, sync only plans")
     p.add_argument("--allow-swap", action="store_true")
@@ -44,7 +55,16 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("concordat").getOrCreate()
     tree = config.load(a.config, a.env_file) if a.config else {}
     specs = config.table_specs(tree)
-    wanted = config.chosen(specs, a.tables, a.limit)
+    names = a.tables or []
+    if a.tables_file:
+        names = names + [n for line in Path(a.tables_file).read_text().splitlines() if (n := line.partition("#")[0].strip())]
+    wanted = config.chosen(specs, names, a.limit)
+    directions = {".".join(config.split_name(t["name"], tree.get("schema", "public"))): t.get("directions", ["forward", "reverse"]) for t in tree.get("tables", []) if isinstance(t, dict)}
+    wanted = [s for s in wanted if a.direction in directions.get(s.name, ["forward", "reverse"])]
+    if a.profile == "every_5min":
+        wanted = [s for s in wanted if s.incremental and s.mode in load.KEYED]
+    elif a.profile == "daily":
+        wanted = [s for s in wanted if s.mode in load.FULL]
     places = {".".join(config.split_name(t["name"], tree.get("schema", "public"))): t for t in tree.get("tables", []) if isinstance(t, dict)}
     ledger = Ledger(a.ledger)
     folder = Path(a.reports)
@@ -53,15 +73,22 @@ def main(argv: list[str] | None = None) -> int:
 
     def side(name: str, which: str) -> DataFrame:
         where = places[name][which]
+        options = places[name].get(f"{which}_options", {})
         if which == "target" and (there := VersionedTable(spark, where).read() if "/" in where and not where.startswith("jdbc:") else None) is not None:
             return there
-        return files.read(spark, where)
+        return files.read(spark, where, **options)
+
+    def listed(kind: str) -> tuple[DataFrame | None, DataFrame | None]:
+        """The two sides' catalogs of a kind, where the settings have them."""
+        at = tree.get(kind, {})
+        return tuple(spark.read.parquet(at[s]) if s in at else None for s in ("source", "target"))
 
     pairs = lambda: {s.name: (side(s.name, "source"), side(s.name, "target")) for s in wanted}
 
     def finish(frames: dict[str, DataFrame]) -> int:
         for name, df in frames.items():
             files.write_csv(df, str(folder / name))
+        reports.workbook(frames, str(folder / "report.xlsx"))
         reports.manifest(run, tree, frames, str(folder / "manifest.json"))
         reports.html_page(f"{a.command} {run}", frames, str(folder / "report.html"))
         return int(audit.failed(frames))
@@ -70,9 +97,32 @@ def main(argv: list[str] | None = None) -> int:
         return finish(audit.audit(spark, pairs(), specs))
     if a.command == "validate":
         frames = audit.audit(spark, pairs(), specs)
-        return finish({"rowcount": frames["rowcount"]})
+        return finish({"rowcount": frames["rowcount"], "checksum": audit.checksums(pairs(), specs)})
+    if a.command == "checksum":
+        return finish({"checksum": audit.checksums(pairs(), specs, a.chunk_key, a.chunk_size)})
     if a.command == "missing-keys":
-        return finish({"missing_keys": audit.missing_keys(pairs(), {s.name: list(s.keys) for s in wanted})})
+        constraints = listed("constraints")
+        return finish({"missing_keys": audit.missing_keys(pairs(), {s.name: objects.resolve_keys(s.name.rpartition(".")[2], s.keys, *constraints)[0] for s in wanted})})
+    if a.command == "audit-objects":
+        one, two = listed("objects")
+        return finish({"objects": objects.compare(one, two)})
+    if a.command == "dependencies":
+        tables = spark.createDataFrame([(s.name.rpartition(".")[2],) for s in wanted], "table_name string")
+        edges = files.union_all([objects.dependency_edges(o, tables) for o in listed("objects") if o is not None])
+        return finish({"dependencies": edges, "dependency_summary": objects.health(edges)})
+    if a.command == "sequences":
+        state, _ = listed("sequences")
+        return finish({"sequences": sequences.planned(state)})
+    if a.command == "doctor":
+        checks = doctor.examined(spark, wanted, side, ledger, constraints=listed("constraints"), allow_swap=a.allow_swap)
+        finish({"doctor": checks})
+        return int(not checks.where("status = 'FAIL'").isEmpty())
+    if a.command == "history":
+        history = ledger.history(spark)
+        recent, old = reports.compacted(history, a.keep_runs)
+        return finish({"recent_runs": recent, "older_runs": old, "log_rollup": reports.log_rollup(ledger.frame(spark, "events"))})
+    if a.command == "report":
+        return finish({n: ledger.frame(spark, n) for n in ("runs", "events", "chunks", "watermarks", "rollbacks")} | {"log_rollup": reports.log_rollup(ledger.frame(spark, "events"))})
     if a.command == "lob":
         return finish({"lob_analysis": long_columns.analyzed(catalog.columns_of({s.name: side(s.name, "target") for s in wanted}, spark))})
     if a.command == "simulate":
@@ -98,14 +148,22 @@ def main(argv: list[str] | None = None) -> int:
         return 2
     with (folder / "sync.lock").open("w") as lock:
         fcntl.flock(lock, fcntl.LOCK_EX | fcntl.LOCK_NB)
-        loads = [(s, side(s.name, "source"), VersionedTable(spark, places[s.name]["target"])) for s in wanted]
-        results = load.run_all(spark, loads, ledger, run, a.workers, execute=a.execute, allow_swap=a.allow_swap)
+        stores = [s for s in wanted if places[s.name]["target"].startswith("jdbc:")]
+        chunked = [s for s in wanted if s not in stores and a.command == "resume"]
+        loads = [(s, side(s.name, "source"), VersionedTable(spark, places[s.name]["target"])) for s in wanted if s not in stores and s not in chunked]
+        results = load.run_all(spark, loads, ledger, run, a.workers, a.direction, execute=a.execute, allow_swap=a.allow_swap, skip_matching=a.skip_matching)
+        for s in chunked:  # an append by ranges goes on where the run with this id stopped
+            n = load.append_chunks(spark, s, side(s.name, "source"), VersionedTable(spark, places[s.name]["target"]), ledger, run, s.keys[0])
+            results.append(LoadResult(s.name, "append", "SUCCESS", rows_written=n))
+        if a.execute:
+            results += [load.write_out(spark, s, side(s.name, "source"), places[s.name]["target"], ledger, run, a.direction, **places[s.name].get("target_options", {})) for s in stores]
     bad = [r for r in results if r.status == "FAILED"]
     if bad:
         ledger.failed(job, 30, bad[0].message)
+        reports.alert("failed", {"run_id": run, "job": job, "direction": a.direction, "error": bad[0].message, "tables": [r.table_name for r in bad]}, set(tree.get("alerts", ["failed"])), lambda _, payload: print(json.dumps(payload), file=sys.stderr))
     else:
         ledger.cleared(job)
-    fields = "table_name string, mode string, status string, rows_read long, rows_written long, rows_failed long, checksum_status string, version string, backup string, message string, watermark string"
+    fields = "table_name string, mode string, status string, rows_read long, rows_written long, rows_failed long, checksum_status string, version string, backup string, message string, watermark string, verdict string"
     return finish({"sync_result": spark.createDataFrame([tuple(r.__dict__.values()) for r in results], fields), "events": ledger.frame(spark, "events").where(F.col("run_id") == run)})
 
 

@@ -66,6 +66,11 @@ def sequence_names(c: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(F.array(tokens), drawn)[0], lambda x: x.isNotNull()))
 
 
+def words_of(c: Column) -> Column:
+    """The names in a text, bare or quoted, in upper case."""
+    return F.transform(F.regexp_extract_all(c, F.lit(_WORD), 0), _bare)
+
+
 def mentions_table(c: Column, table: str) -> Column:
     """Whether a text names the table, as a whole word, bare or quoted, in any case and with any schema."""
     return F.exists(F.regexp_extract_all(c, F.lit(_WORD), 0), lambda x: _bare(x) == table.upper())

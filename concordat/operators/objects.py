@@ -103,3 +103,43 @@ def preferred_key(constraints: DataFrame) -> DataFrame:
     whole = constraints.where(F.col("constraint_type").isin("P", "U")).groupBy("table_name", "constraint_type", "constraint_name").agg(F.array_sort(F.collect_list(F.struct("position", F.lower("column_name").alias("c")))).alias("cs"))
     rank = F.struct(F.when(F.col("constraint_type") == "P", 0).otherwise(1), F.col("constraint_name"))
     return whole.groupBy("table_name").agg(F.min_by(F.struct("constraint_name", F.array_join("cs.c", ",").alias("key_columns")), rank).alias("x")).select("table_name", "x.*")
+
+
+class NoKeyError(ValueError):
+    """A table has no key that rows could be told apart by."""
+
+
+def resolve_keys(table: str, configured: tuple[str, ...] = (), source: DataFrame | None = None, target: DataFrame | None = None) -> tuple[list[str], str]:
+    """A table's key columns and where they come from: the settings, else the source's best constraint, else the target's.
+
+    source, target: constraints as for preferred_key(). Without any of them there is no key, which is an error.
+    """
+    if configured:
+        return list(configured), "settings"
+    for side, constraints in (("source", source), ("target", target)):
+        if constraints is not None and (found := preferred_key(constraints.where(F.lower("table_name") == table.lower())).first()):
+            return found["key_columns"].split(","), f"{side} constraint {found['constraint_name']}"
+    raise NoKeyError(f"{table}: no key in the settings, and no primary or unique constraint on either side")
+
+
+def dependency_edges(objects: DataFrame, tables: DataFrame) -> DataFrame:
+    """Which objects use which tables: EDGE_KEY, status, details, seq.
+
+    objects: source_db, object_schema, object_name, object_type, parent_name, definition, status; tables: table_name. An object belongs to its parent, and
+    uses the tables whose names are words of its definition; a sequence belongs to the tables whose names are in its own, or whose objects draw
+    from it. Words are exploded and joined by equality, so no object meets every table.
+    """
+    from concordat.functions.text import sequence_names, words_of
+
+    t = tables.select(F.upper("table_name").alias("_t"), "table_name").dropDuplicates(["_t"])
+    base = objects.withColumn("_id", F.monotonically_increasing_id())
+    edge = lambda df, kind, details: df.select("source_db", "table_name", "object_schema", "object_name", "object_type", F.lit(kind).alias("dependency_kind"), "status", details.alias("details"), F.col("_id").alias("seq"))
+    owned = edge(base.withColumn("_t", F.upper("parent_name")).join(t, "_t"), "parent", F.lit(""))
+    used = edge(base.where("definition IS NOT NULL").withColumn("_t", F.explode(F.array_distinct(words_of(F.col("definition"))))).join(t, "_t"), "reference", F.lit("named in the definition"))
+    names = base.where(object_type(F.col("object_type")) == "SEQUENCE")
+    parts = F.split(F.upper("object_name"), "_")
+    ranges = F.flatten(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.transform(F.sequence(F.lit(1), F.size(parts) - n + 1), lambda i: F.array_join(F.slice(parts, i, n), "_"))))
+    by_name = edge(names.withColumn("_t", F.explode(F.array_distinct(ranges))).join(t, "_t"), "sequence name", F.lit("named after the table"))
+    drawn = base.where("definition IS NOT NULL AND parent_name <> ''").select(F.explode(sequence_names(F.col("definition"))).alias("_s"), F.upper("parent_name").alias("_t"), F.col("object_name").alias("_by")).distinct()
+    by_use = edge(names.withColumn("_s", F.upper("object_name")).join(drawn, "_s").join(t, "_t"), "sequence use", F.concat(F.lit("drawn by "), F.col("_by")))
+    return distinct_edges(owned.unionByName(used).unionByName(by_name).unionByName(by_use))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from concordat.functions import canon, text
 from concordat.functions.types import assessed, source_label, suggested_type, target_label
-from concordat.model import Incremental, TableSpec
+from concordat.model import Incremental, LoadResult, TableSpec
 from concordat.operators import chunks, incremental, long_columns, mapping, objects, profile, reconcile, schema_diff, sequences, upsert
 from concordat.plans import audit, load, queryperf, reports
 from concordat.sources import catalog, files, versions
@@ -292,11 +292,97 @@ def apply_delete_insert(spark, sf):
     return _load("delete_insert", where="o_orderkey % 7 = 0")(spark, sf)
 
 
-@query("SELECT count(*) AS rows_read, count(*) AS rows_written, TRUE AS complete FROM orders WHERE o_orderkey % 97 <> 0")
+def _place(spark: SparkSession, name: str) -> str:
+    """A fresh folder: in the shared one where there is one, as what executors write must lie where the driver sees it."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared.rstrip('/')}/concordat-{name}-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix=f"concordat-{name}-")
+
+
+def _published(spark: SparkSession, spec: TableSpec, source: DataFrame, start: DataFrame, **options) -> tuple[DataFrame, LoadResult]:
+    """The table that a load leaves, read back, and what the load said."""
+    t = versions.VersionedTable(spark, _place(spark, "table"))
+    t.stage(start, "v0")
+    t.publish("v0")
+    result = load.run(spark, spec, source, t, ledger.Ledger(), **options)
+    return t.read(), result
+
+
+_RAW = "SELECT concat('', o_orderkey) AS o_orderkey, CASE WHEN o_orderkey % 41 = 0 THEN 'none' ELSE concat('', o_custkey) END AS o_custkey, o_orderstatus, concat('', CAST(o_totalprice AS DECIMAL(18,2))) AS o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 97 <> 0"
+
+
+@query("SELECT count(*) AS rows_read, count(*) FILTER (WHERE o_orderkey % 41 <> 0) AS rows_written, count(*) FILTER (WHERE o_orderkey % 41 = 0) AS rows_failed, 'MATCH' AS checksum_status FROM orders WHERE o_orderkey % 97 <> 0")
 def copy_completeness(spark, sf):
+    """A load of texts, some of which are no numbers: what it says that it read, wrote and left out."""
+    _, r = _published(spark, TableSpec("orders", skip_failed=True), derived(spark, sf, _RAW), _shown(table(spark, sf, "orders")).limit(0))
+    return spark.createDataFrame([(r.rows_read, r.rows_written, r.rows_failed, r.checksum_status)], "rows_read long, rows_written long, rows_failed long, checksum_status string")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 97 <> 0 AND o_orderkey % 41 <> 0")
+def load_without_rejected(spark, sf):
+    return _published(spark, TableSpec("orders", skip_failed=True), derived(spark, sf, _RAW), _shown(table(spark, sf, "orders")).limit(0))[0]
+
+
+@query(f"{_PAIR} SELECT {_OUT} FROM tgt UNION ALL SELECT {_OUT} FROM src WHERE o_orderkey % 83 = 0")
+def load_append_published(spark, sf):
+    """The version after an append is the folders before and one more."""
     s, t = pair(spark, sf)
-    rows = load.incoming(TableSpec("orders"), s, t)
-    return rows.agg(F.count(F.lit(1)).alias("rows_written")).crossJoin(s.agg(F.count(F.lit(1)).alias("rows_read"))).select("rows_read", "rows_written", (F.col("rows_read") == F.col("rows_written")).alias("complete"))
+    return _shown(_published(spark, TableSpec("orders", mode="append", where="o_orderkey % 83 = 0"), s, t)[0])
+
+
+@query("WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) SELECT user_id, event_id, event_type FROM e WHERE n = 1")
+def load_last_published(spark, sf):
+    """An upsert of all events by user: the last of each stands, over whichever stood there."""
+    e = table(spark, sf, "events").select("user_id", "event_id", "event_type", "ts")
+    spec = TableSpec("events", keys=("user_id",), mode="upsert", on_duplicate="last", order_by=("ts", "event_id"))
+    return _published(spark, spec, e, e.dropDuplicates(["user_id"]).withColumn("event_type", F.lit("old")))[0].drop("ts")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders UNION ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 97 <> 0")
+def load_chunks_published(spark, sf):
+    """An append by key ranges to a table that has all orders."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    t = versions.VersionedTable(spark, _place(spark, "chunks"))
+    t.stage(o, "v0")
+    t.publish("v0")
+    load.append_chunks(spark, TableSpec("orders", mode="append", chunk_size=500), o.where("o_orderkey % 97 <> 0"), t, ledger.Ledger(), "r1", "o_orderkey")
+    return t.read()
+
+
+_HISTORY = "SELECT concat('r', 1000 + event_id % 90) AS source_run, concat('2026-01-', lpad(concat('', 1 + event_id % 90 % 28), 2, '0'), 'T00:00:00') AS started, concat('t', user_id % 5) AS table_name, CASE WHEN event_id % 7 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status, event_id AS rows_loaded, CAST(event_id % 100 AS DOUBLE) / 4 AS elapsed_seconds FROM events"
+_LATEST = f"SELECT source_run FROM ({_HISTORY}) GROUP BY 1 ORDER BY max(started) DESC, source_run DESC LIMIT 30"
+
+
+@query(f"SELECT substr(started, 1, 10) AS day, table_name, status, count(DISTINCT source_run) AS runs, CAST(sum(rows_loaded) AS BIGINT) AS rows_loaded, round(sum(elapsed_seconds), 3) AS elapsed_seconds FROM ({_HISTORY}) WHERE source_run NOT IN ({_LATEST}) GROUP BY 1, 2, 3")
+def history_compacted(spark, sf):
+    return reports.compacted(derived(spark, sf, _HISTORY), 30)[1]
+
+
+@query(f"SELECT * FROM ({_HISTORY}) WHERE source_run IN ({_LATEST})")
+def history_recent(spark, sf):
+    return reports.compacted(derived(spark, sf, _HISTORY), 30)[0]
+
+
+_LOG = "SELECT concat('r', user_id % 50) AS run_id, concat('', event_id + 1000000) AS stamp, concat('t', event_id % 6) AS table_name, event_type AS phase, CASE WHEN event_id % 5 = 0 THEN 'failed' ELSE 'success' END AS status, concat('m', event_id) AS message FROM events"
+
+
+@query(f"SELECT run_id, phase, count(DISTINCT table_name) AS tables, count(*) AS events, count_if(status = 'failed')::BIGINT AS failures, min(stamp) AS first_at, max(stamp) AS last_at, coalesce(arg_min(message, (stamp, table_name)) FILTER (WHERE status = 'failed'), '') AS first_error FROM ({_LOG}) GROUP BY 1, 2")
+def log_rollup(spark, sf):
+    return reports.log_rollup(derived(spark, sf, _LOG).withColumnRenamed("stamp", "at"))
+
+
+_PIECES = """SELECT 'source' AS source_db, 'app' AS object_schema, concat('o', p_partkey) AS object_name, CASE p_partkey % 3 WHEN 0 THEN 'VIEW' WHEN 1 THEN 'TRIGGER' ELSE 'INDEX' END AS object_type,
+    CASE WHEN p_partkey % 3 = 0 THEN '' ELSE concat('TAB', p_size % 10) END AS parent_name, CASE WHEN p_partkey % 3 <> 2 THEN concat('select * from app."tab', p_size % 12, '" join TAB', p_partkey % 20, ' on seq_', p_size, '.nextval = 1 -- ', p_name) END AS definition, 'VALID' AS status FROM part"""
+_NAMES = "SELECT concat('tab', n_nationkey) AS table_name FROM nation"
+
+
+@query(f"""
+    WITH o AS ({_PIECES}), t AS ({_NAMES}),
+    w AS (SELECT DISTINCT object_name, upper(unnest(regexp_extract_all(definition, '[A-Za-z0-9_$#]+'))) AS word FROM o)
+    SELECT t.table_name, o.object_name, 'parent' AS dependency_kind FROM o JOIN t ON upper(t.table_name) = o.parent_name
+    UNION ALL SELECT t.table_name, w.object_name, 'reference' FROM w JOIN t ON upper(t.table_name) = word""")
+def dependency_discovery(spark, sf):
+    """Which views, triggers and indexes use which tables, from their definitions and parents."""
+    return objects.dependency_edges(derived(spark, sf, _PIECES), derived(spark, sf, _NAMES)).select("table_name", "object_name", "dependency_kind")
 
 
 _RESULTS = "('a','forward',3,3,0,'',true),('b','forward',3,3,0,'',false),('c','reverse',3,3,0,'',false),('d','forward',3,3,0,'',null),('e','forward',3,2,0,'',true),('f','forward',3,3,0,'MISMATCH',true),('g','forward',3,3,1,'MATCH',true)) AS t(table_name,direction,rows_read,rows_written,rows_failed,checksum_status,row_count_match)"
@@ -334,10 +420,15 @@ def watermark_advance(spark, sf):
 
 
 _COLUMNS = "('a','id',1,'integer','int4'),('a','created_at',2,'timestamp','timestamp'),('a','last_update',3,'timestamp','timestamp'),('a','modified_at',4,'timestamp','timestamp'),('b','name',1,'text','text'),('b','entry_day',2,'date','date'),('c','last_change_time',1,'timestamp','timestamp'),('c','update_note',2,'text','text'),('d','id',1,'integer','int4'),('e','when_created',1,'date','date'),('e','when_changed',2,'date','date')) AS t(table_name,column_name,ordinal,data_type,udt_name)"
-_EXPECTED_COLUMNS = "('a','last_update','created_at','coalesce(last_update,created_at)'),('b',NULL,'entry_day','entry_day'),('c','last_change_time',NULL,'last_change_time'),('e','when_changed','when_created','coalesce(when_changed,when_created)')) AS t(table_name,update_column,create_column,expression)"
+_LISTED = [f"list_position({names!r}, column_name)" for names in (incremental.UPDATE_NAMES, incremental.CREATE_NAMES)]
 
 
-@query(f"SELECT * FROM (VALUES {_EXPECTED_COLUMNS}")
+@query(f"""
+    WITH c AS (SELECT *, CASE WHEN {_LISTED[0]} > 0 THEN 1001 - {_LISTED[0]} WHEN regexp_matches(column_name, 'update|modify|modified|change') THEN CASE WHEN contains(column_name, 'last') THEN 850 ELSE 750 END END AS u,
+            CASE WHEN {_LISTED[1]} > 0 THEN 1001 - {_LISTED[1]} WHEN contains(column_name, 'creat') THEN 800 WHEN regexp_matches(column_name, 'insert|entry') THEN 650 END AS k
+        FROM (VALUES {_COLUMNS} WHERE data_type IN ('timestamp', 'date')),
+    g AS (SELECT table_name, arg_max(column_name, (u, -ordinal)) FILTER (WHERE u IS NOT NULL) AS update_column, arg_max(column_name, (k, -ordinal)) FILTER (WHERE k IS NOT NULL) AS create_column FROM c GROUP BY 1)
+    SELECT *, CASE WHEN update_column <> create_column THEN 'coalesce(' || update_column || ',' || create_column || ')' ELSE coalesce(update_column, create_column) END AS expression FROM g""")
 def incremental_column_detection(spark, sf):
     return incremental.detected_columns(values(spark, _COLUMNS))
 
@@ -408,23 +499,35 @@ def _column(t: str, c: str, n: int, kind: str, size=_I, p=_I, s=_I, short="NULL"
 
 _SOURCE = ",".join([_column("t1", "ID", 1, "NUMBER", p=9, s=0), _column("t1", "FREEZE", 2, "VARCHAR2", size=10), _column("t1", "GONE", 3, "DATE"), _column("t2", "ID", 1, "NUMBER", p=18, s=0), _column("t2", "NAME", 2, "VARCHAR2", size=20), _column("t3", "A", 1, "NUMBER", p=38, s=0), _column("t3", "B", 2, "DATE"), _column("t4", "X", 1, "NUMBER"), _column("t5", "L", 1, "CLOB")]) + ") " + _SCHEMA
 _TARGET = ",".join([_column("t1", "id", 1, "integer", short="int4"), _column("t1", "freezee", 2, "character varying", size=10, short="varchar"), _column("t1", "more", 3, "text", short="text"), _column("t2", "name", 1, "character varying", size=10, short="varchar"), _column("t2", "id", 2, "integer", short="int4"), _column("t3", "a", 1, "numeric", p=38, s=0, short="numeric"), _column("t3", "b", 2, "timestamp without time zone", short="timestamp"), _column("t4", "x", 1, "double precision", short="float8"), _column("t5", "l", 1, "text", short="text")]) + ") " + _SCHEMA
-_DIFF = """(
-    ('t1','gone','missing_in_target','incompatible','ERROR'),('t1','more','extra_in_target','incompatible','ERROR'),
-    ('t2','id','type_mismatch','incompatible','ERROR'),('t2','id','ordinal_difference','compatible_with_warning','INFO'),
-    ('t2','name','type_mismatch','incompatible','ERROR'),('t2','name','ordinal_difference','compatible_with_warning','INFO'),
-    ('t3','b','type_difference','compatible_with_warning','INFO'),('t4','x','type_difference','compatible_with_warning','WARNING')"""
+_DUCK_SOURCE = f"""SELECT *, data_type || CASE WHEN data_type IN ('VARCHAR2','CHAR') AND char_length > 0 THEN '(' || char_length || ')' WHEN data_type = 'NUMBER' AND numeric_precision IS NOT NULL THEN '(' || numeric_precision || ',' || numeric_scale || ')' ELSE '' END AS source_type,
+    CASE data_type WHEN 'VARCHAR2' THEN 'varchar(' || char_length || ')' WHEN 'DATE' THEN 'timestamp' WHEN 'CLOB' THEN 'text' WHEN 'NUMBER' THEN
+        CASE WHEN numeric_precision IS NULL THEN 'numeric' WHEN numeric_precision <= 4 THEN 'smallint' WHEN numeric_precision <= 9 THEN 'integer' WHEN numeric_precision <= 18 THEN 'bigint' ELSE 'numeric(' || numeric_precision || ',0)' END END AS suggested_type
+    FROM (VALUES {_SOURCE}"""
+_DUCK_PAIRS = f"""s AS (SELECT *, coalesce((SELECT target_column FROM (VALUES ('t1','freeze','freezee')) AS r(table_name,source_column,target_column) WHERE r.table_name = x.table_name AND source_column = lower(column_name)), lower(column_name)) AS k FROM ({_DUCK_SOURCE}) AS x),
+    t AS (SELECT *, lower(column_name) AS k FROM (VALUES {_TARGET}),
+    p AS (SELECT coalesce(s.table_name, t.table_name) AS table_name, coalesce(s.k, t.k) AS k, s.k AS sk, t.k AS tk, s.ordinal AS so, t.ordinal AS t_o, s.data_type AS sd, t.udt_name AS td, s.char_length AS sl, t.char_length AS tl, s.numeric_precision AS sp, t.numeric_precision AS tp, s.suggested_type FROM s FULL JOIN t ON s.table_name = t.table_name AND s.k = t.k),
+    -- of the kinds of type that stand here: digits that a whole-number type holds, lengths, a date's time of day, binary fractions
+    j AS (SELECT *, CASE WHEN tk IS NULL THEN 'missing_in_target' WHEN sk IS NULL THEN 'extra_in_target'
+            WHEN sd = 'NUMBER' AND td = 'int4' AND sp > 9 OR sd = 'VARCHAR2' AND td = 'varchar' AND sl > tl THEN 'type_mismatch'
+            WHEN sd = 'NUMBER' AND td = 'float8' OR sd = 'DATE' AND td = 'timestamp' THEN 'type_difference' END AS kind FROM p),
+    d AS (SELECT table_name, k AS column_name, kind AS diff_type, CASE WHEN kind = 'type_difference' THEN 'compatible_with_warning' ELSE 'incompatible' END AS compatibility_status,
+            CASE WHEN kind <> 'type_difference' THEN 'ERROR' WHEN td = 'float8' THEN 'WARNING' ELSE 'INFO' END AS severity, suggested_type FROM j WHERE kind IS NOT NULL
+          UNION ALL SELECT table_name, k, 'ordinal_difference', 'compatible_with_warning', 'INFO', suggested_type FROM p WHERE so <> t_o)"""
 
 
 def _schemas(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
     return values(spark, _SOURCE), values(spark, _TARGET), values(spark, "('t1','freeze','freezee')) AS r(table_name,source_column,target_column)")
 
 
-@query("SELECT * FROM (VALUES " + _DIFF[1:] + ") AS t(table_name,column_name,diff_type,compatibility_status,severity)")
+@query(f"WITH {_DUCK_PAIRS} SELECT table_name, column_name, diff_type, compatibility_status, severity FROM d")
 def schema_diff_columns(spark, sf):
     return schema_diff.column_diff(*_schemas(spark)).select("table_name", "column_name", "diff_type", "compatibility_status", "severity")
 
 
-@query("SELECT * FROM (VALUES ('t1',3,3,2,0,0,'gone','more','MISMATCH'),('t2',2,2,2,0,2,'','','MISMATCH'),('t3',2,2,0,0,1,'','','MATCH'),('t4',1,1,0,1,0,'','','WARNING'),('t5',1,1,0,0,0,'','','MATCH')) AS t(table_name,source_column_count,target_column_count,error_count,warning_count,info_count,missing_columns,extra_columns,status)")
+@query(f"""WITH {_DUCK_PAIRS}, n AS (SELECT table_name, count_if(severity = 'ERROR') AS e, count_if(severity = 'WARNING') AS w, count_if(severity = 'INFO') AS i FROM d GROUP BY 1)
+    SELECT table_name, count(sk)::INTEGER AS source_column_count, count(tk)::INTEGER AS target_column_count, coalesce(max(e), 0)::INTEGER AS error_count, coalesce(max(w), 0)::INTEGER AS warning_count, coalesce(max(i), 0)::INTEGER AS info_count,
+        coalesce(string_agg(k, ';' ORDER BY k) FILTER (WHERE tk IS NULL), '') AS missing_columns, coalesce(string_agg(k, ';' ORDER BY k) FILTER (WHERE sk IS NULL), '') AS extra_columns,
+        CASE WHEN max(e) > 0 THEN 'MISMATCH' WHEN max(w) > 0 THEN 'WARNING' ELSE 'MATCH' END AS status FROM p LEFT JOIN n USING (table_name) GROUP BY table_name""")
 def table_status(spark, sf):
     s, t, r = _schemas(spark)
     out = schema_diff.inventory(s, t, schema_diff.column_diff(s, t, r))
@@ -432,7 +535,7 @@ def table_status(spark, sf):
     return out.withColumns(n).select("table_name", *n, "missing_columns", "extra_columns", "status")
 
 
-@query("""SELECT * FROM (VALUES ('t1','gone','ALTER TABLE "public"."t1" ADD COLUMN "gone" timestamp;'),('t1','more','ALTER TABLE "public"."t1" DROP COLUMN "more";')) AS t(table_name,column_name,statement)""")
+@query(f"""WITH {_DUCK_PAIRS} SELECT table_name, column_name, 'ALTER TABLE "public"."' || table_name || '" ' || CASE diff_type WHEN 'missing_in_target' THEN 'ADD COLUMN "' || column_name || '" ' || suggested_type ELSE 'DROP COLUMN "' || column_name || '"' END || ';' AS statement FROM d WHERE diff_type LIKE '%in_target'""")
 def ddl_suggestions(spark, sf):
     return schema_diff.ddl_suggestions(schema_diff.column_diff(*_schemas(spark)), drop=True)
 
@@ -485,13 +588,13 @@ def type_rules(spark, sf):
     return spark.createDataFrame(rows, f"case_id int, s {fields}, t {fields}").select("case_id", assessed(F.col("s"), F.col("t")).alias("a")).select("case_id", "a.status", "a.severity")
 
 
-@query("SELECT * FROM (VALUES ('t1','ID','NUMBER(9,0)','integer'),('t1','FREEZE','VARCHAR2(10)','varchar(10)'),('t1','GONE','DATE','timestamp'),('t2','ID','NUMBER(18,0)','bigint'),('t2','NAME','VARCHAR2(20)','varchar(20)'),('t3','A','NUMBER(38,0)','numeric(38,0)'),('t3','B','DATE','timestamp'),('t4','X','NUMBER','numeric'),('t5','L','CLOB','text')) AS t(table_name,column_name,source_type,suggested_type)")
+@query(f"SELECT table_name, column_name, source_type, suggested_type FROM ({_DUCK_SOURCE})")
 def suggested_types(spark, sf):
     c = F.struct("*")
     return values(spark, _SOURCE).select("table_name", "column_name", source_label(c).alias("source_type"), suggested_type(c).alias("suggested_type"))
 
 
-@query("SELECT * FROM (VALUES ('t1','id','int4'),('t1','freezee','varchar(10)'),('t1','more','text'),('t2','name','varchar(10)'),('t2','id','int4'),('t3','a','numeric(38,0)'),('t3','b','timestamp'),('t4','x','float8'),('t5','l','text')) AS t(table_name,column_name,target_type)")
+@query(f"SELECT table_name, column_name, CASE WHEN data_type = 'character varying' THEN 'varchar(' || char_length || ')' WHEN data_type = 'numeric' THEN 'numeric(' || numeric_precision || ',' || numeric_scale || ')' ELSE udt_name END AS target_type FROM (VALUES {_TARGET}")
 def target_types(spark, sf):
     return values(spark, _TARGET).select("table_name", "column_name", target_label(F.struct("*")).alias("target_type"))
 
@@ -883,8 +986,7 @@ def catalog_style_joins(spark, sf):
 @query("SELECT event_id, user_id, event_type, CAST(value AS DECIMAL(18,6)) AS value FROM events")
 def stream_upsert_available_now(spark, sf):
     """Two folders of files arrive one after the other, with a fifth of the events in both; the table ends with all rows, once each."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)  # what executors write must lie where the driver sees it
-    place = f"{shared.rstrip('/')}/concordat-stream-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="concordat-stream-")
+    place = _place(spark, "stream")
     e = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.col("value").cast("decimal(18,6)").alias("value"))
     target = versions.VersionedTable(spark, f"{place}/table")
     for part in (F.col("event_id") % 10 < 6, F.col("event_id") % 10 >= 4):

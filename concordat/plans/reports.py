@@ -113,25 +113,64 @@ def html_page(title: str, frames: dict[str, DataFrame], path: str, limit: int =
     Path(path).write_text("\n".join(parts))
 
 
+SHEET_ROWS = 1_048_575  # fixed by the workbook format
+
+
 def workbook(frames: dict[str, DataFrame], path: str) -> bool:
-    """Reports as sheets, empty ones left out, repeated rows once, long cells cut; False where the writer is not installed."""
+    """Reports as sheets, empty ones left out, repeated rows once, long cells cut; False where the writer is not installed. A sheet holds the rows that the
+    format allows, and says so where there are more."""
     try:
         from openpyxl import Workbook
     except ImportError:
         return False
     book = Workbook()
     book.remove(book.active)
-    for name, df in frames.items():
-        rows = df.distinct().collect()
-        if rows:
-            sheet = book.create_sheet(name[:31])
-            sheet.append(df.columns)
-            for r in rows:
-                sheet.append([v[:CELL_LIMIT] if isinstance(v, str) else v for v in r])
+    for name, df in named_sheets(frames).items():
+        sheet = book.create_sheet(name[:31])
+        sheet.append(df.columns)
+        for i, r in enumerate(df.distinct().toLocalIterator()):
+            if i == SHEET_ROWS - 1:
+                sheet.append(["more rows than a sheet holds"])
+                break
+            sheet.append([v[:CELL_LIMIT] if isinstance(v, str) else v for v in r])
     book.save(path)
     return True
 
 
+def compacted(history: DataFrame, keep_runs: int = 30) -> tuple[DataFrame, DataFrame]:
+    """A history in two parts: the rows of the latest runs as they are, and of each older day, table and status the number of runs, rows and seconds.
+
+    history: source_run, started (ISO text), table_name, status, rows_loaded, elapsed_seconds. Runs are few beside their rows: their order is a table of one
+    row a run.
+    """
+    runs = history.groupBy("source_run").agg(F.max("started").alias("_last")).orderBy(F.desc("_last"), F.desc("source_run")).limit(keep_runs).select("source_run")
+    recent = history.join(runs, "source_run", "left_semi")
+    old = history.join(runs, "source_run", "left_anti").groupBy(F.substring("started", 1, 10).alias("day"), "table_name", "status")
+    return recent, old.agg(F.count_distinct("source_run").alias("runs"), F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("rows_loaded"), F.round(F.coalesce(F.sum("elapsed_seconds"), F.lit(0.0)), 3).alias("elapsed_seconds"))
+
+
+def log_rollup(events: DataFrame) -> DataFrame:
+    """For each run and phase: tables, events, failures, first and last time, and the first failure's message. events: run_id, at, table_name, phase, status, message."""
+    bad = F.lower("status").isin("failed", "rejected")
+    return events.groupBy("run_id", "phase").agg(
+        F.count_distinct("table_name").alias("tables"),
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(bad).alias("failures"),
+        F.min("at").alias("first_at"),
+        F.max("at").alias("last_at"),
+        F.coalesce(F.min_by(F.when(bad, F.col("message")), F.when(bad, F.struct("at", "table_name"))), F.lit("")).alias("first_error"),
+    )
+
+
+SHEETS = ("inventory", "column_diff", "rowcount", "checksum", "missing_keys", "lob_analysis", "dependencies", "dependency_summary", "sequences", "sync_result", "events", "watermarks", "chunks", "rollbacks", "query_perf", "recommendation", "simulation", "doctor")
+
+
+def named_sheets(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Reports in the usual order of sheets, others after them, without those that have no rows."""
+    order = [n for n in SHEETS if n in frames] + [n for n in frames if n not in SHEETS]
+    return {n: frames[n] for n in order if not frames[n].isEmpty()}
+
+
 def alert(event: str, payload: dict, events: set[str], send) -> bool:
     """Hand an event to a callable if it is one that was asked for."""
     if event not in events:

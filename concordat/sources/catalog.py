@@ -91,3 +91,19 @@ def has_statistics(path: str, column: str) -> bool:
     meta = pq.ParquetFile(path).metadata
     at = meta.schema.names.index(column)
     return all(meta.row_group(i).column(at).is_stats_set for i in range(meta.num_row_groups))
+
+
+def objects_of(spark: SparkSession, schema: str, source_db: str = "catalog") -> DataFrame:
+    """Tables, views and functions of a schema: source_db, object_schema, object_name, object_type, parent_name, definition, status, details, seq.
+
+    Names and view texts come from the session's catalog, a row for each object.
+    """
+    rows = []
+    for t in spark.catalog.listTables(schema):
+        if not t.isTemporary:
+            facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED `{schema}`.`{t.name}`").collect()}
+            rows.append((source_db, schema, t.name, "VIEW" if t.tableType == "VIEW" else "TABLE", "", facts.get("View Text"), "VALID", t.description or "", len(rows)))
+    for f in spark.catalog.listFunctions(schema):
+        if f.namespace and f.namespace[-1] == schema:
+            rows.append((source_db, schema, f.name, "FUNCTION", "", f.description, "VALID", f.className or "", len(rows)))
+    return spark.createDataFrame(rows, "source_db string, object_schema string, object_name string, object_type string, parent_name string, definition string, status string, details string, seq long")
