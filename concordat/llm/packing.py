@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,31 +23,39 @@ from concordat.llm.common import cut, gapless_rank, ship
 _encoders: dict = {}
 
 
-def _encode(tokenizer: str, ranks: str | None):
+def _encode(tokenizer: str, ranks: bytes | None = None, pattern: str = ""):
     """Function from texts to lists of ids, those of the JSON tokenizer as it is, with add_special_tokens=False.
 
-    The same vocabulary as merge ranks, where given, is several times as fast. It knows no special tokens, so texts that hold the string
-    of one go through the JSON tokenizer, which gives it its own id.
+    The arguments are the files' contents, as executors need not have the files. The same vocabulary as merge ranks, where given, is several times as
+    fast. It knows no special tokens, so texts that hold the string of one go through the JSON tokenizer, which gives it its own id.
     """
-    if (tokenizer, ranks) not in _encoders:
+    key = hash(tokenizer), hash(ranks)
+    if key not in _encoders:
         from tokenizers import Tokenizer
 
-        full = Tokenizer.from_file(tokenizer)
+        full = Tokenizer.from_str(tokenizer)
         whole = lambda texts: [e.ids for e in full.encode_batch(texts, add_special_tokens=False)]
         if ranks:
             import base64
 
-            import public_tokenizers
             import tiktoken
 
-            with open(ranks, "rb") as f:
-                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+            plain = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
             special = [t.content for t in full.get_added_tokens_decoder().values()]
-            _encoders[tokenizer, ranks] = lambda texts: [whole([t])[0] if any(s in t for s in special) else plain.encode_ordinary(t) for t in texts]
+            _encoders[key] = lambda texts: [whole([t])[0] if any(s in t for s in special) else plain.encode_ordinary(t) for t in texts]
         else:
-            _encoders[tokenizer, ranks] = whole
-    return _encoders[tokenizer, ranks]
+            _encoders[key] = whole
+    return _encoders[key]
+
+
+def vocabulary(tokenizer: str, ranks: str | None = None) -> tuple[str, bytes | None, str]:
+    """What _encode() needs, from the driver's files: a few MB, sent with the tasks."""
+    if not ranks:
+        return Path(tokenizer).read_text(encoding="utf-8"), None, ""
+    import public_tokenizers
+
+    return Path(tokenizer).read_text(encoding="utf-8"), Path(ranks).read_bytes(), public_tokenizers.PATTERN
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
@@ -58,9 +67,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, capa
     """
     ship(docs.sparkSession)
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+    # cloudpickle would copy the vocabulary into every task's command; Spark sends a broadcast once to each executor
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary(tokenizer, ranks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encode(tokenizer, ranks)
+        encode = _encode(*sent.value)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)

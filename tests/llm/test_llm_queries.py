@@ -41,7 +41,7 @@ def test_pipeline_stage_by_stage(spark, tiny):
         before = after
     packed = P.STAGES[-1][1](spark, docs, tiny).collect()
     assert {d for r in packed for d in r.doc_ids} == {r[0] for r in docs.select("doc_id").collect()}
-    encode = packing._encode(RANKS[0], None)
+    encode = packing._encode(*packing.vocabulary(RANKS[0]))
     want = sorted(i for r in docs.collect() for i in [*encode([r.text or ""])[0], 2])
     assert sorted(i for r in packed for i in r.ids) == want and all(0 < len(r.ids) <= 1024 for r in packed)
     empty = first.limit(0)

@@ -596,7 +596,7 @@ def test_ids_are_those_of_the_tokenizer():
     texts += ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(0xA0, 0x2FF), rng.randrange(0x370, 0xD7FF), rng.randrange(0x1F300, 0x1FAFF), 10, 32])) for _ in range(rng.randint(1, 80))) for _ in range(3000)]
     texts += ["".join(map(chr, range(lo, lo + 256))) for lo in range(0, 0x30000, 256) if not 0xD800 <= lo < 0xE000]
     want = untouched(texts)
-    assert packing._encode(JSON, RANKS)(texts) == want == packing._encode(JSON, None)(texts)
+    assert packing._encode(*packing.vocabulary(JSON, RANKS))(texts) == want == packing._encode(*packing.vocabulary(JSON))(texts)
     assert want[2] == [50256]
 
 
@@ -695,6 +695,18 @@ def test_near_vectors_against_all_pairs(spark, monkeypatch):
     assert rows(near_vectors.near_vectors(df.limit(0))) == []
 
 
+def test_groups_come_whole():
+    keys = sorted(random.Random(2).choices(range(9), k=200))
+    batches, at = [], 0
+    for n in (0, 1, 3, 60, 2, 0, 50, 84):
+        batches.append(pa.RecordBatch.from_pydict({"k": pa.array(keys[at : at + n], pa.int64()), "i": pa.array(range(at, at + n), pa.int64())}))
+        at += n
+    tables = list(vectors.whole_groups(iter(batches), 1))
+    assert [i for t in tables for i in t.column(1).to_pylist()] == list(range(200))
+    ends = [(t.column(0)[0].as_py(), t.column(0)[-1].as_py()) for t in tables]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+
+
 def test_rotations_keep_lengths():
     x = np.random.default_rng(0).normal(size=(10, 48))
     y = vectors.rotate(x, 1)
