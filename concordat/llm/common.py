@@ -17,9 +17,12 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local session (tests) gets one of our own; on a
+    cluster that is an error, as no folder of one machine would do."""
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not place:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         place = "file://" + tempfile.mkdtemp(prefix="concordat-")
         spark.sparkContext.setCheckpointDir(place)
         place = spark.sparkContext.getCheckpointDir()

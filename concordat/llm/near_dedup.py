@@ -28,7 +28,8 @@ from concordat.llm.vectors import group_changes, whole_groups
 K = 64
 PIVOTS = 3
 LONG = 64  # lists up to this length are open to pairs; longer ones go by blocks
-DENSE_BLOCK = 1024
+DENSE_BLOCK = 1024  # documents, and
+DENSE_SHINGLES = 1 << 21  # shingles that a block holds at most, but for one document of more
 SLACK = 0.30  # the estimate from 64 values has a standard deviation of 0.054 at similarity 0.75
 
 
@@ -120,7 +121,7 @@ def dense_links(long: DataFrame, texts: DataFrame, percent: int, words: int) ->
     docs = docs.withColumn("class", F.floor(F.log("n") / math.log(100 / percent)))
     large = docs.groupBy("g", "c", "class").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= DENSE_BLOCK)
     own = docs.join(large, ["g", "c", "class"], "left").withColumn("part", F.when(F.col("size").isNotNull(), F.col("c")))
-    counts = own.groupBy(F.col("g").alias("h"), F.col("part").alias("p"), F.col("class").alias("q")).agg(F.ceil(F.count(F.lit(1)) / DENSE_BLOCK).alias("blocks"))
+    counts = own.groupBy(F.col("g").alias("h"), F.col("part").alias("p"), F.col("class").alias("q")).agg(F.ceil(F.greatest(F.count(F.lit(1)) / DENSE_BLOCK, F.sum("n") / DENSE_SHINGLES)).alias("blocks"))
     salted = own.join(counts, (F.col("g") == F.col("h")) & F.col("part").eqNullSafe(F.col("p")) & (F.col("class") == F.col("q"))).withColumn("k", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
     placed = cut(salted.select("g", "part", "class", "doc_id", "n", "c", F.xxhash64("part", "class", "k").alias("block")), "dense-blocks")
     blocks = placed.groupBy("g", "class", "block").agg(F.first("part").alias("part"), F.min("n").alias("lo"), F.max("n").alias("hi"))

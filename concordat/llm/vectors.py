@@ -61,16 +61,19 @@ def group_changes(table: pa.Table, keys: int) -> np.ndarray:
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Tables that end at the end of a group, from sorted batches. A group is bounded, so is what is held."""
+    """Tables that end at the end of a group, from sorted batches. A group is bounded, so is what is held; each batch is put together once."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        table = pa.Table.from_batches([*held, batch]).combine_chunks()
-        cuts = np.flatnonzero(group_changes(table, keys))
-        if len(cuts):
-            yield table.slice(0, int(cuts[-1]) + 1).combine_chunks()
-            table = table.slice(int(cuts[-1]) + 1).combine_chunks()
-        held = table.to_batches()
+        cuts = np.flatnonzero(group_changes(pa.Table.from_batches([batch]), keys))
+        last = int(cuts[-1]) + 1 if len(cuts) else 0
+        if held and any(held[-1].column(k)[-1].as_py() != batch.column(k)[0].as_py() for k in range(keys)):
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        if last:
+            yield pa.Table.from_batches([*held, batch.slice(0, last)]).combine_chunks()
+            held = []
+        held.append(batch.slice(last))
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
