@@ -295,6 +295,8 @@ def apply_delete_insert(spark, sf):
 def _place(spark: SparkSession, name: str) -> str:
     """A fresh folder: in the shared one where there is one, as what executors write must lie where the driver sees it."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{shared.rstrip('/')}/concordat-{name}-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix=f"concordat-{name}-")
 
 
