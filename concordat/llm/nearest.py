@@ -1,7 +1,7 @@
 """Nearest neighbours by inner product with randomly rotated one-bit codes.
 
 A vector is padded with zeros to SPREAD times its length, rotated, and kept as the signs of the components (packed bits) and two
-scalars: its length and how well the sign vector stands for the direction. A query's rotated components are rounded to four bits; the
+scalars: its length and how well the sign vector stands for the direction. A query's rotated components are rounded to PLANES bits; the
 inner product with a sign vector is then a sum of population counts of ANDed words. That gives an unbiased estimate of the inner
 product of vector and query, and a bound on the estimate's error.
 
@@ -25,9 +25,9 @@ from concordat.llm.common import cut, ship
 from concordat.llm.vectors import inner, matrix, rotate, usable
 
 SEED = 41
-SPREAD = 4  # bits for each component of a vector
-WIDTH = 2.0  # of the error bound in standard deviations of the estimate
-PLANES = 4  # bits of a query's component
+SPREAD = 2  # bits for each component of a vector
+WIDTH = 1.5  # of the error bound in standard deviations of the estimate
+PLANES = 3  # bits of a query's component
 BLOCK, BLOCK_BYTES, BLOCKS = 65_536, 64 << 20, 24  # most vectors and bytes of a block; least number of blocks, where each then has 1024 vectors at least
 
 
