@@ -15,6 +15,8 @@ has a neighbour is left out by that.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,9 +41,12 @@ def _halves() -> list[Column]:
 
 def line_table(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, line_no and line (words parted by one space) of every line that is not blank."""
-    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    plain = every.withColumn("line", F.trim(F.translate("line", SPACES, " " * len(SPACES)))).where("line <> ''")
-    return plain.withColumn("line", F.when(F.contains("line", F.lit("  ")), F.regexp_replace("line", " {2,}", " ")).otherwise(F.col("line")))
+    # white space is made alike in whole texts, and only in those that need it; the hash is taken below the explosion, once for a text
+    odd = reduce(lambda a, b: a | b, (F.contains("text", F.lit(c)) for c in SPACES))
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.when(odd, F.translate("text", SPACES, " " * len(SPACES))).otherwise(F.col("text")).alias("text"))
+    whole = whole.select("doc_id", "text_hash", F.split(F.when(F.contains("text", F.lit("  ")), F.regexp_replace("text", " {2,}", " ")).otherwise(F.col("text")), "\n", -1).alias("lines"))
+    every = whole.select("doc_id", "text_hash", F.posexplode("lines").alias("line_no", "line"))
+    return every.withColumn("line", F.trim("line")).where("line <> ''")
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
