@@ -1,5 +1,5 @@
 """Commands: audit, validate, checksum, missing-keys, audit-objects, dependencies, sequences, sync, resume, rollback, watermarks, reset-watermark,
-circuit, query-perf, lob, simulate, doctor, history, report.
+circuit, query-perf, lob, simulate, doctor, repair, history, report.
 
 Settings name a schema and tables, each with `source` and `target` (a Parquet path, a catalog name or a JDBC url, with source_options and target_options
 such as dbtable). The target of a sync is a versioned folder, or a JDBC url for appends and full loads. `constraints`, `objects` and `sequences` have the
@@ -12,6 +12,7 @@ import argparse
 import fcntl
 import json
 import sys
+import time
 import uuid
 from pathlib import Path
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from concordat.model import LoadResult
 from concordat.operators import long_columns, objects, profile, sequences
-from concordat.plans import audit, doctor, load, queryperf, reports
+from concordat.plans import audit, doctor, load, queryperf, repairs, reports
 from concordat.sources import catalog, config, files
 from concordat.sources.versions import VersionedTable
 from concordat.streaming.ledger import Ledger
@@ -28,7 +29,7 @@ from concordat.streaming.ledger import Ledger
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser("concordat", description=__doc__)
-    p.add_argument("command", choices="audit validate checksum missing-keys audit-objects dependencies sequences sync resume rollback watermarks reset-watermark circuit query-perf lob simulate doctor history report".split())
+    p.add_argument("command", choices="audit validate checksum missing-keys audit-objects dependencies sequences sync resume rollback watermarks reset-watermark circuit query-perf lob simulate doctor repair history report".split())
     p.add_argument("--config")
     p.add_argument("--env-file")
     p.add_argument("--tables", nargs="*")
@@ -37,6 +38,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--profile", choices=["daily", "every_5min"], help="daily: full loads; every_5min: keyed tables with a watermark only")
     p.add_argument("--chunk-key", help="whole-number column whose ranges are digested one by one")
     p.add_argument("--chunk-size", type=int, default=50_000)
+    p.add_argument("--retries", type=int, default=0, help="tries after a failed sync, each five seconds later than the last")
+    p.add_argument("--require-unique-target", action="store_true", help="refuse keyed loads into tables that repeat a key")
+    p.add_argument("--require-whole", action="store_true", help="refuse tables with skip_failed")
+    p.add_argument("--schema", default="default", help="catalog schema, for repair")
     p.add_argument("--skip-matching", action="store_true", help="leave out full loads whose row counts agree")
     p.add_argument("--keep-runs", type=int, default=30)
     p.add_argument("--limit", type=int)
@@ -117,6 +122,10 @@ def main(argv: list[str] | None = None) -> int:
         checks = doctor.examined(spark, wanted, side, ledger, constraints=listed("constraints"), allow_swap=a.allow_swap)
         finish({"doctor": checks})
         return int(not checks.where("status = 'FAIL'").isEmpty())
+    if a.command == "repair":
+        done = repairs.repaired(spark, lambda: catalog.objects_of(spark, a.schema), repairs.refresh(spark))
+        finish({"maintenance": done})
+        return int(not done.where("outcome = 'failed'").isEmpty())
     if a.command == "history":
         history = ledger.history(spark)
         recent, old = reports.compacted(history, a.keep_runs)
@@ -151,7 +160,15 @@ def main(argv: list[str] | None = None) -> int:
         stores = [s for s in wanted if places[s.name]["target"].startswith("jdbc:")]
         chunked = [s for s in wanted if s not in stores and a.command == "resume"]
         loads = [(s, side(s.name, "source"), VersionedTable(spark, places[s.name]["target"])) for s in wanted if s not in stores and s not in chunked]
-        results = load.run_all(spark, loads, ledger, run, a.workers, a.direction, execute=a.execute, allow_swap=a.allow_swap, skip_matching=a.skip_matching)
+        guards = {"execute": a.execute, "allow_swap": a.allow_swap, "skip_matching": a.skip_matching, "require_unique_target": a.require_unique_target, "require_whole": a.require_whole}
+        results = load.run_all(spark, loads, ledger, run, a.workers, a.direction, **guards)
+        for again in range(1, a.retries + 1):
+            left = [i for i, r in enumerate(results) if r.status == "FAILED"]
+            if not left:
+                break
+            time.sleep(5 * again)
+            for i, r in zip(left, load.run_all(spark, [loads[i] for i in left], ledger, f"{run}-{again}", a.workers, a.direction, **guards), strict=True):
+                results[i] = r
         for s in chunked:  # an append by ranges goes on where the run with this id stopped
             n = load.append_chunks(spark, s, side(s.name, "source"), VersionedTable(spark, places[s.name]["target"]), ledger, run, s.keys[0])
             results.append(LoadResult(s.name, "append", "SUCCESS", rows_written=n))

@@ -76,7 +76,7 @@ def attempted(spec: TableSpec, source: DataFrame, target: DataFrame, watermark:
     return mapping.attempted(_wanted(spec, source, watermark), _pairs(spec, source, target, reverse), mapping.fixed_length(source), reverse)
 
 
-def check(spec: TableSpec, allow_swap: bool = False, require_filter: bool = False) -> None:
+def check(spec: TableSpec, allow_swap: bool = False, require_filter: bool = False, require_whole: bool = False) -> None:
     """Refuse what would lose rows or cannot work."""
     if spec.mode not in MODES:
         raise LoadError(f"no such mode: {spec.mode}")
@@ -88,6 +88,8 @@ def check(spec: TableSpec, allow_swap: bool = False, require_filter: bool = Fals
         raise LoadError("the last of repeated keys needs order_by")
     if spec.mode.startswith("swap") and not allow_swap:
         raise LoadError("swap has to be allowed")
+    if require_whole and spec.skip_failed:
+        raise LoadError("rows that cannot be cast must not be left out here")
     if require_filter and not (spec.where or spec.incremental):
         raise LoadError("a filter is required")
 
@@ -103,7 +105,7 @@ def next_version(spec: TableSpec, now: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert.upserted(now, rows, list(spec.keys), on_duplicate=spec.on_duplicate, order=[F.col(c) for c in spec.order_by])
 
 
-def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: VersionedTable, ledger: Ledger, run_id: str | None = None, execute: bool = True, validate: bool = True, direction: str = "forward", skip_matching: bool = False, **guards: bool) -> LoadResult:
+def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: VersionedTable, ledger: Ledger, run_id: str | None = None, execute: bool = True, validate: bool = True, direction: str = "forward", skip_matching: bool = False, require_unique_target: bool = False, **guards: bool) -> LoadResult:
     """Load one table. A dry run plans and counts only.
 
     The increment is staged first, so its watermark, its digest and the merge all see the same rows; rows that cannot be cast are counted
@@ -118,6 +120,8 @@ def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: Versione
     if now is None:
         raise LoadError(f"{spec.name}: the target does not exist")
     check(spec, **guards)
+    if require_unique_target and spec.mode in KEYED and not upsert.is_unique(now, list(spec.keys)):
+        raise LoadError(f"{spec.name}: the target repeats a key of {', '.join(spec.keys)}")
     mark = ledger.watermark(direction, spec.name, spec.incremental.strategy, spec.incremental.column) if spec.incremental else None
     if not execute:
         return replace(result, status="DRY_RUN", rows_read=_wanted(spec, source, mark).count(), message=f"{spec.mode} from {len(source.columns)} columns")
@@ -194,6 +198,8 @@ def write_out(spark: SparkSession, spec: TableSpec, source: DataFrame, target: s
     before = shape.count() if spec.mode == "append" else 0
     ledger.event(run_id, "load", "started", spec.name)
     rows = files.write(tried.where("_failed IS NULL").drop("_failed"), target, "append" if spec.mode == "append" else "overwrite", **options)["rows"]
+    if "/" not in target:  # a table of the catalog: its statistics are out of date
+        spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS")
     written = there().count() - before
     outcome = verdict(rows, written, 0, "", True if spec.mode != "append" else None, reverse)
     state = "FAILED" if outcome == "FAIL" else "SUCCESS"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 from pathlib import Path
@@ -93,7 +94,8 @@ def best_variants(timings: DataFrame) -> DataFrame:
 
 def manifest(run_id: str, settings: dict, frames: dict[str, DataFrame], path: str) -> dict:
     """A run's record as JSON: settings without secrets, and counts by status of each report."""
-    out = {"run_id": run_id, "settings": masked(settings), "reports": {}}
+    clean = masked(settings)
+    out = {"run_id": run_id, "settings": clean, "settings_hash": hashlib.sha256(json.dumps(clean, sort_keys=True).encode()).hexdigest(), "reports": {}}
     for name, df in frames.items():
         state = next((c for c in ("status", "severity", "classification") if c in df.columns), None)
         out["reports"][name] = {str(r[0]): r[1] for r in df.groupBy(state).count().collect()} if state else {"rows": df.count()}  # a row for each status

@@ -102,7 +102,12 @@ def objects_of(spark: SparkSession, schema: str, source_db: str = "catalog") ->
     for t in spark.catalog.listTables(schema):
         if not t.isTemporary:
             facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED `{schema}`.`{t.name}`").collect()}
-            rows.append((source_db, schema, t.name, "VIEW" if t.tableType == "VIEW" else "TABLE", "", facts.get("View Text"), "VALID", t.description or "", len(rows)))
+            try:
+                spark.table(f"`{schema}`.`{t.name}`").schema  # noqa: B018
+                status, details = "VALID", t.description or ""
+            except Exception as e:  # a view whose tables or columns are gone
+                status, details = "INVALID", str(e).splitlines()[0][:300]
+            rows.append((source_db, schema, t.name, "VIEW" if t.tableType == "VIEW" else "TABLE", "", facts.get("View Text"), status, details, len(rows)))
     for f in spark.catalog.listFunctions(schema):
         if f.namespace and f.namespace[-1] == schema:
             rows.append((source_db, schema, f.name, "FUNCTION", "", f.description, "VALID", f.className or "", len(rows)))

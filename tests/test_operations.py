@@ -7,7 +7,7 @@ from concordat.functions import canon, text
 from concordat.model import TableSpec
 from concordat.operators import objects, reconcile
 from concordat.operators.upsert import upserted
-from concordat.plans import audit, doctor, load, reports
+from concordat.plans import audit, doctor, load, repairs, reports
 from concordat.sources import catalog, files
 from concordat.sources.versions import VersionedTable
 from concordat.streaming.ledger import Ledger
@@ -210,3 +210,40 @@ def test_names_in_routines(spark):
     found = lambda t: spark.range(1).select(text.sequence_names(F.lit(t)), text.mentions_table(F.lit(t), "orders")).first()
     assert tuple(found('x := a."S$1" . nextval; nextval.b; b.c.nextval; B.C.NEXTVAL')) == (["S$1", "C"], False)
     assert tuple(found("")) == ([], False) and found('SELECT 1 FROM x."Orders"')[1] and not found("my_orders orders2 orders$")[1]
+
+
+def test_repairs_go_on_while_they_help(spark):
+    broken, need = {"a", "b", "c", "d"}, {"b": "a", "c": "b", "d": "gone"}
+
+    def scan():
+        return spark.createDataFrame([("s", n, "VIEW", "INVALID" if n in broken else "VALID") for n in "abcde"], "object_schema string, object_name string, object_type string, status string")
+
+    def act(schema, name, kind):
+        if need.get(name) in broken or need.get(name) == "gone":
+            raise RuntimeError(f"{need[name]} is missing")
+        broken.discard(name)
+
+    got = rows(repairs.repaired(spark, scan, act), "object_name", "rounds", "outcome", "message")
+    assert got == [("a", 1, "fixed", ""), ("b", 1, "fixed", ""), ("c", 1, "fixed", ""), ("d", 2, "failed", "gone is missing")]
+    assert rows(repairs.repaired(spark, lambda: scan().where("object_name = 'e'"), act)) == []
+
+
+def test_a_broken_view_is_found_and_mended(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS rep")
+    spark.range(3).write.mode("overwrite").saveAsTable("rep.base")
+    spark.sql("CREATE OR REPLACE VIEW rep.top AS SELECT id FROM rep.base")
+    spark.sql("DROP TABLE rep.base")
+    scan = lambda: catalog.objects_of(spark, "rep")
+    assert rows(scan(), "object_name", "status") == [("top", "INVALID")]
+    assert rows(repairs.repaired(spark, scan, repairs.refresh(spark)), "outcome") == [("failed",)]
+
+
+def test_guards(spark, target):
+    twice = target.read().union(target.read())
+    target.stage(twice, "v1")
+    target.publish("v1")
+    row = spark.createDataFrame([(5, "x", 1.0)], "id int, name string, x double")
+    with pytest.raises(load.LoadError, match="repeats a key"):
+        load.run(spark, TableSpec("t", keys=("id",), mode="upsert"), row, target, Ledger(), require_unique_target=True)
+    with pytest.raises(load.LoadError):
+        load.check(TableSpec("t", skip_failed=True), require_whole=True)
