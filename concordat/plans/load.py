@@ -17,7 +17,6 @@ from concordat.functions.canon import table_digest
 from concordat.model import LoadResult, TableSpec
 from concordat.operators import incremental, mapping, upsert
 from concordat.operators.chunks import counts as chunk_counts
-from concordat.operators.chunks import plan as plan_chunks
 from concordat.operators.reconcile import checksum_columns
 from concordat.sources import files
 from concordat.sources.versions import VersionedTable
@@ -246,12 +245,16 @@ def append_chunks(spark: SparkSession, spec: TableSpec, source: DataFrame, table
     now = table.read()
     rows = incoming(spec, source, now)
     shape = now.limit(0)
-    ranges = plan_chunks(rows, key, spec.chunk_size).orderBy("chunk_start").collect()  # one row for each range
+    lo, hi = rows.agg(F.min(key).cast("long"), F.max(key).cast("long")).first()  # from statistics, where the files have them
+    starts = range(lo, hi + 1, spec.chunk_size) if lo is not None else range(0)
     ledger.release(run_id)
     there, done = set(table.versions()), ledger.successful(run_id, spec.name)
     folders = []
-    for w in range(0, len(ranges), WAVE):
-        wave, staged = ranges[w : w + WAVE], f"{run_id}-part{w:06d}"
+    for w in range(0, len(starts), WAVE):
+        staged, wave = f"{run_id}-part{w:06d}", []
+        for start in starts[w : w + WAVE]:
+            end = min(start + spec.chunk_size - 1, hi)
+            wave.append({"chunk_key": f"{key}:{start}:{end}", "chunk_start": start, "chunk_end": end})
         folders.append(staged)
         for c in wave:
             ledger.add_chunk(run_id, spec.name, c["chunk_key"], c["chunk_start"], c["chunk_end"])
