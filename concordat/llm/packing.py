@@ -236,5 +236,12 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, ranks: str | None = None, capacity: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
-    """Tokenise and pack documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset and, if asked for, ids."""
-    return pack(cut(token_pieces(docs, tokenizer, ranks, capacity, end_id, with_ids), "pieces"), capacity)
+    """Tokenise and pack documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset and, if asked for, ids.
+
+    Pieces are ranked and placed without their ids, which join them by the piece's number once their place is known.
+    """
+    pieces = token_pieces(docs, tokenizer, ranks, capacity, end_id, with_ids)
+    if not with_ids:
+        return pack(cut(pieces, "pieces"), capacity)
+    numbered = cut(pieces.withColumn("number", F.monotonically_increasing_id()), "pieces")
+    return pack(numbered.drop("ids"), capacity).join(numbered.select("number", "ids"), "number").drop("number")

@@ -624,7 +624,7 @@ def test_packing(spark, tiny):
             at += p.length
         assert at <= 1024
     assert len(by_sequence) <= math.ceil(sum(r.length for r in got) / 1024) * 1.02 + 1
-    joined = packing.sequences(packing.pack(pieces)).collect()
+    joined = packing.sequences(packing.pack_documents(df, JSON, RANKS, with_ids=True)).collect()
     assert sum(len(r.ids) for r in joined) == sum(r.length for r in got) and max(len(r.ids) for r in joined) <= 1024
     whole = {(p.doc_id, p.piece, p.length): p.ids for p in got if p.doc_id != 10_003}
     for r in joined:
