@@ -5,10 +5,10 @@ scalars: its length and how well the sign vector stands for the direction. A que
 inner product with a sign vector is then a sum of population counts of ANDed words. That gives an unbiased estimate of the inner
 product of vector and query, and a bound on the estimate's error.
 
-Every vector lies in one block, and only queries go to all blocks. The first pass sees codes alone: each block gives the k largest
-lower bounds of each query, and the k-th largest of all blocks is the query's threshold. The second pass has the blocks' vectors beside
-their codes and scores, in double precision, those whose upper bound reaches the threshold; the rest cannot be among the k nearest but
-with the chance that the bound's width allows. So no vector is sent twice, and what leaves a block is a few rows for each query.
+Every vector lies in one block, and only queries go to all blocks. In the first pass each block scores, in double precision, the k
+vectors that a query's estimates put first; the k-th largest score of all blocks is the query's threshold, and k vectors do reach it.
+The second pass scores those whose upper bound reaches the threshold; the rest cannot be among the k nearest but with the chance that the
+bound's width allows. What leaves a block is a few rows for each query, and thresholds are put together in two levels.
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ from concordat.llm.common import cut, ship
 from concordat.llm.vectors import inner, matrix, rotate, usable
 
 SEED = 41
-SPREAD = 2  # bits for each component of a vector
-WIDTH = 1.5  # of the error bound in standard deviations of the estimate
-PLANES = 3  # bits of a query's component
+SPREAD = 4  # bits for each component of a vector
+WIDTH = 2.5  # of the error bound in standard deviations of the estimate
+PLANES = 4  # bits of a query's component
 BLOCK, BLOCK_BYTES, BLOCKS = 65_536, 64 << 20, 24  # most vectors and bytes of a block; least number of blocks, where each then has 1024 vectors at least
 
 
@@ -108,34 +108,36 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, width: float = WID
         return df.select("dims", "block", F.lit(role).alias("role"), "row", *columns)
 
     together = lambda a, b: a.unionByName(b).repartition("dims", "block").sortWithinPartitions("dims", "block", "role")
-    codes = told(0, placed, "bits", "norm", "fit", *none(("embedding", kind)))
-    asking = told(1, every, *none(("bits", "binary"), ("norm", "double"), ("fit", "double")), "embedding")
-
-    def lower(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held, part in by_block(batches, lambda t: _codes(t, 4)):
-            rows, found = part.column(3).to_numpy(), []
-            own, have = held
-            for row, (estimate, half) in zip(rows, _each(matrix(part.column(7)), have, width), strict=True):
-                bound = (estimate - half)[own != row]
-                found.append(np.partition(bound, len(bound) - k)[len(bound) - k :] if len(bound) > k else bound)
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32)), pa.array(np.concatenate(found).astype(np.float32)))
-            yield pa.RecordBatch.from_arrays([pa.array(rows), lists], names=["row", "bounds"])
-
-    bounds = together(codes, asking).mapInArrow(lower, "row long, bounds array<float>")
-    # the k-th largest of the blocks' largest; a query with fewer candidates has no threshold. At most k values a block and query meet
-    kth = F.element_at(F.sort_array(F.flatten(F.collect_list("bounds")), asc=False), k)
-    thresholds = cut(bounds.groupBy("row").agg(F.when(F.sum(F.size("bounds")) >= k, kth).otherwise(float("-inf")).alias("least")), "one-bit-thresholds")
-
-    full = told(0, placed, "bits", "norm", "fit", "embedding", "vec_id", *none(("least", "float")))
+    full = told(0, placed, "bits", "norm", "fit", "embedding", "vec_id", *none(("least", "double")))
+    asking = told(1, every, *none(("bits", "binary"), ("norm", "double"), ("fit", "double")), "embedding", "vec_id", *none(("least", "double")))
+
+    def first_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (own, have, x, _), part in by_block(batches, _block):
+            rows, q, found = part.column(3).to_numpy(), matrix(part.column(7)), []
+            for i, (estimate, _half) in enumerate(_each(q, have, width)):
+                other = np.flatnonzero(own != rows[i])
+                if len(other) > k:
+                    other = other[np.argpartition(estimate[other], len(other) - k)[len(other) - k :]]
+                found.append(x[other] @ q[i])
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32)), pa.array(np.concatenate(found)))
+            yield pa.RecordBatch.from_arrays([part.column(3), pa.compute.bit_wise_and(part.column(1).cast(pa.int64()), 63), lists], names=["row", "part", "scores"])
+
+    scores = together(full, asking).mapInArrow(first_scores, "row long, part long, scores array<double>")
+    # the k-th largest of the blocks' largest; a query with fewer candidates has no threshold
+    best = F.slice(F.sort_array(F.flatten(F.collect_list("scores")), asc=False), 1, k).alias("scores")
+    kth = F.when(F.size("scores") >= k, F.element_at("scores", k)).otherwise(float("-inf")).alias("least")
+    thresholds = cut(scores.groupBy("row", "part").agg(best).groupBy("row").agg(best).select("row", kth), "one-bit-thresholds")
+
     known = every.join(thresholds, "row")
-    knowing = told(1, known, *none(("bits", "binary"), ("norm", "double"), ("fit", "double")), "embedding", "vec_id", F.col("least").cast("float").alias("least"))
+    knowing = told(1, known, *none(("bits", "binary"), ("norm", "double"), ("fit", "double")), "embedding", "vec_id", "least")
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (own, have, x, ids), part in by_block(batches, lambda t: (*_codes(t, 4), matrix(t.column(7)), t.column(8).to_numpy())):
+        for (own, have, x, ids), part in by_block(batches, _block):
             rows, names, least, q = part.column(3).to_numpy(), part.column(8).to_numpy(), part.column(9).to_numpy(), matrix(part.column(7))
             out = []
             for i, (estimate, half) in enumerate(_each(q, have, width)):
-                pick = np.flatnonzero((estimate + half >= least[i]) & (own != rows[i]))
+                # a little below, as the threshold is a product of matrices and rounds otherwise than sums in order
+                pick = np.flatnonzero((estimate + half >= least[i] - 1e-6 * (1 + abs(least[i]))) & (own != rows[i])) if np.isfinite(least[i]) else np.flatnonzero(own != rows[i])
                 if len(pick) > k:  # rounding differs between a product of matrices and sums in order, so all near the k-th stay
                     score = x[pick] @ q[i]
                     edge = np.partition(score, len(score) - k)[len(score) - k]
@@ -152,10 +154,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, width: float = WID
     return near.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _codes(t: pa.Table, at: int) -> tuple[np.ndarray, Codes]:
-    """Row numbers and codes of a block's vectors, whose bits, norm and fit stand from column `at` on."""
-    bits = np.frombuffer(b"".join(t.column(at).to_pylist()), np.uint64).reshape(len(t), -1)
-    return t.column(3).to_numpy(), Codes(bits, t.column(at + 1).to_numpy(), t.column(at + 2).to_numpy())
+def _block(t: pa.Table) -> tuple[np.ndarray, Codes, np.ndarray, np.ndarray]:
+    """Row numbers, codes, vectors and ids of a block's vectors."""
+    bits = np.frombuffer(b"".join(t.column(4).to_pylist()), np.uint64).reshape(len(t), -1)
+    return t.column(3).to_numpy(), Codes(bits, t.column(5).to_numpy(), t.column(6).to_numpy()), matrix(t.column(7)), t.column(8).to_numpy()
 
 
 def _each(queries: np.ndarray, have: Codes, width: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
