@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import fill_middle, html_text, lines, mixing, near_dedup, near_vectors, nearest, packing, quality, sharding, warc
+from concordat.llm import conversation, fill_middle, html_text, lines, mixing, near_dedup, near_vectors, nearest, packing, quality, sharding, warc
 from concordat.llm.common import new_path
 
 
@@ -67,6 +67,10 @@ def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation.report(*conversation.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_onebit": op1_onebit,
     "op2_kdtree": op2_kdtree,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_crosspolytope": op9_crosspolytope,
     "op10_quality": op10_quality,
     "op12_fim": op12_fim,
+    "op13_repair": op13_repair,
 }
 
 SQL: dict[str, str] = {
@@ -185,4 +190,38 @@ SQL: dict[str, str] = {
                sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
         FROM p
     """,
+    "op13_repair": r"""
+        WITH RECURSIVE k AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+        h AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                     xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(key, ''), lambda x: CAST(ord(x) AS BIGINT))), lambda c, b:
+                         list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), lambda d, i: CASE WHEN d & 1 = 1 THEN xor(d >> 1, 3988292384) ELSE d >> 1 END))) % 20 AS harm FROM k),
+        d AS (SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role, CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                     unnest(range(CASE WHEN harm = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE harm > 0),
+        o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i FROM d),
+        f AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+                     NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS open, lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+        t AS MATERIALIZED (SELECT conv_id, i, turn, role, text, role[1:1] AS x, blank, NOT blank AND again AS duplicate, NOT blank AND NOT again AND open AS truncated,
+                     before || role[1:1] NOT IN ('su', 'ua', 'au') AS illegal FROM f),
+        g AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(duplicate) AS duplicate,
+                     count_if(truncated) AS truncated, count_if(illegal) AS illegal FROM t GROUP BY 1),
+        -- the cheapest (cost, audit) that ends with nothing (z), a system (s), user (u) or assistant (a) message; a message may be inserted after each
+        p AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, {'c': CAST(0 AS BIGINT), 'e': ''} AS z, {'c': CAST(1000000000 AS BIGINT), 'e': ''} AS s, {'c': CAST(2 AS BIGINT), 'e': 'I'} AS u, {'c': CAST(4 AS BIGINT), 'e': 'II'} AS a FROM g
+              UNION ALL
+              SELECT conv_id, i, z, s, least(u, {'c': z.c + 2, 'e': z.e || 'I'}, {'c': s.c + 2, 'e': s.e || 'I'}, {'c': a.c + 2, 'e': a.e || 'I'}),
+                     least(a, {'c': u.c + 2, 'e': u.e || 'I'}, {'c': z.c + 4, 'e': z.e || 'II'}, {'c': s.c + 4, 'e': s.e || 'II'})
+              FROM (SELECT p.conv_id, t.i, {'c': z.c + 3, 'e': z.e || 'D'} AS z,
+                           CASE WHEN go OR x <> 's' THEN {'c': s.c + 3, 'e': s.e || 'D'} ELSE least({'c': s.c + 3, 'e': s.e || 'D'}, {'c': z.c + m, 'e': z.e || 'K'}) END AS s,
+                           CASE WHEN go THEN {'c': u.c + 3, 'e': u.e || 'D'} ELSE least({'c': u.c + 3, 'e': u.e || 'D'}, {'c': z.c + m + ru, 'e': z.e || eu}, {'c': s.c + m + ru, 'e': s.e || eu}, {'c': a.c + m + ru, 'e': a.e || eu}) END AS u,
+                           CASE WHEN go THEN {'c': a.c + 3, 'e': a.e || 'D'} ELSE least({'c': a.c + 3, 'e': a.e || 'D'}, {'c': u.c + m + ra, 'e': u.e || ea}) END AS a
+                    FROM p JOIN (SELECT conv_id, i, x, blank OR duplicate AS go, CAST(truncated AS BIGINT) AS m, CASE x WHEN 'u' THEN 0 ELSE 2 END AS ru, CASE x WHEN 'u' THEN 'K' ELSE 'R' END AS eu,
+                                        CASE x WHEN 'a' THEN 0 ELSE 2 END AS ra, CASE x WHEN 'a' THEN 'K' ELSE 'R' END AS ea FROM t) AS t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1)),
+        b AS MATERIALIZED (SELECT p.conv_id, least(z, a).c AS cost, least(z, a).e AS audit FROM p JOIN g ON g.conv_id IS NOT DISTINCT FROM p.conv_id WHERE p.i = g.n),
+        l AS (SELECT conv_id, audit, generate_subscripts(string_split(audit, ''), 1) AS j, unnest(string_split(audit, '')) AS e FROM b WHERE audit <> ''),
+        w AS (SELECT *, sum(CAST(e <> 'I' AS INT)) OVER q AS i, sum(CAST(e <> 'D' AS INT)) OVER q AS pos, sum(CAST(e <> 'D' AS INT)) OVER (PARTITION BY conv_id) AS len FROM l WINDOW q AS (PARTITION BY conv_id ORDER BY j)),
+        r AS (SELECT w.conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (pos + len) % 2 = 0 THEN 'assistant' ELSE 'user' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY pos)) AS sha
+              FROM w LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i WHERE e <> 'D' GROUP BY 1)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS c LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+    """,
 }

@@ -8,7 +8,7 @@ from concordat.llm.queries import QUERIES, SQL
 
 RANKS = [pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")]
 
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "conversations")
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
