@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import conversation, fill_middle, html_text, lines, mixing, near_dedup, near_vectors, nearest, packing, quality, sharding, warc
+from concordat.llm import conversation, fill_middle, html_text, lines, mixing, near_dedup, near_vectors, nearest, packing, quality, repeats, sharding, warc
 from concordat.llm.common import new_path
 
 
@@ -63,6 +63,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack": op8_pack,
     "op9_crosspolytope": op9_crosspolytope,
     "op10_quality": op10_quality,
+    "op11_repeats": op11_repeats,
     "op12_fim": op12_fim,
     "op13_repair": op13_repair,
 }
