@@ -83,3 +83,15 @@ class LoadResult:
     message: str = ""
     watermark: str | None = None
     verdict: str = ""
+    bytes_written: int = 0
+    long_bytes: int = 0
+    seconds: float = 0.0
+    files_rewritten: int = 0  # of the table before, by a keyed load
+
+    @property
+    def rows_per_second(self) -> float:
+        return self.rows_written / self.seconds if self.seconds else 0.0
+
+    @property
+    def bytes_per_second(self) -> float:
+        return self.bytes_written / self.seconds if self.seconds else 0.0

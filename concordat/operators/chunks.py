@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SAMPLE = 256  # rows sampled for each range of equal depth
+NULLS = -1  # the range of rows without a key
+
 
 def plan(df: DataFrame, key: str, size: int) -> DataFrame:
     """chunk_key, chunk_start, chunk_end of ranges of `size` keys from the least to the largest; an empty table has none.
@@ -33,3 +36,64 @@ def counts(df: DataFrame, key: str, size: int, low: int = 0) -> DataFrame:
 def pending(planned: DataFrame, ledger: DataFrame) -> DataFrame:
     """Chunks that no run has brought to success. ledger: chunk_key, status."""
     return planned.join(ledger.where("status = 'success'").select("chunk_key").distinct(), "chunk_key", "left_anti")
+
+
+def bounds(df: DataFrame, keys: list[str], parts: int, seed: int = 7) -> list[tuple]:
+    """At most parts - 1 keys that part the rows into ranges of about equal depth, in order: range i has the keys from bound i - 1 up to below bound i.
+
+    Keys may be of any type that can be ordered, and several columns; rows with a null in them have a range of their own (NULLS). The bounds
+    are ranks of a sample of SAMPLE rows a range. A rank of the sample is off by a part of the rows with a standard deviation of
+    1 / sqrt(SAMPLE) of a range, so a range of keys that do not repeat has less than half more rows than it should, but once in
+    10^12. A key that has more rows than a range is never parted: ranges of whole keys are what can be loaded again one by one.
+    """
+    size = parts * SAMPLE
+    some = df.dropna(subset=keys).select(*keys).orderBy(F.rand(seed)).limit(size)
+    ranked = some.select("*", F.percent_rank().over(Window.orderBy(*keys)).alias("_p"))  # one task for a sample of bounded size
+    ranked = ranked.withColumn("_slot", F.floor(F.col("_p") * parts).cast("int")).where(F.col("_slot").between(1, parts - 1))
+    found = ranked.groupBy("_slot").agg(F.min(F.struct(*keys)).alias("key")).select("key.*").distinct().orderBy(*keys).collect()
+    return [tuple(r) for r in found]
+
+
+def _key(keys: list[str]) -> Column:
+    return F.struct(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)))
+
+
+def _bound(df: DataFrame, keys: list[str], at: tuple) -> Column:
+    types = dict(df.dtypes)
+    return F.struct(*(F.lit(v).cast(types[k]).alias(f"k{i}") for i, (k, v) in enumerate(zip(keys, at, strict=True))))
+
+
+def range_of(df: DataFrame, keys: list[str], at: list[tuple], first: int = 0) -> Column:
+    """The number of a row's range, by a search that halves the bounds; NULLS for a key with a null. Ranges group and join by equality."""
+
+    def among(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(first + lo)
+        mid = (lo + hi) // 2
+        return F.when(key < _bound(df, keys, at[mid]), among(lo, mid)).otherwise(among(mid + 1, hi))
+
+    key, null = _key(keys), F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    return F.when(null, F.lit(NULLS)).otherwise(among(0, len(at)))
+
+
+def within(df: DataFrame, keys: list[str], low: tuple | None, high: tuple | None) -> Column:
+    """Rows from a bound up to below another; None: no bound. The leading key's limits stand alone too, so they reach the scan."""
+    types = dict(df.dtypes)
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(k).isNotNull()
+    lead = lambda at: F.lit(at[0]).cast(types[keys[0]])
+    if low is not None:
+        out = out & (F.col(keys[0]) >= lead(low)) & (_key(keys) >= _bound(df, keys, low))
+    if high is not None:
+        out = out & (F.col(keys[0]) <= lead(high)) & (_key(keys) < _bound(df, keys, high))
+    return out
+
+
+def equal_depth(df: DataFrame, keys: list[str], parts: int) -> DataFrame:
+    """Rows, first and last key (structs of the keys) of each range of equal depth: chunk_id (NULLS for rows with a null key), rows, first_key, last_key."""
+    at = bounds(df, keys, parts)
+    key = F.struct(*keys)
+    return df.groupBy(range_of(df, keys, at).alias("chunk_id")).agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("first_key"), F.max(key).alias("last_key"))

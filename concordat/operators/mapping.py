@@ -76,14 +76,15 @@ def projected(source: DataFrame, pairs: list[Pair], trim: set[str] = frozenset()
     return source.select(*((F.lit(None) if p.source is None else _cleaned(p, types, trim, reverse)).cast(p.dtype).alias(p.target) for p in pairs))
 
 
-def attempted(source: DataFrame, pairs: list[Pair], trim: set[str] = frozenset(), reverse: bool = False) -> DataFrame:
-    """projected(), with null for values that cannot be cast, and _failed: the first such column and value (200 characters), or null."""
+def attempted(source: DataFrame, pairs: list[Pair], trim: set[str] = frozenset(), reverse: bool = False, mark: Column | None = None) -> DataFrame:
+    """projected(), with null for values that cannot be cast, and _failed: the first such column and value (200 characters), or null. mark: an
+    expression over the source to keep as _mark, which the target need not have."""
     types = dict(source.dtypes)
     clean = [(p, _cleaned(p, types, trim, reverse)) for p in pairs if p.source is not None]
     bad = [F.when(c.isNotNull() & c.try_cast(p.dtype).isNull(), F.struct(F.lit(p.target).alias("column_name"), F.substring(c.cast("string"), 1, 200).alias("value"))) for p, c in clean if types[p.source] != p.dtype and not is_long(types[p.source])]
     none = F.lit(None).cast("struct<column_name:string,value:string>")
     values = [(F.lit(None).cast(p.dtype) if p.source is None else _cleaned(p, types, trim, reverse).try_cast(p.dtype) if not is_long(types[p.source]) else F.col(p.source).cast(p.dtype)).alias(p.target) for p in pairs]
-    return source.select(*values, (F.coalesce(*bad, none) if bad else none).alias("_failed"))
+    return source.select(*values, (F.coalesce(*bad, none) if bad else none).alias("_failed"), *([] if mark is None else [mark.alias("_mark")]))
 
 
 def fixed_length(df: DataFrame) -> set[str]:

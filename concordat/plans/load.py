@@ -1,30 +1,35 @@
 """Loads: the source's rows, mapped and cleaned, staged as a new version, checked, and published.
 
 Every mode is a way to make the next version from the current one and the incoming rows. So all are safe in the same way: nothing is
-seen before it is checked, the version before is the backup, and a failure leaves the table as it was.
+seen before it is checked, the version before is the backup, and a failure leaves the table as it was. An append adds a folder; a keyed
+load reads and writes only the files that hold one of its keys. Loads of one table that meet all stand: the later one of two keyed
+loads merges again into what the earlier one has left.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from concordat.functions.canon import table_digest
 from concordat.model import LoadResult, TableSpec
-from concordat.operators import incremental, mapping, upsert
-from concordat.operators.chunks import counts as chunk_counts
+from concordat.operators import chunks, incremental, mapping, upsert
 from concordat.operators.reconcile import checksum_columns
 from concordat.sources import files
-from concordat.sources.versions import VersionedTable
+from concordat.sources.versions import ConflictError, VersionedTable
 from concordat.streaming.ledger import Ledger
 
 FULL = ("truncate", "truncate_safe", "swap", "swap_safe", "delete")
 KEYED = ("upsert", "incremental_safe", "delete_insert")
 MODES = (*FULL, "append", *KEYED)
+TRIES = 6  # of a keyed load that meets others
 
 
 class LoadError(RuntimeError):
@@ -71,8 +76,25 @@ def incoming(spec: TableSpec, source: DataFrame, target: DataFrame, watermark: s
 
 
 def attempted(spec: TableSpec, source: DataFrame, target: DataFrame, watermark: str | None = None, reverse: bool = False) -> DataFrame:
-    """incoming() with a _failed column, for rows that cannot be cast."""
-    return mapping.attempted(_wanted(spec, source, watermark), _pairs(spec, source, target, reverse), mapping.fixed_length(source), reverse)
+    """incoming() with a _failed column, for rows that cannot be cast, and for incremental loads with what the watermark is taken of as _mark."""
+    mark = incremental.source_expression(spec.incremental.column) if spec.incremental else None
+    return mapping.attempted(_wanted(spec, source, watermark), _pairs(spec, source, target, reverse), mapping.fixed_length(source), reverse, mark)
+
+
+def _passed(tried: DataFrame, long: list[str]) -> tuple[DataFrame, Observation]:
+    """The rows of attempted() that can be cast, and what is seen of all on the way: read, failed, bytes, long_bytes, and the watermark."""
+    seen = Observation(f"load-{uuid.uuid4().hex[:8]}")
+    plain = [c for c, d in tried.dtypes if c not in ("_failed", "_mark", *long) and not mapping.is_long(d)]
+
+    def size(columns: list[str]) -> Column:
+        total = F.lit(0).cast("long")
+        for c in columns:
+            total = total + F.coalesce(F.octet_length(F.col(c).cast("string") if c in plain else F.to_json(F.struct(c)).cast("string")), F.lit(0))
+        return F.coalesce(F.sum(F.when(F.col("_failed").isNull(), total)), F.lit(0).cast("long"))
+
+    marks = [F.max(F.when(F.col("_failed").isNull(), F.col("_mark"))).cast("string").alias("mark")] if "_mark" in tried.columns else []
+    counted = tried.observe(seen, F.count(F.lit(1)).alias("read"), F.count("_failed").alias("failed"), size(plain).alias("bytes"), size(long).alias("long_bytes"), *marks)
+    return counted.where("_failed IS NULL").drop("_failed", "_mark"), seen
 
 
 def check(spec: TableSpec, allow_swap: bool = False, require_filter: bool = False, require_whole: bool = False) -> None:
@@ -114,8 +136,9 @@ def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: Versione
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     reverse = direction == "reverse"
-    result = LoadResult(spec.name, spec.mode, "PENDING")
-    now = table.read()
+    result, began = LoadResult(spec.name, spec.mode, "PENDING"), time.monotonic()
+    state = table.state()
+    now = table.read(state=state)
     if now is None:
         raise LoadError(f"{spec.name}: the target does not exist")
     check(spec, **guards)
@@ -132,12 +155,11 @@ def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: Versione
     ledger.event(run_id, "load", "started", spec.name)
     staged = [f"{run_id}-delta", run_id]
     try:
-        seen = Observation(f"{run_id}-{uuid.uuid4().hex[:6]}")
         tried = attempted(spec, source, now, mark, reverse)
-        counted = tried.observe(seen, F.count(F.lit(1)).alias("read"), F.count("_failed").alias("failed"))
+        values = [c for c in tried.columns if c not in ("_failed", "_mark")]
+        passed, seen = _passed(tried, [c for c, d in tried.dtypes if c in values and mapping.is_long(d)])
         # an append's rows are a folder of the table, so they have all its columns
-        shape = lambda df: now.limit(0).unionByName(df, allowMissingColumns=True) if spec.mode == "append" else df
-        delta = table.stage(shape(counted.where("_failed IS NULL").drop("_failed")), staged[0])
+        delta = table.stage(now.limit(0).unionByName(passed, allowMissingColumns=True) if spec.mode == "append" else passed, staged[0])
         read, failed = seen.get["read"], seen.get["failed"]
         if failed:
             keys = F.concat_ws(";", *(F.substring(F.col(k).cast("string"), 1, 200) for k in spec.keys if k in tried.columns)) if spec.keys else F.lit("")
@@ -145,27 +167,39 @@ def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: Versione
             ledger.event(run_id, "load", "rejected", spec.name, f"{failed} rows cannot be cast", {"sample": sample})
             if not spec.skip_failed:
                 raise LoadError(f"{failed} of {read} rows cannot be cast, as {sample[0]['column_name']} = {sample[0]['value']!r}")
-        got = delta.count()
-        if spec.mode == "append":
-            new, folders, written = None, [*table.folders(), staged[0]], got
-        else:
-            new, folders = table.stage(next_version(spec, now, delta), run_id), [run_id]
-            written = new.count() if spec.mode in FULL else arrived(spec, delta, new).count()
+        got, new, touched = delta.count(), None, []
+        if spec.mode in FULL:
+            new = table.stage(next_version(spec, now, delta), run_id)
         superseded = got - delta.select(*spec.keys).distinct().count() if spec.mode in KEYED and spec.on_duplicate == "last" and spec.mode != "delete_insert" else 0
-        status = ""
-        if validate:
-            # an append is checked against its source, the others' versions against the rows that were staged for them
-            good = same_rows(incoming(spec, source, now, mark, reverse), delta.select(*(c for c in delta.columns if c in tried.columns)), spec) if spec.mode == "append" and not failed else agrees(spec, delta, new)
-            status = "MATCH" if good else "MISMATCH"
-            if not good:
-                raise LoadError("the staged rows differ from the source's")
-        whole = spec.mode in FULL and not spec.where
-        outcome = verdict(read, written + superseded + failed, 0 if spec.skip_failed else failed, status, (new.count() == read - failed) if whole else None, reverse, bool(spec.incremental) and spec.mode in KEYED)
-        if outcome == "FAIL":
-            raise LoadError(f"{read} rows were read, {written} written")
-        value = delta.agg(F.max(incremental.source_expression(spec.incremental.column)).cast("string")).first()[0] if spec.incremental else None
-        version = run_id
-        backup = table.publish(version, folders)
+        for attempt in range(TRIES if spec.mode in KEYED else 1):
+            if spec.mode in KEYED:
+                state = table.state() if attempt else state
+                touched = table.touched(delta, list(spec.keys), state)
+                new = table.stage(next_version(spec, table.read_files(touched, now), delta), run_id)
+            written = got if new is None else new.count() if spec.mode in FULL else arrived(spec, delta, new).count()
+            status = ""
+            if validate:
+                # an append is checked against its source, the others' versions against the rows that were staged for them
+                good = same_rows(incoming(spec, source, now, mark, reverse), delta.select(*values), spec) if spec.mode == "append" and not failed else agrees(spec, delta, new)
+                status = "MATCH" if good else "MISMATCH"
+                if not good:
+                    raise LoadError("the staged rows differ from the source's")
+            whole = spec.mode in FULL and not spec.where
+            outcome = verdict(read, written + superseded + failed, 0 if spec.skip_failed else failed, status, (written == read - failed) if whole else None, reverse, bool(spec.incremental) and spec.mode in KEYED)
+            if outcome == "FAIL":
+                raise LoadError(f"{read} rows were read, {written} written")
+            try:
+                if spec.mode == "append":
+                    backup = table.append(run_id, [staged[0]])
+                elif spec.mode in FULL:
+                    backup = table.publish(run_id)
+                else:
+                    backup = table.rewrite(run_id, state["version"], touched)
+                break
+            except ConflictError:
+                ledger.event(run_id, "load", "conflict", spec.name, "another load was first")
+                if attempt == TRIES - 1:
+                    raise
         ledger.add_rollback(run_id, spec.name, spec.mode, table.path, backup, staged[0])
         if spec.mode != "append":
             table.discard(staged[0])
@@ -174,36 +208,44 @@ def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: Versione
         for folder in staged:
             table.discard(folder)
         ledger.event(run_id, "load", "failed", spec.name, str(e)[:500])
-        if isinstance(e, (LoadError, upsert.DuplicateKeyError)):
+        if isinstance(e, (LoadError, upsert.DuplicateKeyError, ConflictError)):
             return replace(result, status="FAILED", message=str(e))
         raise
-    ledger.event(run_id, "load", "success", spec.name, details={"rows": written, "verdict": outcome})
-    return replace(result, status="SUCCESS", rows_read=read, rows_written=written + superseded, rows_failed=failed, checksum_status=status, version=version, backup=backup, watermark=value, verdict=outcome)
+    took = time.monotonic() - began
+    result = replace(
+        result, status="SUCCESS", rows_read=read, rows_written=written + superseded, rows_failed=failed, checksum_status=status, version=run_id, backup=backup, watermark=seen.get.get("mark"), verdict=outcome,
+        bytes_written=seen.get["bytes"], long_bytes=seen.get["long_bytes"], seconds=took, files_rewritten=len(touched),
+    )
+    ledger.event(run_id, "load", "success", spec.name, details={"rows": written, "verdict": outcome, "bytes": result.bytes_written, "long_bytes": result.long_bytes, "seconds": round(took, 3), "rows_per_second": round(result.rows_per_second, 1), "bytes_per_second": round(result.bytes_per_second, 1), "files_rewritten": len(touched)})
+    return result
 
 
 def write_out(spark: SparkSession, spec: TableSpec, source: DataFrame, target: str, ledger: Ledger, run_id: str | None = None, direction: str = "reverse", **options) -> LoadResult:
     """Load into a store that is not ours to version, by files.write(): `append` adds, full modes replace. Rows that cannot be cast fail the load before anything
-    is written unless skip_failed is set; the store's counts before and after say whether all arrived."""
+    is written unless skip_failed is set; the store's counts before and after say whether all arrived. An incremental append sends what is past the
+    watermark, and returns the new one for the caller to publish."""
     run_id, reverse = run_id or uuid.uuid4().hex[:12], direction == "reverse"
-    check(spec)
+    check(spec, **{k: options.pop(k) for k in ("allow_swap", "require_filter", "require_whole") if k in options})
+    mark = ledger.watermark(direction, spec.name, spec.incremental.strategy, spec.incremental.column) if spec.incremental else None
     if spec.mode in KEYED:
         raise LoadError(f"{spec.mode} cannot be done in {target.split(':')[0]}: use append or a full mode")
     there = lambda: files.read(spark, target, **options)
     shape = there()
-    tried = attempted(spec, source, shape, None, reverse)
+    tried = attempted(spec, source, shape, mark, reverse)
     failed = tried.where("_failed IS NOT NULL").count()
     if failed and not spec.skip_failed:
         return LoadResult(spec.name, spec.mode, "FAILED", rows_failed=failed, message=f"{failed} rows cannot be cast")
     before = shape.count() if spec.mode == "append" else 0
     ledger.event(run_id, "load", "started", spec.name)
-    rows = files.write(tried.where("_failed IS NULL").drop("_failed"), target, "append" if spec.mode == "append" else "overwrite", **options)["rows"]
+    passed, seen = _passed(tried, [c for c, d in tried.dtypes if c not in ("_failed", "_mark") and mapping.is_long(d)])
+    rows = files.write(passed, target, "append" if spec.mode == "append" else "overwrite", **options)["rows"]
     if "/" not in target:  # a table of the catalog: its statistics are out of date
         spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS")
     written = there().count() - before
     outcome = verdict(rows, written, 0, "", True if spec.mode != "append" else None, reverse)
     state = "FAILED" if outcome == "FAIL" else "SUCCESS"
     ledger.event(run_id, "load", state.lower(), spec.name, details={"rows": written, "verdict": outcome})
-    return LoadResult(spec.name, spec.mode, state, rows + failed, written, failed, verdict=outcome, message="" if state == "SUCCESS" else f"{rows} rows were sent, {written} arrived")
+    return LoadResult(spec.name, spec.mode, state, rows + failed, written, failed, verdict=outcome, message="" if state == "SUCCESS" else f"{rows} rows were sent, {written} arrived", watermark=seen.get.get("mark"), bytes_written=seen.get["bytes"], long_bytes=seen.get["long_bytes"])
 
 
 def arrived(spec: TableSpec, delta: DataFrame, new: DataFrame) -> DataFrame:
@@ -236,50 +278,71 @@ def agrees(spec: TableSpec, delta: DataFrame, new: DataFrame | None) -> bool:
 WAVE = 64  # ranges that are staged by one job
 
 
-def append_chunks(spark: SparkSession, spec: TableSpec, source: DataFrame, table: VersionedTable, ledger: Ledger, run_id: str, key: str) -> int:
+def _ranges(spec: TableSpec, rows: DataFrame, expected: int, keys: list[str], ledger: Ledger, run_id: str) -> list[tuple]:
+    """Bounds of ranges of about chunk_size rows, over keys of any type; a run that goes on takes those that it has begun with."""
+    plan = [r for r in ledger.rows("chunks", "run_id=? AND table_name=?", run_id, spec.name, order="chunk_start") if "#[" in r["chunk_key"] and r["chunk_start"] > 0]
+    types = [rows.schema[k].dataType for k in keys]
+    if not plan:
+        return chunks.bounds(rows, keys, max(1, min(4096, -(-expected // spec.chunk_size))))
+    texts = rows.sparkSession.createDataFrame([(r["chunk_start"], *json.loads(r["chunk_key"].partition("#")[2])) for r in plan], ", ".join(["n long", *(f"c{i} string" for i in range(len(keys)))]))
+    return [tuple(r) for r in texts.orderBy("n").select(*(F.col(f"c{i}").cast(t) for i, t in enumerate(types))).collect()]
+
+
+def append_chunks(spark: SparkSession, spec: TableSpec, source: DataFrame, table: VersionedTable, ledger: Ledger, run_id: str, key: str | list[str]) -> int:
     """Append key range by key range; a second call with the same run id goes on after the ranges that succeeded.
 
-    Ranges are staged in waves, a job and a folder for each, that read the wave's keys only; the ledger has each range's rows. A range
-    counts as done only while the folder that holds it is there. All folders are published together, and nothing is copied again.
+    Ranges are of equal depth, over one key or several of any type that can be ordered, half open, so no key falls between two; rows with a null key
+    are a range of their own. They are staged in waves, a job and a folder for each, that read the wave's keys only; the ledger has each
+    range's rows and its lower bound. A range counts as done only while the folder that holds it is there. All folders are
+    published together, and nothing is copied again. The rows of all ranges must be as many as the source has. Returns the table's rows.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     now = table.read()
     rows = incoming(spec, source, now)
     shape = now.limit(0)
-    lo, hi = rows.agg(F.min(key).cast("long"), F.max(key).cast("long")).first()  # from statistics, where the files have them
-    starts = range(lo, hi + 1, spec.chunk_size) if lo is not None else range(0)
     ledger.release(run_id)
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    expected, nulls = rows.agg(F.count(F.lit(1)), F.count_if(null)).first()
+    at = _ranges(spec, rows, expected, keys, ledger, run_id)
+    spell = F.to_json(F.array(*(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys)))
+    told = spark.createDataFrame([(i, *t) for i, t in enumerate(at)], T.StructType([T.StructField("_n", T.IntegerType()), *(T.StructField(k, rows.schema[k].dataType) for k in keys)]))
+    names = ["", *(r[0] for r in told.orderBy("_n").select(spell).collect())]
+    # range 0 is what lies below the first bound, range i begins at bound i - 1, NULLS comes last
+    parts = [*range(len(at) + 1), *([chunks.NULLS] if nulls else [])]
+    name = lambda i: f"{','.join(keys)}#{json.dumps(['<']) if i == 0 else names[i] if i > 0 else 'null'}"
     there, done = set(table.versions()), ledger.successful(run_id, spec.name)
+    for i in parts:
+        ledger.add_chunk(run_id, spec.name, name(i), i, i + 1)
     folders = []
-    for w in range(0, len(starts), WAVE):
-        staged, wave = f"{run_id}-part{w:06d}", []
-        for start in starts[w : w + WAVE]:
-            end = min(start + spec.chunk_size - 1, hi)
-            wave.append({"chunk_key": f"{key}:{start}:{end}", "chunk_start": start, "chunk_end": end})
+    for w in range(0, len(parts), WAVE):
+        staged, wave = f"{run_id}-part{w:06d}", parts[w : w + WAVE]
         folders.append(staged)
-        for c in wave:
-            ledger.add_chunk(run_id, spec.name, c["chunk_key"], c["chunk_start"], c["chunk_end"])
-        if staged in there and all(c["chunk_key"] in done for c in wave):
+        if staged in there and all(name(i) in done for i in wave):
             continue
-        for c in wave:
-            if c["chunk_key"] in done:
-                ledger.finish(run_id, spec.name, c["chunk_key"], "failed", error="its staged rows are not whole")
-        mine = [c for c in wave if ledger.claim(run_id, spec.name, c["chunk_key"])]
-        if len(mine) < len(wave):
+        for i in wave:
+            if name(i) in done:
+                ledger.finish(run_id, spec.name, name(i), "failed", error="its staged rows are not whole")
+        if len([i for i in wave if ledger.claim(run_id, spec.name, name(i))]) < len(wave):
             raise LoadError(f"{spec.name}: another run holds ranges of {staged}")
-        part = table.stage(shape.unionByName(rows.where(F.col(key).between(wave[0]["chunk_start"], wave[-1]["chunk_end"])), allowMissingColumns=True), staged)
-        low = wave[0]["chunk_start"]
-        n = {r["chunk_id"]: r["rows"] for r in chunk_counts(part, key, spec.chunk_size, low).collect()}  # at most WAVE rows
-        for i, c in enumerate(wave):
-            ledger.finish(run_id, spec.name, c["chunk_key"], "success", n.get(i, 0))
-    before = now.count()
-    ledger.add_rollback(run_id, spec.name, "append", table.path, table.publish(run_id, [*table.folders(), *folders]))
-    written = table.read().count()
-    expected = before + sum(r["rows"] or 0 for r in ledger.rows("chunks", "run_id=? AND table_name=?", run_id, spec.name))
-    if written != expected:
-        table.rollback()
-        raise LoadError(f"{spec.name}: {written} rows stand where {expected} are expected")
+        live = [i for i in wave if i >= 0]
+        mine = F.lit(False)
+        if live:
+            mine = chunks.within(rows, keys, at[live[0] - 1] if live[0] > 0 else None, at[live[-1]] if live[-1] < len(at) else None)
+        if chunks.NULLS in wave:
+            mine = mine | null
+        part = table.stage(shape.unionByName(rows.where(mine), allowMissingColumns=True), staged)
+        inner = at[live[0] : live[-1]] if live else []
+        n = {r["r"]: r["n"] for r in part.groupBy(chunks.range_of(part, keys, inner, live[0] if live else 0).alias("r")).agg(F.count(F.lit(1)).alias("n")).collect()}  # at most WAVE rows
+        for i in wave:
+            ledger.finish(run_id, spec.name, name(i), "success", n.get(i, 0))
+    staged_rows = sum(r["rows"] or 0 for r in ledger.rows("chunks", "run_id=? AND table_name=?", run_id, spec.name))
+    if staged_rows != expected:
+        raise LoadError(f"{spec.name}: the ranges hold {staged_rows} rows, the source {expected}")
+    ledger.add_rollback(run_id, spec.name, "append", table.path, table.append(run_id, folders))
     table.retain()
-    return written
+    return table.read().count()
 
 
 def run_all(spark: SparkSession, loads: list[tuple[TableSpec, DataFrame, VersionedTable]], ledger: Ledger, run_id: str, workers: int = 4, direction: str = "forward", **options) -> list[LoadResult]:

@@ -10,7 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concordat.functions import canon, text
@@ -350,6 +350,63 @@ def load_chunks_published(spark, sf):
     return t.read()
 
 
+@query("SELECT o_orderkey, o_custkey FROM orders UNION ALL SELECT CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderkey / 8 END, o_custkey FROM orders WHERE o_orderkey % 97 <> 0")
+def load_chunks_null_and_fraction(spark, sf):
+    """An append by ranges of keys that are fractions, some of them null."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").cast("double").alias("o_orderkey"), "o_custkey")
+    t = versions.VersionedTable(spark, _place(spark, "chunks"))
+    t.stage(o, "v0")
+    t.publish("v0")
+    part = F.when(F.col("o_orderkey") % 11 == 0, None).otherwise(F.col("o_orderkey") / 8)
+    load.append_chunks(spark, TableSpec("orders", mode="append", chunk_size=700), o.where("o_orderkey % 97 <> 0").withColumn("o_orderkey", part), t, ledger.Ledger(), "r1", "o_orderkey")
+    return t.read()
+
+
+def _filed(spark: SparkSession, df: DataFrame, keys: list[str], files_: int) -> versions.VersionedTable:
+    """A table whose files part its keys."""
+    t = versions.VersionedTable(spark, _place(spark, "filed"))
+    t.stage(df.repartitionByRange(files_, *keys), "v0")
+    t.publish("v0")
+    return t
+
+
+@query(f"""{_PAIR}, low AS (SELECT min(o_orderkey) AS k FROM src WHERE o_orderkey % 7 = 0), new AS (SELECT src.* FROM src, low WHERE o_orderkey % 7 = 0 AND o_orderkey < k + 400)
+    SELECT {_OUT} FROM new UNION ALL SELECT {_OUT} FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)""")
+def load_upsert_touched_files(spark, sf):
+    """An upsert of a few neighbouring keys into a table of twelve files, read back; the files without one of them stay as they are."""
+    s, t = pair(spark, sf)
+    low = s.where("o_orderkey % 7 = 0").agg(F.min("o_orderkey")).first()[0]
+    place = _filed(spark, _shown(t), ["o_orderkey"], 12)
+    before = set(place.files())
+    r = load.run(spark, TableSpec("orders", keys=("o_orderkey",), mode="upsert", where=f"o_orderkey % 7 = 0 AND o_orderkey < {low + 400}"), _shown(s), place, ledger.Ledger())
+    kept = before & set(place.files())
+    if r.status != "SUCCESS" or not kept or len(kept) + r.files_rewritten != len(before):
+        raise load.LoadError(f"{r.status}: {len(kept)} of {len(before)} files stayed, {r.files_rewritten} were rewritten {r.message}")
+    return place.read()
+
+
+@query("SELECT CAST(max(event_id) AS VARCHAR) AS watermark, count(*) AS rows_read FROM events WHERE event_id > 100")
+def load_renamed_watermark(spark, sf):
+    """An incremental upsert by a column that the target has under another name."""
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    spec = TableSpec("events", keys=("id",), mode="upsert", rename={"event_id": "id"}, incremental=Incremental("event_id", "numeric_key", initial="100"))
+    _, r = _published(spark, spec, e, e.limit(0).withColumnRenamed("event_id", "id"))
+    return spark.createDataFrame([(r.watermark, r.rows_read)], "watermark string, rows_read long")
+
+
+@query("SELECT count(*) AS rows, count(*) FILTER (WHERE l_orderkey % 13 = 0) AS null_rows, true AS balanced, true AS parted FROM lineitem")
+def ranges_equal_depth(spark, sf):
+    """Ranges over a key of two columns, one of them text: their rows, those without a key, whether the largest is within half of an even share
+    above it, and whether ranges follow each other."""
+    li = table(spark, sf, "lineitem").select(F.when(F.col("l_orderkey") % 13 != 0, F.col("l_orderkey")).alias("k"), F.concat(F.lit("n"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string")).alias("n"))
+    r = chunks.equal_depth(li, ["k", "n"], 20)
+    some = r.where(F.col("chunk_id") >= 0)
+    after = Window.partitionBy(F.lit(0)).orderBy("chunk_id")  # of twenty rows
+    apart = some.withColumn("_p", F.lag("last_key").over(after)).agg(F.bool_and(F.col("_p").isNull() | (F.col("_p") < F.col("first_key"))).alias("parted"))
+    sizes = r.agg(F.sum("rows").alias("rows"), F.coalesce(F.sum(F.when(F.col("chunk_id") < 0, F.col("rows"))), F.lit(0)).alias("null_rows"), F.max(F.when(F.col("chunk_id") >= 0, F.col("rows"))).alias("most"), F.sum(F.when(F.col("chunk_id") >= 0, F.col("rows"))).alias("keyed"))
+    return sizes.select("rows", "null_rows", (F.col("most") <= 1.5 * F.col("keyed") / 20).alias("balanced")).crossJoin(apart)
+
+
 _HISTORY = "SELECT concat('r', 1000 + event_id % 90) AS source_run, concat('2026-01-', lpad(concat('', 1 + event_id % 90 % 28), 2, '0'), 'T00:00:00') AS started, concat('t', user_id % 5) AS table_name, CASE WHEN event_id % 7 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status, event_id AS rows_loaded, CAST(event_id % 100 AS DOUBLE) / 4 AS elapsed_seconds FROM events"
 _LATEST = f"SELECT source_run FROM ({_HISTORY}) GROUP BY 1 ORDER BY max(started) DESC, source_run DESC LIMIT 30"
 
@@ -995,3 +1052,15 @@ def stream_upsert_available_now(spark, sf):
         e.where(part).write.mode("append").parquet(f"{place}/in")
         upsert_stream.upsert_available(spark, f"{place}/in", e.schema, target, ["event_id"], [F.col("user_id")], f"{place}/checkpoint")
     return target.read()
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def stream_two_checkpoints(spark, sf):
+    """Two streams with checkpoints of their own, whose batches have the same numbers, feed one table."""
+    place = _place(spark, "streams")
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    target = versions.VersionedTable(spark, f"{place}/table")
+    for i, part in enumerate((F.col("event_id") % 10 < 6, F.col("event_id") % 10 >= 4)):
+        e.where(part).write.parquet(f"{place}/in{i}")
+        upsert_stream.upsert_available(spark, f"{place}/in{i}", e.schema, target, ["event_id"], [F.col("user_id")], f"{place}/checkpoint{i}")
+    return target.read()

@@ -126,7 +126,7 @@ def test_all_events_enter_the_stream(spark, tiny, monkeypatch):
     from concordat.plans import queries
 
     sizes, read = [], VersionedTable.read
-    monkeypatch.setattr(VersionedTable, "read", lambda self: (df := read(self), sizes.append(df.count() if df is not None else 0))[0])
+    monkeypatch.setattr(VersionedTable, "read", lambda self, **at: (df := read(self, **at), sizes.append(df.count() if df is not None else 0))[0])
     got = queries.QUERIES["stream_upsert_available_now"](spark, tiny)
     assert sizes[-1] == queries.table(spark, tiny, "events").count()
     events = queries.table(spark, tiny, "events").withColumn("value", F.col("value").cast("decimal(18,6)"))
