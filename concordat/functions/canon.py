@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NULL = "\\N"
+SEPARATOR = "\x1f"  # between the values of a row; texts hold it escaped
 
 
 def float_text(c: Column) -> Column:
@@ -17,8 +18,11 @@ def float_text(c: Column) -> Column:
     whole = F.concat(sign, F.when(F.length(digits) <= power + 1, F.concat(F.rpad(digits, power + 1, "0"), F.lit(".0"))).otherwise(F.concat(F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, F.length(digits)))))
     small = F.concat(sign, F.lit("0.000"), digits)
     wide = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.length(F.abs(power).cast("string")), F.lit(2)), F.lit("0")))
-    named = F.when(raw == "NaN", "nan").when(raw == "Infinity", "inf").when(raw == "-Infinity", "-inf")
-    return F.when(c.isNull(), None).otherwise(F.coalesce(named, F.when(~raw.contains("E"), raw).when((power >= 0) & (power < 16), whole).when(power == -4, small).otherwise(wide)))
+    size, infinite = F.abs(c), F.lit(float("inf"))
+    # most numbers stand as they are, and are turned into text once
+    plain = (size >= 1e-3) & (size < 1e7) | (c == 0)
+    odd = F.when(F.isnan(c), "nan").when(size == infinite, F.when(c > 0, "inf").otherwise("-inf")).when((power >= 0) & (power < 16), whole).when(power == -4, small).otherwise(wide)
+    return F.when(c.isNull(), None).when(plain, raw).otherwise(odd)
 
 
 def plain_decimal(c: Column) -> Column:
@@ -31,6 +35,23 @@ def utc_text(c: Column, dtype: T.DataType) -> Column:
     return F.date_format(moved, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
+def ordered(c: Column, dtype: T.DataType) -> Column:
+    """A nested value whose maps are lists of their entries in order of keys: equal maps have one order."""
+    if isinstance(dtype, T.MapType):
+        pair = lambda e: F.struct(e["key"].alias("key"), ordered(e["value"], dtype.valueType).alias("value"))
+        return F.array_sort(F.transform(F.map_entries(c), pair), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+    if isinstance(dtype, T.ArrayType) and _has_map(dtype):
+        return F.transform(c, lambda x: ordered(x, dtype.elementType))
+    if isinstance(dtype, T.StructType) and _has_map(dtype):
+        return F.when(c.isNotNull(), F.struct(*(ordered(c[f.name], f.dataType).alias(f.name) for f in dtype)))
+    return c
+
+
+def _has_map(dtype: T.DataType) -> bool:
+    inner = [dtype.elementType] if isinstance(dtype, T.ArrayType) else [f.dataType for f in dtype] if isinstance(dtype, T.StructType) else []
+    return isinstance(dtype, T.MapType) or any(map(_has_map, inner))
+
+
 def canonical(c: Column, dtype: T.DataType) -> Column:
     """Text of a value. Both sides are cast to one type first, so 1 and 1.00 agree; null differs from the empty text.
 
@@ -45,17 +66,51 @@ def canonical(c: Column, dtype: T.DataType) -> Column:
     elif isinstance(dtype, T.BinaryType):
         text = F.sha2(c, 256)
     elif isinstance(dtype, T.StringType):
-        text = F.replace(F.translate(c, "\0", ""), F.lit("\\"), F.lit("\\\\"))
+        text = F.replace(F.replace(F.translate(c, "\0", ""), F.lit("\\"), F.lit("\\\\")), F.lit(SEPARATOR), F.lit("\\u"))
     elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        text = F.to_json(c)
+        text = F.to_json(ordered(c, dtype))
     else:
         text = c.cast("string")
     return F.coalesce(text, F.lit(NULL))
 
 
+class NoCommonTypeError(ValueError):
+    """Values of two types that no type holds both of."""
+
+
+def against(c: Column, mine: T.DataType, other: T.DataType) -> Column:
+    """Text of a value that is held against values of another type, so that equal texts are equal values of a type that both fit; neither
+    side is narrowed. Whole numbers meet decimals and floating-point numbers by their digits, decimals meet the latter as doubles, dates
+    are times at midnight, and against text a time is what the text can be read as, all else its canonical text."""
+    whole, floats, times = T.IntegralType, (T.FloatType, T.DoubleType), (T.DateType, T.TimestampType, T.TimestampNTZType)
+    exact = (whole, T.DecimalType)
+    nested = (T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+    if mine == other:
+        return canonical(c, mine)
+    if isinstance(mine, exact) and isinstance(other, exact):
+        return canonical(c, mine)
+    if isinstance(mine, whole) and isinstance(other, floats):
+        return canonical(c, mine)
+    if isinstance(mine, floats) and isinstance(other, whole):
+        integral = (c == F.floor(c)) & (F.abs(c) < 9.2e18)
+        return F.when(integral, c.cast("long").cast("string")).otherwise(canonical(c, mine))
+    if isinstance(mine, (*floats, T.DecimalType)) and isinstance(other, (*floats, T.DecimalType)):
+        return canonical(c.cast("double"), T.DoubleType())
+    if isinstance(mine, times) and isinstance(other, times):
+        kind = T.TimestampType() if T.TimestampType() in (mine, other) else T.TimestampNTZType()
+        return canonical(c.cast(kind), kind)
+    if isinstance(mine, T.StringType) and isinstance(other, times):
+        return F.coalesce(F.when(c.isNotNull(), utc_text(c.try_cast("timestamp_ntz"), T.TimestampNTZType())), canonical(c, mine))
+    if isinstance(mine, times) and isinstance(other, T.StringType):
+        return canonical(c.cast("timestamp_ntz"), T.TimestampNTZType())
+    if T.StringType() in (mine, other) and not isinstance(mine, nested) and not isinstance(other, nested):
+        return canonical(c, mine)
+    raise NoCommonTypeError(f"{mine.simpleString()} and {other.simpleString()} have no type in common")
+
+
 def row_hash(df: DataFrame, columns: list[str]) -> Column:
-    """SHA-256 of a row's canonical values, parted by a character that cleaned texts do not hold."""
-    return F.sha2(F.concat_ws("\x1f", *(canonical(F.col(c), df.schema[c].dataType) for c in columns)), 256)
+    """SHA-256 of a row's canonical values, parted by a character that they hold escaped only."""
+    return F.sha2(F.concat_ws(SEPARATOR, *(canonical(F.col(c), df.schema[c].dataType) for c in columns)), 256)
 
 
 def slice_sum(h: Column, at: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concordat.functions.canon import canonical, strict_digest, table_digest
+from concordat.functions.canon import SEPARATOR, NoCommonTypeError, against, canonical, strict_digest, table_digest
 
 
 def rowcounts(pairs: dict[str, tuple[DataFrame, DataFrame]], where: dict[str, str] | None = None) -> DataFrame:
@@ -67,13 +67,35 @@ def key_sample(source: DataFrame, target: DataFrame, keys: list[str], side: str,
     return keys_only(source, target, keys, side).orderBy(*keys).limit(limit)
 
 
+def comparable(source: DataFrame, target: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with what their values are compared by, and its names: columns of one type as they are, those of two types as texts by
+    canon.against(); a column that the target lacks is null there."""
+    a, b, names, odd = source, target, [], []
+    for c in columns:
+        mine = source.schema[c].dataType
+        other = target.schema[c].dataType if c in target.columns else None
+        if other is None:
+            b = b.withColumn(c, F.lit(None).cast(mine))
+        if other is None or mine == other:
+            names.append(c)
+            continue
+        try:
+            a, b = a.withColumn(f"{c} (as text)", against(F.col(c), mine, other)), b.withColumn(f"{c} (as text)", against(F.col(c), other, mine))
+            names.append(f"{c} (as text)")
+        except NoCommonTypeError as e:
+            odd.append(f"{c}: {e}")
+    if odd:
+        raise NoCommonTypeError("; ".join(odd))
+    return a, b, names
+
+
 def checksum(source: DataFrame, target: DataFrame, columns: list[str], chunk: Column | None = None, strict: bool = False) -> DataFrame:
     """Digests of both sides, for the table or for each chunk, with a status; a chunk of one side only is a MISMATCH.
 
-    Target columns are cast to the source's types first; rows without a chunk key are a chunk of their own. strict compares exact sorted
-    rows and needs chunks, of bounded size.
+    Columns of two types are compared in a form that both fit, never by narrowing one; types that have none are refused. Rows without a
+    chunk key are a chunk of their own. strict compares exact sorted rows and needs chunks, of bounded size.
     """
-    aligned = target.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in target.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in source.schema))
+    source, aligned, columns = comparable(source, target, columns)
     digest = strict_digest if strict else table_digest
     # without groups an empty table has a digest too
     one = lambda df: digest(df, columns).withColumn("chunk_key", F.lit("table")) if chunk is None else digest(df, columns, chunk.cast("string").alias("chunk_key"))
@@ -107,7 +129,7 @@ def checksum_columns(df: DataFrame, exclude: tuple[str, ...] = (), only: tuple[s
 
 def sample_rows(df: DataFrame, keys: list[str], percent: float) -> DataFrame:
     """The same share of keys on either side: chosen by a hash of the keys, so equal keys meet in both samples."""
-    h = F.conv(F.substring(F.md5(F.concat_ws("\x1f", *(canonical(F.col(k), df.schema[k].dataType) for k in keys))), 1, 8), 16, 10).cast("long")
+    h = F.conv(F.substring(F.md5(F.concat_ws(SEPARATOR, *(canonical(F.col(k), df.schema[k].dataType) for k in keys))), 1, 8), 16, 10).cast("long")
     return df.where(F.pmod(h, F.lit(10_000)) < F.lit(int(percent * 100)))
 
 
@@ -117,14 +139,15 @@ REPEATED = "(rows with the key)"
 def value_diff(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """A row for each common key and column whose values differ: keys, column_name, source_value, target_value (canonical texts).
 
-    Target columns are cast to the source's types first, and null keys equal null keys. Rows of a key that a side has more than once cannot be paired: such a
+    Columns of two types are compared as by checksum(), keys in the wider type, and null keys equal null keys. Rows of a key that a side has more than once cannot be paired: such a
     key gives one row, with column_name REPEATED and the numbers of rows. One aggregation by key, combined before the shuffle.
     """
-    types = source.schema
-    cells = lambda df: F.array(*(canonical(F.col(c).cast(types[c].dataType), types[c].dataType) for c in columns))
-    texts = lambda df, side: df.select(*(F.col(k).cast(types[k].dataType).alias(k) for k in keys), F.lit(side).alias("_side"), cells(df).alias("_cells"))
+    one, two, names = comparable(source, target, columns)
+    cells = lambda df: F.array(*(canonical(F.col(c), df.schema[c].dataType) for c in names))
+    wide = source.select(*keys).union(target.select(*keys)).schema  # whose types fit both sides' keys
+    texts = lambda df, side: df.select(*(F.col(k).cast(wide[k].dataType).alias(k) for k in keys), F.lit(side).alias("_side"), cells(df).alias("_cells"))
     of = lambda side, c: F.when(F.col("_side") == side, c)
-    both = texts(source, 0).unionByName(texts(target, 1)).groupBy(*keys).agg(*(f.alias(f"_{n}{side}") for side in (0, 1) for n, f in (("n", F.count(of(side, F.lit(1)))), ("c", F.max(of(side, F.col("_cells")))))))
+    both = texts(one, 0).unionByName(texts(two, 1)).groupBy(*keys).agg(*(f.alias(f"_{n}{side}") for side in (0, 1) for n, f in (("n", F.count(of(side, F.lit(1)))), ("c", F.max(of(side, F.col("_cells")))))))
     once = (F.col("_n0") == 1) & (F.col("_n1") == 1)
     row = lambda name, a, b: F.struct(F.lit(name).alias("column_name"), a.alias("source_value"), b.alias("target_value"))
     apart = F.filter(F.array(*(row(c, F.col("_c0")[i], F.col("_c1")[i]) for i, c in enumerate(columns))), lambda x: x["source_value"] != x["target_value"])

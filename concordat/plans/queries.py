@@ -209,6 +209,34 @@ def float_digits(spark, sf):
     return table(spark, sf, "part").select("p_partkey", canon.float_text(c).alias("price"), canon.float_text(c * 1e12).alias("large"), canon.float_text(c / 1e9).alias("small"), canon.float_text(c / 7).alias("odd"))
 
 
+_ODD_TEXTS = "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN concat(lang, chr(31), source) WHEN 1 THEN concat(lang, chr(92), chr(31)) ELSE lang END AS a, CASE doc_id % 4 WHEN 0 THEN source WHEN 1 THEN '' ELSE source END AS b FROM documents"
+_ODD_TARGET = "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN lang WHEN 1 THEN concat(lang, chr(92)) ELSE lang END AS a, CASE doc_id % 4 WHEN 0 THEN concat(source, chr(31), source) WHEN 1 THEN chr(31) ELSE source END AS b FROM documents"
+
+
+@query(f"SELECT CAST(s.doc_id % 4 AS VARCHAR) AS chunk_key, CASE WHEN bool_and(s.a = t.a AND s.b = t.b) THEN 'MATCH' ELSE 'MISMATCH' END AS status FROM ({_ODD_TEXTS}) AS s JOIN ({_ODD_TARGET}) AS t USING (doc_id) GROUP BY 1")
+def checksum_texts_with_separators(spark, sf):
+    """Texts that hold the characters which part and escape a row's values, moved from one column to the next."""
+    one, two = (derived(spark, sf, q) for q in (_ODD_TEXTS, _ODD_TARGET))
+    return reconcile.checksum(one, two, ["doc_id", "a", "b"], F.col("doc_id") % 4).select("chunk_key", "status")
+
+
+_MIXED_S = "SELECT o_orderkey, o_custkey AS whole, CAST(o_totalprice AS DECIMAL(18,2)) AS money, CAST(o_orderdate AS DATE) AS day, concat('', o_custkey) AS name FROM orders"
+_MIXED_T = "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN o_custkey + CAST(0.5 AS DOUBLE) ELSE CAST(o_custkey AS DOUBLE) END AS whole, CASE WHEN o_orderkey % 7 = 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(20,4)) + CAST(0.0001 AS DECIMAL(20,4)) ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(20,4)) END AS money, CASE WHEN o_orderkey % 11 = 0 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL 5 HOUR ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS day, CASE WHEN o_orderkey % 13 = 0 THEN o_custkey + 1 ELSE o_custkey END AS name FROM orders"
+
+
+@query("SELECT column_name, CAST(sum(n) AS BIGINT) AS differences FROM (SELECT unnest(['whole', 'money', 'day', 'name']) AS column_name, unnest([CAST(o_orderkey % 5 = 0 AS INT), CAST(o_orderkey % 7 = 0 AS INT), CAST(o_orderkey % 11 = 0 AS INT), CAST(o_orderkey % 13 = 0 AS INT)]) AS n FROM orders) GROUP BY 1")
+def value_diff_mixed_types(spark, sf):
+    """Whole numbers against doubles, decimals of two scales, dates against times, text against numbers: no side is narrowed."""
+    return reconcile.value_diff_by_column(reconcile.value_diff(derived(spark, sf, _MIXED_S), derived(spark, sf, _MIXED_T), ["o_orderkey"], ["whole", "money", "day", "name"]))
+
+
+@query("SELECT CAST(o_orderkey % 12 AS VARCHAR) AS chunk_key, CASE WHEN bool_or(o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 13 = 0) THEN 'MISMATCH' ELSE 'MATCH' END AS status FROM orders WHERE o_orderkey % 12 IN (1, 5) AND (o_orderkey % 12 = 1 OR (o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0)) GROUP BY 1")
+def checksum_mixed_types(spark, sf):
+    part = "o_orderkey % 12 IN (1, 5) AND (o_orderkey % 12 = 1 OR (o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0))"
+    one, two = (derived(spark, sf, q).where(part) for q in (_MIXED_S, _MIXED_T))
+    return reconcile.checksum(one, two, ["whole", "money", "day", "name"], F.col("o_orderkey") % 12).select("chunk_key", "status")
+
+
 _NULL_KEY = "CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 5 AS VARCHAR) END"
 
 
