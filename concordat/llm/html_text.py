@@ -11,6 +11,7 @@ import re
 import sys
 import unicodedata
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -50,7 +51,8 @@ HIDDEN_IN_DRAWINGS = frozenset("desc defs metadata symbol clippath mask pattern
 BLOCKS = dict.fromkeys("address article aside body center div details dialog dd dt fieldset figcaption footer form header hgroup html legend li main nav optgroup option search section summary tr caption thead tbody tfoot".split(), 0)
 BLOCKS |= dict.fromkeys("blockquote dl dir figure h1 h2 h3 h4 h5 h6 hr menu ol p pre listing xmp plaintext table ul".split(), 1)
 
-MAX_DEPTH = 400
+FOREIGN = frozenset("svg math foreignobject annotation-xml".split())
+OWN_LINES = frozenset("ul ol menu dir li table caption td th dd blockquote select thead tbody tfoot tr".split())
 _TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"'])*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -64,8 +66,10 @@ class Element:
 
 
 def tokens(text: str) -> Iterator[tuple[str, str, str]]:
-    """("text", t, ""), ("start", name, attributes), ("end", name, ""); a raw element's content is one text."""
+    """("text", t, ""), ("start", name, attributes), ("end", name, ""); a raw element's content is one text. A CDATA section is text within svg and
+    math, elsewhere a comment up to the next >."""
     at = 0
+    foreign: list[tuple[str, bool]] = []  # elements that lead into svg and math, and those that lead out of them
     while at < len(text):
         m = _TOKEN.search(text, at)
         if not m:
@@ -76,12 +80,21 @@ def tokens(text: str) -> Iterator[tuple[str, str, str]]:
         at = m.end()
         if not m[2]:
             if m[0].startswith("<![CDATA["):
-                yield "text", html.escape(m[0][9:].removesuffix("]]>"), quote=False), ""
+                if foreign and foreign[-1][1]:
+                    yield "text", html.escape(m[0][9:].removesuffix("]]>"), quote=False), ""
+                else:
+                    end = text.find(">", m.start())
+                    at = end + 1 if end >= 0 else len(text)
             continue
         name = m[2].lower()
         if m[1]:
+            if name in FOREIGN and any(name == n for n, _ in foreign):
+                while foreign.pop()[0] != name:
+                    pass
             yield "end", name, ""
             continue
+        if name in FOREIGN and not m[3].endswith("/"):
+            foreign.append((name, name in ("svg", "math")))
         yield "start", name, m[3]
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])|\Z", re.I).search(text, at) if name != "plaintext" else None
@@ -99,33 +112,42 @@ def attributes(text: str) -> dict[str, str]:
 
 
 def parse(text: str) -> Element:
-    """The tree of a page. Unclosed and misplaced tags are mended; nothing is nested deeper than MAX_DEPTH."""
+    """The tree of a page, of any depth. Unclosed and misplaced tags are mended."""
     root = Element("html", {})
     stack = [root]
+    opened: Counter[str] = Counter()  # names on the stack: it is searched for those that are there only
+
+    def cut_at(i: int) -> None:
+        for e in stack[i:]:
+            opened[e.name] -= 1
+        del stack[i:]
 
     def close(names, stops) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].name in names:
-                del stack[i:]
-                return
-            if stack[i].name in stops:
-                return
+        if any(opened[n] for n in names):
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].name in names:
+                    cut_at(i)
+                    return
+                if stack[i].name in stops:
+                    return
 
     def close_all(names, stops) -> None:
         low = 0
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].name in stops:
-                break
-            if stack[i].name in names:
-                low = i
+        if any(opened[n] for n in names):
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].name in stops:
+                    break
+                if stack[i].name in names:
+                    low = i
         if low:
-            del stack[low:]
+            cut_at(low)
 
     def push(name: str, attrs: dict[str, str]) -> None:
         node = Element(name, attrs)
         stack[-1].children.append(node)
-        if name not in VOID and len(stack) < MAX_DEPTH:
+        if name not in VOID:
             stack.append(node)
+            opened[name] += 1
 
     for kind, name, rest in tokens(text):
         if kind == "text":
@@ -139,19 +161,19 @@ def parse(text: str) -> Element:
             if name in IMPLIED:
                 close_all(*IMPLIED[name])
             elif stack[-1].name == "head" and name not in HIDDEN | {"base"}:
-                stack.pop()
+                cut_at(len(stack) - 1)
             if name in ("td", "th") and stack[-1].name in ("table", "tbody", "thead", "tfoot"):
                 push("tr", {})
             if re.fullmatch("h[1-6]", name) and re.fullmatch("h[1-6]", stack[-1].name):
-                stack.pop()
+                cut_at(len(stack) - 1)
             if name in ("a", "button"):
                 close({name}, SCOPE)
             push(name, attributes(rest))
         elif name == "br":
             push("br", {})
-        elif name == "p" and not any(e.name == "p" for e in stack):
+        elif name == "p" and not opened["p"]:
             push("p", {})
-            stack.pop()
+            cut_at(len(stack) - 1)
         elif name not in ("html", "body"):
             stops = {"table"} if name in IMPLIED else {"td", "th", "table"} if name not in ("table", "tbody", "thead", "tfoot", "tr") else {"table"} - {name}
             if re.fullmatch("h[1-6]", name):
@@ -237,34 +259,54 @@ def strip_hidden(root: Element, sheet: Sheet) -> None:
     Visibility is inherited: a hidden element's texts go, and descendants that say `visible` stay.
     """
 
-    def keep(e: Element, hidden: bool, drawing: bool) -> bool:
+    def entered(e: Element, hidden: bool, drawing: bool) -> tuple[bool, bool] | None:
+        """Whether what is in an element is hidden, and is part of a drawing; None if the element is not shown at all."""
         a = e.attributes
         if e.name in HIDDEN or (drawing and e.name in HIDDEN_IN_DRAWINGS) or (e.name == "dialog" and "open" not in a) or (e.name == "input" and a.get("type", "text").lower() == "hidden"):
-            return False
+            return None
         said = sheet.of(e)
         shown = said.get("display", "none" if "hidden" in a and a["hidden"].lower() != "until-found" else "")
         if shown == "none" or said.get("content-visibility") == "hidden":
-            return False
-        hidden = {"visible": False, "hidden": True, "collapse": True}.get(said.get("visibility", ""), hidden)
-        drawing = drawing or e.name in ("svg", "math")
-        e.children = [c for c in e.children if (not hidden if isinstance(c, str) else keep(c, hidden, drawing))]
-        return not hidden or bool(e.children)
-
-    keep(root, False, False)
-
+            return None
+        return {"visible": False, "hidden": True, "collapse": True}.get(said.get("visibility", ""), hidden), drawing or e.name in ("svg", "math")
+
+    first = entered(root, False, False)
+    if first is None:
+        root.children = []
+        return
+    stack = [(root, iter(root.children), *first, [])]
+    while stack:
+        e, rest, hidden, drawing, kept = stack[-1]
+        for c in rest:
+            if isinstance(c, str):
+                if not hidden:
+                    kept.append(c)
+            elif inside := entered(c, hidden, drawing):
+                stack.append((c, iter(c.children), *inside, []))
+                break
+        else:
+            stack.pop()
+            e.children = kept
+            if stack and (not hidden or kept):
+                stack[-1][4].append(e)
 
-def page_sheet(e: Element) -> Sheet:
-    found: list[str] = []
 
-    def look(node: Element) -> None:
-        for c in node.children:
+def _elements(e: Element) -> Iterator[Element]:
+    """All elements in an element, in the page's order."""
+    stack = [iter(e.children)]
+    while stack:
+        for c in stack[-1]:
             if isinstance(c, Element):
-                if c.name == "style" and c.attributes.get("media", "all").strip().lower() in ("", "all", "screen") and c.attributes.get("type", "text/css").strip().lower() in ("", "text/css"):
-                    found.append("".join(t for t in c.children if isinstance(t, str)))
-                look(c)
+                yield c
+                stack.append(iter(c.children))
+                break
+        else:
+            stack.pop()
+
 
-    look(e)
-    return Sheet(found)
+def page_sheet(e: Element) -> Sheet:
+    shown = lambda c, name, values: c.attributes.get(name, values[1]).strip().lower() in values
+    return Sheet(["".join(t for t in c.children if isinstance(t, str)) for c in _elements(e) if c.name == "style" and shown(c, "media", ("", "all", "screen")) and shown(c, "type", ("", "text/css"))])
 
 
 def width(text: str) -> int:
@@ -350,9 +392,26 @@ def _int(text: str | None, default: int) -> int:
 
 
 def render(e: Element, out: Lines, pre: bool = False) -> None:
-    """Write a visible element's content."""
-    for child in e.children:
-        if isinstance(child, str):
+    """Write a visible element's content. Elements that are only opened and closed may nest to any depth; those with lines of their own (lists,
+    tables, quotes) are written by themselves."""
+    stack: list[tuple] = [(iter(e.children), pre, None)]
+    end = object()
+
+    def quoted() -> None:
+        out.space = False
+        out.text('"')
+
+    def spaced() -> None:
+        out.space = True
+
+    while stack:
+        children, pre, leave = stack[-1]
+        child = next(children, end)
+        if child is end:
+            stack.pop()
+            if leave:
+                leave()
+        elif isinstance(child, str):
             out.text(child, pre)
         elif child.name == "br":
             out.line(keep=True)
@@ -364,7 +423,7 @@ def render(e: Element, out: Lines, pre: bool = False) -> None:
             if child.attributes.get("type", "text").lower() in ("submit", "button", "reset", "text", "search", "email", "url", "tel", "number"):
                 out.text(f" {child.attributes.get('value', '')} ")
         elif child.name == "select":
-            options = [o for o in _inside(child, "option") if "selected" in o.attributes] or list(_inside(child, "option"))[: 1 if "multiple" not in child.attributes else None]
+            options = [o for o in _inside(child, "option") if "selected" in o.attributes] or _inside(child, "option")[: 1 if "multiple" not in child.attributes else None]
             for o in options:
                 render(o, out)
                 out.text(" ")
@@ -378,8 +437,7 @@ def render(e: Element, out: Lines, pre: bool = False) -> None:
             for inner in child.children:
                 if isinstance(inner, Element) and inner.name == "summary":
                     out.gap(0)
-                    render(inner, out, pre)
-                    out.gap(0)
+                    stack.append((iter(inner.children), pre, lambda: out.gap(0)))
                     break
         elif child.name in ("dd", "blockquote"):
             out.gap(BLOCKS[child.name])
@@ -387,22 +445,18 @@ def render(e: Element, out: Lines, pre: bool = False) -> None:
             out.gap(BLOCKS[child.name])
         elif child.name == "q":
             out.text('"')
-            render(child, out, pre)
-            out.space = False
-            out.text('"')
+            stack.append((iter(child.children), pre, quoted))
         elif child.name in BLOCKS:
             out.gap(BLOCKS[child.name])
             inner_pre = pre or child.name in ("pre", "listing", "xmp", "plaintext", "textarea")
             if inner_pre and not pre and child.children and isinstance(child.children[0], str):
                 child.children[0] = re.sub(r"^\r?\n", "", child.children[0], count=1)
-            render(child, out, inner_pre)
-            out.gap(BLOCKS[child.name])
+            stack.append((iter(child.children), inner_pre, lambda n=BLOCKS[child.name]: out.gap(n)))
         elif child.name in ("textarea", "button"):
             out.space = True
-            render(child, out, pre or child.name == "textarea")
-            out.space = True
+            stack.append((iter(child.children), pre or child.name == "textarea", spaced))
         else:
-            render(child, out, pre)
+            stack.append((iter(child.children), pre, None))
 
 
 def block(e: Element, pre: bool = False) -> list[str]:
@@ -418,13 +472,36 @@ def block(e: Element, pre: bool = False) -> list[str]:
     return lines
 
 
-def _inside(e: Element, name: str) -> Iterator[Element]:
-    for c in e.children:
-        if isinstance(c, Element):
-            if c.name == name:
-                yield c
-            else:
-                yield from _inside(c, name)
+def _inside(e: Element, name: str) -> list[Element]:
+    """The elements of a name in an element, without those that are in another of them."""
+    found, stack = [], [iter(e.children)]
+    while stack:
+        for c in stack[-1]:
+            if isinstance(c, Element):
+                if c.name == name:
+                    found.append(c)
+                else:
+                    stack.append(iter(c.children))
+                    break
+        else:
+            stack.pop()
+    return found
+
+
+def _indented(e: Element) -> int:
+    """How deep elements that are written by themselves are nested."""
+    deepest, stack = 0, [(iter(e.children), 0)]
+    while stack:
+        children, depth = stack[-1]
+        for c in children:
+            if isinstance(c, Element):
+                inner = depth + (c.name in OWN_LINES)
+                deepest = max(deepest, inner)
+                stack.append((iter(c.children), inner))
+                break
+        else:
+            stack.pop()
+    return deepest
 
 
 def listing(e: Element, out: Lines, pre: bool) -> None:
@@ -561,9 +638,10 @@ def page_text(page: str | None) -> str:
     """The visible text of a page; a null or empty one has none."""
     if not page:
         return ""
-    sys.setrecursionlimit(max(sys.getrecursionlimit(), 20 * MAX_DEPTH))
     root = parse(page.replace("\0", ""))
     strip_hidden(root, page_sheet(root))
+    # calls of Python functions are no deeper than lists, tables and quotes are nested, and need no C stack
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 1000 + 6 * _indented(root)))
     return "\n".join(block(root))
 
 

@@ -248,6 +248,32 @@ def test_rendering_ends(evil):
     assert isinstance(html_text.page_text(evil), str)
 
 
+@pytest.mark.parametrize("tag", ["div", "span", "font", "section", "b", "p", "blink", "q", "button", "svg", "x-y"])
+def test_any_depth(tag):
+    hidden = '<script>var secret=1;</script><style>p{}</style><p style="display:none">gone</p><div hidden><b>gone</b></div>'
+    for depth in (1, 399, 450, 5000):
+        got = html_text.page_text(f"<{tag}>" * depth + hidden + "seen<br>more" + f"</{tag}>" * depth + "<p>after")
+        assert "gone" not in got and "secret" not in got and got.split("\n")[-1] == "after", (tag, depth)
+        assert got.replace('"', "").split("\n")[:2] == ["seen", "more"], (tag, depth)
+
+
+def test_depth_of_lists_tables_and_quotes():
+    for tag, inner in (("ul", "li"), ("blockquote", "div"), ("table", "td"), ("ol", "li")):
+        got = html_text.page_text(f"<{tag}><{inner}>" * 700 + "<script>no</script>seen" + f"</{inner}></{tag}>" * 700)
+        assert got.strip().endswith("seen") and "no" not in got and got.count("seen") == 1
+    many = html_text.page_text("<div>" * 100_000 + "deep" + "</div>" * 60_000 + "<p>end")
+    assert many == "deep\n\nend"
+    assert html_text.page_text("<p>" + "<i>" * 50_000 + "a" + "<p>b" * 50_000).count("b") == 50_000
+
+
+def test_cdata_is_a_comment_outside_of_drawings():
+    assert html_text.page_text("a <![CDATA[ b ]]> c") == "a c"
+    assert html_text.page_text("a <![CDATA[ b > c ]]> d") == "a c ]]> d"
+    assert html_text.page_text("<svg><text><![CDATA[a < b > c]]></text></svg> d <![CDATA[e]]>f") == "a < b > c d f"
+    assert html_text.page_text("<svg><foreignObject>a<![CDATA[b]]>c</foreignObject><text><![CDATA[d]]></text></svg>") == "acd"
+    assert html_text.page_text("a <![CDATA[ b") == "a"
+
+
 # ---- 4
 
 
