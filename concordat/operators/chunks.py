@@ -54,42 +54,42 @@ def bounds(df: DataFrame, keys: list[str], parts: int, seed: int = 7) -> list[tu
     return [tuple(r) for r in found]
 
 
-def _key(keys: list[str]) -> Column:
-    return F.struct(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)))
+def _literal(v: object, kind: str) -> str:
+    """A value in SQL, as the type of its column."""
+    if isinstance(v, (bytes, bytearray)):
+        return f"CAST(X'{bytes(v).hex()}' AS {kind})"
+    text = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {kind})"
 
 
-def _bound(df: DataFrame, keys: list[str], at: tuple) -> Column:
+def _spelled(df: DataFrame, keys: list[str], at: tuple | None = None) -> str:
+    """The key of a row, or a bound, in SQL: one expression, however many bounds there are, is parsed faster than it is put together."""
     types = dict(df.dtypes)
-    return F.struct(*(F.lit(v).cast(types[k]).alias(f"k{i}") for i, (k, v) in enumerate(zip(keys, at, strict=True))))
+    parts = [f"`{k.replace('`', '``')}`" if at is None else _literal(at[i], types[k]) for i, k in enumerate(keys)]
+    return parts[0] if len(keys) == 1 else f"named_struct({', '.join(f"'k{i}', {p}" for i, p in enumerate(parts))})"
 
 
 def range_of(df: DataFrame, keys: list[str], at: list[tuple], first: int = 0) -> Column:
     """The number of a row's range, by a search that halves the bounds; NULLS for a key with a null. Ranges group and join by equality."""
+    key = _spelled(df, keys)
 
-    def among(lo: int, hi: int) -> Column:
+    def among(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(first + lo)
+            return str(first + lo)
         mid = (lo + hi) // 2
-        return F.when(key < _bound(df, keys, at[mid]), among(lo, mid)).otherwise(among(mid + 1, hi))
+        return f"CASE WHEN {key} < {_spelled(df, keys, at[mid])} THEN {among(lo, mid)} ELSE {among(mid + 1, hi)} END"
 
-    key, null = _key(keys), F.lit(False)
-    for k in keys:
-        null = null | F.col(k).isNull()
-    return F.when(null, F.lit(NULLS)).otherwise(among(0, len(at)))
+    null = " OR ".join(f"{_spelled(df, [k])} IS NULL" for k in keys)
+    return F.expr(f"CASE WHEN {null} THEN {NULLS} ELSE {among(0, len(at))} END")
 
 
 def within(df: DataFrame, keys: list[str], low: tuple | None, high: tuple | None) -> Column:
     """Rows from a bound up to below another; None: no bound. The leading key's limits stand alone too, so they reach the scan."""
-    types = dict(df.dtypes)
-    out = F.lit(True)
-    for k in keys:
-        out = out & F.col(k).isNotNull()
-    lead = lambda at: F.lit(at[0]).cast(types[keys[0]])
-    if low is not None:
-        out = out & (F.col(keys[0]) >= lead(low)) & (_key(keys) >= _bound(df, keys, low))
-    if high is not None:
-        out = out & (F.col(keys[0]) <= lead(high)) & (_key(keys) < _bound(df, keys, high))
-    return out
+    out = [f"{_spelled(df, [k])} IS NOT NULL" for k in keys]
+    for at, lead, whole in ((low, ">=", ">="), (high, "<=", "<")):
+        if at is not None:
+            out += [f"{_spelled(df, keys[:1])} {lead} {_spelled(df, keys[:1], at[:1])}", f"{_spelled(df, keys)} {whole} {_spelled(df, keys, at)}"]
+    return F.expr(" AND ".join(out))
 
 
 def equal_depth(df: DataFrame, keys: list[str], parts: int) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concordat.operators import key_search
+
 # Words in a status that mean trouble, and other names of object types.
 BROKEN = ("BROKEN", "DISABLED", "FAILED", "INVALID", "MISSING", "UNUSABLE")
 TYPE_ALIASES = {"MVIEW": "MATERIALIZED VIEW", "MATERIALIZED_VIEW": "MATERIALIZED VIEW", "PROC": "PROCEDURE", "SP": "PROCEDURE", "PKG": "PACKAGE"}
@@ -109,8 +111,9 @@ class NoKeyError(ValueError):
     """A table has no key that rows could be told apart by."""
 
 
-def resolve_keys(table: str, configured: tuple[str, ...] = (), source: DataFrame | None = None, target: DataFrame | None = None) -> tuple[list[str], str]:
-    """A table's key columns and where they come from: the settings, else the source's best constraint, else the target's.
+def resolve_keys(table: str, configured: tuple[str, ...] = (), source: DataFrame | None = None, target: DataFrame | None = None, rows: DataFrame | None = None) -> tuple[list[str], str]:
+    """A table's key columns and where they come from: the settings, else the source's best constraint, else the target's, else the first of the least
+    sets of columns that are unique in `rows`.
 
     source, target: constraints as for preferred_key(). Without any of them there is no key, which is an error.
     """
@@ -119,6 +122,8 @@ def resolve_keys(table: str, configured: tuple[str, ...] = (), source: DataFrame
     for side, constraints in (("source", source), ("target", target)):
         if constraints is not None and (found := preferred_key(constraints.where(F.lower("table_name") == table.lower())).first()):
             return found["key_columns"].split(","), f"{side} constraint {found['constraint_name']}"
+    if rows is not None and (least := key_search.least_keys(rows)):
+        return list(least[0]), "unique in the rows"
     raise NoKeyError(f"{table}: no key in the settings, and no primary or unique constraint on either side")
 
 

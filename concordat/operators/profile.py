@@ -33,6 +33,55 @@ def profile(df: DataFrame, columns: list[str] | None = None, approximate: bool =
     return out.select("column_name", "non_null", "nulls", "distinct_count", unique.alias("is_unique"), "min_value", "max_value")
 
 
+ERROR_DISTINCT, ERROR_RANK, FREQUENT = 0.016, 0.0165, 64  # standard error of a distinct count; error of a quantile's rank (99 percent); values followed
+
+
+def sketches(df: DataFrame, columns: list[str] | None = None, *groups: str) -> DataFrame:
+    """What a profile is made of, for all rows or each group, in a form that adds up: for column i of `columns` count (n<i>), least and largest value (l, h),
+    a distinct-count sketch (d), a quantile sketch of numbers (q) and one of frequent values (t); and the rows (n)."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(columns or [c for c in df.columns if c not in groups]):
+        aggs += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}"), F.hll_sketch_agg(F.xxhash64(c), F.lit(12)).alias(f"d{i}")]
+        aggs += [F.kll_sketch_agg_double(F.col(c).cast("double")).alias(f"q{i}")] if is_number(df, c) else []
+        aggs += [F.expr(f"approx_top_k_accumulate(CAST(`{c}` AS STRING), {16 * FREQUENT})").alias(f"t{i}")]
+    return df.groupBy(*groups).agg(*aggs)
+
+
+def is_number(df: DataFrame, column: str) -> bool:
+    return dict(df.dtypes)[column].startswith(("tinyint", "smallint", "int", "bigint", "float", "double", "decimal"))
+
+
+def summed(parts: DataFrame, columns: list[str]) -> DataFrame:
+    """One profile of any number of sketches(): column_name, non_null, nulls, distinct_count, min_value, max_value, quartiles (of numbers), frequent
+    (values as texts with their counts, the most frequent first).
+
+    distinct_count has a standard error of ERROR_DISTINCT, a quartile's rank is off by ERROR_RANK at most in 99 of 100; counts, least and largest values are exact.
+    """
+    out = [F.coalesce(F.sum("n"), F.lit(0)).alias("n")]
+    for i, _ in enumerate(columns):
+        out += [F.sum(f"n{i}").alias(f"n{i}"), F.min(f"l{i}").cast("string").alias(f"l{i}"), F.max(f"h{i}").cast("string").alias(f"h{i}"), F.hll_sketch_estimate(F.hll_union_agg(f"d{i}")).alias(f"d{i}")]
+        if f"q{i}" in parts.columns:
+            out += [F.kll_merge_agg_double(f"q{i}").alias(f"q{i}")]
+        out += [F.expr(f"approx_top_k_estimate(approx_top_k_combine(t{i}, {16 * FREQUENT}), {FREQUENT})").alias(f"t{i}")]
+    one = parts.agg(*out)
+    quartiles = lambda i: F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"q{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
+    null = F.lit(None).cast("array<double>")
+    kind = "array<struct<value: string, count: bigint>>"
+    rows = [F.struct(F.lit(c).alias("column_name"), F.coalesce(f"n{i}", F.lit(0)).alias("non_null"), (F.col("n") - F.coalesce(f"n{i}", F.lit(0))).alias("nulls"), F.coalesce(f"d{i}", F.lit(0)).alias("distinct_count"), F.col(f"l{i}").alias("min_value"), F.col(f"h{i}").alias("max_value"), (quartiles(i) if f"q{i}" in parts.columns else null).alias("quartiles"), F.filter(F.col(f"t{i}"), lambda x: x["item"].isNotNull()).cast(kind).alias("frequent")) for i, c in enumerate(columns)]
+    return one.select(F.explode(F.array(*rows)).alias("_x")).select("_x.*")
+
+
+def of_versions(table, columns: list[str]) -> DataFrame:
+    """summed() of the current version of a VersionedTable. Sketches are kept for each file beside its folder, so after an append or an upsert only
+    the new folder is read."""
+    state, out = table.state(), None
+    for p in table.parts(state=state):
+        part = table.kept(p["folder"], f"profile-{'-'.join(columns)}", lambda rows: sketches(rows, columns, "_file"))
+        part = part.where(~F.col("_file").isin(p["without"])) if p["without"] else part
+        out = part if out is None else out.unionByName(part)
+    return summed(out, columns)
+
+
 def hinted(columns: DataFrame, hints: tuple[str, ...], limit: int = 12) -> DataFrame:
     """Columns whose name holds a hint, the first `limit` by place. columns: column_name, ordinal."""
     return columns.where(F.lower("column_name").rlike("|".join(hints))).orderBy("ordinal").limit(limit)

@@ -9,6 +9,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from concordat.functions import canon, text
 from concordat.functions.types import assessed, source_label, suggested_type, target_label
 from concordat.model import Incremental, LoadResult, TableSpec
-from concordat.operators import chunks, incremental, long_columns, mapping, objects, profile, reconcile, schema_diff, sequences, upsert
+from concordat.operators import chunks, digest_tree, incremental, key_search, long_columns, mapping, objects, profile, reconcile, schema_diff, sequences, upsert
 from concordat.plans import audit, load, queryperf, reports
 from concordat.sources import catalog, files, versions
 from concordat.streaming import ledger, upsert_stream
@@ -435,6 +436,73 @@ def ranges_equal_depth(spark, sf):
     return sizes.select("rows", "null_rows", (F.col("most") <= 1.5 * F.col("keyed") / 20).alias("balanced")).crossJoin(apart)
 
 
+_CHANGED = f"""{_PAIR} SELECT o_orderkey, CAST(s.o_orderkey IS NOT NULL AS BIGINT) AS source_rows, CAST(t.o_orderkey IS NOT NULL AS BIGINT) AS target_rows,
+    CASE WHEN t.o_orderkey IS NULL THEN 'source only' WHEN s.o_orderkey IS NULL THEN 'target only' ELSE 'changed' END AS status
+    FROM src AS s FULL JOIN tgt AS t USING (o_orderkey) WHERE s.o_orderkey IS NULL OR t.o_orderkey IS NULL OR s.o_orderstatus <> t.o_orderstatus"""
+
+
+@query(_CHANGED)
+def digest_tree_changed_keys(spark, sf):
+    """Keys that differ, by digests of ranges from the root down."""
+    return digest_tree.changed_keys(*pair(spark, sf), ["o_orderkey"], _COLS)
+
+
+@query(f"{_PAIR}, low AS (SELECT min(o_orderkey) AS k FROM src), t AS (SELECT o_orderkey, CASE WHEN o_orderkey < k + 300 AND o_orderkey % 3 = 0 THEN 'Z' ELSE o_orderstatus END AS v FROM src, low) SELECT o_orderkey, CAST(1 AS BIGINT) AS source_rows, CAST(1 AS BIGINT) AS target_rows, 'changed' AS status FROM src JOIN t USING (o_orderkey) WHERE o_orderstatus <> v")
+def digest_tree_after_upsert(spark, sf):
+    """Two tables of twelve files each, alike at first; then some neighbouring keys of one are changed. Digests of the files that stay are not made again,
+    and rows are read of the files that reach into the differing ranges."""
+    s, _ = pair(spark, sf)
+    rows = s.select("o_orderkey", "o_orderstatus")
+    low = rows.agg(F.min("o_orderkey")).first()[0]
+    one, two = (_filed(spark, rows, ["o_orderkey"], 12) for _ in range(2))
+    if digest_tree.KeptTree(one, two, ["o_orderkey"], rows.columns).nodes():
+        raise load.LoadError("equal tables differ")
+    part = rows.where(f"o_orderkey < {low + 300} AND o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("Z"))
+    load.run(spark, TableSpec("orders", keys=("o_orderkey",), mode="upsert"), part, two, ledger.Ledger())
+    tree = digest_tree.KeptTree(one, two, ["o_orderkey"], rows.columns)
+    if len(tree.files(0, tree.nodes())) >= len(one.files()):
+        raise load.LoadError("all files are read")
+    return tree.changed_keys()
+
+
+_SEARCHED = {"lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "customer": ["c_custkey", "c_nationkey", "c_name"], "events": ["event_type", "event_id", "user_id"], "nation": ["n_nationkey", "n_name", "n_regionkey"]}
+
+
+def _key_sql(name: str, columns: list[str]) -> str:
+    """All sets of at most three columns, counted; those that are unique and hold no smaller one."""
+    sets = [s for n in (1, 2, 3) for s in combinations(range(len(columns)), n)]
+    label = lambda s: "_".join(map(str, s))
+    counts = ", ".join(f"count(DISTINCT ({', '.join(columns[i] for i in s)})) = count(*) AS u{label(s)}" if len(s) > 1 else f"count(DISTINCT {columns[s[0]]}) = count(*) AS u{label(s)}" for s in sets)
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS table_name, '{','.join(columns[i] for i in s)}' AS key_columns FROM c WHERE u{label(s)}" + "".join(f" AND NOT u{label(t)}" for t in sets if len(t) < len(s) and set(t) < set(s)) for s in sets)
+    return f"SELECT * FROM (WITH c AS (SELECT {counts} FROM {name}) {rows})"
+
+
+@query(" UNION ALL ".join(_key_sql(t, c) for t, c in _SEARCHED.items()))
+def composite_keys(spark, sf):
+    """The least sets of columns that are unique; lineitem has none in its two usual columns."""
+    found = [(t, ",".join(k)) for t, columns in _SEARCHED.items() for k in key_search.least_keys(table(spark, sf, t), columns)]
+    return spark.createDataFrame(found, "table_name string, key_columns string")
+
+
+_SKETCHED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS non_null, count(*) - count({c}) AS nulls, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value, true AS distinct_close, true AS median_close FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 17 <> 0 THEN o_custkey END AS o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice FROM orders)" for c in _SKETCHED))
+def profile_of_versions(spark, sf):
+    """A profile of a table that was appended to, from sketches kept for each folder; distinct counts within five standard errors, medians within three of rank."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 17 != 0, F.col("o_custkey")).alias("o_custkey"), "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"))
+    t = _filed(spark, o.where("o_orderkey % 5 > 0"), ["o_orderkey"], 6)
+    profile.of_versions(t, _SKETCHED)
+    t.stage(o.where("o_orderkey % 5 = 0"), "more")
+    t.append("more", ["more"])
+    got = profile.of_versions(t, _SKETCHED)
+    exact = o.agg(*(F.count_distinct(c).alias(f"d_{c}") for c in _SKETCHED), *(F.percentile_approx(c, [0.45, 0.55], 100_000).cast("array<double>").alias(f"m_{c}") for c in _SKETCHED if c != "o_orderstatus"), F.lit(None).cast("array<double>").alias("m_o_orderstatus"))
+    told = exact.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"d_{c}").alias("_d"), F.col(f"m_{c}").alias("_m")) for c in _SKETCHED))).alias("x")).select("x.*")
+    near = F.abs(F.col("distinct_count") - F.col("_d")) <= F.greatest(5 * profile.ERROR_DISTINCT * F.col("_d"), F.lit(1))
+    middle = F.coalesce((F.col("quartiles")[1] >= F.col("_m")[0]) & (F.col("quartiles")[1] <= F.col("_m")[1]), F.lit(True))
+    return got.join(told, "column_name").select("column_name", "non_null", "nulls", "min_value", "max_value", near.alias("distinct_close"), middle.alias("median_close"))
+
+
 _HISTORY = "SELECT concat('r', 1000 + event_id % 90) AS source_run, concat('2026-01-', lpad(concat('', 1 + event_id % 90 % 28), 2, '0'), 'T00:00:00') AS started, concat('t', user_id % 5) AS table_name, CASE WHEN event_id % 7 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status, event_id AS rows_loaded, CAST(event_id % 100 AS DOUBLE) / 4 AS elapsed_seconds FROM events"
 _LATEST = f"SELECT source_run FROM ({_HISTORY}) GROUP BY 1 ORDER BY max(started) DESC, source_run DESC LIMIT 30"
 
