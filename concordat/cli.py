@@ -173,14 +173,19 @@ def main(argv: list[str] | None = None) -> int:
             n = load.append_chunks(spark, s, side(s.name, "source"), VersionedTable(spark, places[s.name]["target"]), ledger, run, s.keys[0])
             results.append(LoadResult(s.name, "append", "SUCCESS", rows_written=n))
         if a.execute:
-            results += [load.write_out(spark, s, side(s.name, "source"), places[s.name]["target"], ledger, run, a.direction, **places[s.name].get("target_options", {})) for s in stores]
+            sent = [load.write_out(spark, s, side(s.name, "source"), places[s.name]["target"], ledger, run, a.direction, **places[s.name].get("target_options", {})) for s in stores]
+            results += sent
+            if all(r.status != "FAILED" for r in results):
+                for s, r in zip(stores, sent, strict=True):
+                    if r.watermark is not None:
+                        ledger.set_watermark(a.direction, s.name, s.incremental.strategy, s.incremental.column, r.watermark)
     bad = [r for r in results if r.status == "FAILED"]
     if bad:
         ledger.failed(job, 30, bad[0].message)
         reports.alert("failed", {"run_id": run, "job": job, "direction": a.direction, "error": bad[0].message, "tables": [r.table_name for r in bad]}, set(tree.get("alerts", ["failed"])), lambda _, payload: print(json.dumps(payload), file=sys.stderr))
     else:
         ledger.cleared(job)
-    fields = "table_name string, mode string, status string, rows_read long, rows_written long, rows_failed long, checksum_status string, version string, backup string, message string, watermark string, verdict string"
+    fields = "table_name string, mode string, status string, rows_read long, rows_written long, rows_failed long, checksum_status string, version string, backup string, message string, watermark string, verdict string, bytes_written long, long_bytes long, seconds double, files_rewritten long"
     return finish({"sync_result": spark.createDataFrame([tuple(r.__dict__.values()) for r in results], fields), "events": ledger.frame(spark, "events").where(F.col("run_id") == run)})
 
 

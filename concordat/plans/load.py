@@ -23,6 +23,7 @@ from concordat.model import LoadResult, TableSpec
 from concordat.operators import chunks, incremental, mapping, upsert
 from concordat.operators.reconcile import checksum_columns
 from concordat.sources import files
+from concordat.sources.store import Store, StoreError
 from concordat.sources.versions import ConflictError, VersionedTable
 from concordat.streaming.ledger import Ledger
 
@@ -221,31 +222,54 @@ def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: Versione
 
 
 def write_out(spark: SparkSession, spec: TableSpec, source: DataFrame, target: str, ledger: Ledger, run_id: str | None = None, direction: str = "reverse", **options) -> LoadResult:
-    """Load into a store that is not ours to version, by files.write(): `append` adds, full modes replace. Rows that cannot be cast fail the load before anything
-    is written unless skip_failed is set; the store's counts before and after say whether all arrived. An incremental append sends what is past the
+    """Load into a store that is not ours to version: over JDBC by store.Store in any mode, exactly once for a run id; else by files.write(), where `append`
+    adds and full modes replace. Rows that cannot be cast fail the load before anything is written unless skip_failed is set; counts say whether all arrived. An incremental append sends what is past the
     watermark, and returns the new one for the caller to publish."""
     run_id, reverse = run_id or uuid.uuid4().hex[:12], direction == "reverse"
     check(spec, **{k: options.pop(k) for k in ("allow_swap", "require_filter", "require_whole") if k in options})
     mark = ledger.watermark(direction, spec.name, spec.incremental.strategy, spec.incremental.column) if spec.incremental else None
-    if spec.mode in KEYED:
-        raise LoadError(f"{spec.mode} cannot be done in {target.split(':')[0]}: use append or a full mode")
+    over_jdbc = target.startswith("jdbc:")
+    if spec.mode in KEYED and not over_jdbc:
+        raise LoadError(f"{spec.mode} cannot be done in {target}: use append or a full mode")
+    began = time.monotonic()
     there = lambda: files.read(spark, target, **options)
     shape = there()
     tried = attempted(spec, source, shape, mark, reverse)
     failed = tried.where("_failed IS NOT NULL").count()
     if failed and not spec.skip_failed:
         return LoadResult(spec.name, spec.mode, "FAILED", rows_failed=failed, message=f"{failed} rows cannot be cast")
-    before = shape.count() if spec.mode == "append" else 0
     ledger.event(run_id, "load", "started", spec.name)
     passed, seen = _passed(tried, [c for c, d in tried.dtypes if c not in ("_failed", "_mark") and mapping.is_long(d)])
-    rows = files.write(passed, target, "append" if spec.mode == "append" else "overwrite", **options)["rows"]
-    if "/" not in target:  # a table of the catalog: its statistics are out of date
-        spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS")
-    written = there().count() - before
-    outcome = verdict(rows, written, 0, "", True if spec.mode != "append" else None, reverse)
+    superseded = 0
+    if over_jdbc:
+        if spec.mode in ("upsert", "incremental_safe"):
+            if spec.on_duplicate == "last":
+                passed = upsert.last_wins(passed, list(spec.keys), [F.col(c) for c in spec.order_by])
+            elif not upsert.duplicate_keys(tried.where("_failed IS NULL"), list(spec.keys)).isEmpty():
+                return LoadResult(spec.name, spec.mode, "FAILED", message=f"changes repeat a key of {', '.join(spec.keys)}")
+        kind = "replace" if spec.mode in FULL else "upsert" if spec.mode in ("upsert", "incremental_safe") else spec.mode
+        try:
+            told = Store(spark, target, **options).load(passed, options["dbtable"], f"{run_id}:{spec.name}", kind, list(spec.keys))
+        except StoreError as e:
+            ledger.event(run_id, "load", "failed", spec.name, str(e)[:500])
+            return LoadResult(spec.name, spec.mode, "FAILED", message=str(e))
+        if told["done"]:
+            return LoadResult(spec.name, spec.mode, "SKIPPED", message="this run has been merged before")
+        rows, written = seen.get["read"] - failed, told["staged"]
+        superseded = rows - written
+    else:
+        before = shape.count() if spec.mode == "append" else 0
+        rows = files.write(passed, target, "append" if spec.mode == "append" else "overwrite", **options)["rows"]
+        if "/" not in target:  # a table of the catalog: its statistics are out of date
+            spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS")
+        written = there().count() - before
+    outcome = verdict(rows, written + superseded, 0, "", None if spec.mode == "append" or spec.mode in KEYED else True, reverse, bool(spec.incremental) and spec.mode in KEYED)
     state = "FAILED" if outcome == "FAIL" else "SUCCESS"
     ledger.event(run_id, "load", state.lower(), spec.name, details={"rows": written, "verdict": outcome})
-    return LoadResult(spec.name, spec.mode, state, rows + failed, written, failed, verdict=outcome, message="" if state == "SUCCESS" else f"{rows} rows were sent, {written} arrived", watermark=seen.get.get("mark"), bytes_written=seen.get["bytes"], long_bytes=seen.get["long_bytes"])
+    return LoadResult(
+        spec.name, spec.mode, state, rows + failed, written + superseded, failed, verdict=outcome, message="" if state == "SUCCESS" else f"{rows} rows were sent, {written} arrived",
+        watermark=seen.get.get("mark"), bytes_written=seen.get["bytes"], long_bytes=seen.get["long_bytes"], seconds=time.monotonic() - began,
+    )
 
 
 def arrived(spec: TableSpec, delta: DataFrame, new: DataFrame) -> DataFrame:
