@@ -61,3 +61,30 @@ def value_digests(df: DataFrame, keys: list[str], column: str, algorithm: str =
     raw = F.col(column) if dict(df.dtypes)[column] == "binary" else F.col(column).cast("binary")
     digest = {"sha256": lambda: F.sha2(raw, 256), "sha1": lambda: F.sha1(raw), "md5": lambda: F.md5(raw)}[algorithm]()
     return df.select(*keys, F.octet_length(raw).alias("bytes"), digest.alias("digest"))
+
+
+SEGMENT = 64 << 10  # bytes of a segment
+
+
+def segments(df: DataFrame, keys: list[str], column: str, size: int = SEGMENT) -> DataFrame:
+    """keys, segment (from 0), bytes and digest (SHA-256) of each `size` bytes of a long value; an empty value has one empty segment, a null value one
+    without a digest. What is sent on is digests, however long the values are."""
+    raw = F.col(column) if dict(df.dtypes)[column] == "binary" else F.col(column).cast("binary")
+    last = F.greatest(F.ceil(F.octet_length(raw) / size) - 1, F.lit(0))
+    parts = df.select(*keys, raw.alias("_raw"), F.explode(F.sequence(F.lit(0), F.coalesce(last, F.lit(0)).cast("int"))).alias("segment"))
+    piece = F.substring(F.col("_raw"), F.col("segment") * size + 1, F.lit(size))
+    return parts.select(*keys, "segment", F.octet_length(piece).alias("bytes"), F.sha2(piece, 256).alias("digest"))
+
+
+def first_differences(source: DataFrame, target: DataFrame, keys: list[str], column: str, size: int = SEGMENT) -> DataFrame:
+    """keys, segment, differing, status of the values that are not the same on both sides: the first segment that differs, how many do, and whether the key is on
+    one side only (source only, target only) or its value changed. Keys must be unique on each side; null keys equal null keys."""
+    side = lambda df, n: segments(df, keys, column, size).withColumn("_side", F.lit(n))
+    of = lambda n: F.max(F.when(F.col("_side") == n, F.struct(F.lit(1).alias("there"), "bytes", "digest"))).alias(f"_s{n}")
+    both = side(source, 0).unionByName(side(target, 1)).groupBy(*keys, "segment").agg(of(0), of(1))
+    apart = ~F.col("_s0").eqNullSafe(F.col("_s1"))
+    # a key that a side lacks has no segment 0 there
+    missing = lambda n: F.max(F.when((F.col("segment") == 0) & F.col(f"_s{n}").isNull(), 1))
+    out = both.groupBy(*keys).agg(F.min(F.when(apart, F.col("segment"))).alias("segment"), F.count_if(apart).alias("differing"), missing(0).alias("_m0"), missing(1).alias("_m1"))
+    status = F.when(F.col("_m1") == 1, "source only").when(F.col("_m0") == 1, "target only").otherwise("changed")
+    return out.where("differing > 0").select(*keys, "segment", "differing", status.alias("status"))

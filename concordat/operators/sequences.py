@@ -6,18 +6,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+PIECE = 3  # letters of a name's piece
+
+
+def _pieces(name: Column, size: int) -> Column:
+    """The distinct pieces of a name of `size` letters."""
+    last = F.length(name) - size + 1
+    return F.when(last >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substr(name, i, F.lit(size))))).otherwise(F.array().cast("array<string>"))
+
+
+def holding(wanted: DataFrame, word: str, names: DataFrame, name: str) -> DataFrame:
+    """Pairs of a row of `wanted` and a row of `names` whose name holds the row's word (in capitals), by an index of pieces: the names of the word's
+    rarest piece are looked up by equality and then held against the whole word. An empty word is in no name."""
+    sizes = [1, 2, PIECE]
+    index = names.withColumn("_p", F.explode(F.flatten(F.array(*(_pieces(F.upper(name), n) for n in sizes)))))
+    often = index.groupBy("_p").agg(F.count(F.lit(1)).alias("_often"))
+    up = F.upper(word)
+    own = F.when(F.length(up) >= PIECE, _pieces(up, PIECE)).when(F.length(up) == 2, _pieces(up, 2)).otherwise(_pieces(up, 1))
+    numbered = wanted.select(F.struct("*").alias("_row"), up.alias("_word"), own.alias("_own"), F.monotonically_increasing_id().alias("_id"))
+    asked = numbered.select("_row", "_word", "_id", F.explode("_own").alias("_p")).join(often, "_p", "left")
+    # a piece that no name has is the rarest: nothing is looked up then
+    rarest = asked.groupBy("_id").agg(F.min_by(F.struct("_row", "_word", "_p"), F.struct(F.coalesce("_often", F.lit(0)), F.col("_p"))).alias("_x")).select("_x.*")
+    found = rarest.join(index, "_p").where(F.contains(F.upper(name), F.col("_word")))
+    return found.select("_row.*", *names.columns)
+
+
 def matched(candidates: DataFrame, sequences: DataFrame) -> DataFrame:
     """Target sequences with their source sequence: of the same name, else the only one whose name holds the table's.
 
-    candidates: table_name, target_sequence; sequences: name, source_last. The second way starts from the few left without an equal.
+    candidates: table_name, target_sequence; sequences: name, source_last. The second way starts from those left without an equal, and
+    looks names up by pieces, so no table meets every sequence.
     """
     c = candidates.withColumn("_up", F.upper("target_sequence"))
     s = sequences.select(F.upper("name").alias("source_sequence"), "source_last").dropDuplicates(["source_sequence"])
     equal = c.join(s, F.col("_up") == F.col("source_sequence"), "left")
     done = equal.where("source_sequence IS NOT NULL")
     left = equal.where("source_sequence IS NULL").select(*candidates.columns)
-    holds = left.join(s, F.col("source_sequence").contains(F.upper("table_name")) & (F.col("table_name") != ""), "left")
-    only = holds.groupBy(*candidates.columns).agg(F.count("source_sequence").alias("_n"), F.min(F.struct("source_sequence", "source_last")).alias("x"))
+    held = holding(left.distinct(), "table_name", s, "source_sequence").select(*(F.col(x).alias(f"_{x}") for x in candidates.columns), "source_sequence", "source_last")
+    same = F.lit(True)
+    for x in candidates.columns:
+        same = same & F.col(x).eqNullSafe(F.col(f"_{x}"))
+    only = left.join(held, same, "left").groupBy(*candidates.columns).agg(F.count("source_sequence").alias("_n"), F.min(F.struct("source_sequence", "source_last")).alias("x"))
     one = F.col("_n") == 1
     loose = only.select(*candidates.columns, F.when(one, F.col("x.source_sequence")).alias("source_sequence"), F.when(one, F.col("x.source_last")).alias("source_last"), F.when(one, "contains").otherwise("none").alias("match"))
     return done.select(*candidates.columns, "source_sequence", "source_last", F.lit("exact").alias("match")).unionByName(loose)

@@ -548,6 +548,14 @@ def integrity_verdict(spark, sf):
     return load.verdicts(values(spark, _RESULTS)).select("table_name", "verdict")
 
 
+_OUTCOMES = "SELECT concat('t', event_id) AS table_name, CASE WHEN event_id % 2 = 0 THEN 'forward' ELSE 'reverse' END AS direction, event_id AS rows_read, CASE WHEN event_id % 11 = 0 THEN event_id - 1 ELSE event_id END AS rows_written, CASE WHEN event_id % 17 = 0 THEN user_id % 3 ELSE 0 END AS rows_failed, CASE WHEN event_id % 19 = 0 THEN 'MISMATCH' WHEN event_id % 5 = 0 THEN '' ELSE 'MATCH' END AS checksum_status, CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 7 <> 0 END AS row_count_match FROM events"
+
+
+@query(f"SELECT table_name, CASE WHEN rows_failed > 0 OR rows_read <> rows_written OR checksum_status = 'MISMATCH' THEN 'FAIL' WHEN row_count_match IS NULL THEN 'UNKNOWN' WHEN row_count_match THEN 'PASS' WHEN direction = 'reverse' THEN 'FAIL' ELSE 'WARN' END AS verdict FROM ({_OUTCOMES})")
+def integrity_verdicts_derived(spark, sf):
+    return load.verdicts(derived(spark, sf, _OUTCOMES)).select("table_name", "verdict")
+
+
 # ---- increments and chunks
 
 
@@ -743,6 +751,32 @@ def type_rules(spark, sf):
     return spark.createDataFrame(rows, f"case_id int, s {fields}, t {fields}").select("case_id", assessed(F.col("s"), F.col("t")).alias("a")).select("case_id", "a.status", "a.severity")
 
 
+# columns of both sides described from the tables: each part stands for one column, its numbers for digits and lengths
+_TYPED = """SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'NUMBER' WHEN 1 THEN 'VARCHAR2' ELSE 'CHAR' END AS sk, 1 + p_size % 30 AS a, p_partkey % 4 AS b,
+    CASE WHEN p_partkey % 3 = 0 THEN CASE p_partkey % 5 WHEN 0 THEN 'smallint' WHEN 1 THEN 'integer' WHEN 2 THEN 'bigint' WHEN 3 THEN 'numeric' ELSE 'text' END
+         ELSE CASE p_partkey % 5 WHEN 0 THEN 'character varying' WHEN 1 THEN 'text' WHEN 2 THEN 'integer' WHEN 3 THEN 'character varying' ELSE 'character' END END AS tk,
+    1 + p_partkey % 32 AS c, p_partkey % 3 AS d FROM part"""
+
+
+@query(f"""SELECT p_partkey, CASE WHEN sk = 'NUMBER' THEN CASE
+        WHEN tk = 'text' THEN 'incompatible' WHEN tk = 'numeric' THEN CASE WHEN a = c AND b = d THEN 'compatible_exact' WHEN c - d >= a - b AND d >= b THEN 'compatible' ELSE 'incompatible' END
+        WHEN b > 0 THEN 'incompatible' WHEN a <= CASE tk WHEN 'smallint' THEN 4 WHEN 'integer' THEN 9 ELSE 18 END THEN 'compatible' ELSE 'incompatible' END
+      WHEN tk = 'integer' THEN 'incompatible' WHEN tk = 'text' THEN 'compatible' WHEN c < a THEN 'incompatible'
+      WHEN sk = 'VARCHAR2' AND tk = 'character varying' OR sk = 'CHAR' AND tk = 'character' THEN CASE WHEN c = a THEN 'compatible_exact' ELSE 'compatible' END ELSE 'compatible' END AS status
+    FROM ({_TYPED}) WHERE NOT (sk = 'VARCHAR2' AND tk = 'character')""")
+def type_rules_derived(spark, sf):
+    """The type rules over columns described from a table: digits of numbers, lengths of texts."""
+    t = derived(spark, sf, _TYPED).where("NOT (sk = 'VARCHAR2' AND tk = 'character')")
+    number, none = F.col("sk") == "NUMBER", F.lit(None).cast("int")
+    def column(kind, size, scale, short):  # noqa: E306
+        return F.struct(F.lit("t").alias("table_name"), F.lit("c").alias("column_name"), F.lit(1).alias("ordinal"), kind.alias("data_type"), F.when(~number, size).cast("int").alias("char_length"), none.alias("data_length"), F.when(number, size).cast("int").alias("numeric_precision"), F.when(number, scale).cast("int").alias("numeric_scale"), F.lit(True).alias("nullable"), short.alias("udt_name"))
+    names = {"smallint": "int2", "integer": "int4", "bigint": "int8", "numeric": "numeric", "text": "text", "character varying": "varchar", "character": "bpchar"}
+    short = F.coalesce(*(F.when(F.col("tk") == k, v) for k, v in names.items()))
+    sized = F.col("tk").isin("numeric", "character varying", "character")
+    s = column(F.col("sk"), F.col("a"), F.col("b"), F.lit(None).cast("string"))
+    return t.select("p_partkey", assessed(s, column(F.col("tk"), F.when(sized, F.col("c")), F.when(sized, F.col("d")), short)).alias("x")).select("p_partkey", "x.status")
+
+
 @query(f"SELECT table_name, column_name, source_type, suggested_type FROM ({_DUCK_SOURCE})")
 def suggested_types(spark, sf):
     c = F.struct("*")
@@ -871,6 +905,21 @@ def sequence_match(spark, sf):
 # ---- long columns and cleaning
 
 
+_PLACE = "1 + page_id * 37 % length(html)"
+
+
+@query(f"""WITH p AS (SELECT *, {_PLACE} AS pos FROM pages WHERE page_id % 13 <> 0)
+    SELECT page_id, CAST(strlen(substr(html, 1, pos - 1)) // 512 AS INTEGER) AS segment, 'changed' AS status FROM p WHERE page_id % 3 = 0
+    UNION ALL SELECT page_id, 0, 'source only' FROM pages WHERE page_id % 13 = 0""")
+def long_value_segments(spark, sf):
+    """Where long values part: the first segment of 512 bytes that differs, of pages of which a third have one letter replaced."""
+    p = table(spark, sf, "pages").select("page_id", "html")
+    at = F.expr(_PLACE).cast("int")
+    changed = F.concat(F.substr("html", F.lit(1), at - 1), F.lit("\x01"), F.substr("html", at + 1))
+    other = p.where("page_id % 13 <> 0").withColumn("html", F.when(F.col("page_id") % 3 == 0, changed).otherwise(F.col("html")))
+    return long_columns.first_differences(p, other, ["page_id"], "html", 512).select("page_id", "segment", "status")
+
+
 def _sizes(t: str, c: str) -> str:
     return f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, CAST(coalesce(sum(strlen({c})), 0) AS BIGINT) AS total_bytes, CAST(coalesce(max(strlen({c})), 0) AS BIGINT) AS max_bytes, round(sum(strlen({c})) / count({c}), 3) AS avg_bytes FROM {t}"
 
