@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -148,3 +150,41 @@ def dependency_edges(objects: DataFrame, tables: DataFrame) -> DataFrame:
     drawn = base.where("definition IS NOT NULL AND parent_name <> ''").select(F.explode(sequence_names(F.col("definition"))).alias("_s"), F.upper("parent_name").alias("_t"), F.col("object_name").alias("_by")).distinct()
     by_use = edge(names.withColumn("_s", F.upper("object_name")).join(drawn, "_s").join(t, "_t"), "sequence use", F.concat(F.lit("drawn by "), F.col("_by")))
     return distinct_edges(owned.unionByName(used).unionByName(by_name).unionByName(by_use))
+
+
+def _settled(df: DataFrame) -> DataFrame:
+    """df without its lineage, in the folder that driver and executors share."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        place = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not place and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(place or tempfile.mkdtemp(prefix="concordat-closure-"))
+    return df.checkpoint()
+
+
+def closure(edges: DataFrame, rounds: int = 200) -> DataFrame:
+    """What each object uses, directly or through others: object, uses, depth (of the shortest way), and whether the object uses itself (cyclic).
+
+    edges: object, uses. A frontier of the pairs found last is joined with the edges, and pairs known before are left out, so each pair is
+    found once and cycles come to an end. Rows in which either is null are no edges.
+    """
+    e = _settled(edges.select("object", "uses").dropna().distinct())
+    step = e.select(F.col("object").alias("uses"), F.col("uses").alias("_next"))
+    found = frontier = e.withColumn("depth", F.lit(1))
+    for depth in range(2, rounds + 1):
+        further = frontier.join(step, "uses").select("object", F.col("_next").alias("uses")).distinct()
+        frontier = _settled(further.join(found, ["object", "uses"], "left_anti").withColumn("depth", F.lit(depth)))
+        if frontier.isEmpty():
+            break
+        found = _settled(found.unionByName(frontier)) if depth % 8 == 0 else found.unionByName(frontier)
+    else:
+        raise ValueError(f"a chain of more than {rounds} objects")
+    loops = found.where("object = uses").select("object", F.lit(True).alias("cyclic"))
+    return found.join(loops, "object", "left").select("object", "uses", "depth", F.coalesce("cyclic", F.lit(False)).alias("cyclic"))
+
+
+def in_order(objects: DataFrame, closed: DataFrame) -> DataFrame:
+    """objects (with a column `object`) with place: what is used comes before what uses it, as it uses fewer objects in all; in a cycle all have the same."""
+    uses = closed.groupBy("object").agg(F.count(F.lit(1)).alias("place"))
+    return objects.join(uses, "object", "left").withColumn("place", F.coalesce("place", F.lit(0)))

@@ -790,6 +790,16 @@ def target_types(spark, sf):
 
 # ---- objects, dependencies, sequences
 
+_CHAINED = "SELECT concat('o', p_partkey) AS object, concat('o', p_partkey DIV 2) AS uses FROM part WHERE p_partkey > 1 UNION ALL SELECT concat('o', p_partkey), concat('o', p_partkey DIV 3) FROM part WHERE p_partkey > 2 AND p_partkey % 5 = 0 UNION ALL SELECT concat('o', 1 + p_partkey % 3), concat('o', p_partkey) FROM part WHERE p_partkey = 700"
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT DISTINCT object, uses FROM ({_CHAINED.replace(' DIV ', ' // ')})), r AS (SELECT object, uses FROM e UNION SELECT r.object, e.uses FROM r JOIN e ON e.object = r.uses)
+    SELECT r.object, r.uses, r.object IN (SELECT object FROM r WHERE object = uses) AS cyclic FROM r""")
+def dependency_closure(spark, sf):
+    """What every object uses in the end, a cycle among them."""
+    return objects.closure(derived(spark, sf, _CHAINED)).select("object", "uses", "cyclic")
+
+
 _OBJECTS_S = "('VIEW','SAMPLE_VIEW','','VALID','a',1),('SEQUENCE','SAMPLE_SEQ','','VALID','b',2),('TRIGGER','TRG','SAMPLE','VALID','c',3),('VIEW','sample_view','','INVALID','d',4)) AS t(object_type,object_name,parent_name,status,details,seq)"
 _OBJECTS_T = "('view','sample_view','','VALID','e',1),('FUNCTION','sample_fn','','VALID','f',2),('TRIGGER','trg','sample','DISABLED','g',3)) AS t(object_type,object_name,parent_name,status,details,seq)"
 

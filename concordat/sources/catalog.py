@@ -112,3 +112,64 @@ def objects_of(spark: SparkSession, schema: str, source_db: str = "catalog") ->
         if f.namespace and f.namespace[-1] == schema:
             rows.append((source_db, schema, f.name, "FUNCTION", "", f.description, "VALID", f.className or "", len(rows)))
     return spark.createDataFrame(rows, "source_db string, object_schema string, object_name string, object_type string, parent_name string, definition string, status string, details string, seq long")
+
+
+def _leaves(plan) -> set[str]:
+    """The tables and views that a plan reads itself: what its own text names, not what the views among them read."""
+    found: set[str] = set()
+    stack = [plan]
+    while stack:
+        node = stack.pop()
+        name = node.nodeName()
+        if name == "View":
+            found.add(node.desc().identifier().unquotedString())
+            continue
+        table = node.catalogTable() if name.startswith(("Relation", "LogicalRelation")) else node.tableMeta() if name == "HiveTableRelation" else None
+        if table is not None:
+            table = table.get() if hasattr(table, "get") and name != "HiveTableRelation" and table.isDefined() else table if name == "HiveTableRelation" else None
+            if table is not None:
+                found.add(table.identifier().unquotedString())
+        for group in (node.children(), node.subqueries()):
+            stack += [group.apply(i) for i in range(group.size())]
+    return found
+
+
+def resolved_edges(spark: SparkSession, schema: str) -> DataFrame:
+    """object, uses of the views of a schema, as schema.name, from their analysed plans: aliases, common table expressions, texts and comments that look
+    like a table's name are none. A view that cannot be analysed, as what it reads is gone, has the tables of its text's FROM and JOIN."""
+    rows = []
+    for t in spark.catalog.listTables(schema):
+        if t.tableType != "VIEW" or t.isTemporary:
+            continue
+        me = f"{schema}.{t.name}"
+        try:
+            plan = spark.table(f"`{schema}`.`{t.name}`")._jdf.queryExecution().analyzed()
+            while plan.nodeName() != "View":
+                plan = plan.children().apply(0)
+            used = set()
+            for i in range(plan.children().size()):
+                used |= _leaves(plan.children().apply(i))
+        except Exception:
+            facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED `{schema}`.`{t.name}`").collect()}
+            used = _named(spark, facts.get("View Text") or "", schema)
+        rows += [(me, ".".join(u.split(".")[-2:])) for u in sorted(used)]
+    return spark.createDataFrame(rows, "object string, uses string")
+
+
+def _named(spark: SparkSession, text: str, schema: str) -> set[str]:
+    """Relations that a text names and nothing has resolved yet, from its parsed plan."""
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    except Exception:
+        return set()
+    found, own, stack = set(), set(), [plan]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() == "UnresolvedRelation":
+            parts = node.multipartIdentifier()
+            found.add(tuple(parts.apply(i) for i in range(parts.size())))
+        elif node.nodeName() == "UnresolvedWith":  # names that the text gives to parts of itself
+            own |= {(node.cteRelations().apply(i)._1(),) for i in range(node.cteRelations().size())}
+        for group in (node.children(), node.innerChildren(), node.subqueries()):
+            stack += [x for x in (group.apply(i) for i in range(group.size())) if hasattr(x, "nodeName")]
+    return {".".join(n if len(n) > 1 else (schema, *n)) for n in found - own}
