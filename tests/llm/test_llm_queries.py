@@ -48,3 +48,34 @@ def test_pipeline_stage_by_stage(spark, tiny):
     for name, stage in P.STAGES:
         empty = cut(stage(spark, empty, tiny), name)
         assert empty.count() == 0
+
+
+def test_pipeline_against_plain_stages(spark, tiny, tmp_path):
+    """Each stage's rows against a version in SQL over the rows that the stage before it has kept; packing against the ids of all texts in order."""
+    import corpus_pipeline as P
+
+    def sql(text, folder):
+        con = duckdb.connect()
+        con.sql(f"CREATE VIEW documents AS SELECT * FROM '{folder}/*.parquet'")
+        return con.sql(text)
+
+    folders, docs = {}, spark.read.parquet(f"{tiny}/documents.parquet")
+    for name, stage in P.STAGES[:-1]:
+        stage(spark, docs, tiny).write.parquet(f"{tmp_path}/{name}")
+        folders[name] = f"{tmp_path}/{name}"
+        docs = spark.read.parquet(folders[name])
+    texts = lambda name: {r.doc_id: r.text for r in spark.read.parquet(folders[name]).collect()}
+    lines = sql(f"SELECT doc_id, text FROM ({SQL['op5_lines']}) WHERE n_dropped = 0 OR regexp_matches(text, '\\S')", folders["quality"]).fetchall()
+    assert texts("lines") == dict(lines)
+    kept = sql(f"SELECT doc_id FROM ({SQL['op7_bottomk']}) WHERE kept", folders["lines"]).fetchall()
+    assert set(texts("near")) == {d for (d,) in kept} and texts("near").items() <= texts("lines").items()
+    mix = SQL["op4_mix"].replace("CAST(0.75 AS DOUBLE)", "CAST(0.9 AS DOUBLE)").replace("CAST(sum(tokens) * 2 AS BIGINT)", "CAST(sum(tokens) AS BIGINT)").replace("cap / 2 AS held", "cap AS held").replace("epoch < 2", "epoch < 1")
+    assert set(texts("mix")) == {d for (d,) in sql(f"SELECT DISTINCT doc_id FROM ({mix})", folders["near"]).fetchall()} and texts("mix").items() <= texts("near").items()
+    encode = packing._encode(*packing.vocabulary(RANKS[0]))
+    want = {d: [*encode([t or ""])[0], 2] for d, t in texts("mix").items()}
+    got: dict[int, dict[int, list[int]]] = {}
+    for r in P.STAGES[-1][1](spark, docs, tiny).collect():
+        ends = [*r.offsets[1:], len(r.ids)]
+        for d, piece, lo, hi in zip(r.doc_ids, r.pieces, r.offsets, ends, strict=True):
+            got.setdefault(d, {})[piece] = r.ids[lo:hi]
+    assert {d: [i for k in sorted(p) for i in p[k]] for d, p in got.items()} == want
