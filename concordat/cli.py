@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from concordat.model import LoadResult
-from concordat.operators import long_columns, objects, profile, sequences
+from concordat.operators import digest_tree, key_search, long_columns, objects, profile, sequences
+from concordat.operators.reconcile import checksum_columns
 from concordat.plans import audit, doctor, load, queryperf, repairs, reports
 from concordat.sources import catalog, config, files
 from concordat.sources.versions import VersionedTable
@@ -29,7 +30,7 @@ from concordat.streaming.ledger import Ledger
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser("concordat", description=__doc__)
-    p.add_argument("command", choices="audit validate checksum missing-keys audit-objects dependencies sequences sync resume rollback watermarks reset-watermark circuit query-perf lob simulate doctor repair history report".split())
+    p.add_argument("command", choices="audit validate checksum missing-keys audit-objects dependencies sequences sync resume rollback watermarks reset-watermark circuit query-perf lob simulate doctor repair history report changed-keys find-keys".split())
     p.add_argument("--config")
     p.add_argument("--env-file")
     p.add_argument("--tables", nargs="*")
@@ -108,6 +109,19 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "missing-keys":
         constraints = listed("constraints")
         return finish({"missing_keys": audit.missing_keys(pairs(), {s.name: objects.resolve_keys(s.name.rpartition(".")[2], s.keys, *constraints)[0] for s in wanted})})
+    if a.command == "find-keys":  # the least sets of columns that are unique in the source
+        found = [(s.name, ",".join(k)) for s in wanted for k in key_search.least_keys(side(s.name, "source"))]
+        return finish({"keys": spark.createDataFrame(found, "table_name string, key_columns string")})
+    if a.command == "changed-keys":
+        frames = []
+        for s in wanted:
+            one, two = side(s.name, "source"), side(s.name, "target")
+            keys = objects.resolve_keys(s.name.rpartition(".")[2], s.keys, *listed("constraints"), rows=one)[0]
+            apart = digest_tree.changed_keys(one, two, keys, checksum_columns(one, s.exclude))
+            frames.append(apart.select(F.lit(s.name).alias("table_name"), F.concat_ws(";", *(F.col(k).cast("string") for k in keys)).alias("key_values"), "source_rows", "target_rows", "status"))
+        out = files.union_all(frames)
+        finish({"changed_keys": out})
+        return int(not out.isEmpty())
     if a.command == "audit-objects":
         one, two = listed("objects")
         return finish({"objects": objects.compare(one, two)})
@@ -123,7 +137,7 @@ def main(argv: list[str] | None = None) -> int:
         finish({"doctor": checks})
         return int(not checks.where("status = 'FAIL'").isEmpty())
     if a.command == "repair":
-        done = repairs.repaired(spark, lambda: catalog.objects_of(spark, a.schema), repairs.refresh(spark))
+        done = repairs.repaired(spark, lambda: catalog.objects_of(spark, a.schema), repairs.refresh(spark), edges=catalog.resolved_edges(spark, a.schema))
         finish({"maintenance": done})
         return int(not done.where("outcome = 'failed'").isEmpty())
     if a.command == "history":
@@ -170,7 +184,7 @@ def main(argv: list[str] | None = None) -> int:
             for i, r in zip(left, load.run_all(spark, [loads[i] for i in left], ledger, f"{run}-{again}", a.workers, a.direction, **guards), strict=True):
                 results[i] = r
         for s in chunked:  # an append by ranges goes on where the run with this id stopped
-            n = load.append_chunks(spark, s, side(s.name, "source"), VersionedTable(spark, places[s.name]["target"]), ledger, run, s.keys[0])
+            n = load.append_chunks(spark, s, side(s.name, "source"), VersionedTable(spark, places[s.name]["target"]), ledger, run, list(s.keys))
             results.append(LoadResult(s.name, "append", "SUCCESS", rows_written=n))
         if a.execute:
             sent = [load.write_out(spark, s, side(s.name, "source"), places[s.name]["target"], ledger, run, a.direction, **places[s.name].get("target_options", {})) for s in stores]

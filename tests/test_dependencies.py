@@ -69,3 +69,18 @@ def test_closure_against_plain(spark):
         got = objects.closure(spark.createDataFrame(edges, "object string, uses string")).collect()
         assert sorted((r.object, r.uses) for r in got) == sorted((a, b) for a, bs in reach.items() for b in bs)
         assert all(r.cyclic == (r.object in reach[r.object]) for r in got)
+
+
+def test_commands_for_keys(spark, tmp_path):
+    import json
+
+    from concordat import cli
+
+    df = spark.range(40).select((F.col("id") % 8).alias("a"), F.floor(F.col("id") / 8).alias("b"), F.col("id").alias("v"))
+    df.select("a", "b", (F.col("v") % 3).alias("v")).write.parquet(str(tmp_path / "s"))
+    df.select("a", "b", F.when((F.col("a") == 3) & (F.col("b") == 2), 9).otherwise(F.col("v") % 3).alias("v")).write.parquet(str(tmp_path / "t"))
+    (tmp_path / "c.json").write_text(json.dumps({"tables": [{"name": "x", "source": str(tmp_path / "s"), "target": str(tmp_path / "t")}]}))
+    run = lambda *args: cli.main([*args, "--config", str(tmp_path / "c.json"), "--ledger", str(tmp_path / "l.db"), "--reports", str(tmp_path / "out")])
+    assert run("find-keys") == 0 and rows(spark.read.csv(str(tmp_path / "out" / "keys"), header=True), "key_columns") == [("a,b",)]
+    assert run("changed-keys") == 1
+    assert rows(spark.read.csv(str(tmp_path / "out" / "changed_keys"), header=True), "key_values", "status") == [("3;2", "changed")]
