@@ -84,6 +84,19 @@ def drop_cut(df: DataFrame) -> None:
         remove(df.sparkSession, folder)
 
 
+def written() -> list[str]:
+    """The intermediate results that are there, in order."""
+    return [path for _, path in _written]
+
+
+def drop_written(paths: list[str]) -> None:
+    """Remove intermediate results that nothing will read again."""
+    gone = set(paths)
+    for spark, path in [x for x in _written if x[1] in gone]:
+        _written.remove((spark, path))
+        remove(spark, path)
+
+
 @atexit.register
 def release() -> None:
     """Remove every intermediate result written so far."""
