@@ -199,8 +199,8 @@ def main(argv: list[str] | None = None) -> int:
         reports.alert("failed", {"run_id": run, "job": job, "direction": a.direction, "error": bad[0].message, "tables": [r.table_name for r in bad]}, set(tree.get("alerts", ["failed"])), lambda _, payload: print(json.dumps(payload), file=sys.stderr))
     else:
         ledger.cleared(job)
-    fields = "table_name string, mode string, status string, rows_read long, rows_written long, rows_failed long, checksum_status string, version string, backup string, message string, watermark string, verdict string, bytes_written long, long_bytes long, seconds double, files_rewritten long"
-    return finish({"sync_result": spark.createDataFrame([tuple(r.__dict__.values()) for r in results], fields), "events": ledger.frame(spark, "events").where(F.col("run_id") == run)})
+    fields = "table_name string, mode string, status string, rows_read long, rows_written long, rows_failed long, checksum_status string, version string, backup string, message string, watermark string, verdict string, bytes_written long, long_bytes long, seconds double, files_rewritten long, rejects string, rows_per_second double, bytes_per_second double"
+    return finish({"sync_result": spark.createDataFrame([(*r.__dict__.values(), r.rows_per_second, r.bytes_per_second) for r in results], fields), "events": ledger.frame(spark, "events").where(F.col("run_id") == run)})
 
 
 if __name__ == "__main__":

@@ -87,6 +87,7 @@ class LoadResult:
     long_bytes: int = 0
     seconds: float = 0.0
     files_rewritten: int = 0  # of the table before, by a keyed load
+    rejects: str = ""  # folder of the rows that were left out
 
     @property
     def rows_per_second(self) -> float:

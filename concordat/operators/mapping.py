@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concordat.functions.text import blank_to_space, decimal_text, sanitized
 
+FAILED = "struct<key_values:string,failures:array<struct<column_name:string,value:string,target_type:string>>,source_row:string>"
 STRATEGIES = ("error", "null", "skip", "stream", "include")
 
 
@@ -76,15 +78,28 @@ def projected(source: DataFrame, pairs: list[Pair], trim: set[str] = frozenset()
     return source.select(*((F.lit(None) if p.source is None else _cleaned(p, types, trim, reverse)).cast(p.dtype).alias(p.target) for p in pairs))
 
 
-def attempted(source: DataFrame, pairs: list[Pair], trim: set[str] = frozenset(), reverse: bool = False, mark: Column | None = None) -> DataFrame:
-    """projected(), with null for values that cannot be cast, and _failed: the first such column and value (200 characters), or null. mark: an
-    expression over the source to keep as _mark, which the target need not have."""
+def attempted(source: DataFrame, pairs: list[Pair], trim: set[str] = frozenset(), reverse: bool = False, mark: Column | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
+    """projected(), with null for values that cannot be cast, and _failed, null for rows that can be: key_values (of the source, 200 characters of each),
+    failures (every such column with its value, 200 characters, and its target type), source_row (what the target is fed of, as JSON). mark: an expression
+    over the source to keep as _mark, which the target need not have. keys: target columns."""
     types = dict(source.dtypes)
-    clean = [(p, _cleaned(p, types, trim, reverse)) for p in pairs if p.source is not None]
-    bad = [F.when(c.isNotNull() & c.try_cast(p.dtype).isNull(), F.struct(F.lit(p.target).alias("column_name"), F.substring(c.cast("string"), 1, 200).alias("value"))) for p, c in clean if types[p.source] != p.dtype and not is_long(types[p.source])]
-    none = F.lit(None).cast("struct<column_name:string,value:string>")
+    fed = [p for p in pairs if p.source is not None]
+    short = lambda c: F.substring(c.cast("string"), 1, 200)
+    bad = []
+    for p in fed:
+        if types[p.source] != p.dtype and not is_long(types[p.source]):
+            c = _cleaned(p, types, trim, reverse)
+            bad.append((c.isNotNull() & c.try_cast(p.dtype).isNull(), F.struct(F.lit(p.target).alias("column_name"), short(c).alias("value"), F.lit(p.dtype).alias("target_type"))))
+    failed = F.lit(None).cast(FAILED)
+    if bad:
+        named = {p.target.lower(): p.source for p in fed}
+        key = F.concat_ws(";", *(F.coalesce(short(F.col(named[k.lower()])), F.lit("")) for k in keys if k.lower() in named))
+        # lists are made of rows that fail only
+        failures = F.array_compact(F.array(*(F.when(b, what) for b, what in bad)))
+        row = F.to_json(F.struct(*(F.col(c) for c in dict.fromkeys(p.source for p in fed))))
+        failed = F.when(reduce(lambda a, b: a | b, (b for b, _ in bad)), F.struct(key.alias("key_values"), failures.alias("failures"), row.alias("source_row")))
     values = [(F.lit(None).cast(p.dtype) if p.source is None else _cleaned(p, types, trim, reverse).try_cast(p.dtype) if not is_long(types[p.source]) else F.col(p.source).cast(p.dtype)).alias(p.target) for p in pairs]
-    return source.select(*values, (F.coalesce(*bad, none) if bad else none).alias("_failed"), *([] if mark is None else [mark.alias("_mark")]))
+    return source.select(*values, failed.alias("_failed"), *([] if mark is None else [mark.alias("_mark")]))
 
 
 def fixed_length(df: DataFrame) -> set[str]:

@@ -24,7 +24,7 @@ from concordat.operators import chunks, incremental, mapping, upsert
 from concordat.operators.reconcile import checksum_columns
 from concordat.sources import files
 from concordat.sources.store import Store, StoreError
-from concordat.sources.versions import ConflictError, VersionedTable
+from concordat.sources.versions import REJECTED, ConflictError, VersionedTable
 from concordat.streaming.ledger import Ledger
 
 FULL = ("truncate", "truncate_safe", "swap", "swap_safe", "delete")
@@ -79,11 +79,11 @@ def incoming(spec: TableSpec, source: DataFrame, target: DataFrame, watermark: s
 def attempted(spec: TableSpec, source: DataFrame, target: DataFrame, watermark: str | None = None, reverse: bool = False) -> DataFrame:
     """incoming() with a _failed column, for rows that cannot be cast, and for incremental loads with what the watermark is taken of as _mark."""
     mark = incremental.source_expression(spec.incremental.column) if spec.incremental else None
-    return mapping.attempted(_wanted(spec, source, watermark), _pairs(spec, source, target, reverse), mapping.fixed_length(source), reverse, mark)
+    return mapping.attempted(_wanted(spec, source, watermark), _pairs(spec, source, target, reverse), mapping.fixed_length(source), reverse, mark, spec.keys)
 
 
-def _passed(tried: DataFrame, long: list[str]) -> tuple[DataFrame, Observation]:
-    """The rows of attempted() that can be cast, and what is seen of all on the way: read, failed, bytes, long_bytes, and the watermark."""
+def _counted(tried: DataFrame, long: list[str]) -> tuple[DataFrame, Observation]:
+    """The rows of attempted() without _mark, and what is seen of them on the way: read, failed, bytes, long_bytes, and the watermark."""
     seen = Observation(f"load-{uuid.uuid4().hex[:8]}")
     plain = [c for c, d in tried.dtypes if c not in ("_failed", "_mark", *long) and not mapping.is_long(d)]
 
@@ -95,7 +95,14 @@ def _passed(tried: DataFrame, long: list[str]) -> tuple[DataFrame, Observation]:
 
     marks = [F.max(F.when(F.col("_failed").isNull(), F.col("_mark"))).cast("string").alias("mark")] if "_mark" in tried.columns else []
     counted = tried.observe(seen, F.count(F.lit(1)).alias("read"), F.count("_failed").alias("failed"), size(plain).alias("bytes"), size(long).alias("long_bytes"), *marks)
-    return counted.where("_failed IS NULL").drop("_failed", "_mark"), seen
+    return counted.drop("_mark"), seen
+
+
+def _parted(counted: DataFrame) -> DataFrame:
+    """Rows with what stage_parted() parts them by; a rejected row says in which task (chunk) and at which place of it (row, from 0) it was read."""
+    place = F.monotonically_increasing_id()  # the task's number above 33 bits of place
+    told = F.struct(F.shiftright(place, 33).cast("int").alias("chunk"), place.bitwiseAND((1 << 33) - 1).alias("row"), "_failed.*")
+    return counted.withColumn(REJECTED, F.when(F.col("_failed").isNotNull(), told)).drop("_failed")
 
 
 def check(spec: TableSpec, allow_swap: bool = False, require_filter: bool = False, require_whole: bool = False) -> None:
@@ -131,7 +138,8 @@ def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: Versione
     """Load one table. A dry run plans and counts only.
 
     The increment is staged first, so its watermark, its digest and the merge all see the same rows; rows that cannot be cast are counted
-    on the way, sampled into the ledger, and fail the load unless the table's skip_failed is set. skip_matching: a full load of a table whose row
+    on the way, written beside the table by the same job (VersionedTable.rejects), sampled into the ledger, and fail the load unless the table's
+    skip_failed is set. skip_matching: a full load of a table whose row
     counts agree already is skipped. What was written is counted in the staged version. A watermark is returned, and is for the
     caller to publish once all tables of the run have succeeded.
     """
@@ -158,13 +166,13 @@ def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: Versione
     try:
         tried = attempted(spec, source, now, mark, reverse)
         values = [c for c in tried.columns if c not in ("_failed", "_mark")]
-        passed, seen = _passed(tried, [c for c, d in tried.dtypes if c in values and mapping.is_long(d)])
+        counted, seen = _counted(tried, [c for c, d in tried.dtypes if c in values and mapping.is_long(d)])
+        parted = _parted(counted)
         # an append's rows are a folder of the table, so they have all its columns
-        delta = table.stage(now.limit(0).unionByName(passed, allowMissingColumns=True) if spec.mode == "append" else passed, staged[0])
+        delta, rejects = table.stage_parted(now.limit(0).unionByName(parted, allowMissingColumns=True) if spec.mode == "append" else parted, staged[0], run_id)
         read, failed = seen.get["read"], seen.get["failed"]
         if failed:
-            keys = F.concat_ws(";", *(F.substring(F.col(k).cast("string"), 1, 200) for k in spec.keys if k in tried.columns)) if spec.keys else F.lit("")
-            sample = [r.asDict() for r in tried.where("_failed IS NOT NULL").select(keys.alias("key_values"), "_failed.*").orderBy("key_values").limit(20).collect()]
+            sample = [r.asDict() for r in rejects.select("chunk", "row", "key_values", F.explode("failures").alias("f")).select("chunk", "row", "key_values", "f.*").orderBy("key_values", "chunk", "row").limit(20).collect()]
             ledger.event(run_id, "load", "rejected", spec.name, f"{failed} rows cannot be cast", {"sample": sample})
             if not spec.skip_failed:
                 raise LoadError(f"{failed} of {read} rows cannot be cast, as {sample[0]['column_name']} = {sample[0]['value']!r}")
@@ -208,6 +216,7 @@ def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: Versione
     except Exception as e:
         for folder in staged:
             table.discard(folder)
+        table.discard_rejects(run_id)
         ledger.event(run_id, "load", "failed", spec.name, str(e)[:500])
         if isinstance(e, (LoadError, upsert.DuplicateKeyError, ConflictError)):
             return replace(result, status="FAILED", message=str(e))
@@ -215,7 +224,7 @@ def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: Versione
     took = time.monotonic() - began
     result = replace(
         result, status="SUCCESS", rows_read=read, rows_written=written + superseded, rows_failed=failed, checksum_status=status, version=run_id, backup=backup, watermark=seen.get.get("mark"), verdict=outcome,
-        bytes_written=seen.get["bytes"], long_bytes=seen.get["long_bytes"], seconds=took, files_rewritten=len(touched),
+        bytes_written=seen.get["bytes"], long_bytes=seen.get["long_bytes"], seconds=took, files_rewritten=len(touched), rejects=table.rejects_path(run_id) if failed else "",
     )
     ledger.event(run_id, "load", "success", spec.name, details={"rows": written, "verdict": outcome, "bytes": result.bytes_written, "long_bytes": result.long_bytes, "seconds": round(took, 3), "rows_per_second": round(result.rows_per_second, 1), "bytes_per_second": round(result.bytes_per_second, 1), "files_rewritten": len(touched)})
     return result
@@ -239,7 +248,8 @@ def write_out(spark: SparkSession, spec: TableSpec, source: DataFrame, target: s
     if failed and not spec.skip_failed:
         return LoadResult(spec.name, spec.mode, "FAILED", rows_failed=failed, message=f"{failed} rows cannot be cast")
     ledger.event(run_id, "load", "started", spec.name)
-    passed, seen = _passed(tried, [c for c, d in tried.dtypes if c not in ("_failed", "_mark") and mapping.is_long(d)])
+    counted, seen = _counted(tried, [c for c, d in tried.dtypes if c not in ("_failed", "_mark") and mapping.is_long(d)])
+    passed = counted.where("_failed IS NULL").drop("_failed")
     superseded = 0
     if over_jdbc:
         if spec.mode in ("upsert", "incremental_safe"):

@@ -353,6 +353,24 @@ def load_without_rejected(spark, sf):
     return _published(spark, TableSpec("orders", skip_failed=True), derived(spark, sf, _RAW), _shown(table(spark, sf, "orders")).limit(0))[0]
 
 
+_TWICE = "SELECT concat('', o_orderkey) AS o_orderkey, CASE WHEN o_orderkey % 41 = 0 THEN 'none' ELSE concat('', o_custkey) END AS o_custkey, o_orderstatus, CASE WHEN o_orderkey % 29 = 0 THEN 'n/a' ELSE concat('', CAST(o_totalprice AS DECIMAL(18,2))) END AS o_totalprice, o_orderpriority FROM orders"
+
+
+@query(f"""WITH raw AS ({_TWICE}) SELECT o_orderkey AS key_values, 'o_custkey' AS column_name, o_custkey AS value FROM raw WHERE o_custkey = 'none'
+    UNION ALL SELECT o_orderkey, 'o_totalprice', o_totalprice FROM raw WHERE o_totalprice = 'n/a'""")
+def load_rejects_published(spark, sf):
+    """Every value that an append could not cast, read back from the rejected rows of the version it made."""
+    start = _shown(table(spark, sf, "orders"))
+    t = versions.VersionedTable(spark, _place(spark, "table"))
+    t.stage(start.limit(0), "v0")
+    t.publish("v0")
+    r = load.run(spark, TableSpec("orders", keys=("o_orderkey",), mode="append", skip_failed=True), derived(spark, sf, _TWICE), t, ledger.Ledger())
+    left = t.rejects()
+    if r.status != "SUCCESS" or left.count() != r.rows_failed or t.read().count() + r.rows_failed != start.count():
+        raise load.LoadError(f"{r.status}: {r.rows_failed} of {r.rows_read} rows were left out {r.message}")
+    return left.select("key_values", F.explode("failures").alias("f")).select("key_values", "f.column_name", "f.value")
+
+
 @query(f"{_PAIR} SELECT {_OUT} FROM tgt UNION ALL SELECT {_OUT} FROM src WHERE o_orderkey % 83 = 0")
 def load_append_published(spark, sf):
     """The version after an append is the folders before and one more."""

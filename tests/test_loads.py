@@ -132,3 +132,36 @@ def test_all_events_enter_the_stream(spark, tiny, monkeypatch):
     events = queries.table(spark, tiny, "events").withColumn("value", F.col("value").cast("decimal(18,6)"))
     columns = ["event_id", "user_id", "event_type", "value"]
     assert rows(got, *columns) == rows(events, *columns)
+
+
+@pytest.mark.parametrize("mode", ["append", "upsert", "truncate"])
+def test_rejected_rows_are_written_by_the_job_that_stages_the_others(spark, tmp_path, mode):
+    source = spark.createDataFrame([("1", "x", "7"), ("2", "5", "bad"), ("3", "4", "6"), (None, "none", "no")], "id string, a string, b string").repartition(2)
+    table = VersionedTable(spark, str(tmp_path / mode))
+    table.stage(spark.createDataFrame([(3, 1, 1)], "id long, a int, b int"), "v0")
+    table.publish("v0")
+    reads = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda v: (reads.add(1), v)[1]).asNondeterministic()
+    spec = TableSpec("t", keys=("id",), mode=mode, skip_failed=True)
+    r = load.run(spark, spec, source.withColumn("b", seen("b")), table, Ledger(), "r1", validate=False)
+    assert (r.status, r.rows_read, r.rows_failed) == ("SUCCESS", 4, 3) and reads.value == 4
+    left = table.rejects()
+    assert rows(left.select("key_values", F.explode("failures").alias("f")), "key_values", "f.column_name", "f.value", "f.target_type") == [("", "a", "none", "int"), ("", "b", "no", "int"), ("1", "a", "x", "int"), ("2", "b", "bad", "int")]
+    assert left.select("chunk", "row").distinct().count() == 3 and left.where("source_row IS NULL").isEmpty()
+    kept = {"append": [(3, 1, 1), (3, 4, 6)], "upsert": [(3, 4, 6)], "truncate": [(3, 4, 6)]}[mode]
+    assert table.read().columns == ["id", "a", "b"] and rows(table.read()) == kept
+    assert r.rejects == table.rejects_path("r1") and not [n for n in table._names("") if n.startswith("_parting")]
+
+
+def test_rejects_go_with_their_version_and_with_a_load_that_fails(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.stage(spark.createDataFrame([(3,)], "id long"), "v0")
+    table.publish("v0")
+    bad = spark.createDataFrame([("x",)], "id string")
+    ledger = Ledger()
+    refused = load.run(spark, TableSpec("t", mode="append"), bad, table, ledger, "r0")
+    assert refused.status == "FAILED" and "id = 'x'" in refused.message and table._names("_rejects") == []
+    for i in range(6):
+        assert load.run(spark, TableSpec("t", mode="append", skip_failed=True), bad, table, ledger, f"r{i + 1}").status == "SUCCESS"
+    assert sorted(table._names("_rejects")) == ["v=r3", "v=r4", "v=r5", "v=r6"] and rows(table.read()) == [(3,)]
+    assert rows(table.rejects("r4"), "source_row") == [('{"id":"x"}',)]
