@@ -19,7 +19,7 @@ from concordat.functions.types import assessed, source_label, suggested_type, ta
 from concordat.model import Incremental, LoadResult, TableSpec
 from concordat.operators import chunks, digest_tree, incremental, key_search, long_columns, mapping, objects, profile, reconcile, schema_diff, sequences, upsert
 from concordat.plans import audit, load, queryperf, reports
-from concordat.sources import catalog, files, versions
+from concordat.sources import catalog, files, table_source, versions
 from concordat.streaming import ledger, upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -432,6 +432,37 @@ def load_upsert_touched_files(spark, sf):
     return place.read()
 
 
+@query("SELECT * FROM orders WHERE o_orderkey BETWEEN (SELECT min(o_orderkey) + 100 FROM orders) AND (SELECT min(o_orderkey) + 600 FROM orders)")
+def source_filter_skips_files(spark, sf):
+    """A range of keys read through the data source: of twelve files only those that can hold one are opened."""
+    table_source.register(spark)
+    o = table(spark, sf, "orders")
+    place = _filed(spark, o, ["o_orderkey"], 12)
+    place.index(["o_orderkey"])
+    low = o.agg(F.min("o_orderkey")).first()[0]
+    folder = table_source.Folder(place.path)
+    largest = max(size for _, _, size in folder.files(folder.version(None, None)))
+    read = spark.read.format("concordat").option("bundle_bytes", largest)
+    some = read.load(place.path).where(F.col("o_orderkey").between(low + 100, low + 600))
+    if some.rdd.getNumPartitions() >= read.load(place.path).rdd.getNumPartitions():
+        raise ValueError("no file was left out")
+    return some
+
+
+@query(f"{_PAIR} SELECT 'before' AS state, {_OUT} FROM tgt UNION ALL SELECT 'after' AS state, {_OUT} FROM src WHERE o_orderkey % 7 = 0 UNION ALL SELECT 'after' AS state, {_OUT} FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM src WHERE o_orderkey % 7 = 0)")
+def source_versions(spark, sf):
+    """A table before and after an upsert, both read through the data source, the one before by its time."""
+    table_source.register(spark)
+    s, t = pair(spark, sf)
+    place = _filed(spark, _shown(t), ["o_orderkey"], 4)
+    then = place.state()["at"]
+    r = load.run(spark, TableSpec("orders", keys=("o_orderkey",), mode="upsert", where="o_orderkey % 7 = 0"), _shown(s), place, ledger.Ledger())
+    if r.status != "SUCCESS":
+        raise load.LoadError(r.message)
+    read = spark.read.format("concordat")
+    return files.union_all([df.select(F.lit(name).alias("state"), "*") for name, df in (("before", read.option("as_of", repr(then)).load(place.path)), ("after", spark.read.format("concordat").load(place.path)))])
+
+
 @query("SELECT CAST(max(event_id) AS VARCHAR) AS watermark, count(*) AS rows_read FROM events WHERE event_id > 100")
 def load_renamed_watermark(spark, sf):
     """An incremental upsert by a column that the target has under another name."""
