@@ -1,5 +1,5 @@
 """Commands: audit, validate, checksum, missing-keys, audit-objects, dependencies, sequences, sync, resume, rollback, watermarks, reset-watermark,
-circuit, query-perf, lob, simulate, doctor, repair, history, report.
+circuit, query-perf, lob, simulate, doctor, repair, history, report, changed-keys, find-keys, tables, profile, discard.
 
 Settings name a schema and tables, each with `source` and `target` (a Parquet path, a catalog name or a JDBC url, with source_options and target_options
 such as dbtable). The target of a sync is a versioned folder, or a JDBC url for appends and full loads. `constraints`, `objects` and `sequences` have the
@@ -30,7 +30,7 @@ from concordat.streaming.ledger import Ledger
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser("concordat", description=__doc__)
-    p.add_argument("command", choices="audit validate checksum missing-keys audit-objects dependencies sequences sync resume rollback watermarks reset-watermark circuit query-perf lob simulate doctor repair history report changed-keys find-keys".split())
+    p.add_argument("command", choices="audit validate checksum missing-keys audit-objects dependencies sequences sync resume rollback watermarks reset-watermark circuit query-perf lob simulate doctor repair history report changed-keys find-keys tables profile discard".split())
     p.add_argument("--config")
     p.add_argument("--env-file")
     p.add_argument("--tables", nargs="*")
@@ -44,6 +44,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--require-whole", action="store_true", help="refuse tables with skip_failed")
     p.add_argument("--schema", default="default", help="catalog schema, for repair")
     p.add_argument("--skip-matching", action="store_true", help="leave out full loads whose row counts agree")
+    p.add_argument("--require-bounds", action="store_true", help="refuse increments by a column that the source's files have no bounds of")
+    p.add_argument("--guard-schema", help="roll a sync back if it breaks a view of this catalog schema")
+    p.add_argument("--hints", nargs="*", help="for profile: parts of the names of the columns to look at")
+    p.add_argument("--pattern", default="*", help="for tables")
     p.add_argument("--keep-runs", type=int, default=30)
     p.add_argument("--limit", type=int)
     p.add_argument("--execute", action="store_true", help="without it, sync only plans")
@@ -130,8 +134,33 @@ def main(argv: list[str] | None = None) -> int:
         edges = files.union_all([objects.dependency_edges(o, tables) for o in listed("objects") if o is not None])
         return finish({"dependencies": edges, "dependency_summary": objects.health(edges)})
     if a.command == "sequences":
-        state, _ = listed("sequences")
+        state, there = listed("sequences")
+        if there is not None:  # both catalogs: sequences are matched, and the largest keys are taken of the tables
+            top = lambda df, s: df.agg(F.max(F.col(s.keys[0]).cast("long"))).select(F.lit(s.name.rpartition(".")[2]).alias("table_name"), F.col("*"))
+            maxima = [top(side(s.name, "source"), s).toDF("table_name", "source_table_max").join(top(side(s.name, "target"), s).toDF("table_name", "target_table_max"), "table_name") for s in wanted if s.keys]
+            none = spark.createDataFrame([], "table_name string, source_table_max long, target_table_max long")
+            state = sequences.scanned(there, state, files.union_all([none, *maxima]))
         return finish({"sequences": sequences.planned(state)})
+    if a.command == "tables":
+        catalog.list_tables(spark, a.schema, a.pattern).show(1000, False)
+        return 0
+    if a.command == "profile":
+        frames = []
+        for s in wanted:
+            df = side(s.name, "source")
+            listed_columns = catalog.columns_of({s.name: df}, spark)
+            names = [r["column_name"] for r in (profile.hinted(listed_columns, tuple(a.hints)) if a.hints else listed_columns).orderBy("ordinal").collect()]
+            if names:
+                order = {n.lower(): i for i, n in enumerate(names)}
+                place = F.array_position(F.array(*map(F.lit, order)), F.lower("column_name")).cast("int")
+                frames.append(profile.profile(df, names).withColumn("table_name", F.lit(s.name)).withColumn("ordinal", place))
+        if not frames:
+            return finish({})
+        found = files.union_all(frames)
+        return finish({"profile": found, "key_candidates": profile.key_candidates(found), "watermark_candidates": profile.watermark_candidates(found)})
+    if a.command == "discard":  # what the run --run-id has staged and not published
+        gone = [(s.name, v) for s in wanted for v in VersionedTable(spark, places[s.name]["target"]).discard_run(run)]
+        return finish({"discarded": spark.createDataFrame(gone, "table_name string, folder string")})
     if a.command == "doctor":
         checks = doctor.examined(spark, wanted, side, ledger, constraints=listed("constraints"), allow_swap=a.allow_swap)
         finish({"doctor": checks})
@@ -174,7 +203,13 @@ def main(argv: list[str] | None = None) -> int:
         stores = [s for s in wanted if places[s.name]["target"].startswith("jdbc:")]
         chunked = [s for s in wanted if s not in stores and a.command == "resume"]
         loads = [(s, side(s.name, "source"), VersionedTable(spark, places[s.name]["target"])) for s in wanted if s not in stores and s not in chunked]
-        guards = {"execute": a.execute, "allow_swap": a.allow_swap, "skip_matching": a.skip_matching, "require_unique_target": a.require_unique_target, "require_whole": a.require_whole}
+        guards = {"execute": a.execute, "allow_swap": a.allow_swap, "skip_matching": a.skip_matching, "require_unique_target": a.require_unique_target, "require_whole": a.require_whole, "require_bounds": a.require_bounds}
+        if a.guard_schema and a.execute:
+            def scan() -> DataFrame:
+                return catalog.objects_of(spark, a.guard_schema)
+
+            edges = catalog.resolved_edges(spark, a.guard_schema)
+            guards["guarded"] = load.guard(spark, scan, edges, [s.name for s in wanted], lambda: repairs.repaired(spark, scan, repairs.refresh(spark), edges=edges))
         results = load.run_all(spark, loads, ledger, run, a.workers, a.direction, **guards)
         for again in range(1, a.retries + 1):
             left = [i for i, r in enumerate(results) if r.status == "FAILED"]
@@ -194,11 +229,14 @@ def main(argv: list[str] | None = None) -> int:
                     if r.watermark is not None:
                         ledger.set_watermark(a.direction, s.name, s.incremental.strategy, s.incremental.column, r.watermark)
     bad = [r for r in results if r.status == "FAILED"]
+    doubtful = [r for r in results if r.verdict == "WARN" or r.rows_failed]
+    event, about = ("failed", bad) if bad else ("warning", doubtful) if doubtful else ("success", results)
     if bad:
         ledger.failed(job, 30, bad[0].message)
-        reports.alert("failed", {"run_id": run, "job": job, "direction": a.direction, "error": bad[0].message, "tables": [r.table_name for r in bad]}, set(tree.get("alerts", ["failed"])), lambda _, payload: print(json.dumps(payload), file=sys.stderr))
     else:
         ledger.cleared(job)
+    payload = {"run_id": run, "job": job, "direction": a.direction, "error": bad[0].message if bad else "", "tables": [r.table_name for r in about], "rows_written": sum(r.rows_written for r in results), "rows_failed": sum(r.rows_failed for r in results)}
+    reports.alert(event, payload, set(tree.get("alerts", ["failed"])), lambda kind, what: print(json.dumps({"event": kind} | what), file=sys.stderr))
     fields = "table_name string, mode string, status string, rows_read long, rows_written long, rows_failed long, checksum_status string, version string, backup string, message string, watermark string, verdict string, bytes_written long, long_bytes long, seconds double, files_rewritten long, rejects string, rows_per_second double, bytes_per_second double"
     return finish({"sync_result": spark.createDataFrame([(*r.__dict__.values(), r.rows_per_second, r.bytes_per_second) for r in results], fields), "events": ledger.frame(spark, "events").where(F.col("run_id") == run)})
 

@@ -188,3 +188,18 @@ def in_order(objects: DataFrame, closed: DataFrame) -> DataFrame:
     """objects (with a column `object`) with place: what is used comes before what uses it, as it uses fewer objects in all; in a cycle all have the same."""
     uses = closed.groupBy("object").agg(F.count(F.lit(1)).alias("place"))
     return objects.join(uses, "object", "left").withColumn("place", F.coalesce("place", F.lit(0)))
+
+
+def newly_broken(before: DataFrame, after: DataFrame, edges: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Dependents of loaded tables that are broken and were not before: object, table_name, depth, and details of now.
+
+    before, after: object_schema, object_name, object_type, status, details, one row an object. edges: object, uses, by schema.name, as they were before the
+    load, since a broken object may have lost its edges. loaded: table_name. Names meet in lower case; an object that is new and broken
+    counts, one that is gone does not. A dependent of several loaded tables has a row for each.
+    """
+    low = edges.select(F.lower("object").alias("object"), F.lower("uses").alias("uses"))
+    name = F.lower(F.concat_ws(".", "object_schema", "object_name")).alias("object")
+    bad = lambda df: df.where(is_broken(df)).select(name, *(["details"] if df is after else [])).dropDuplicates(["object"])
+    fresh = bad(after).join(bad(before), "object", "left_anti")
+    tables = loaded.select(F.lower("table_name").alias("uses"), "table_name").dropDuplicates(["uses"])
+    return closure(low).join(tables, "uses").join(fresh, "object").select("object", "table_name", "depth", "details")

@@ -52,6 +52,14 @@ def matched(candidates: DataFrame, sequences: DataFrame) -> DataFrame:
     return done.select(*candidates.columns, "source_sequence", "source_last", F.lit("exact").alias("match")).unionByName(loose)
 
 
+def scanned(target: DataFrame, source: DataFrame, maxima: DataFrame) -> DataFrame:
+    """The rows that planned() takes, of both catalogs and the tables. target: table_name, target_sequence, target_last, target_is_called, increment, max_value;
+    source: name, source_last; maxima: table_name, source_table_max, target_table_max. A sequence without a partner has the status SKIPPED."""
+    found = matched(target.select("table_name", "target_sequence").distinct(), source).select("table_name", "target_sequence", "source_sequence", "source_last", "match")
+    rows = target.dropDuplicates(["table_name", "target_sequence"]).join(found, ["table_name", "target_sequence"], "left").join(maxima, "table_name", "left")
+    return rows.withColumn("buffer", F.lit(0).cast("long")).withColumn("status", F.when(F.col("source_sequence").isNull(), "SKIPPED").otherwise(""))
+
+
 def current_next() -> Column:
     """The value that the target's sequence gives next."""
     return F.when(F.col("target_is_called"), F.col("target_last") + F.col("increment")).otherwise(F.col("target_last"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from concordat.model import TableSpec
 from concordat.operators.objects import NoKeyError, health, resolve_keys
 from concordat.plans.load import KEYED, LoadError, check
+from concordat.sources.catalog import is_bounded
 from concordat.streaming.ledger import Ledger
 
 
@@ -44,6 +45,14 @@ def examined(spark: SparkSession, specs: list[TableSpec], side: Callable[[str, s
         there = [tried(f"{spec.name}: {which}", lambda w=which: f"{len(columns(w))} columns") for which in ("source", "target")]
         if all(there):
             tried(f"{spec.name}: keys", keys, "FAIL" if spec.mode in KEYED else "WARN")
+        if there[0] and spec.incremental:
+            def bounds(spec: TableSpec = spec) -> str:
+                column = spec.incremental.column.strip()
+                if is_bounded(side(spec.name, "source"), column) is False:
+                    raise LoadError(f"files have no bounds of {column}: each increment scans them all")
+                return f"{column} is bounded in files"
+
+            tried(f"{spec.name}: watermark", bounds, "WARN")
     if ledger:
         def work() -> str:
             ledger.start_run("doctor")

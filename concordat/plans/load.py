@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
@@ -20,9 +21,10 @@ from pyspark.sql import types as T
 
 from concordat.functions.canon import table_digest
 from concordat.model import LoadResult, TableSpec
-from concordat.operators import chunks, incremental, mapping, upsert
+from concordat.operators import chunks, incremental, mapping, objects, upsert
 from concordat.operators.reconcile import checksum_columns
 from concordat.sources import files
+from concordat.sources.catalog import is_bounded
 from concordat.sources.store import Store, StoreError
 from concordat.sources.versions import REJECTED, ConflictError, VersionedTable
 from concordat.streaming.ledger import Ledger
@@ -134,7 +136,7 @@ def next_version(spec: TableSpec, now: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert.upserted(now, rows, list(spec.keys), on_duplicate=spec.on_duplicate, order=[F.col(c) for c in spec.order_by])
 
 
-def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: VersionedTable, ledger: Ledger, run_id: str | None = None, execute: bool = True, validate: bool = True, direction: str = "forward", skip_matching: bool = False, require_unique_target: bool = False, **guards: bool) -> LoadResult:
+def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: VersionedTable, ledger: Ledger, run_id: str | None = None, execute: bool = True, validate: bool = True, direction: str = "forward", skip_matching: bool = False, require_unique_target: bool = False, require_bounds: bool = False, **guards: bool) -> LoadResult:
     """Load one table. A dry run plans and counts only.
 
     The increment is staged first, so its watermark, its digest and the merge all see the same rows; rows that cannot be cast are counted
@@ -151,6 +153,8 @@ def run(spark: SparkSession, spec: TableSpec, source: DataFrame, table: Versione
     if now is None:
         raise LoadError(f"{spec.name}: the target does not exist")
     check(spec, **guards)
+    if require_bounds and spec.incremental and is_bounded(source, spec.incremental.column.strip()) is False:
+        raise LoadError(f"{spec.name}: the source's files have no bounds of {spec.incremental.column}, so each increment would scan them all")
     if require_unique_target and spec.mode in KEYED and not upsert.is_unique(now, list(spec.keys)):
         raise LoadError(f"{spec.name}: the target repeats a key of {', '.join(spec.keys)}")
     mark = ledger.watermark(direction, spec.name, spec.incremental.strategy, spec.incremental.column) if spec.incremental else None
@@ -379,8 +383,32 @@ def append_chunks(spark: SparkSession, spec: TableSpec, source: DataFrame, table
     return table.read().count()
 
 
-def run_all(spark: SparkSession, loads: list[tuple[TableSpec, DataFrame, VersionedTable]], ledger: Ledger, run_id: str, workers: int = 4, direction: str = "forward", **options) -> list[LoadResult]:
-    """Load several tables at once, results in the order asked for. Watermarks move only if every table succeeded."""
+def guard(spark: SparkSession, scan: Callable[[], DataFrame], edges: DataFrame, tables: list[str], mend: Callable[[], object] | None = None) -> Callable[[], str]:
+    """What run_all() asks before it accepts a run: names of the dependents of `tables` that the run has broken, or nothing.
+
+    scan gives the objects as they are, as objects.newly_broken() takes them; it is called now and after the loads. edges (object, uses) are read now. mend is tried
+    before a dependent counts as broken, as a view may only need what is cached of it to be read again. Objects of a catalog are few.
+    """
+    kept = lambda df: spark.createDataFrame(df.collect(), df.schema)
+    before, uses = kept(scan().select("object_schema", "object_name", "object_type", "status", "details")), kept(edges.select("object", "uses"))
+    loaded = spark.createDataFrame([(t,) for t in tables], "table_name string")
+
+    def broken() -> str:
+        found = objects.newly_broken(before, scan(), uses, loaded).select("object", "details").distinct().orderBy("object").limit(20).collect()
+        return "; ".join(f"{r['object']}: {r['details']}" for r in found)
+
+    def asked() -> str:
+        if (found := broken()) and mend:
+            mend()
+            found = broken()
+        return found
+
+    return asked
+
+
+def run_all(spark: SparkSession, loads: list[tuple[TableSpec, DataFrame, VersionedTable]], ledger: Ledger, run_id: str, workers: int = 4, direction: str = "forward", guarded: Callable[[], str] | None = None, **options) -> list[LoadResult]:
+    """Load several tables at once, results in the order asked for. Watermarks move only if every table succeeded, and nothing is told against the
+    run by `guarded` (see guard()), which else is rolled back as a whole."""
     ledger.start_run(run_id, direction)
 
     def one(item: tuple[TableSpec, DataFrame, VersionedTable]) -> LoadResult:
@@ -393,6 +421,10 @@ def run_all(spark: SparkSession, loads: list[tuple[TableSpec, DataFrame, Version
     with ThreadPoolExecutor(workers) as pool:
         results = list(pool.map(one, loads))
     good = all(r.status in ("SUCCESS", "DRY_RUN", "SKIPPED") for r in results)
+    if good and guarded and any(r.status == "SUCCESS" for r in results) and (told := guarded()):
+        good, undone = False, roll_back(spark, ledger, run_id)
+        ledger.event(run_id, "dependents", "failed", message=told[:500], details={"undone": [a["table_name"] for a in undone if a["status"] == "SUCCESS"]})
+        results = [replace(r, status="FAILED", message=f"rolled back, as dependents broke: {told[:500]}") if r.status == "SUCCESS" else r for r in results]
     if good:
         for (spec, _, _), r in zip(loads, results, strict=True):
             if r.watermark is not None:

@@ -1232,6 +1232,33 @@ def dependency_union(spark, sf):
     return files.union_all([derived(spark, sf, q).withColumn("phase", F.lit(p)) for p, q in zip(("pre", "pre", "post"), _PARTS, strict=True)])
 
 
+_USES = "SELECT concat('db.V', s_suppkey) AS object, concat('db.v', CAST(floor(s_suppkey / 3) AS BIGINT)) AS uses FROM supplier WHERE s_suppkey >= 3"
+_STATES = "SELECT 'db' AS object_schema, concat('v', s_suppkey) AS object_name, 'VIEW' AS object_type, CASE WHEN s_suppkey % 7 = 0 THEN 'INVALID' ELSE 'VALID' END AS status, '' AS details FROM supplier"
+_STATES_AFTER = _STATES.replace("s_suppkey % 7 = 0", "s_suppkey % 7 = 0 OR s_suppkey % 5 = 0")
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT lower(object) AS object, lower(uses) AS uses FROM ({_USES})), c AS (SELECT object, uses, 1 AS depth FROM e UNION ALL SELECT c.object, e.uses, depth + 1 FROM c JOIN e ON c.uses = e.object),
+    b AS (SELECT concat(object_schema, '.', object_name) AS object FROM ({_STATES_AFTER}) WHERE status = 'INVALID' EXCEPT SELECT concat(object_schema, '.', object_name) FROM ({_STATES}) WHERE status = 'INVALID')
+    SELECT object, uses AS table_name, min(depth) AS depth FROM c JOIN b USING (object) WHERE uses IN ('db.v1', 'db.v2') GROUP BY 1, 2""")
+def dependents_newly_broken(spark, sf):
+    """Views on views, two of which were loaded: those that are broken now and were not before, with their distance."""
+    loaded = derived(spark, sf, "SELECT concat('db.v', s_suppkey) AS table_name FROM supplier WHERE s_suppkey IN (1, 2)")
+    return objects.newly_broken(derived(spark, sf, _STATES), derived(spark, sf, _STATES_AFTER), derived(spark, sf, _USES), loaded).select("object", "table_name", "depth")
+
+
+@query(f"""WITH t AS ({_WANTED}), s AS (SELECT upper(name) AS name, source_last FROM ({_DRAWN})), m AS (SELECT t.*, s.name, s.source_last, s.name = upper(target_sequence) AS equal FROM t JOIN s ON s.name = upper(target_sequence) OR contains(s.name, upper(table_name))),
+    h AS (SELECT table_name, target_sequence, max(CASE WHEN equal THEN source_last END) AS e, min(source_last) AS l, count(*) AS n FROM m GROUP BY 1, 2),
+    o AS (SELECT concat('tab', l_suppkey) AS table_name, max(l_orderkey) AS top FROM lineitem GROUP BY 1),
+    r AS (SELECT t.table_name, target_sequence, coalesce(e, CASE WHEN n = 1 THEN l END) AS source_last, top FROM t LEFT JOIN h USING (table_name, target_sequence) LEFT JOIN o USING (table_name))
+    SELECT table_name, target_sequence, CASE WHEN source_last IS NULL THEN NULL ELSE greatest(source_last, 11, top + 1) END AS set_to, CASE WHEN source_last IS NULL THEN 'SKIPPED' WHEN 11 < greatest(source_last, 11, top + 1) THEN 'NEEDS_SET' WHEN 11 > coalesce(top, source_last) THEN 'TARGET_AHEAD' ELSE 'ALIGNED' END AS compare_status FROM r""")
+def sequence_scan_planned(spark, sf):
+    """Sequences of both sides matched by name, with the largest keys of the tables they belong to, and what each has to be set to."""
+    target = derived(spark, sf, _WANTED).withColumns({"target_last": F.lit(10).cast("long"), "target_is_called": F.lit(True), "increment": F.lit(1).cast("long"), "max_value": F.lit(2**62)})
+    top = table(spark, sf, "lineitem").groupBy(F.concat(F.lit("tab"), F.col("l_suppkey").cast("string")).alias("table_name")).agg(F.max("l_orderkey").cast("long").alias("source_table_max"))
+    planned = sequences.planned(sequences.scanned(target, derived(spark, sf, _DRAWN), top.withColumn("target_table_max", F.lit(None).cast("long"))))
+    return planned.select("table_name", "target_sequence", F.when(F.col("compare_status") != "SKIPPED", F.col("set_to")).alias("set_to"), "compare_status")
+
+
 @query("SELECT r_name, string_agg(n_name, ',' ORDER BY n_name) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
 def ordered_text_aggregate(spark, sf):
     n, r = table(spark, sf, "nation"), table(spark, sf, "region")

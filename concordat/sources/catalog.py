@@ -86,11 +86,20 @@ def size_bytes(spark: SparkSession, path: str) -> int:
 
 def has_statistics(path: str, column: str) -> bool:
     """Whether a Parquet file's row groups have bounds of a column: what an index is to a store, they are to a scan."""
+    import pyarrow.fs
     import pyarrow.parquet as pq
 
-    meta = pq.ParquetFile(path).metadata
-    at = meta.schema.names.index(column)
-    return all(meta.row_group(i).column(at).is_stats_set for i in range(meta.num_row_groups))
+    fs, at = pyarrow.fs.FileSystem.from_uri(path) if ":" in path else (pyarrow.fs.LocalFileSystem(), path)
+    with fs.open_input_file(at) as stream:
+        meta = pq.ParquetFile(stream).metadata
+        found = [c for i in range(meta.num_row_groups) for c in map(meta.row_group(i).column, range(meta.num_columns)) if c.path_in_schema.lower() == column.lower()]
+        return len(found) == meta.num_row_groups and all(c.is_stats_set and c.statistics.has_min_max for c in found)
+
+
+def is_bounded(df: DataFrame, column: str) -> bool | None:
+    """has_statistics() of the first of the files that a frame reads; None where it reads none, as over JDBC."""
+    files = [f for f in df.inputFiles() if f.endswith(".parquet")]
+    return has_statistics(min(files), column) if files else None
 
 
 def objects_of(spark: SparkSession, schema: str, source_db: str = "catalog") -> DataFrame:

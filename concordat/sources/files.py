@@ -12,6 +12,8 @@ from typing import Any, TypeVar
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from concordat.sources import catalog
+
 Result = TypeVar("Result")
 
 # Parts of messages of connections that may work a moment later.
@@ -40,6 +42,9 @@ def read(spark: SparkSession, source: str, columns: list[str] | None = None, whe
     elif "/" in source:
         df = spark.read.options(**options).parquet(source)
     else:
+        schema, _, name = source.rpartition(".")
+        if schema and "." not in schema and not spark.catalog.tableExists(source):
+            source = f"{schema}.{catalog.resolve(spark, schema, name) or name}"  # as the catalog spells it
         df = spark.table(source)
     if where:
         df = df.where(F.expr(where))
