@@ -124,11 +124,12 @@ def kd_tree(meta: DataFrame, dims: list[str], weight: str, leaves: int = 0, targ
     return tree, whole["n"]
 
 
-def metadata(docs: DataFrame, numbers: list[str], names: list[str]) -> tuple[DataFrame, list[str]]:
+def metadata(docs: DataFrame, numbers: list[str], names: list[str], whole: bool = False) -> tuple[DataFrame, list[str]]:
     """The narrow table that the tree is grown on: doc_id, size, text_crc32, row, and a double for each dimension.
 
     Numbers are taken as they are (null: -1), names as a hash. Each row gets a fraction of its own below one, so that ties,
-    even a third of all rows with one value, have an order to be split in. Copies of a row differ by their row number.
+    even a third of all rows with one value, have an order to be split in. Copies of a row differ by their row number. whole: keep the
+    document as a struct, `doc`.
     """
     empty = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select(
@@ -138,6 +139,7 @@ def metadata(docs: DataFrame, numbers: list[str], names: list[str]) -> tuple[Dat
         *(F.coalesce(F.floor(F.col(c).cast("double")), F.lit(-1.0)).cast("double").alias(f"d_{c}") for c in numbers),
         *(F.pmod(F.xxhash64(F.col(c)), F.lit(1 << 20)).cast("double").alias(f"d_{c}") for c in names),
         F.monotonically_increasing_id().alias("row"),
+        *([F.struct("*").alias("doc")] if whole else []),
     )
     dims = [f"d_{c}" for c in [*numbers, *names]]
     fraction = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(1 << 16)) / (1 << 16) + F.pmod(F.xxhash64("row"), F.lit(1 << 12)) / (1 << 28)
@@ -158,6 +160,19 @@ def kd_shards(docs: DataFrame, shards: int = 0, target_bytes: int = 0, numbers:
     return ranked.select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:
-    """Write documents in one folder for each shard. docs must have unique doc_id."""
-    docs.join(placed.select("doc_id", "shard"), "doc_id").repartition("shard", F.pmod(F.xxhash64("doc_id"), F.lit(16))).write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, shards: int = 0, target_bytes: int = 0, numbers: tuple[str, ...] = ("n_chars", "doc_id"), names: tuple[str, ...] = ("source", "lang"), salts: int = 16) -> str:
+    """Write documents, each once, in one folder for each leaf of their tree, in up to `salts` files; returns the name of the folders' column.
+
+    The tree is grown on the narrow metadata and then applied to the documents as an expression, so no row is looked up by its id: rows that repeat a doc_id, copies
+    and rows without a doc_id all stand. The folders' column is `shard`, with underscores before it where documents have a column of that
+    name. An empty table writes no folder.
+    """
+    narrow, dims = metadata(docs, list(numbers), list(names))
+    tree, _ = kd_tree(cut(narrow, "shards-meta"), dims, "size", shards, target_bytes)
+    column, taken = "shard", {c.lower() for c in docs.columns}
+    while column in taken:
+        column = f"_{column}"
+    placed = metadata(docs, list(numbers), list(names), whole=True)[0].withColumn("_leaf", tree.leaf())
+    spread = placed.repartition("_leaf", F.pmod(F.xxhash64("row"), F.lit(salts)))
+    spread.select("doc.*", F.col("_leaf").alias(column)).write.partitionBy(column).parquet(path)
+    return column

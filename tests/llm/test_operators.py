@@ -132,6 +132,17 @@ def test_shards_of_little(spark):
     assert len(rows(sharding.kd_shards(null, shards=2))) == 3
 
 
+def test_shards_are_written_with_every_row_once(spark, tmp_path):
+    df = docs(spark, *(f"text {i % 7} " * (i % 50) for i in range(300)))
+    df = df.unionByName(df.where("doc_id < 30")).unionByName(df.where("doc_id < 20").withColumn("doc_id", F.lit(None).cast("long"))).withColumn("Shard", F.lit("mine")).withColumn("row", F.col("text"))
+    assert sharding.write_shards(df, str(tmp_path / "out"), shards=6) == "_shard"
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(str, back.select(*df.columns).collect())) == sorted(map(str, df.collect()))
+    sizes = [r[1] for r in back.groupBy("_shard").agg(F.sum(F.octet_length("text") + 16)).orderBy("_shard").collect()]
+    assert len(sizes) == 6 and max(sizes) < 2 * min(sizes)
+    assert sharding.write_shards(df.limit(0).drop("Shard"), str(tmp_path / "none"), shards=6) == "shard"
+
+
 # ---- 3
 
 
