@@ -1233,17 +1233,17 @@ def dependency_union(spark, sf):
 
 
 _USES = "SELECT concat('db.V', s_suppkey) AS object, concat('db.v', CAST(floor(s_suppkey / 3) AS BIGINT)) AS uses FROM supplier WHERE s_suppkey >= 3"
-_STATES = "SELECT 'db' AS object_schema, concat('v', s_suppkey) AS object_name, 'VIEW' AS object_type, CASE WHEN s_suppkey % 7 = 0 THEN 'INVALID' ELSE 'VALID' END AS status, '' AS details FROM supplier"
-_STATES_AFTER = _STATES.replace("s_suppkey % 7 = 0", "s_suppkey % 7 = 0 OR s_suppkey % 5 = 0")
+_HEALTH = "SELECT 'db' AS object_schema, concat('v', s_suppkey) AS object_name, 'VIEW' AS object_type, CASE WHEN s_suppkey % 7 = 0 THEN 'INVALID' ELSE 'VALID' END AS status, '' AS details FROM supplier"
+_HEALTH_AFTER = _HEALTH.replace("s_suppkey % 7 = 0", "s_suppkey % 7 = 0 OR s_suppkey % 5 = 0")
 
 
 @query(f"""WITH RECURSIVE e AS (SELECT lower(object) AS object, lower(uses) AS uses FROM ({_USES})), c AS (SELECT object, uses, 1 AS depth FROM e UNION ALL SELECT c.object, e.uses, depth + 1 FROM c JOIN e ON c.uses = e.object),
-    b AS (SELECT concat(object_schema, '.', object_name) AS object FROM ({_STATES_AFTER}) WHERE status = 'INVALID' EXCEPT SELECT concat(object_schema, '.', object_name) FROM ({_STATES}) WHERE status = 'INVALID')
+    b AS (SELECT concat(object_schema, '.', object_name) AS object FROM ({_HEALTH_AFTER}) WHERE status = 'INVALID' EXCEPT SELECT concat(object_schema, '.', object_name) FROM ({_HEALTH}) WHERE status = 'INVALID')
     SELECT object, uses AS table_name, min(depth) AS depth FROM c JOIN b USING (object) WHERE uses IN ('db.v1', 'db.v2') GROUP BY 1, 2""")
 def dependents_newly_broken(spark, sf):
     """Views on views, two of which were loaded: those that are broken now and were not before, with their distance."""
     loaded = derived(spark, sf, "SELECT concat('db.v', s_suppkey) AS table_name FROM supplier WHERE s_suppkey IN (1, 2)")
-    return objects.newly_broken(derived(spark, sf, _STATES), derived(spark, sf, _STATES_AFTER), derived(spark, sf, _USES), loaded).select("object", "table_name", "depth")
+    return objects.newly_broken(derived(spark, sf, _HEALTH), derived(spark, sf, _HEALTH_AFTER), derived(spark, sf, _USES), loaded).select("object", "table_name", "depth")
 
 
 @query(f"""WITH t AS ({_WANTED}), s AS (SELECT upper(name) AS name, source_last FROM ({_DRAWN})), m AS (SELECT t.*, s.name, s.source_last, s.name = upper(target_sequence) AS equal FROM t JOIN s ON s.name = upper(target_sequence) OR contains(s.name, upper(table_name))),

@@ -1,6 +1,8 @@
 """Every registered query against its SQL, over whole small tables."""
 
+import ast
 import decimal
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -33,6 +35,12 @@ def test_same_as_sql(spark, duck, tiny, name):
     assert ours == sorted(repr(tuple(map(plain, r))) for r in theirs)
 
 
+def test_names_are_given_once():
+    """A query reads its text when it runs: a name given again further down would change it, but not its SQL."""
+    given = [n for x in ast.parse(Path(Q.__file__).read_text()).body for n in ([x.name] if isinstance(x, ast.FunctionDef) else [t.id for t in x.targets] if isinstance(x, ast.Assign) else [])]
+    assert [n for n in set(given) if given.count(n) > 1] == []
+
+
 def test_one_shuffle_for_a_key_diff(spark, tiny):
     from concordat.operators.reconcile import key_balance
 
