@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -153,23 +154,53 @@ def dependency_edges(objects: DataFrame, tables: DataFrame) -> DataFrame:
 
 
 def _settled(df: DataFrame) -> DataFrame:
-    """df without its lineage, in the folder that driver and executors share."""
-    context = df.sparkSession.sparkContext
+    """df without its lineage, as Parquet in the folder that driver and executors share; it goes when the application ends."""
+    spark, context = df.sparkSession, df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        place = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        place = spark.conf.get("spark.checkpoint.dir", None)
         if not place and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(place or tempfile.mkdtemp(prefix="concordat-closure-"))
-    return df.checkpoint()
+    where = context._jvm.org.apache.hadoop.fs.Path(f"{context.getCheckpointDir()}/closure-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(where.toString())
+    where.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(where.toString())
 
 
-def closure(edges: DataFrame, rounds: int = 200) -> DataFrame:
+def closure(edges: DataFrame, rounds: int = 200, few: int = 20_000) -> DataFrame:
     """What each object uses, directly or through others: object, uses, depth (of the shortest way), and whether the object uses itself (cyclic).
 
-    edges: object, uses. A frontier of the pairs found last is joined with the edges, and pairs known before are left out, so each pair is
-    found once and cycles come to an end. Rows in which either is null are no edges.
+    edges: object, uses. Rows in which either is null are no edges. Objects that no other uses are taken off, layer by layer, while more than `few` edges are left and a
+    layer holds at least a quarter of them. What is left holds all cycles and all that it uses itself; it is closed by rounds. Then the layers
+    come back, the last first: what an object uses is closed by then, so one join with its uses gives all its pairs, and no pair meets all pairs found before.
     """
-    e = _settled(edges.select("object", "uses").dropna().distinct())
+    e = edges.select("object", "uses").dropna().distinct()
+    rest = _settled(e.join(e.groupBy("object").agg((F.count(F.lit(1)) == 1).alias("_only")), "object"))
+    layers, left = [], rest.count()
+    while left > few:
+        users = rest.select(F.col("uses").alias("object"), F.lit(True).alias("_used")).distinct()
+        parted = _settled(rest.join(users, "object", "left"))
+        more = parted.where("_used").count()
+        if more > 0.75 * left:
+            break
+        layers.append(parted.where("_used IS NULL").drop("_used"))
+        rest, left = parted.where("_used").drop("_used"), more
+    found = _closed(rest.select("object", "uses"), rounds)
+    found = _settled(found) if layers else found
+    for layer in reversed(layers):
+        below = found.select(F.col("object").alias("uses"), F.col("uses").alias("_next"), "depth").where("uses <> _next")
+        pairs = layer.join(below, "uses").select("object", F.col("_next").alias("uses"), F.col("depth") + 1, "_only")
+        pairs = layer.select("object", "uses", F.lit(1).alias("depth"), "_only").union(pairs)
+        # an object with one use gets each pair once
+        once = pairs.where("_only").drop("_only").union(pairs.where("NOT _only").groupBy("object", "uses").agg(F.min("depth")))
+        once = once.withColumn("cyclic", F.lit(False))
+        found = found.union(once if layer is layers[0] else _settled(once))
+    return found
+
+
+def _closed(e: DataFrame, rounds: int) -> DataFrame:
+    """closure() of distinct edges. A frontier of the pairs found last is joined with the edges, and pairs known before are left out, so each pair is
+    found once and cycles come to an end."""
     step = e.select(F.col("object").alias("uses"), F.col("uses").alias("_next"))
     found = frontier = e.withColumn("depth", F.lit(1))
     for depth in range(2, rounds + 1):

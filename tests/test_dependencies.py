@@ -71,6 +71,27 @@ def test_closure_against_plain(spark):
         assert all(r.cyclic == (r.object in reach[r.object]) for r in got)
 
 
+def test_closure_by_layers(spark, monkeypatch):
+    """Rounds over all pairs found are left for what stands on cycles or below them; the rest takes one join a layer, with the depths of the shortest ways."""
+    closed = []
+    monkeypatch.setattr(objects, "_closed", lambda e, rounds, real=objects._closed: closed.append(e.count()) or real(e, rounds))
+    tree = [(f"o{i}", f"o{i // 2}") for i in range(2, 60)] + [(f"o{i}", f"o{i // 3}") for i in range(5, 60, 5)]
+    for edges, most in ((tree, 0), ([*tree, ("o2", "o29"), ("o40", "o40")], 30)):
+        uses = {}
+        for a, b in edges:
+            uses.setdefault(a, set()).add(b)
+        want = set()
+        for a in uses:
+            depth, ring, seen = 1, uses[a], {}
+            while ring:
+                seen |= dict.fromkeys(ring, depth)
+                depth, ring = depth + 1, {c for b in ring for c in uses.get(b, ())} - set(seen)
+            want |= {(a, b, d, a in seen) for b, d in seen.items()}
+        got = objects.closure(spark.createDataFrame(edges, "object string, uses string"), few=0).collect()
+        assert sorted(tuple(r) for r in got) == sorted(want)
+        assert closed.pop() <= most
+
+
 def test_commands_for_keys(spark, tmp_path):
     import json
 
