@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.llm.common import cut, sieve, sifted, spread_join
+from concordat.llm.common import Sieve, cut, sieve, sifted, spread_join
 
 NEAR_WORDS = 8
 SPACES = "\t\x0b\x0c\r\xa0\u3000"  # white space besides the blank
@@ -39,13 +39,18 @@ def _halves() -> list[Column]:
     return out
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, line_no and line (words parted by one space) of every line that is not blank."""
+def line_table(docs: DataFrame, among: Sieve | None = None) -> DataFrame:
+    """doc_id, text_hash, line_no and line (words parted by one space) of every line that is not blank; with a sieve of hashed doc_id and text_hash,
+    of the documents that may be in it."""
     # white space is made alike in whole texts, and only in those that need it; the hash is taken below the explosion, once for a text
     odd = reduce(lambda a, b: a | b, (F.contains("text", F.lit(c)) for c in SPACES))
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.when(odd, F.translate("text", SPACES, " " * len(SPACES))).otherwise(F.col("text")).alias("text"))
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    if among:
+        whole = sifted(whole, F.xxhash64("doc_id", "text_hash"), among).where("_likely")
+    whole = whole.select("doc_id", "text_hash", F.when(odd, F.translate("text", SPACES, " " * len(SPACES))).otherwise(F.col("text")).alias("text"))
     whole = whole.select("doc_id", "text_hash", F.split(F.when(F.contains("text", F.lit("  ")), F.regexp_replace("text", " {2,}", " ")).otherwise(F.col("text")), "\n", -1).alias("lines"))
-    every = whole.select("doc_id", "text_hash", F.posexplode("lines").alias("line_no", "line"))
+    # outer, as Spark would else put a filter (not null, not empty) below the explosion that does all of the above a second time
+    every = whole.select("doc_id", "text_hash", F.posexplode_outer("lines").alias("line_no", "line"))
     return every.withColumn("line", F.trim("line")).where("line <> ''")
 
 
@@ -68,9 +73,10 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     met = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half")
     likely = halves.join(met, "half").select("h1").distinct()
     own = cut(firsts.select("h1", "first").join(likely, "h1").select("first.*").distinct(), "likely", free=True)
-    # the text of a likely line comes from its first place only; few lines are, so most stay out of the join
-    place = F.xxhash64(*where)
-    some = sifted(lines, place, sieve(own.select(place.alias("at")), own.count())).where("_likely").drop("_likely")
+    # the text of a likely line comes from its first place only; few lines are, so most stay out of the join, and documents without one are not split
+    place, n_own = F.xxhash64(*where), own.count()
+    among = line_table(docs, sieve(own.select(F.xxhash64("doc_id", "text_hash").alias("at")), n_own)).where("doc_id IS NOT NULL")
+    some = sifted(among, place, sieve(own.select(place.alias("at")), n_own)).where("_likely").drop("_likely")
     # repeated rows give a line twice
     texts = cut(some.dropDuplicates(where).join(own, where).select(*key, F.struct(*where).alias("p"), F.split("line", " ", -1).alias("words")), "likely-lines", free=True)
     # a sequence's hash is the xor of its words' hashes with their places, so a running xor gives every variant in one pass
@@ -81,7 +87,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     left, right = F.bit_xor("a").over(upto).bitwiseXOR(F.col("a")), F.bit_xor("b").over(line).bitwiseXOR(F.bit_xor("b").over(upto))
     hashed = words.select("p", "n", "i", F.bit_xor("a").over(line).alias("whole"), left.bitwiseXOR(right).alias("cut"))
     variants = F.array(F.struct(F.xxhash64("cut", F.col("n") - 1).alias("v"), F.col("i")), F.when(F.col("i") == 0, F.struct(F.xxhash64("whole", "n").alias("v"), F.lit(-1).alias("i"))))
-    entries = cut(hashed.select(F.col("p").alias("first"), F.explode(F.filter(variants, lambda x: x.isNotNull())).alias("x")).select("first", "x.v", "x.i"), "variants", free=True)
+    entries = cut(hashed.select(F.col("p").alias("first"), F.explode_outer(F.filter(variants, lambda x: x.isNotNull())).alias("x")).select("first", "x.v", "x.i"), "variants", free=True)
     often = entries.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("v")
     shared = cut(entries.join(often, "v").select("v", "i", "first"), "shared-variants", free=True)
     is_self = F.col("i") < 0

@@ -412,6 +412,16 @@ def test_lines_against_all_pairs(spark, monkeypatch):
     assert rows(lines.dedup_lines(df.limit(0))) == []
 
 
+def test_lines_are_split_once(spark):
+    """No filter that Spark infers below the explosion splits every text a second time."""
+    df = docs(spark, "a b\n\n  c\td", None, "")
+    table = lines.line_table(df)
+    assert table._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert rows(table, "doc_id", "line_no", "line") == [(0, 0, "a b"), (0, 2, "c d")]
+    among = sieve(df.where("doc_id = 1").select(F.xxhash64("doc_id", F.xxhash64("text")).alias("at")), 1)
+    assert lines.line_table(df, among).count() == 0
+
+
 def test_lines_of_odd_rows(spark):
     line = "a line that is long enough to be compared with another one"
     df = spark.createDataFrame([(None, line, None, None, None), (1, line, None, None, None), (1, line, None, None, None), (2, line, None, None, None)], DOCS)
