@@ -165,30 +165,34 @@ def gapless_rank(df: DataFrame, group: str, order: list[Column], rows: int, salt
     return joined.withColumn(name, F.col("_row") + F.col("_before")).drop("_chunk", "_g", "_c", "_row", "_before")
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether the distinct edges (u, v), u > v, are stars already: no node has two smaller ones, and none whose smaller one has a smaller one itself."""
+    end = lambda node, up, down: F.struct(F.col(node).alias("node"), F.lit(up).alias("up"), F.lit(down).alias("down"))
+    ends = edges.select(F.explode(F.array(end("u", 1, 0), end("v", 0, 1))).alias("x")).select("x.*")
+    odd = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up = 1 AND down = 1")
+    return not odd.agg(F.count(F.lit(1))).first()[0]
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components by alternating large-star and small-star steps.
 
     edges: columns a, b (long). Returns node, component (the smallest node reachable), for nodes that have an edge.
-    Each step is two grouped minima and joins by key; every round is cut to the shared folder. No edge reaches the driver.
+    Each step is two grouped minima and joins by key; every round is cut to the shared folder. No edge reaches the driver. What the driver
+    keeps of a round's tasks is let go with it, and there is no round beyond the one that leaves stars only.
     """
-    current = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    mark = lambda d: d.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-    seen = mark(current)
+    current = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges", free=True)
+    turned = lambda d, *pairs: d.select(F.explode(F.array(*(F.struct(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in pairs))).alias("x")).select("x.*")
     for _ in range(max_rounds):
-        if not seen[0]:
+        if are_stars(current):
             break
-        both = current.select("u", "v").unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = turned(current, ("u", "v"), ("v", "u"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        nxt = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-        now = mark(nxt)
+        small = turned(large.join(least, "u"), ("v", "m"), ("u", "m")).where("u <> v")
+        nxt = cut(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", free=True)
         drop_cut(current)
         current = nxt
-        if now == seen:
-            break
-        seen = now
     else:
         raise RuntimeError("components did not settle")
     stars = current.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")

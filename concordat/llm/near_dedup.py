@@ -191,7 +191,7 @@ def grouped(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
     """near_groups() with text_hash, and first: whether the row's doc_id and text are the least of its group."""
     found = cut(sketches(docs, words).withColumn("row", F.monotonically_increasing_id()), "sketches")
     some = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    reps = cut(some.groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "text_hash", "row")).alias("x")).select("key1", "key2", F.col("x.doc_id").alias("rep"), F.col("x.text_hash").alias("rep_hash"), F.col("x.row").alias("node")), "classes")
+    reps = cut(some.groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "text_hash", "row")).alias("x")).select("key1", "key2", F.col("x.doc_id").alias("rep"), F.col("x.text_hash").alias("rep_hash"), F.col("x.row").alias("node")), "classes", free=True)
     # from here on doc_id is the row number of a class's representative
     single = some.join(reps.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("doc_id"), F.col("n_shingles").alias("n"), "sketch")
 
@@ -202,13 +202,13 @@ def grouped(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
     of_doc = Window.partitionBy("doc_id")
     # values that no other document holds come first in the order by rarity: they take places, but need no list
     place = F.col("size") - F.count(F.lit(1)).over(of_doc) + F.row_number().over(of_doc.orderBy("f", "v"))
-    lists = cut(shared.withColumn("place", place).where(F.col("place") <= needed[F.col("size")]).select("v", "doc_id", "n"), "lists")
+    lists = cut(shared.withColumn("place", place).where(F.col("place") <= needed[F.col("size")]).select("v", "doc_id", "n"), "lists", free=True)
     ids = lists.select("doc_id").distinct()
-    sketch = cut(single.join(ids, "doc_id", "left_semi"), "near-sketches")
+    sketch = cut(single.join(ids, "doc_id", "left_semi"), "near-sketches", free=True)
     wanted = cut(reps.join(ids, reps["node"] == ids["doc_id"]).select("rep", "rep_hash", "node"), "near-wanted")
     of_text = F.xxhash64("rep", "rep_hash")
     likely = sifted(docs.select(F.col("doc_id").cast("long").alias("rep"), F.xxhash64("text").alias("rep_hash"), "text"), of_text, sieve(wanted.select(of_text.alias("at")), wanted.count())).where("_likely")
-    texts = cut(likely.join(wanted, ["rep", "rep_hash"]).select(F.col("node").alias("doc_id"), "text").dropDuplicates(["doc_id"]), "near-texts")
+    texts = cut(likely.join(wanted, ["rep", "rep_hash"]).select(F.col("node").alias("doc_id"), "text").dropDuplicates(["doc_id"]), "near-texts", free=True)
 
     fits = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
     ends = [F.min_by(F.struct(F.col("doc_id").alias("p"), F.col("n").alias("m")), F.xxhash64("doc_id", F.lit(seed)) if seed else F.col("doc_id")).alias(f"p{seed}") for seed in range(PIVOTS)]
@@ -216,17 +216,17 @@ def grouped(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
     star = lists.join(pivots, "v").where(fits & (F.col("doc_id") != F.col("p"))).select(F.col("p").alias("a"), F.col("doc_id").alias("b")).distinct()
     best = Window.partitionBy("b").orderBy(F.col("est").desc(), "a")
     first = estimated(star, sketch, percent).withColumn("k", F.row_number().over(best)).where("k <= 2").select("a", "b")
-    links = cut(verified(cut(first, "first-pairs"), texts, percent, words), "links")
+    links = cut(verified(cut(first, "first-pairs", free=True), texts, percent, words), "links", free=True)
     group = components(links)
 
     known = lists.join(group.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id"))
     mixed = known.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("f"), F.min("doc_id").alias("first")).where("lo < hi").select("v", "f", "first")
-    open_ = cut(known.join(mixed, "v").select("v", "f", "first", "doc_id", "n", "c"), "open-lists")
+    open_ = cut(known.join(mixed, "v").select("v", "f", "first", "doc_id", "n", "c"), "open-lists", free=True)
     few = open_.where(F.col("f") <= LONG)
     other = few.select(F.col("v").alias("w"), F.col("doc_id").alias("q"), F.col("n").alias("m"), F.col("c").alias("d"))
     rest = few.join(other, (F.col("v") == F.col("w")) & (F.col("doc_id") < F.col("q")) & (F.col("c") != F.col("d")) & fits).select(F.col("doc_id").alias("a"), F.col("q").alias("b")).distinct()
-    more = cut(verified(cut(estimated(rest, sketch, percent).select("a", "b"), "more-pairs"), texts, percent, words), "links")
-    dense = cut(dense_links(open_.where(F.col("f") > LONG), texts, percent, words), "dense-links")
+    more = cut(verified(cut(estimated(rest, sketch, percent).select("a", "b"), "more-pairs", free=True), texts, percent, words), "links", free=True)
+    dense = cut(dense_links(open_.where(F.col("f") > LONG), texts, percent, words), "dense-links", free=True)
     final = components(links.unionByName(more).unionByName(dense))
 
     # a component takes the least doc_id, and of its texts the least hash, of its classes
@@ -255,7 +255,7 @@ def drop_near(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
     Rows without words or without doc_id are in no group and all stay. Of rows that repeat both doc_id and text one stays, any of
     them. All columns of docs pass through, whatever their names.
     """
-    groups = cut(grouped(docs, percent, words).where("n_shingles > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), "first"), "near-groups")
+    groups = cut(grouped(docs, percent, words).where("n_shingles > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), "first"), "near-groups", free=True)
     lost = cut(groups.where("NOT first").select("_d", "_t").distinct(), "near-lost")
     again = groups.where("first").groupBy("_d", "_t").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_d", "_t")
     place = F.xxhash64("_d", "_t")

@@ -158,7 +158,10 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Stumps, Stumps] | None:
     lists = table.column("words").combine_chunks()
     lengths = np.diff(lists.offsets.to_numpy())
     rows, cols = np.repeat(np.arange(len(lists), dtype=np.int32), lengths), lists.flatten().to_numpy()
-    return tuple(fit(numbers, rows, cols, vocabulary, table.column(c).to_numpy().astype(np.float64)) for c in ("quality", "toxic"))
+    models = tuple(fit(numbers, rows, cols, vocabulary, table.column(c).to_numpy().astype(np.float64)) for c in ("quality", "toxic"))
+    del numbers, table, lists, lengths, rows, cols  # Arrow would keep the sample's memory for the driver's lifetime
+    pa.default_memory_pool().release_unused()
+    return models
 
 
 def evidence(docs: DataFrame, models: tuple[Stumps, Stumps] | None, host: Column, path: Column) -> DataFrame:

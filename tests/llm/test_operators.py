@@ -38,6 +38,25 @@ def test_components_of_chains_and_hubs(spark):
     assert rows(components(spark.createDataFrame([], "a long, b long"))) == []
 
 
+def test_components_end_at_stars(spark, monkeypatch):
+    from concordat.llm import common
+
+    written, whole = [], common.cut
+    monkeypatch.setattr(common, "cut", lambda df, name, free=False: written.append((name, free)) or whole(df, name, free))
+    stars = [(a, hub) for hub in (1, 2, 3) for a in range(10 * hub, 10 * hub + 9)]
+    got = dict(rows(components(spark.createDataFrame(stars, "a long, b long"))))
+    assert got == {x: hub for a, hub in stars for x in (a, hub)}
+    assert written == [("edges", True)]  # no round where nothing is left to do, and nothing of it held by the driver
+    rng = random.Random(3)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(x, x - 1) for x in range(401, 440)] + [(440, x) for x in range(450, 470)]
+    low = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in range(len(low)):
+        for a, b in edges:
+            if a != b:
+                low[a] = low[b] = min(low[a], low[b])
+    assert dict(rows(components(spark.createDataFrame(edges, "a long, b long")))) == low
+
+
 def test_gapless_rank_of_a_hot_group(spark):
     df = spark.range(3000).withColumn("g", F.when(F.col("id") < 2500, 0).otherwise(F.col("id") % 7 + 1))
     got = gapless_rank(cut(df, "t"), "g", [F.col("id")], 3000, F.col("id"))
